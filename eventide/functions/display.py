@@ -22,11 +22,19 @@ def age_text(received_at: Column, now_seconds: Column) -> Column:
 
 
 def lag_text(last_sim_ms: Column, watermark_ms: Column) -> Column:
-    """(last feature time - watermark) in seconds with one decimal, else ``--``."""
+    """(last feature time - watermark) in seconds with one decimal, else ``--``.
+
+    Rounded half away from zero on the exact millisecond count (integer
+    arithmetic), so the text does not depend on binary floating point."""
     ok = (watermark_ms > 0) & (last_sim_ms > 0)
-    return F.when(
-        ok, F.concat(F.format_string("%.1f", (last_sim_ms - watermark_ms) / F.lit(1000.0)), F.lit("s"))
-    ).otherwise(F.lit("--"))
+    lag = (last_sim_ms - watermark_ms).cast("bigint")
+    tenths = F.floor((F.abs(lag) + F.lit(50)) / F.lit(100)).cast("bigint")
+    text = F.concat(
+        F.when(lag < 0, F.lit("-")).otherwise(F.lit("")),
+        F.floor(tenths / F.lit(10)).cast("bigint").cast("string"), F.lit("."),
+        (tenths % F.lit(10)).cast("string"), F.lit("s"),
+    )
+    return F.when(ok, text).otherwise(F.lit("--"))
 
 
 def watermark_clock_text(watermark_ms: Column) -> Column:

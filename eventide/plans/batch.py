@@ -69,3 +69,215 @@ def all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def closed_windows_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     return win.closed_only(win.window_features(ev), ev)
+
+
+# ---------------------------------------------------------------------------
+# parsing (JSON round trip with the reference's lenient rules)
+# ---------------------------------------------------------------------------
+ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+PARSE_VARIANTS = 7
+
+
+def events_json(ev: DataFrame) -> DataFrame:
+    """Shaped events published as JSON, each row in one of seven wire shapes:
+    0 timestamp without zone, 1 timestamp with +00:00 offset, 2 dwell as a
+    JSON string, 3 dwell with a fraction, 4 dwell missing, 5 upper-case type
+    plus an unknown field, 6 plain."""
+    v = F.col("event_id") % PARSE_VARIANTS
+    base = ["user_id", "content_id", "event_type"]
+    z = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    no_zone = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    offset = F.concat(no_zone, F.lit("+00:00"))
+    dwell = F.col("dwell_time_ms")
+
+    def js(*cols: Column) -> Column:
+        return F.to_json(F.struct(*cols))
+
+    value = (
+        F.when(v == 0, js(*base, dwell.alias("dwell_time_ms"), no_zone.alias("timestamp")))
+        .when(v == 1, js(*base, dwell.alias("dwell_time_ms"), offset.alias("timestamp")))
+        .when(v == 2, js(*base, dwell.cast("string").alias("dwell_time_ms"), z.alias("timestamp")))
+        .when(v == 3, js(*base, (dwell + F.lit(0.7)).alias("dwell_time_ms"), z.alias("timestamp")))
+        .when(v == 4, js(*base, z.alias("timestamp")))
+        .when(v == 5, js("user_id", "content_id", F.upper("event_type").alias("event_type"),
+                         dwell.alias("dwell_time_ms"), z.alias("timestamp"), F.lit("web").alias("client")))
+        .otherwise(js(*base, dwell.alias("dwell_time_ms"), z.alias("timestamp")))
+    )
+    return ev.select("event_id", value.alias("value"))
+
+
+def events_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.sources.events_json import parse_events
+
+    ev = events(spark, sf_dir)
+    parsed = parse_events(events_json(ev), keep=["event_id"], fallback_time=as_of_time(ev))
+    return parsed.select(
+        "event_id", "user_id", "content_id", "event_type", "dwell_time_ms",
+        F.date_format("event_time", ISO_MILLIS).alias("event_time"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# feature log and store
+# ---------------------------------------------------------------------------
+def feature_log_of(ev: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Every feature record as the store receives it. A window record arrives
+    when the watermark can first close it (window end + 30 s); affinity
+    records arrive at ``as_of``."""
+    from eventide.config import ISO_SECONDS, WATERMARK_DELAY_SECONDS
+    from eventide.operators import store
+
+    as_of = as_of_time(ev)
+    windows = store.with_log_columns(
+        win.window_features(ev),
+        F.unix_seconds(F.to_timestamp("computed_at", ISO_SECONDS)) + F.lit(WATERMARK_DELAY_SECONDS))
+    affinity = store.with_log_columns(
+        aff.affinity_features(ev, snapshot, iso_seconds(as_of)), F.unix_seconds(as_of))
+    return windows.unionByName(affinity)
+
+
+def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feature_log_of(events(spark, sf_dir), metadata_latest(spark, sf_dir))
+
+
+def feature_log_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import store
+
+    return store.feature_kv(feature_log(spark, sf_dir))
+
+
+def feature_store_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import store
+
+    return store.latest_features(feature_log(spark, sf_dir)).drop("seq")
+
+
+def entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import store
+
+    return store.entity_documents(store.latest_features(feature_log(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# late data
+# ---------------------------------------------------------------------------
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late
+
+    return late.classify(events(spark, sf_dir))
+
+
+def late_user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late
+
+    return late.late_user_events(classified(spark, sf_dir))
+
+
+def late_content_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late
+
+    return late.late_content_events(classified(spark, sf_dir))
+
+
+def late_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late
+
+    return late.late_metrics(classified(spark, sf_dir))
+
+
+def watermark_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late
+
+    return late.watermark_samples(events(spark, sf_dir))
+
+
+def late_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late
+
+    return late.late_share(classified(spark, sf_dir))
+
+
+def batch_stream_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late
+
+    ev = events(spark, sf_dir)
+    return late.divergence(ev, late.threshold_table(ev))
+
+
+def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late
+
+    ev = events(spark, sf_dir)
+    return late.metric_log(late.classify(ev), ev)
+
+
+# ---------------------------------------------------------------------------
+# serving
+# ---------------------------------------------------------------------------
+LOOKUP_ENTITY = " usr_2 "     # trimmed by the lookup, as the page does
+
+
+def now_of(log: DataFrame) -> Column:
+    """Serving clock: the newest arrival at the store (scalar subquery)."""
+    return log.select(F.max("received_at")).scalar()
+
+
+def metric_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import serving
+
+    ev = events(spark, sf_dir)
+    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
+    from eventide.operators import late
+
+    return serving.metric_state(late.metric_log(late.classify(ev), ev), log)
+
+
+def watermark_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import serving
+
+    return serving.watermark_lag(metric_state(spark, sf_dir))
+
+
+def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import serving, store
+
+    return serving.entity_lookup(store.latest_features(feature_log(spark, sf_dir)), LOOKUP_ENTITY)
+
+
+def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import serving, store
+
+    log = feature_log(spark, sf_dir)
+    lookup = serving.entity_lookup(store.latest_features(log), LOOKUP_ENTITY)
+    return serving.entity_report(lookup, now_of(log))
+
+
+def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import serving, store
+
+    log = feature_log(spark, sf_dir)
+    return serving.freshness(store.latest_features(log), now_of(log))
+
+
+def recent_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import serving
+
+    return serving.recent_updates(feature_log(spark, sf_dir))
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late, serving
+
+    ev = events(spark, sf_dir)
+    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
+    return serving.change_feed(log, late.metric_log(late.classify(ev), ev))
+
+
+def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.operators import late, serving, store
+
+    ev = events(spark, sf_dir)
+    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
+    docs = store.entity_documents(store.latest_features(log))
+    state = serving.metric_state(late.metric_log(late.classify(ev), ev), log)
+    return serving.state_snapshot(docs, state)

@@ -20,6 +20,25 @@ QUERIES: dict[str, Query] = {
     "category_affinity": batch.category_affinity,
     "all_features": batch.all_features,
     "closed_windows_only": batch.closed_windows_only,
+    "events_parsed": batch.events_parsed,
+    "feature_log_kv": batch.feature_log_kv,
+    "feature_store_latest": batch.feature_store_latest,
+    "entity_documents": batch.entity_documents,
+    "late_user_events": batch.late_user_events,
+    "late_content_events": batch.late_content_events,
+    "late_metrics": batch.late_metrics,
+    "watermark_metrics": batch.watermark_metrics,
+    "metric_log": batch.metric_log,
+    "late_share": batch.late_share,
+    "batch_stream_divergence": batch.batch_stream_divergence,
+    "metric_state": batch.metric_state,
+    "watermark_lag": batch.watermark_lag,
+    "entity_lookup": batch.entity_lookup,
+    "entity_report": batch.entity_report,
+    "freshness": batch.freshness,
+    "recent_updates": batch.recent_updates,
+    "change_feed": batch.change_feed,
+    "state_snapshot": batch.state_snapshot,
 }
 
 
