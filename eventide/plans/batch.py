@@ -82,28 +82,23 @@ def events_json(ev: DataFrame) -> DataFrame:
     """Shaped events published as JSON, each row in one of seven wire shapes:
     0 timestamp without zone, 1 timestamp with +00:00 offset, 2 dwell as a
     JSON string, 3 dwell with a fraction, 4 dwell missing, 5 upper-case type
-    plus an unknown field, 6 plain."""
+    plus an unknown field, 6 plain. One ``to_json`` per row; the dwell field
+    is spliced in as text so the expression stays small enough for codegen."""
     v = F.col("event_id") % PARSE_VARIANTS
-    base = ["user_id", "content_id", "event_type"]
-    z = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    no_zone = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    offset = F.concat(no_zone, F.lit("+00:00"))
-    dwell = F.col("dwell_time_ms")
-
-    def js(*cols: Column) -> Column:
-        return F.to_json(F.struct(*cols))
-
-    value = (
-        F.when(v == 0, js(*base, dwell.alias("dwell_time_ms"), no_zone.alias("timestamp")))
-        .when(v == 1, js(*base, dwell.alias("dwell_time_ms"), offset.alias("timestamp")))
-        .when(v == 2, js(*base, dwell.cast("string").alias("dwell_time_ms"), z.alias("timestamp")))
-        .when(v == 3, js(*base, (dwell + F.lit(0.7)).alias("dwell_time_ms"), z.alias("timestamp")))
-        .when(v == 4, js(*base, z.alias("timestamp")))
-        .when(v == 5, js("user_id", "content_id", F.upper("event_type").alias("event_type"),
-                         dwell.alias("dwell_time_ms"), z.alias("timestamp"), F.lit("web").alias("client")))
-        .otherwise(js(*base, dwell.alias("dwell_time_ms"), z.alias("timestamp")))
-    )
-    return ev.select("event_id", value.alias("value"))
+    micros = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    stamp = (F.when(v == 0, micros)
+             .when(v == 1, F.concat(micros, F.lit("+00:00")))
+             .otherwise(F.concat(micros, F.lit("Z"))))
+    etype = F.when(v == 5, F.upper("event_type")).otherwise(F.col("event_type"))
+    head = F.to_json(F.struct("user_id", "content_id", etype.alias("event_type"), stamp.alias("timestamp")))
+    dwell = F.col("dwell_time_ms").cast("string")
+    tail = (F.when(v == 2, F.concat(F.lit(',"dwell_time_ms":"'), dwell, F.lit('"}')))
+            .when(v == 3, F.concat(F.lit(',"dwell_time_ms":'), dwell, F.lit('.7}')))
+            .when(v == 4, F.lit("}"))
+            .when(v == 5, F.concat(F.lit(',"dwell_time_ms":'), dwell, F.lit(',"client":"web"}')))
+            .otherwise(F.concat(F.lit(',"dwell_time_ms":'), dwell, F.lit("}"))))
+    return ev.select("event_id", head.alias("head_json"), tail.alias("tail")).select(
+        "event_id", F.concat(F.expr("substring(head_json, 1, length(head_json) - 1)"), F.col("tail")).alias("value"))
 
 
 def events_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,12 +123,19 @@ def feature_log_of(ev: DataFrame, snapshot: DataFrame) -> DataFrame:
     from eventide.operators import store
 
     as_of = as_of_time(ev)
-    windows = store.with_log_columns(
-        win.window_features(ev),
-        F.unix_seconds(F.to_timestamp("computed_at", ISO_SECONDS)) + F.lit(WATERMARK_DELAY_SECONDS))
     affinity = store.with_log_columns(
         aff.affinity_features(ev, snapshot, iso_seconds(as_of)), F.unix_seconds(as_of))
-    return windows.unionByName(affinity)
+    return window_log_of(ev).unionByName(affinity)
+
+
+def window_log_of(ev: DataFrame) -> DataFrame:
+    """Window-feature part of the log (arrival = window end + 30 s)."""
+    from eventide.config import ISO_SECONDS, WATERMARK_DELAY_SECONDS
+    from eventide.operators import store
+
+    return store.with_log_columns(
+        win.window_features(ev),
+        F.unix_seconds(F.to_timestamp("computed_at", ISO_SECONDS)) + F.lit(WATERMARK_DELAY_SECONDS))
 
 
 def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,19 +219,28 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOOKUP_ENTITY = " usr_2 "     # trimmed by the lookup, as the page does
 
 
-def now_of(log: DataFrame) -> Column:
-    """Serving clock: the newest arrival at the store (scalar subquery)."""
-    return log.select(F.max("received_at")).scalar()
+def now_of(ev: DataFrame) -> Column:
+    """Serving clock = the newest arrival at the store, i.e. the latest window
+    end + 30 s (affinity arrives at ``as_of``, which is earlier). Derived from
+    max(event_time) alone, a one-column scalar subquery, instead of
+    recomputing the feature log."""
+    from eventide.config import (CONTENT_SLIDE_SECONDS, CONTENT_WINDOW_SECONDS, USER_WINDOW_SECONDS,
+                                 WATERMARK_DELAY_SECONDS)
+    from eventide.operators.late import floor_div
+
+    us = F.unix_micros(F.max("event_time"))
+    hour_end = (floor_div(us, USER_WINDOW_SECONDS * 1_000_000) + 1) * USER_WINDOW_SECONDS
+    slide_end = floor_div(us, CONTENT_SLIDE_SECONDS * 1_000_000) * CONTENT_SLIDE_SECONDS + CONTENT_WINDOW_SECONDS
+    return ev.select((F.greatest(hour_end, slide_end) + F.lit(WATERMARK_DELAY_SECONDS)).cast("double")).scalar()
 
 
 def metric_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.operators import serving
 
-    ev = events(spark, sf_dir)
-    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
     from eventide.operators import late
 
-    return serving.metric_state(late.metric_log(late.classify(ev), ev), log)
+    ev = events(spark, sf_dir)
+    return serving.metric_state(late.metric_log(late.classify(ev), ev), window_log_of(ev))
 
 
 def watermark_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,16 +258,18 @@ def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.operators import serving, store
 
-    log = feature_log(spark, sf_dir)
+    ev = events(spark, sf_dir)
+    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
     lookup = serving.entity_lookup(store.latest_features(log), LOOKUP_ENTITY)
-    return serving.entity_report(lookup, now_of(log))
+    return serving.entity_report(lookup, now_of(ev))
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.operators import serving, store
 
-    log = feature_log(spark, sf_dir)
-    return serving.freshness(store.latest_features(log), now_of(log))
+    ev = events(spark, sf_dir)
+    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
+    return serving.freshness(store.latest_features(log), now_of(ev))
 
 
 def recent_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,5 +292,5 @@ def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     log = feature_log_of(ev, metadata_latest(spark, sf_dir))
     docs = store.entity_documents(store.latest_features(log))
-    state = serving.metric_state(late.metric_log(late.classify(ev), ev), log)
+    state = serving.metric_state(late.metric_log(late.classify(ev), ev), window_log_of(ev))
     return serving.state_snapshot(docs, state)
