@@ -83,3 +83,52 @@ def entity_documents(latest: DataFrame) -> DataFrame:
 
 def feature_log_columns() -> list[str]:
     return list(FEATURE_LOG_COLUMNS)
+
+
+def changelog_upserts(changes: DataFrame, kind: str = "kind") -> DataFrame:
+    """Keep insert / update-after rows of an explicit changelog frame (row
+    kinds ``+I``, ``-U``, ``+U``, ``-D``); retractions are dropped."""
+    return changes.filter(F.col(kind).isin("+I", "+U")).drop(kind)
+
+
+STORE_BUCKETS = 64
+
+
+def store_bucket(entity_id: Column | str = "entity_id", buckets: int = STORE_BUCKETS) -> Column:
+    e = F.col(entity_id) if isinstance(entity_id, str) else entity_id
+    return F.pmod(F.xxhash64(e), F.lit(buckets)).cast("int")
+
+
+def upsert_latest(new_rows: DataFrame, store_path: str, buckets: int = STORE_BUCKETS) -> None:
+    """Merge feature-log rows into a latest-value table bucketed by entity.
+
+    Only buckets touched by ``new_rows`` are read and rewritten (dynamic
+    partition overwrite); the merged buckets are checkpointed first, so the
+    write never reads the files it replaces. Re-applying the same rows gives
+    the same table (latest by seq), so replays are harmless.
+    """
+    spark = new_rows.sparkSession
+    from eventide.session import checkpoint_root
+
+    checkpoint_root(spark)
+    incoming = new_rows.select(*FEATURE_LOG_COLUMNS).withColumn("bucket", store_bucket(buckets=buckets))
+    try:
+        current = spark.read.parquet(store_path)
+        touched = incoming.select("bucket").distinct()
+        merged_input = current.join(touched, "bucket", "left_semi").unionByName(incoming)
+    except Exception:  # noqa: BLE001 - first write: no table yet
+        merged_input = incoming
+    merged = latest_features(merged_input).withColumn("bucket", store_bucket(buckets=buckets))
+    merged = merged.checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(store_path))
+
+
+def read_latest(spark, store_path: str, entity_id: str | None = None,
+                buckets: int = STORE_BUCKETS) -> DataFrame:
+    """Latest-value table; a lookup by entity prunes to one bucket."""
+    df = spark.read.parquet(store_path)
+    if entity_id is not None:
+        key = F.trim(F.lit(entity_id))
+        df = df.filter((F.col("bucket") == store_bucket(key, buckets)) & (F.col("entity_id") == key))
+    return df.drop("bucket")
