@@ -90,8 +90,16 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL}))
 
 
-def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
-    return location or f"{checkpoint_root(spark)}/streams/{name}"
+def _checkpoint(spark: SparkSession, name: str, location: str | None, layout: "Layout") -> str:
+    """Explicit location, else ``<spark.checkpoint.dir>/streams/<job key>/<query>``
+    where the job key is derived from the output root: a restarted job
+    resumes its own state, two jobs never share one."""
+    if location:
+        return location
+    import hashlib
+
+    job_key = hashlib.sha1(layout.root.encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark)}/streams/{job_key}/{name}"
 
 
 def _log_rows(df: DataFrame, batch_id: int) -> DataFrame:
@@ -117,10 +125,11 @@ def start_window_features(events: DataFrame, layout: Layout, checkpoint: str | N
         rows = _log_rows(df, batch_id)
         write_batch(rows, layout.features, batch_id)
         if sink is not None:
-            sink(rows.select(*FEATURE_COLUMNS))
+            sink(df.sparkSession.read.parquet(f"{layout.features}/batch_id={batch_id}")
+                 .withColumn("seq", F.lit(batch_id).cast("bigint")))
 
     writer = (features.writeStream.outputMode("append").foreachBatch(write).queryName(name)
-              .option("checkpointLocation", _checkpoint(spark, name, checkpoint)))
+              .option("checkpointLocation", _checkpoint(spark, name, checkpoint, layout)))
     return _trigger(writer, trigger).start()
 
 
@@ -182,14 +191,15 @@ def start_affinity(events: DataFrame, layout: Layout, changelog_loader: Callable
     def write(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            rows = affinity_batch(df, batch_id, layout, changelog_loader(df.sparkSession), emit_zero)
+            affinity_batch(df, batch_id, layout, changelog_loader(df.sparkSession), emit_zero)
             if sink is not None:
-                sink(rows.select(*FEATURE_COLUMNS))
+                sink(df.sparkSession.read.parquet(f"{layout.affinity}/batch_id={batch_id}")
+                     .withColumn("seq", F.lit(batch_id).cast("bigint")))
         finally:
             df.unpersist()
 
     writer = (pairs.writeStream.outputMode("update").foreachBatch(write).queryName(name)
-              .option("checkpointLocation", _checkpoint(spark, name, checkpoint)))
+              .option("checkpointLocation", _checkpoint(spark, name, checkpoint, layout)))
     return _trigger(writer, trigger).start()
 
 
@@ -246,7 +256,7 @@ def start_late_metrics(events: DataFrame, layout: Layout, checkpoint: str | None
             df.unpersist()
 
     writer = (events.writeStream.outputMode("append").foreachBatch(write).queryName(name)
-              .option("checkpointLocation", _checkpoint(spark, name, checkpoint)))
+              .option("checkpointLocation", _checkpoint(spark, name, checkpoint, layout)))
     return _trigger(writer, trigger).start()
 
 

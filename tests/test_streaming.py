@@ -128,3 +128,24 @@ def test_affinity_reattributes_on_metadata_change(spark, tmp_path):
     assert got[("u1", "category_affinity_score:News")] == 1.0
     assert got[("u1", "category_affinity_score:Tech")] == 3.0
     assert got[("u2", "category_affinity_score:Tech")] == 2.0
+
+
+def test_job_with_listener_and_store(spark, tmp_path, lateness_files):
+    from eventide.operators.store import read_latest
+    from eventide.streaming.job import start_job
+
+    meta_dir = tmp_path / "meta"
+    _write_lines(meta_dir, "m.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}),
+                                       "offset": 1}])
+    raw = file_stream(spark, str(lateness_files), max_files_per_trigger=1)
+    job = start_job(spark, raw, lambda s: metadata_changelog_files(s, str(meta_dir)), str(tmp_path / "out"),
+                    trigger={"availableNow": True}, store_path=str(tmp_path / "store"))
+    job.drain()
+    job.stop()
+    spark.streams.removeListener(job.listener)
+    latest = {(r.entity_id, r.feature_name): r.feature_value for r in read_latest(spark, str(tmp_path / "store")).collect()}
+    assert latest[("u1", "category_affinity_score:News")] == 7.0
+    assert latest[("u1", "click_rate")] == 0.0           # newest closed hour: 02:00
+    assert latest[("c1", "engagement_rate")] == 0.0      # newest closed window: 01:15
+    assert q.metric_log(spark, job.layout).filter("metric_name = 'late_events_dropped'").count() == 4
+    assert any(name == "current_watermark" and value > 0 for name, value, _ in job.listener.records)
