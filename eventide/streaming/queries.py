@@ -46,6 +46,8 @@ from eventide.sources.changelog import metadata_snapshot
 from eventide.streaming.sinks import read_table, write_batch
 
 MICROS = 1_000_000
+# Q2 folds its pair-count deltas into a new base table after this many batches.
+PAIRS_COMPACT_EVERY = 50
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,10 @@ class Layout:
     def pairs(self) -> str:
         return f"{self.root}/pairs"
 
+    @property
+    def pairs_base(self) -> str:
+        return f"{self.root}/pairs_base"
+
     @property
     def meta_seen(self) -> str:
         return f"{self.root}/meta_seen"
@@ -145,9 +151,11 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
     """
     spark = updated_pairs.sparkSession
     write_batch(updated_pairs.select("user_id", "content_id", "n"), layout.pairs, batch_id)
-    history = read_table(spark, layout.pairs, upto_batch=batch_id)
-    # totals only grow, so the newest total of a pair is its maximum
-    pairs = history.groupBy("user_id", "content_id").agg(F.max("n").alias("n"))
+    pairs, base_version = pair_table(spark, layout, batch_id)
+    if batch_id - base_version >= PAIRS_COMPACT_EVERY:
+        # a written table cuts the lineage; later batches read it plus newer deltas
+        pairs.write.mode("overwrite").parquet(f"{layout.pairs_base}/v={batch_id}")
+        pairs = spark.read.parquet(f"{layout.pairs_base}/v={batch_id}")
 
     seen = read_table(spark, layout.meta_seen, upto_batch=batch_id - 1)
     changed = changelog
@@ -179,6 +187,24 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
     return rows
 
 
+def pair_table(spark: SparkSession, layout: Layout, batch_id: int) -> tuple[DataFrame, int]:
+    """Pair totals as of ``batch_id``: newest compacted base (version v < batch_id)
+    plus the deltas of batches after v. Totals only grow, so max(n) per pair
+    is its newest total. Returns (table, v) with v = -1 without a base."""
+    bases = read_table(spark, layout.pairs_base)
+    version = -1
+    parts = []
+    if bases is not None:
+        newest = bases.filter(F.col("v") < batch_id).agg(F.max("v")).first()[0]
+        if newest is not None:
+            version = int(newest)
+            parts.append(bases.filter(F.col("v") == version).select("user_id", "content_id", "n"))
+    deltas = read_table(spark, layout.pairs, upto_batch=batch_id).filter(F.col("batch_id") > version)
+    parts.append(deltas.select("user_id", "content_id", "n"))
+    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return merged.groupBy("user_id", "content_id").agg(F.max("n").alias("n")), version
+
+
 def start_affinity(events: DataFrame, layout: Layout, changelog_loader: Callable[[SparkSession], DataFrame],
                    checkpoint: str | None = None, trigger: dict | None = None, emit_zero: bool = False,
                    sink: Callable[[DataFrame], None] | None = None,

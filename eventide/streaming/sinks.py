@@ -20,6 +20,10 @@ def write_batch(df: DataFrame, table: str, batch_id: int) -> None:
 
 
 def read_table(spark: SparkSession, table: str, upto_batch: int | None = None) -> DataFrame | None:
+    import os
+
+    if "://" not in table and not os.path.exists(table):
+        return None
     try:
         df = spark.read.option("basePath", table).parquet(table)
     except Exception:  # noqa: BLE001 - no batch written yet

@@ -149,3 +149,22 @@ def test_job_with_listener_and_store(spark, tmp_path, lateness_files):
     assert latest[("c1", "engagement_rate")] == 0.0      # newest closed window: 01:15
     assert q.metric_log(spark, job.layout).filter("metric_name = 'late_events_dropped'").count() == 4
     assert any(name == "current_watermark" and value > 0 for name, value, _ in job.listener.records)
+
+
+def test_pair_compaction_keeps_totals(spark, tmp_path, monkeypatch):
+    """With compaction after every batch, totals equal the uncompacted run."""
+    monkeypatch.setattr(q, "PAIRS_COMPACT_EVERY", 1)
+    ev_dir, meta_dir = tmp_path / "events", tmp_path / "meta"
+    layout = q.Layout(str(tmp_path / "out"))
+    _write_lines(meta_dir, "m.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}),
+                                       "offset": 1}])
+    for i in range(3):
+        _write_lines(ev_dir, f"e-{i:03d}.json", [_ev("u1", "c1", "view", f"10:0{i}:00")] * (i + 1))
+    raw = file_stream(spark, str(ev_dir), max_files_per_trigger=1)
+    query = q.start_affinity(event_stream(raw, watermark=False), layout,
+                             lambda s: metadata_changelog_files(s, str(meta_dir)),
+                             checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
+    _drain(spark, query)
+    latest = q.feature_log(spark, layout).agg(F.max_by("feature_value", "seq")).first()[0]
+    assert latest == 6.0
+    assert q.read_table(spark, layout.pairs_base) is not None
