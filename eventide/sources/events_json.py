@@ -38,10 +38,19 @@ def _dwell(text: Column) -> Column:
     return F.coalesce(as_int, F.lit(0).cast("bigint"))
 
 
+def drop_empty(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Skip NULL / empty messages. Apply it where ``value`` is a source column:
+    a filter over a computed value would be pushed down and evaluated twice."""
+    value = F.col(value_col)
+    return raw.filter(value.isNotNull() & (F.length(value) > 0))
+
+
 def parse_events(raw: DataFrame, value_col: str = "value", mode: str = "FAILFAST",
-                 fallback_time: Column | None = None, keep: list[str] | None = None) -> DataFrame:
+                 fallback_time: Column | None = None, keep: list[str] | None = None,
+                 skip_empty: bool = False) -> DataFrame:
     """JSON text column -> (user_id, content_id, event_type, dwell_time_ms,
-    event_time [, kept columns]). Drops empty messages."""
+    event_time [, kept columns]). ``skip_empty`` drops empty messages first
+    (the stream readers do that on the raw column already)."""
     keep = keep or []
     schema = USER_EVENT_JSON
     options = {"mode": mode}
@@ -50,7 +59,7 @@ def parse_events(raw: DataFrame, value_col: str = "value", mode: str = "FAILFAST
         options["columnNameOfCorruptRecord"] = CORRUPT_COLUMN
     value = F.col(value_col)
     e = F.from_json(value, schema, options).alias("e")
-    rows = raw.filter(value.isNotNull() & (F.length(value) > 0)).select(e, *keep)
+    rows = (drop_empty(raw, value_col) if skip_empty else raw).select(e, *keep)
     out = [
         F.col("e.user_id").alias("user_id"),
         F.col("e.content_id").alias("content_id"),

@@ -13,16 +13,16 @@ from pyspark.sql import functions as F
 
 from eventide.config import WATERMARK_DELAY, PipelineConfig
 from eventide.sources.changelog import parse_metadata_messages
-from eventide.sources.events_json import parse_events
+from eventide.sources.events_json import drop_empty, parse_events
 
 
 def kafka_stream(spark: SparkSession, cfg: PipelineConfig, topic: str) -> DataFrame:
     """Raw topic stream: key/value as strings, partition, offset, timestamp."""
     raw = spark.readStream.format("kafka").options(**cfg.kafka_reader_options(topic)).load()
-    return raw.select(
+    return drop_empty(raw.select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
         "topic", "partition", "offset", F.col("timestamp").alias("arrival_ts"),
-    )
+    ))
 
 
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path).select(F.col("value"), F.current_timestamp().alias("arrival_ts"))
+    return drop_empty(reader.load(path)).select(F.col("value"), F.current_timestamp().alias("arrival_ts"))
 
 
 def event_stream(raw: DataFrame, mode: str = "FAILFAST", watermark: bool = True) -> DataFrame:

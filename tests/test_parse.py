@@ -14,7 +14,7 @@ FALLBACK = dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc)
 
 def _parse(spark, values, mode="FAILFAST"):
     raw = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
-    return parse_events(raw, mode=mode, keep=["i"], fallback_time=F.lit(FALLBACK))
+    return parse_events(raw, mode=mode, keep=["i"], fallback_time=F.lit(FALLBACK), skip_empty=True)
 
 
 def test_g5_timestamps_dwell_and_unknown_fields(spark):
