@@ -15,7 +15,7 @@ Window ends lie on a grid (1 h, or 5 min for the sliding windows), so
 ``floor((ts - L) / G)`` the minimum arrival is a partial aggregation; a
 suffix minimum over slots (two levels: inside blocks of slots, then across
 block minima) gives ``earliest`` for every threshold. That table grows with
-the event-time span, not with the row count; it is checkpointed, measured,
+the event-time span, not with the row count; it is checkpointed once, counted,
 and broadcast to a map-side join with the events.
 """
 
@@ -40,7 +40,8 @@ from eventide.config import (
 )
 from eventide.functions.events import engaged, is_type, safe_rate
 from eventide.functions.timefmt import iso_micros, iso_seconds
-from eventide.operators.joins import broadcast_if_small
+from eventide.config import MAX_BROADCAST_ROWS
+from eventide.operators.joins import MAX_BROADCAST_BYTES
 from eventide.session import checkpoint_root
 
 MICROS = 1_000_000
@@ -110,12 +111,24 @@ def earliest_arrival_table(events: DataFrame, event_time: str = "event_time",
     return running_extreme(per_slot, ["branch"], "k", "m", "earliest", F.min, descending=True)
 
 
+# bytes per threshold-table row: branch label, k, (timestamp, bigint) arrival key
+THRESHOLD_ROW_BYTES = 64
+
+
 def threshold_table(events: DataFrame, event_time: str = "event_time",
                     arrival: list[str] | None = None) -> DataFrame:
-    """Materialized (checkpointed) and size-checked earliest-arrival table."""
-    table = earliest_arrival_table(events, event_time, arrival)
+    """Earliest-arrival table, materialized once with ``checkpoint()`` into
+    ``spark.checkpoint.dir`` (one pass over the events; every lookup then reads
+    the small table instead of re-deriving it, and lineage is cut). Its exact
+    row count - at most span / grid + offsets per branch - decides the
+    broadcast; beyond the bound it stays a shuffle join on k (AQE splits hot
+    slots)."""
     checkpoint_root(events.sparkSession)
-    return broadcast_if_small(table.checkpoint(eager=True))
+    table = earliest_arrival_table(events, event_time, arrival).checkpoint(eager=True)
+    rows = table.count()
+    if rows <= MAX_BROADCAST_ROWS and rows * THRESHOLD_ROW_BYTES <= MAX_BROADCAST_BYTES:
+        return F.broadcast(table)
+    return table
 
 
 def _end_index(event_time: str, branch: str, offset: int) -> Column:
