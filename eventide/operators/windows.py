@@ -134,3 +134,59 @@ def closed_only(features: DataFrame, events: DataFrame, event_time: str = "event
         (F.max(F.col(event_time)) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(WATERMARK_DELAY_SECONDS)))
     ).scalar()
     return features.filter(F.to_timestamp(F.col(computed_at), "yyyy-MM-dd'T'HH:mm:ss'Z'") <= watermark)
+
+
+def window_features_one_pass(events: DataFrame, event_time: str = "event_time") -> DataFrame:
+    """Batch form of :func:`window_features` with one scan and one shuffle.
+
+    Each event becomes one row for its user hour and three rows for its
+    content windows (tagged by family); a single partial/final aggregation on
+    (family, key, window end) computes both accumulators, and a final
+    projection emits two user features or one content feature per group.
+    Equal to the union form; streaming keeps the union form because Spark's
+    watermark eviction needs ``window()`` grouping.
+    """
+    from eventide.config import CONTENT_SLIDE_SECONDS, CONTENT_WINDOW_SECONDS, USER_WINDOW_SECONDS
+    from eventide.operators.late import floor_div
+
+    us = F.unix_micros(F.col(event_time))
+    hour = USER_WINDOW_SECONDS * 1_000_000
+    slide = CONTENT_SLIDE_SECONDS * 1_000_000
+    click = is_type("event_type", EVENT_CLICK)
+    view = is_type("event_type", EVENT_VIEW)
+    eng = engaged("event_type")
+
+    def row(family: str, key: Column, end_us: Column) -> Column:
+        return F.struct(F.lit(family).alias("family"), key.alias("key"), end_us.alias("end_us"))
+
+    per_event = [row("u", F.col("user_id"), (floor_div(us, hour) + 1) * F.lit(hour))]
+    per_event += [row("c", F.col("content_id"), (floor_div(us, slide) + F.lit(o)) * F.lit(slide))
+                  for o in range(1, CONTENT_WINDOW_SECONDS // CONTENT_SLIDE_SECONDS + 1)]
+    grouped = (
+        events.filter(F.col(event_time).isNotNull())
+        .select(F.inline(F.array(*per_event)), click.alias("_click"), view.alias("_view"), eng.alias("_eng"),
+                F.col("dwell_time_ms"))
+        .filter(F.col("key").isNotNull())
+        .groupBy("family", "key", "end_us")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if("_click").alias("n_clicks"),
+            F.sum("dwell_time_ms").alias("dwell_sum"),
+            F.count_if("_view").alias("n_views"),
+            F.count_if("_eng").alias("n_engaged"),
+        )
+    )
+    n = F.col("n")
+    user_rows = F.array(
+        F.struct(F.lit(CLICK_RATE).alias("feature_name"), (F.col("n_clicks") / n).alias("feature_value")),
+        F.struct(F.lit(AVG_DWELL_TIME).alias("feature_name"), (F.col("dwell_sum") / n).alias("feature_value")),
+    )
+    content_rows = F.array(
+        F.struct(F.lit(ENGAGEMENT_RATE).alias("feature_name"),
+                 safe_rate(F.col("n_engaged"), F.col("n_views")).alias("feature_value")),
+    )
+    return grouped.select(
+        F.col("key").alias("entity_id"),
+        F.inline(F.when(F.col("family") == "u", user_rows).otherwise(content_rows)),
+        iso_seconds(F.timestamp_micros(F.col("end_us"))).alias("computed_at"),
+    ).select(*FEATURE_COLUMNS)

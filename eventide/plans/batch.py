@@ -63,12 +63,12 @@ def all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UNION ALL of the three feature families (X1)."""
     ev = events(spark, sf_dir)
     affinity = aff.affinity_features(ev, metadata_latest(spark, sf_dir), iso_seconds(as_of_time(ev)))
-    return win.user_features(ev).unionByName(win.content_features(ev)).unionByName(affinity)
+    return win.window_features_one_pass(ev).unionByName(affinity)
 
 
 def closed_windows_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
-    return win.closed_only(win.window_features(ev), ev)
+    return win.closed_only(win.window_features_one_pass(ev), ev)
 
 
 # ---------------------------------------------------------------------------
@@ -134,7 +134,7 @@ def window_log_of(ev: DataFrame) -> DataFrame:
     from eventide.operators import store
 
     return store.with_log_columns(
-        win.window_features(ev),
+        win.window_features_one_pass(ev),
         F.unix_seconds(F.to_timestamp("computed_at", ISO_SECONDS)) + F.lit(WATERMARK_DELAY_SECONDS))
 
 

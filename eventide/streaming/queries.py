@@ -48,6 +48,13 @@ from eventide.streaming.sinks import read_table, write_batch
 MICROS = 1_000_000
 # Q2 folds its pair-count deltas into a new base table after this many batches.
 PAIRS_COMPACT_EVERY = 50
+# Q2 pair tables are partitioned by user bucket; a batch without metadata
+# changes reads only the buckets of its own users.
+PAIR_USER_BUCKETS = 256
+
+
+def _user_bucket(col: str = "user_id"):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(PAIR_USER_BUCKETS)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -150,12 +157,14 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
     this batch; ``changelog`` is the metadata changelog as of now.
     """
     spark = updated_pairs.sparkSession
-    write_batch(updated_pairs.select("user_id", "content_id", "n"), layout.pairs, batch_id)
-    pairs, base_version = pair_table(spark, layout, batch_id)
+    write_batch(updated_pairs.select("user_id", "content_id", "n", _user_bucket().alias("ub")),
+                layout.pairs, batch_id, partition_by=["ub"])
+    base_version = _newest_base(spark, layout, batch_id)
     if batch_id - base_version >= PAIRS_COMPACT_EVERY:
         # a written table cuts the lineage; later batches read it plus newer deltas
-        pairs.write.mode("overwrite").parquet(f"{layout.pairs_base}/v={batch_id}")
-        pairs = spark.read.parquet(f"{layout.pairs_base}/v={batch_id}")
+        full, _ = pair_table(spark, layout, batch_id)
+        full.withColumn("ub", _user_bucket()).write.mode("overwrite").partitionBy("ub").parquet(
+            f"{layout.pairs_base}/v={batch_id}")
 
     seen = read_table(spark, layout.meta_seen, upto_batch=batch_id - 1)
     changed = changelog
@@ -163,10 +172,19 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
         last_seq = seen.select(F.max("max_seq")).scalar()
         changed = changelog.filter(F.col("seq") > F.coalesce(last_seq, F.lit(-1)))
     changed_contents = changed.select("content_id").distinct()
-
-    affected = (updated_pairs.select("user_id")
-                .unionByName(pairs.join(changed_contents, "content_id", "left_semi").select("user_id"))
-                .distinct())
+    batch_users = updated_pairs.select("user_id")
+
+    if changed_contents.limit(1).count() > 0:
+        # metadata changed: users of those contents need a recompute too
+        pairs, _ = pair_table(spark, layout, batch_id)
+        affected = (batch_users
+                    .unionByName(pairs.join(changed_contents, "content_id", "left_semi").select("user_id"))
+                    .distinct())
+    else:
+        # only this batch's users: read just their buckets (at most PAIR_USER_BUCKETS ids)
+        buckets = [r[0] for r in batch_users.select(_user_bucket()).distinct().collect()]
+        pairs, _ = pair_table(spark, layout, batch_id, buckets)
+        affected = batch_users.distinct()
     scoped = pairs.join(affected, "user_id", "left_semi")
     counts = aff.affinity_counts(scoped, metadata_snapshot(changelog))
     records = aff.affinity_features_from_counts(counts, iso_seconds(F.current_timestamp()))
@@ -187,21 +205,31 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
     return rows
 
 
-def pair_table(spark: SparkSession, layout: Layout, batch_id: int) -> tuple[DataFrame, int]:
-    """Pair totals as of ``batch_id``: newest compacted base (version v < batch_id)
-    plus the deltas of batches after v. Totals only grow, so max(n) per pair
-    is its newest total. Returns (table, v) with v = -1 without a base."""
+def _newest_base(spark: SparkSession, layout: Layout, batch_id: int) -> int:
     bases = read_table(spark, layout.pairs_base)
-    version = -1
+    if bases is None:
+        return -1
+    newest = bases.filter(F.col("v") < batch_id).agg(F.max("v")).first()[0]
+    return -1 if newest is None else int(newest)
+
+
+def pair_table(spark: SparkSession, layout: Layout, batch_id: int,
+               buckets: list[int] | None = None) -> tuple[DataFrame, int]:
+    """Pair totals as of ``batch_id``: newest compacted base (version v < batch_id)
+    plus the deltas of batches after v, optionally only some user buckets
+    (partition pruning). Totals only grow, so max(n) per pair is its newest
+    total. Returns (table, v) with v = -1 without a base."""
+    version = _newest_base(spark, layout, batch_id)
     parts = []
-    if bases is not None:
-        newest = bases.filter(F.col("v") < batch_id).agg(F.max("v")).first()[0]
-        if newest is not None:
-            version = int(newest)
-            parts.append(bases.filter(F.col("v") == version).select("user_id", "content_id", "n"))
+    if version >= 0:
+        parts.append(spark.read.parquet(f"{layout.pairs_base}/v={version}"))
     deltas = read_table(spark, layout.pairs, upto_batch=batch_id).filter(F.col("batch_id") > version)
-    parts.append(deltas.select("user_id", "content_id", "n"))
-    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    parts.append(deltas.drop("batch_id"))
+    merged = parts[0].select("user_id", "content_id", "n", "ub")
+    for p in parts[1:]:
+        merged = merged.unionByName(p.select("user_id", "content_id", "n", "ub"))
+    if buckets is not None:
+        merged = merged.filter(F.col("ub").isin(buckets))
     return merged.groupBy("user_id", "content_id").agg(F.max("n").alias("n")), version
 
 

@@ -15,8 +15,11 @@ from eventide.config import PipelineConfig
 from eventide.operators.store import feature_kv, metric_kv
 
 
-def write_batch(df: DataFrame, table: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
+def write_batch(df: DataFrame, table: str, batch_id: int, partition_by: list[str] | None = None) -> None:
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
 
 
 def read_table(spark: SparkSession, table: str, upto_batch: int | None = None) -> DataFrame | None:
