@@ -195,3 +195,17 @@ def test_restart_from_checkpoint_continues(spark, tmp_path):
     cols = ("entity_id", "feature_name", "feature_value", "computed_at")
     assert rows(q.feature_log(spark, split), *cols) == rows(q.feature_log(spark, whole), *cols)
     assert q.feature_log(spark, split).count() > 0
+
+
+def test_change_feed_stream_reads_feature_log(spark, tmp_path, lateness_files):
+    layout = q.Layout(str(tmp_path / "out"))
+    raw = file_stream(spark, str(lateness_files), max_files_per_trigger=1)
+    _drain(spark, q.start_window_features(event_stream(raw), layout, checkpoint=str(tmp_path / "ck1"),
+                                         trigger={"availableNow": True}))
+    feed = q.change_feed_stream(spark, layout)
+    query = (feed.writeStream.format("memory").queryName("feed_out")
+             .option("checkpointLocation", str(tmp_path / "ck-feed")).trigger(availableNow=True).start())
+    _drain(spark, query)
+    messages = [json.loads(r.message) for r in spark.table("feed_out").collect()]
+    assert len(messages) == q.feature_log(spark, layout).count() > 0
+    assert all(m["type"] == "feature_update" and "value" in m["data"] for m in messages)
