@@ -12,11 +12,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.config import (
+    CONTENT_SLIDE_SECONDS,
+    CONTENT_WINDOW_SECONDS,
+    ISO_SECONDS,
+    USER_WINDOW_SECONDS,
+    WATERMARK_DELAY_SECONDS,
+)
 from eventide.functions.timefmt import iso_micros, iso_seconds
 from eventide.operators import affinity as aff
+from eventide.operators import late, serving, store
 from eventide.operators import windows as win
 from eventide.sources import testdata
 from eventide.sources.changelog import metadata_snapshot
+from eventide.sources.events_json import parse_events
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,8 +111,6 @@ def events_json(ev: DataFrame) -> DataFrame:
 
 
 def events_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.sources.events_json import parse_events
-
     ev = events(spark, sf_dir)
     parsed = parse_events(events_json(ev), keep=["event_id"], fallback_time=as_of_time(ev))
     return parsed.select(
@@ -119,9 +126,6 @@ def feature_log_of(ev: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Every feature record as the store receives it. A window record arrives
     when the watermark can first close it (window end + 30 s); affinity
     records arrive at ``as_of``."""
-    from eventide.config import ISO_SECONDS, WATERMARK_DELAY_SECONDS
-    from eventide.operators import store
-
     as_of = as_of_time(ev)
     affinity = store.with_log_columns(
         aff.affinity_features(ev, snapshot, iso_seconds(as_of)), F.unix_seconds(as_of))
@@ -130,9 +134,6 @@ def feature_log_of(ev: DataFrame, snapshot: DataFrame) -> DataFrame:
 
 def window_log_of(ev: DataFrame) -> DataFrame:
     """Window-feature part of the log (arrival = window end + 30 s)."""
-    from eventide.config import ISO_SECONDS, WATERMARK_DELAY_SECONDS
-    from eventide.operators import store
-
     return store.with_log_columns(
         win.window_features_one_pass(ev),
         F.unix_seconds(F.to_timestamp("computed_at", ISO_SECONDS)) + F.lit(WATERMARK_DELAY_SECONDS))
@@ -143,20 +144,14 @@ def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_log_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import store
-
     return store.feature_kv(feature_log(spark, sf_dir))
 
 
 def feature_store_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import store
-
     return store.latest_features(feature_log(spark, sf_dir)).drop("seq")
 
 
 def entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import store
-
     return store.entity_documents(store.latest_features(feature_log(spark, sf_dir)))
 
 
@@ -164,51 +159,35 @@ def entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # late data
 # ---------------------------------------------------------------------------
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late
-
     return late.classify(events(spark, sf_dir))
 
 
 def late_user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late
-
     return late.late_user_events(classified(spark, sf_dir))
 
 
 def late_content_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late
-
     return late.late_content_events(classified(spark, sf_dir))
 
 
 def late_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late
-
     return late.late_metrics(classified(spark, sf_dir))
 
 
 def watermark_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late
-
     return late.watermark_samples(events(spark, sf_dir))
 
 
 def late_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late
-
     return late.late_share(classified(spark, sf_dir))
 
 
 def batch_stream_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late
-
     ev = events(spark, sf_dir)
     return late.divergence(ev, late.threshold_table(ev))
 
 
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late
-
     ev = events(spark, sf_dir)
     return late.metric_log(late.classify(ev), ev)
 
@@ -224,40 +203,26 @@ def now_of(ev: DataFrame) -> Column:
     end + 30 s (affinity arrives at ``as_of``, which is earlier). Derived from
     max(event_time) alone, a one-column scalar subquery, instead of
     recomputing the feature log."""
-    from eventide.config import (CONTENT_SLIDE_SECONDS, CONTENT_WINDOW_SECONDS, USER_WINDOW_SECONDS,
-                                 WATERMARK_DELAY_SECONDS)
-    from eventide.operators.late import floor_div
-
     us = F.unix_micros(F.max("event_time"))
-    hour_end = (floor_div(us, USER_WINDOW_SECONDS * 1_000_000) + 1) * USER_WINDOW_SECONDS
-    slide_end = floor_div(us, CONTENT_SLIDE_SECONDS * 1_000_000) * CONTENT_SLIDE_SECONDS + CONTENT_WINDOW_SECONDS
+    hour_end = (late.floor_div(us, USER_WINDOW_SECONDS * 1_000_000) + 1) * USER_WINDOW_SECONDS
+    slide_end = late.floor_div(us, CONTENT_SLIDE_SECONDS * 1_000_000) * CONTENT_SLIDE_SECONDS + CONTENT_WINDOW_SECONDS
     return ev.select((F.greatest(hour_end, slide_end) + F.lit(WATERMARK_DELAY_SECONDS)).cast("double")).scalar()
 
 
 def metric_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import serving
-
-    from eventide.operators import late
-
     ev = events(spark, sf_dir)
     return serving.metric_state(late.metric_log(late.classify(ev), ev), window_log_of(ev))
 
 
 def watermark_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import serving
-
     return serving.watermark_lag(metric_state(spark, sf_dir))
 
 
 def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import serving, store
-
     return serving.entity_lookup(store.latest_features(feature_log(spark, sf_dir)), LOOKUP_ENTITY)
 
 
 def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import serving, store
-
     ev = events(spark, sf_dir)
     log = feature_log_of(ev, metadata_latest(spark, sf_dir))
     lookup = serving.entity_lookup(store.latest_features(log), LOOKUP_ENTITY)
@@ -265,30 +230,22 @@ def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import serving, store
-
     ev = events(spark, sf_dir)
     log = feature_log_of(ev, metadata_latest(spark, sf_dir))
     return serving.freshness(store.latest_features(log), now_of(ev))
 
 
 def recent_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import serving
-
     return serving.recent_updates(feature_log(spark, sf_dir))
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late, serving
-
     ev = events(spark, sf_dir)
     log = feature_log_of(ev, metadata_latest(spark, sf_dir))
     return serving.change_feed(log, late.metric_log(late.classify(ev), ev))
 
 
 def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.operators import late, serving, store
-
     ev = events(spark, sf_dir)
     log = feature_log_of(ev, metadata_latest(spark, sf_dir))
     docs = store.entity_documents(store.latest_features(log))

@@ -31,10 +31,12 @@ def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     than the cluster's default parallelism (e.g. one file with one row group,
     which parquet cannot split). Large inputs already have many splits, so
     this adds no shuffle at scale. Counting splits plans the scan; it runs no job."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism, key)
-    return df
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session)
+        return df
+    return df.repartition(parallelism, key) if splits < parallelism else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
