@@ -209,3 +209,50 @@ def test_change_feed_stream_reads_feature_log(spark, tmp_path, lateness_files):
     messages = [json.loads(r.message) for r in spark.table("feed_out").collect()]
     assert len(messages) == q.feature_log(spark, layout).count() > 0
     assert all(m["type"] == "feature_update" and "value" in m["data"] for m in messages)
+
+
+def test_stream_equals_batch_over_rows_not_late(spark, tmp_path):
+    """sf0.001 events in arrival order, 10 files: Q1's hourly windows equal the
+    batch features over rows that were not late against their batch-start
+    watermark, restricted to windows closed by the final watermark."""
+    import datetime as dt
+
+    from eventide.operators import windows as win
+    from eventide.plans import batch
+    from conftest import SF001
+
+    ev = batch.events(spark, SF001).orderBy("arrival_ts", "event_id").collect()
+    src = tmp_path / "events"
+    size = (len(ev) + 9) // 10
+    files = [ev[i:i + size] for i in range(0, len(ev), size)]
+    for i, chunk in enumerate(files):
+        _write_lines(src, f"p-{i:03d}.json", [
+            {"user_id": r.user_id, "content_id": r.content_id, "event_type": r.event_type,
+             "dwell_time_ms": r.dwell_time_ms,
+             "timestamp": r.event_time.strftime("%Y-%m-%dT%H:%M:%S.%f") + "Z"} for r in chunk])
+
+    layout = q.Layout(str(tmp_path / "out"))
+    raw = file_stream(spark, str(src), max_files_per_trigger=1)
+    _drain(spark, q.start_window_features(event_stream(raw), layout, checkpoint=str(tmp_path / "ck"),
+                                          trigger={"availableNow": True}))
+    got = q.feature_log(spark, layout).filter(F.col("feature_name").isin("click_rate", "avg_dwell_time"))
+
+    delay = dt.timedelta(seconds=30)
+    kept, high = [], None
+    for chunk in files:
+        wm = None if high is None else high - delay
+        for r in chunk:
+            hour_end = r.event_time.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
+            # truncated to ms, as the parser does
+            t = r.event_time.replace(microsecond=r.event_time.microsecond // 1000 * 1000)
+            if wm is None or hour_end > wm:
+                kept.append((r.user_id, r.content_id, r.event_type, r.dwell_time_ms, t))
+        chunk_max = max(r.event_time for r in chunk)
+        high = chunk_max if high is None else max(high, chunk_max)
+    final_wm = high - delay
+    expected = win.user_features(spark.createDataFrame(
+        kept, "user_id string, content_id string, event_type string, dwell_time_ms bigint, event_time timestamp"))
+    expected = expected.filter(F.to_timestamp("computed_at", "yyyy-MM-dd'T'HH:mm:ss'Z'") <= F.lit(final_wm))
+    cols = ("entity_id", "feature_name", "computed_at", "feature_value")
+    assert rows(got, *cols) == rows(expected, *cols)
+    assert got.count() > 100
