@@ -92,11 +92,22 @@ class Layout:
         return f"{self.root}/clock"
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def prepare_streaming(spark: SparkSession) -> None:
     prepare(spark)
     # rows must be tested against the watermark of the batch they arrive in
     key = "spark.sql.streaming.statefulOperator.allowMultiple"
     spark.conf.set(key, SESSION_DEFAULTS[key])
+    # lifetime pair counts and open windows live off-heap in RocksDB; each
+    # checkpoint uploads a changelog instead of a full snapshot. A provider
+    # chosen by the cluster is kept (it is fixed per checkpoint anyway).
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    if spark.conf.get(provider, default) == default:
+        spark.conf.set(provider, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def _trigger(writer, trigger: dict | None):
