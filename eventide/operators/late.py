@@ -294,3 +294,18 @@ def divergence(events: DataFrame, table: DataFrame, event_time: str = "event_tim
         F.col("stream_value").cast("double").alias("stream_value"),
         F.abs(F.col("batch_value") - F.col("stream_value")).cast("double").alias("abs_diff"),
     )
+
+
+def compare_feature_sets(left: DataFrame, right: DataFrame, left_name: str = "batch_value",
+                         right_name: str = "stream_value") -> DataFrame:
+    """Rows where two feature sets disagree (value differs or one side lacks
+    the window): a full outer join on (entity_id, feature_name, computed_at).
+    Each key is unique on both sides, so no key is hot. Used to compare the
+    streaming job's log with a batch recomputation."""
+    keys = ["entity_id", "feature_name", "computed_at"]
+    a = left.select(*keys, F.col("feature_value").alias(left_name))
+    b = right.select(*keys, F.col("feature_value").alias(right_name))
+    joined = a.join(b, keys, "full_outer")
+    lv, rv = F.col(left_name), F.col(right_name)
+    return joined.filter(~lv.eqNullSafe(rv)).select(
+        *keys, lv, rv, F.abs(lv - rv).alias("abs_diff"))

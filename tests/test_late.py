@@ -66,3 +66,12 @@ def test_running_extreme_across_blocks(spark):
     assert got == {k: min(v for kk, v in vals if kk >= k) for k, _ in vals}
     got = {r.k: r.out for r in late.running_extreme(df, ["part"], "k", "v", "out", F.max, False, block=4).collect()}
     assert got == {k: max(v for kk, v in vals if kk <= k) for k, _ in vals}
+
+
+def test_compare_feature_sets(spark):
+    schema = "entity_id string, feature_name string, computed_at string, feature_value double"
+    a = spark.createDataFrame([("u", "f", "t1", 1.0), ("u", "f", "t2", 2.0), ("u", "f", "t3", 3.0)], schema)
+    b = spark.createDataFrame([("u", "f", "t1", 1.0), ("u", "f", "t2", 2.5), ("u", "f", "t4", 4.0)], schema)
+    got = {r.computed_at: (r.batch_value, r.stream_value, r.abs_diff)
+           for r in late.compare_feature_sets(a, b).collect()}
+    assert got == {"t2": (2.0, 2.5, 0.5), "t3": (3.0, None, None), "t4": (None, 4.0, None)}
