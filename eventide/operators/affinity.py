@@ -53,3 +53,33 @@ def affinity_features(events: DataFrame, snapshot: DataFrame, computed_at: Colum
                       broadcast_checked: bool = True) -> DataFrame:
     counts = affinity_counts(pair_counts(events), snapshot, broadcast_checked)
     return affinity_features_from_counts(counts, computed_at)
+
+
+AFFINITY_SQL = """
+SELECT p.user_id AS entity_id,
+       concat('{prefix}', c.category) AS feature_name,
+       CAST(sum(p.n) AS DOUBLE) AS feature_value,
+       {computed_at} AS computed_at
+FROM (SELECT user_id, content_id, count(*) AS n
+      FROM {events}
+      WHERE user_id IS NOT NULL AND content_id IS NOT NULL
+      GROUP BY user_id, content_id) p
+JOIN {metadata} c ON p.content_id = c.content_id
+WHERE c.category IS NOT NULL
+GROUP BY p.user_id, c.category
+"""
+
+
+def affinity_features_sql(events: DataFrame, snapshot: DataFrame, computed_at_sql: str,
+                          view_suffix: str = "") -> DataFrame:
+    """The same affinity through Spark SQL over temporary views (stream or
+    batch frame -> view -> query). Pair counts are aggregated in a subquery
+    before the join, as in the DataFrame form; the snapshot view carries the
+    size-checked broadcast hint when it is small."""
+    spark = events.sparkSession
+    ev_view, meta_view = f"user_events_view{view_suffix}", f"content_metadata_table{view_suffix}"
+    events.createOrReplaceTempView(ev_view)
+    broadcast_if_small(snapshot.filter(F.col("category").isNotNull()).select("content_id", "category")) \
+        .createOrReplaceTempView(meta_view)
+    return spark.sql(AFFINITY_SQL.format(prefix=AFFINITY_PREFIX, computed_at=computed_at_sql,
+                                         events=ev_view, metadata=meta_view))

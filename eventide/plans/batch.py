@@ -68,6 +68,15 @@ def category_affinity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aff.affinity_features(ev, metadata_latest(spark, sf_dir), iso_seconds(as_of_time(ev)))
 
 
+def category_affinity_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Affinity through temp views + Spark SQL; computed_at is the same
+    newest-event time, as a SQL scalar subquery over the events view."""
+    ev = events(spark, sf_dir)
+    as_of_sql = ("date_format(date_trunc('second', (SELECT max(event_time) FROM user_events_view)), "
+                 "\"yyyy-MM-dd'T'HH:mm:ss'Z'\")")
+    return aff.affinity_features_sql(ev, metadata_latest(spark, sf_dir), as_of_sql)
+
+
 def all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UNION ALL of the three feature families (X1)."""
     ev = events(spark, sf_dir)

@@ -71,6 +71,7 @@ SQL: dict[str, str] = {
     "content_sliding_features": with_(EV, CONTENT_FEATURES) + "SELECT * FROM cf",
     "content_sliding_panes": with_(EV, CONTENT_FEATURES) + "SELECT * FROM cf",
     "category_affinity": with_(EV, META, AFFINITY) + "SELECT * FROM af",
+    "category_affinity_sql": with_(EV, META, AFFINITY) + "SELECT * FROM af",
     "all_features": with_(EV, META, USER_FEATURES, CONTENT_FEATURES, AFFINITY)
     + "SELECT * FROM uf UNION ALL SELECT * FROM cf UNION ALL SELECT * FROM af",
     "closed_windows_only": with_(EV, USER_FEATURES, CONTENT_FEATURES)

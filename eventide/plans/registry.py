@@ -18,6 +18,7 @@ QUERIES: dict[str, Query] = {
     "content_sliding_features": batch.content_sliding_features,
     "content_sliding_panes": batch.content_sliding_panes,
     "category_affinity": batch.category_affinity,
+    "category_affinity_sql": batch.category_affinity_sql,
     "all_features": batch.all_features,
     "closed_windows_only": batch.closed_windows_only,
     "events_parsed": batch.events_parsed,

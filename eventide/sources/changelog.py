@@ -56,3 +56,14 @@ def parse_metadata_messages(raw: DataFrame, key_col: str = "key", value_col: str
         F.col(seq_col).cast("bigint").alias("seq"),
         F.col(value_col).isNull().alias("deleted"),
     )
+
+
+def metadata_to_messages(changelog: DataFrame) -> DataFrame:
+    """Changelog rows -> upsert messages: key = content_id, value = JSON
+    (NULL value for a delete), offset = seq."""
+    value = F.to_json(F.struct("content_id", "category", "creator_id", "publish_timestamp"))
+    return changelog.select(
+        F.col("content_id").alias("key"),
+        F.when(~F.coalesce(F.col("deleted"), F.lit(False)), value).alias("value"),
+        F.col("seq").alias("offset"),
+    )

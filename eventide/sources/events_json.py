@@ -76,3 +76,10 @@ def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined rows) of a PERMISSIVE parse."""
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     return parsed.filter(~bad).drop(CORRUPT_COLUMN), parsed.filter(bad)
+
+
+def publish_files(messages: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Write (key, value) messages as JSON-lines text, hash-partitioned by key
+    so one key's messages stay in one file per write, like a keyed topic."""
+    n = partitions or messages.sparkSession.sparkContext.defaultParallelism
+    messages.repartition(n, "key").select("value").write.mode("append").text(path)
