@@ -25,6 +25,7 @@ from eventide.streaming.sources import (
     event_stream,
     file_stream,
     kafka_stream,
+    malformed_stream,
     metadata_changelog_files,
     metadata_changelog_kafka,
 )
@@ -70,7 +71,14 @@ def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[S
     q2 = q.start_affinity(event_stream(raw, mode, watermark=False), layout, changelog_loader,
                           trigger=trigger, emit_zero=emit_zero, sink=use_sink)
     q3 = q.start_late_metrics(event_stream(raw, mode, watermark=False), layout, trigger=trigger)
-    return Job(layout, [q1, q2, q3], listener)
+    started = [q1, q2, q3]
+    if mode.upper() == "PERMISSIVE":
+        # malformed messages are kept, not dropped: an append-only quarantine table
+        writer = (malformed_stream(raw).writeStream.format("parquet").outputMode("append")
+                  .option("path", layout.quarantine).queryName("quarantine")
+                  .option("checkpointLocation", q._checkpoint(spark, "quarantine", None, layout)))
+        started.append(q._trigger(writer, trigger).start())
+    return Job(layout, started, listener)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -91,6 +91,10 @@ class Layout:
     def clock(self) -> str:
         return f"{self.root}/clock"
 
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
+
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 

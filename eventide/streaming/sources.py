@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventide.config import WATERMARK_DELAY, PipelineConfig
 from eventide.sources.changelog import parse_metadata_messages
-from eventide.sources.events_json import drop_empty, parse_events
+from eventide.sources.events_json import CORRUPT_COLUMN, drop_empty, parse_events
 
 
 def kafka_stream(spark: SparkSession, cfg: PipelineConfig, topic: str) -> DataFrame:
@@ -35,12 +35,24 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 def event_stream(raw: DataFrame, mode: str = "FAILFAST", watermark: bool = True) -> DataFrame:
     """Raw values -> typed, watermarked events (30 s bounded out-of-orderness).
-    The fallback time of an unparseable timestamp is the micro-batch time."""
+    The fallback time of an unparseable timestamp is the micro-batch time.
+    FAILFAST fails the query on malformed JSON (the reference's behaviour);
+    PERMISSIVE keeps only well-formed rows (see :func:`malformed_stream`)."""
     keep = [c for c in ("arrival_ts", "partition", "offset") if c in raw.columns]
     events = parse_events(raw, mode=mode, keep=keep)
+    if mode.upper() == "PERMISSIVE":
+        events = events.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
     return events.withWatermark("event_time", WATERMARK_DELAY) if watermark else events
 
 
+def malformed_stream(raw: DataFrame) -> DataFrame:
+    """Messages that are not valid event JSON, with their arrival columns."""
+    keep = [c for c in ("arrival_ts", "partition", "offset") if c in raw.columns]
+    parsed = parse_events(raw, mode="PERMISSIVE", keep=keep)
+    return parsed.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(
+        F.col(CORRUPT_COLUMN).alias("value"), *keep)
+
+
 def metadata_changelog_kafka(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """Batch read of the compacted metadata topic -> changelog rows."""
     raw = (spark.read.format("kafka").options(**cfg.kafka_reader_options(cfg.content_metadata_topic))

@@ -256,3 +256,23 @@ def test_stream_equals_batch_over_rows_not_late(spark, tmp_path):
     cols = ("entity_id", "feature_name", "computed_at", "feature_value")
     assert rows(got, *cols) == rows(expected, *cols)
     assert got.count() > 100
+
+
+def test_permissive_job_quarantines_malformed_json(spark, tmp_path):
+    from eventide.streaming.job import start_job
+
+    src, meta_dir = tmp_path / "events", tmp_path / "meta"
+    _write_lines(meta_dir, "m.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}),
+                                       "offset": 1}])
+    src.mkdir()
+    (src / "p.json").write_text(json.dumps(_ev("u1", "c1", "view", "10:00:00")) + "\n{broken\n")
+    raw = file_stream(spark, str(src))
+    job = start_job(spark, raw, lambda s: metadata_changelog_files(s, str(meta_dir)), str(tmp_path / "out"),
+                    trigger={"availableNow": True}, mode="PERMISSIVE")
+    job.drain()
+    job.stop()
+    spark.streams.removeListener(job.listener)
+    bad = spark.read.parquet(job.layout.quarantine)
+    assert [r.value for r in bad.collect()] == ["{broken"]
+    aff = q.feature_log(spark, job.layout).filter(F.col("feature_name").startswith("category"))
+    assert [r.feature_value for r in aff.collect()] == [1.0]
