@@ -40,15 +40,22 @@ def entity_report(lookup: DataFrame, now_seconds: Column) -> DataFrame:
     )
 
 
-def metric_state(metrics: DataFrame, log: DataFrame) -> DataFrame:
-    """One row: late_events_dropped (running total), current_watermark (last
-    sample, epoch ms), last_sim_time (computed_at of the last written window
-    feature, epoch ms; affinity records carry wall-clock times and are left out).
-    The feature-log part is a scalar subquery, not a join."""
+def last_window_time(log: DataFrame) -> Column:
+    """computed_at (epoch ms) of the last written window feature, as a scalar
+    subquery; affinity records carry wall-clock times and are left out."""
     window_rows = log.filter(~F.col("feature_name").startswith(AFFINITY_PREFIX))
     ms = epoch_millis_of_iso(F.col("computed_at"))
-    last_sim = window_rows.filter(ms.isNotNull()).select(
+    return window_rows.filter(ms.isNotNull()).select(
         F.max_by(ms, F.struct("seq", "received_at", "computed_at"))).scalar()
+
+
+def metric_state(metrics: DataFrame, log: DataFrame | None = None, last_sim: Column | None = None) -> DataFrame:
+    """One row: late_events_dropped (running total), current_watermark (last
+    sample, epoch ms), last_sim_time (computed_at of the last written window
+    feature, epoch ms). ``last_sim`` defaults to :func:`last_window_time` of
+    ``log``; either way it is a scalar, not a join."""
+    if last_sim is None:
+        last_sim = last_window_time(log)
     is_late = F.col("metric_name") == METRIC_LATE_EVENTS_DROPPED
     is_wm = F.col("metric_name") == METRIC_CURRENT_WATERMARK
     return metrics.agg(

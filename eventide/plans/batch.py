@@ -218,9 +218,20 @@ def now_of(ev: DataFrame) -> Column:
     return ev.select((F.greatest(hour_end, slide_end) + F.lit(WATERMARK_DELAY_SECONDS)).cast("double")).scalar()
 
 
+def newest_window_end_ms(ev: DataFrame) -> Column:
+    """Epoch ms of the newest window end. In the batch log window records
+    arrive at end + 30 s, so this is the computed_at of the last written window
+    feature (what ``serving.last_window_time`` reads from a log), derived from
+    max(event_time) alone instead of recomputing every window."""
+    us = F.unix_micros(F.max("event_time"))
+    hour_end = (late.floor_div(us, USER_WINDOW_SECONDS * 1_000_000) + 1) * USER_WINDOW_SECONDS
+    slide_end = late.floor_div(us, CONTENT_SLIDE_SECONDS * 1_000_000) * CONTENT_SLIDE_SECONDS + CONTENT_WINDOW_SECONDS
+    return ev.select((F.greatest(hour_end, slide_end) * F.lit(1000)).cast("bigint")).scalar()
+
+
 def metric_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
-    return serving.metric_state(late.metric_log(late.classify(ev), ev), window_log_of(ev))
+    return serving.metric_state(late.metric_log(late.classify(ev), ev), last_sim=newest_window_end_ms(ev))
 
 
 def watermark_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,5 +269,5 @@ def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     log = feature_log_of(ev, metadata_latest(spark, sf_dir))
     docs = store.entity_documents(store.latest_features(log))
-    state = serving.metric_state(late.metric_log(late.classify(ev), ev), window_log_of(ev))
+    state = serving.metric_state(late.metric_log(late.classify(ev), ev), last_sim=newest_window_end_ms(ev))
     return serving.state_snapshot(docs, state)
