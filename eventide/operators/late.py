@@ -68,7 +68,9 @@ def running_extreme(table: DataFrame, part: list[str], key: str, value: str, out
     """Running ``fn`` of ``value`` ordered by ``key`` (suffix when descending),
     including the current row, per ``part``. Two levels: a window per block of
     ``block`` keys, plus a carry from the block extremes before it. Only the
-    block table (keys / block rows) is ordered as one sequence."""
+    block table is ordered as one sequence; it has (distinct keys / block) rows,
+    i.e. 1/4096 of a table whose keys are event-time slots, which is what
+    bounds the broadcast of the carry."""
     order = F.col(key).desc() if descending else F.col(key).asc()
     t = table.withColumn("_blk", floor_div(F.col(key), block))
     w_in = Window.partitionBy(*part, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
