@@ -57,6 +57,15 @@ def _user_bucket(col: str = "user_id"):
     return F.pmod(F.xxhash64(F.col(col)), F.lit(PAIR_USER_BUCKETS)).cast("int")
 
 
+def _content_bucket(col: str = "content_id"):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(PAIR_USER_BUCKETS)).cast("int")
+
+
+def _buckets(df: DataFrame, bucket) -> list[int]:
+    """Distinct bucket ids of ``df`` (at most PAIR_USER_BUCKETS small ints)."""
+    return [r[0] for r in df.select(bucket).distinct().collect()]
+
+
 @dataclass(frozen=True)
 class Layout:
     """Output tables of the job under one root folder."""
@@ -79,6 +88,14 @@ class Layout:
     def pairs_base(self) -> str:
         return f"{self.root}/pairs_base"
 
+    @property
+    def pairs_by_content(self) -> str:
+        return f"{self.root}/pairs_by_content"
+
+    @property
+    def pairs_by_content_base(self) -> str:
+        return f"{self.root}/pairs_by_content_base"
+
     @property
     def meta_seen(self) -> str:
         return f"{self.root}/meta_seen"
@@ -172,14 +189,20 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
     this batch; ``changelog`` is the metadata changelog as of now.
     """
     spark = updated_pairs.sparkSession
-    write_batch(updated_pairs.select("user_id", "content_id", "n", _user_bucket().alias("ub")),
-                layout.pairs, batch_id, partition_by=["ub"])
+    delta = updated_pairs.select("user_id", "content_id", "n")
+    # the deltas are kept twice: by user bucket (recompute reads) and by
+    # content bucket (finding the users of re-categorized contents)
+    write_batch(delta.withColumn("ub", _user_bucket()), layout.pairs, batch_id, partition_by=["ub"])
+    write_batch(delta.withColumn("cb", _content_bucket()), layout.pairs_by_content, batch_id, partition_by=["cb"])
     base_version = _newest_base(spark, layout, batch_id)
     if batch_id - base_version >= PAIRS_COMPACT_EVERY:
-        # a written table cuts the lineage; later batches read it plus newer deltas
+        # written tables cut the lineage; later batches read them plus newer deltas
         full, _ = pair_table(spark, layout, batch_id)
         full.withColumn("ub", _user_bucket()).write.mode("overwrite").partitionBy("ub").parquet(
             f"{layout.pairs_base}/v={batch_id}")
+        full = spark.read.parquet(f"{layout.pairs_base}/v={batch_id}").drop("ub")
+        full.withColumn("cb", _content_bucket()).write.mode("overwrite").partitionBy("cb").parquet(
+            f"{layout.pairs_by_content_base}/v={batch_id}")
 
     seen = read_table(spark, layout.meta_seen, upto_batch=batch_id - 1)
     changed = changelog
@@ -187,19 +210,16 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
         last_seq = seen.select(F.max("max_seq")).scalar()
         changed = changelog.filter(F.col("seq") > F.coalesce(last_seq, F.lit(-1)))
     changed_contents = changed.select("content_id").distinct()
-    batch_users = updated_pairs.select("user_id")
-
+    affected = updated_pairs.select("user_id")
     if changed_contents.limit(1).count() > 0:
-        # metadata changed: users of those contents need a recompute too
-        pairs, _ = pair_table(spark, layout, batch_id)
-        affected = (batch_users
-                    .unionByName(pairs.join(changed_contents, "content_id", "left_semi").select("user_id"))
-                    .distinct())
-    else:
-        # only this batch's users: read just their buckets (at most PAIR_USER_BUCKETS ids)
-        buckets = [r[0] for r in batch_users.select(_user_bucket()).distinct().collect()]
-        pairs, _ = pair_table(spark, layout, batch_id, buckets)
-        affected = batch_users.distinct()
+        # metadata changed: the users of those contents need a recompute too,
+        # found in the content buckets of the changed contents only
+        by_content, _ = pair_table(spark, layout, batch_id, _buckets(changed_contents, _content_bucket()),
+                                   by_content=True)
+        affected = affected.unionByName(
+            by_content.join(changed_contents, "content_id", "left_semi").select("user_id"))
+    affected = affected.distinct()
+    pairs, _ = pair_table(spark, layout, batch_id, _buckets(affected, _user_bucket()))
     scoped = pairs.join(affected, "user_id", "left_semi")
     counts = aff.affinity_counts(scoped, metadata_snapshot(changelog))
     records = aff.affinity_features_from_counts(counts, iso_seconds(F.current_timestamp()))
@@ -229,22 +249,26 @@ def _newest_base(spark: SparkSession, layout: Layout, batch_id: int) -> int:
 
 
 def pair_table(spark: SparkSession, layout: Layout, batch_id: int,
-               buckets: list[int] | None = None) -> tuple[DataFrame, int]:
+               buckets: list[int] | None = None, by_content: bool = False) -> tuple[DataFrame, int]:
     """Pair totals as of ``batch_id``: newest compacted base (version v < batch_id)
-    plus the deltas of batches after v, optionally only some user buckets
-    (partition pruning). Totals only grow, so max(n) per pair is its newest
-    total. Returns (table, v) with v = -1 without a base."""
+    plus the deltas of batches after v, optionally only some buckets (user
+    buckets, or content buckets when ``by_content``), read with partition
+    pruning. Totals only grow, so max(n) per pair is its newest total.
+    Returns (table, v) with v = -1 without a base."""
     version = _newest_base(spark, layout, batch_id)
+    base_path = layout.pairs_by_content_base if by_content else layout.pairs_base
+    delta_path = layout.pairs_by_content if by_content else layout.pairs
+    bucket = "cb" if by_content else "ub"
     parts = []
     if version >= 0:
-        parts.append(spark.read.parquet(f"{layout.pairs_base}/v={version}"))
-    deltas = read_table(spark, layout.pairs, upto_batch=batch_id).filter(F.col("batch_id") > version)
+        parts.append(spark.read.parquet(f"{base_path}/v={version}"))
+    deltas = read_table(spark, delta_path, upto_batch=batch_id).filter(F.col("batch_id") > version)
     parts.append(deltas.drop("batch_id"))
-    merged = parts[0].select("user_id", "content_id", "n", "ub")
+    merged = parts[0].select("user_id", "content_id", "n", bucket)
     for p in parts[1:]:
-        merged = merged.unionByName(p.select("user_id", "content_id", "n", "ub"))
+        merged = merged.unionByName(p.select("user_id", "content_id", "n", bucket))
     if buckets is not None:
-        merged = merged.filter(F.col("ub").isin(buckets))
+        merged = merged.filter(F.col(bucket).isin(buckets))
     return merged.groupBy("user_id", "content_id").agg(F.max("n").alias("n")), version
 
 
