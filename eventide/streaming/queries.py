@@ -43,7 +43,7 @@ from eventide.operators.late import CONTENT_BRANCH, USER_BRANCH, floor_div
 from eventide.schemas import FEATURE_COLUMNS
 from eventide.session import SESSION_DEFAULTS, checkpoint_root, prepare
 from eventide.sources.changelog import metadata_snapshot
-from eventide.streaming.sinks import read_table, write_batch
+from eventide.streaming.sinks import read_batches, read_previous, read_table, write_batch
 
 MICROS = 1_000_000
 # Q2 folds its pair-count deltas into a new base table after this many batches.
@@ -204,7 +204,7 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
         full.withColumn("cb", _content_bucket()).write.mode("overwrite").partitionBy("cb").parquet(
             f"{layout.pairs_by_content_base}/v={batch_id}")
 
-    seen = read_table(spark, layout.meta_seen, upto_batch=batch_id - 1)
+    seen = read_previous(spark, layout.meta_seen, batch_id)
     changed = changelog
     if seen is not None:
         last_seq = seen.select(F.max("max_seq")).scalar()
@@ -262,8 +262,11 @@ def pair_table(spark: SparkSession, layout: Layout, batch_id: int,
     parts = []
     if version >= 0:
         parts.append(spark.read.parquet(f"{base_path}/v={version}"))
-    deltas = read_table(spark, delta_path, upto_batch=batch_id).filter(F.col("batch_id") > version)
-    parts.append(deltas.drop("batch_id"))
+    deltas = read_batches(spark, delta_path, list(range(version + 1, batch_id + 1)))
+    if deltas is not None:
+        parts.append(deltas.drop("batch_id"))
+    if not parts:  # no base and only empty deltas (e.g. all keys NULL so far)
+        return spark.createDataFrame([], "user_id string, content_id string, n bigint"), version
     merged = parts[0].select("user_id", "content_id", "n", bucket)
     for p in parts[1:]:
         merged = merged.unionByName(p.select("user_id", "content_id", "n", bucket))
@@ -302,7 +305,7 @@ def start_affinity(events: DataFrame, layout: Layout, changelog_loader: Callable
 def late_metrics_batch(batch: DataFrame, batch_id: int, layout: Layout) -> DataFrame:
     """Classify one micro-batch against the watermark at its start."""
     spark = batch.sparkSession
-    clock = read_table(spark, layout.clock, upto_batch=batch_id - 1)
+    clock = read_previous(spark, layout.clock, batch_id)
     prev_max = clock.select(F.max("max_ts")).scalar() if clock is not None else F.lit(None).cast("timestamp")
     wm = prev_max - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(WATERMARK_DELAY_SECONDS))
 

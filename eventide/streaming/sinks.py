@@ -44,3 +44,35 @@ def kafka_features(df: DataFrame, cfg: PipelineConfig) -> None:
 def kafka_metrics(df: DataFrame, cfg: PipelineConfig) -> None:
     """Metric records -> metrics topic, key = metric name."""
     metric_kv(df).write.format("kafka").options(**cfg.kafka_writer_options(cfg.metrics_topic)).save()
+
+
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The subset of ``paths`` that exist, checked through Hadoop's FileSystem
+    (works for any cluster store, not only local disk)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        if path.getFileSystem(conf).exists(path):
+            out.append(p)
+    return out
+
+
+def read_batches(spark: SparkSession, table: str, batch_ids: list[int]) -> DataFrame | None:
+    """Rows of the given batches only: explicit folders, so the listing cost
+    does not grow with the number of batches ever written."""
+    paths = existing_paths(spark, [f"{table.rstrip('/')}/batch_id={b}" for b in batch_ids])
+    if not paths:
+        return None
+    try:
+        return spark.read.option("basePath", table).parquet(*paths)
+    except Exception:  # noqa: BLE001 - only empty batch folders (no files)
+        return None
+
+
+def read_previous(spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:
+    """The previous batch's rows when it wrote any, else all earlier batches
+    (first batch after a gap or a restart)."""
+    prev = read_batches(spark, table, [batch_id - 1]) if batch_id > 0 else None
+    return prev if prev is not None else read_table(spark, table, upto_batch=batch_id - 1)

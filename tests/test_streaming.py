@@ -276,3 +276,19 @@ def test_permissive_job_quarantines_malformed_json(spark, tmp_path):
     assert [r.value for r in bad.collect()] == ["{broken"]
     aff = q.feature_log(spark, job.layout).filter(F.col("feature_name").startswith("category"))
     assert [r.feature_value for r in aff.collect()] == [1.0]
+
+
+def test_affinity_batch_with_only_null_keys(spark, tmp_path):
+    ev_dir, meta_dir = tmp_path / "events", tmp_path / "meta"
+    layout = q.Layout(str(tmp_path / "out"))
+    _write_lines(meta_dir, "m.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}),
+                                       "offset": 1}])
+    _write_lines(ev_dir, "e-0.json", [{"content_id": "c1", "event_type": "view", "timestamp": f"{DAY}T10:00:00Z"}])
+    _write_lines(ev_dir, "e-1.json", [_ev("u1", "c1", "view", "10:01:00")])
+    raw = file_stream(spark, str(ev_dir), max_files_per_trigger=1)
+    query = q.start_affinity(event_stream(raw, watermark=False), layout,
+                             lambda s: metadata_changelog_files(s, str(meta_dir)),
+                             checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
+    _drain(spark, query)
+    got = [(r.entity_id, r.feature_value) for r in q.feature_log(spark, layout).collect()]
+    assert got == [("u1", 1.0)]
