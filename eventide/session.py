@@ -32,17 +32,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     Only when the setting is absent (local tests) a folder is chosen and
-    registered on the session.
+    registered on the SparkContext; later calls reuse it. Core Spark
+    settings cannot be changed at runtime, so the session conf is not touched.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="eventide-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+        return root.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    root = tempfile.mkdtemp(prefix="eventide-ckpt-")
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
