@@ -81,10 +81,6 @@ def entity_documents(latest: DataFrame) -> DataFrame:
     )
 
 
-def feature_log_columns() -> list[str]:
-    return list(FEATURE_LOG_COLUMNS)
-
-
 def changelog_upserts(changes: DataFrame, kind: str = "kind") -> DataFrame:
     """Keep insert / update-after rows of an explicit changelog frame (row
     kinds ``+I``, ``-U``, ``+U``, ``-D``); retractions are dropped."""

@@ -48,3 +48,28 @@ def test_serving_reader_from_messages(spark):
     state = serving.metric_state(metrics, log).first()
     assert (state.late_events_dropped, state.current_watermark) == (1, 1767268770000)
     assert state.last_sim_time == 1767268800000
+
+
+def test_publication_round_trips(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from eventide.sources.changelog import metadata_snapshot, metadata_to_messages, parse_metadata_messages
+    from eventide.sources.events_json import events_to_json, parse_events, publish_files
+
+    ev = spark.createDataFrame(
+        [("u1", "c1", "view", 10, dt.datetime(2026, 1, 1, 10, 0, 0, 123000)),
+         ("u2", "c2", "click", 0, dt.datetime(2026, 1, 1, 11, 0))],
+        "user_id string, content_id string, event_type string, dwell_time_ms bigint, event_time timestamp")
+    back = parse_events(events_to_json(ev), fallback_time=F.lit(None).cast("timestamp"))
+    assert rows(back) == rows(ev)
+
+    path = str(tmp_path / "published")
+    publish_files(events_to_json(ev), path, partitions=2)
+    assert sorted(spark.read.text(path).collect()) == sorted(events_to_json(ev).select("value").collect())
+
+    meta = spark.createDataFrame(
+        [("c1", "News", "k1", None, 1, False), ("c1", "Tech", "k1", None, 2, False), ("c2", "Art", None, None, 3, False),
+         ("c2", None, None, None, 4, True)],
+        "content_id string, category string, creator_id string, publish_timestamp string, seq bigint, deleted boolean")
+    again = parse_metadata_messages(metadata_to_messages(meta))
+    assert rows(metadata_snapshot(again), "content_id", "category", "seq") == [("c1", "Tech", 2)]
