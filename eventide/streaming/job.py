@@ -34,6 +34,7 @@ from eventide.schemas import FEATURE_COLUMNS
 
 @dataclass
 class Job:
+    spark: SparkSession
     layout: q.Layout
     queries: list[StreamingQuery]
     listener: WatermarkMetricListener
@@ -46,6 +47,7 @@ class Job:
     def stop(self) -> None:
         for query in self.queries:
             query.stop()
+        self.spark.streams.removeListener(self.listener)
 
 
 def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[SparkSession], DataFrame],
@@ -78,7 +80,7 @@ def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[S
                   .option("path", layout.quarantine).queryName("quarantine")
                   .option("checkpointLocation", q._checkpoint(spark, "quarantine", None, layout)))
         started.append(q._trigger(writer, trigger).start())
-    return Job(layout, started, listener)
+    return Job(spark, layout, started, listener)
 
 
 def main(argv: list[str] | None = None) -> None:

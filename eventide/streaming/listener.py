@@ -10,6 +10,8 @@ from __future__ import annotations
 import datetime as dt
 import threading
 import time
+from collections import deque
+from collections.abc import Callable
 
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -25,10 +27,17 @@ def _epoch_ms(iso: str) -> int | None:
 
 
 class WatermarkMetricListener(StreamingQueryListener):
-    def __init__(self, query_name: str | None = None, period_ms: int = WATERMARK_METRIC_PERIOD_MS):
+    """Keeps the most recent records in memory (a bounded buffer on the
+    driver) and hands every record to ``on_record`` when given, e.g. to
+    publish it to the metrics topic. Durable per-batch watermark records are
+    also written by the late-metrics query."""
+
+    def __init__(self, query_name: str | None = None, period_ms: int = WATERMARK_METRIC_PERIOD_MS,
+                 on_record: Callable[[tuple[str, float, str]], None] | None = None, keep: int = 10_000):
         self.query_name = query_name
         self.period_ms = period_ms
-        self.records: list[tuple[str, float, str]] = []
+        self.on_record = on_record
+        self.records: deque[tuple[str, float, str]] = deque(maxlen=keep)
         self._last_emit = 0.0
         self._lock = threading.Lock()
 
@@ -48,7 +57,10 @@ class WatermarkMetricListener(StreamingQueryListener):
                 return
             self._last_emit = now
             stamp = dt.datetime.now(dt.timezone.utc).isoformat().replace("+00:00", "Z")
-            self.records.append((METRIC_CURRENT_WATERMARK, float(wm), stamp))
+            record = (METRIC_CURRENT_WATERMARK, float(wm), stamp)
+            self.records.append(record)
+        if self.on_record is not None:
+            self.on_record(record)
 
     def onQueryIdle(self, event):  # noqa: N802
         pass

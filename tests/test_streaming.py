@@ -143,7 +143,6 @@ def test_job_with_listener_and_store(spark, tmp_path, lateness_files):
                     trigger={"availableNow": True}, store_path=str(tmp_path / "store"))
     job.drain()
     job.stop()
-    spark.streams.removeListener(job.listener)
     latest = {(r.entity_id, r.feature_name): r.feature_value for r in read_latest(spark, str(tmp_path / "store")).collect()}
     assert latest[("u1", "category_affinity_score:News")] == 7.0
     assert latest[("u1", "click_rate")] == 0.0           # newest closed hour: 02:00
@@ -271,7 +270,6 @@ def test_permissive_job_quarantines_malformed_json(spark, tmp_path):
                     trigger={"availableNow": True}, mode="PERMISSIVE")
     job.drain()
     job.stop()
-    spark.streams.removeListener(job.listener)
     bad = spark.read.parquet(job.layout.quarantine)
     assert [r.value for r in bad.collect()] == ["{broken"]
     aff = q.feature_log(spark, job.layout).filter(F.col("feature_name").startswith("category"))
