@@ -20,7 +20,8 @@ from eventide.config import PipelineConfig
 from eventide.operators.store import upsert_latest
 from eventide.streaming import queries as q
 from eventide.streaming.listener import WatermarkMetricListener
-from eventide.streaming.sinks import kafka_features
+from eventide.schemas import METRIC_RECORD
+from eventide.streaming.sinks import kafka_features, kafka_metrics
 from eventide.streaming.sources import (
     event_stream,
     file_stream,
@@ -54,7 +55,11 @@ def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[S
               root: str, trigger: dict | None = None, mode: str = "FAILFAST", emit_zero: bool = False,
               store_path: str | None = None, kafka: PipelineConfig | None = None) -> Job:
     layout = q.Layout(root.rstrip("/"))
-    listener = WatermarkMetricListener("window_features")
+    publish_metric = None
+    if kafka is not None:
+        def publish_metric(record: tuple[str, float, str]) -> None:
+            kafka_metrics(spark.createDataFrame([record], METRIC_RECORD), kafka)
+    listener = WatermarkMetricListener("window_features", on_record=publish_metric)
     spark.streams.addListener(listener)
 
     # Q1 and Q2 run their batches on separate driver threads; merges into the
@@ -72,7 +77,8 @@ def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[S
     q1 = q.start_window_features(event_stream(raw, mode), layout, trigger=trigger, sink=use_sink)
     q2 = q.start_affinity(event_stream(raw, mode, watermark=False), layout, changelog_loader,
                           trigger=trigger, emit_zero=emit_zero, sink=use_sink)
-    q3 = q.start_late_metrics(event_stream(raw, mode, watermark=False), layout, trigger=trigger)
+    metric_sink = (lambda m: kafka_metrics(m, kafka)) if kafka is not None else None
+    q3 = q.start_late_metrics(event_stream(raw, mode, watermark=False), layout, trigger=trigger, sink=metric_sink)
     started = [q1, q2, q3]
     if mode.upper() == "PERMISSIVE":
         # malformed messages are kept, not dropped: an append-only quarantine table
