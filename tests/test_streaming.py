@@ -290,3 +290,31 @@ def test_affinity_batch_with_only_null_keys(spark, tmp_path):
     _drain(spark, query)
     got = [(r.entity_id, r.feature_value) for r in q.feature_log(spark, layout).collect()]
     assert got == [("u1", 1.0)]
+
+
+def test_affinity_emit_zero_retracts_to_zero(spark, tmp_path):
+    """D14 option: with emit_zero, a (user, category) that loses all events is
+    written as 0.0 instead of keeping its stale value."""
+    ev_dir, meta_dir = tmp_path / "events", tmp_path / "meta"
+    layout = q.Layout(str(tmp_path / "out"))
+
+    def meta(i, c, cat, off):
+        _write_lines(meta_dir, f"m-{i}.json", [{"key": c, "value": json.dumps({"content_id": c, "category": cat}),
+                                                "offset": off}])
+
+    def run(name):
+        raw = file_stream(spark, str(ev_dir))
+        _drain(spark, q.start_affinity(event_stream(raw, watermark=False), layout,
+                                       lambda s: metadata_changelog_files(s, str(meta_dir)),
+                                       checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True},
+                                       emit_zero=True, name=name))
+        latest = (q.feature_log(spark, layout).groupBy("entity_id", "feature_name")
+                  .agg(F.max_by("feature_value", "seq").alias("v")))
+        return {r.feature_name: r.v for r in latest.filter("entity_id = 'u1'").collect()}
+
+    meta(0, "c1", "News", 1)
+    _write_lines(ev_dir, "e-0.json", [_ev("u1", "c1", "view", "10:00:00")] * 2)
+    assert run("z_a") == {"category_affinity_score:News": 2.0}
+    meta(1, "c1", "Tech", 2)
+    _write_lines(ev_dir, "e-1.json", [_ev("u9", "c1", "view", "10:05:00")])
+    assert run("z_b") == {"category_affinity_score:News": 0.0, "category_affinity_score:Tech": 2.0}
