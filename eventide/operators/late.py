@@ -247,53 +247,52 @@ def late_share(classified: DataFrame) -> DataFrame:
 def divergence(events: DataFrame, table: DataFrame, event_time: str = "event_time",
                arrival: list[str] | None = None) -> DataFrame:
     """Batch (all events) versus stream (late rows dropped per window) values
-    of the window features; rows where they differ or the stream never
-    emitted the window. One aggregation per family, no join of feature sets."""
+    of the window features: rows where they differ, or where the stream never
+    emitted the window. One pass: each event becomes its user-hour row and its
+    three content-window rows, one broadcast join on (branch, k) attaches the
+    earliest arrival for that window's end, and one aggregation counts all and
+    kept events side by side (no join of two feature sets)."""
     arrival = arrival or ["arrival_ts", "event_id"]
-    a = _arrival(arrival)
-    ev = events.filter(F.col(event_time).isNotNull())
-
-    # user windows: one window per event
-    u = _lookup(ev.filter(F.col("user_id").isNotNull()), table, USER_BRANCH,
-                _end_index(event_time, USER_BRANCH, 1), "_e")
-    kept = ~F.coalesce(F.col("_e") < a, F.lit(False))
-    click = is_type("event_type", EVENT_CLICK)
-    ug = u.groupBy(F.col("user_id").alias("entity_id"), _end_ts(event_time, USER_BRANCH, 1).alias("we")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(click).alias("c"), F.sum("dwell_time_ms").alias("d"),
-        F.count_if(kept).alias("nk"), F.count_if(kept & click).alias("ck"),
+    us = F.unix_micros(F.col(event_time))
+    hour, slide = USER_WINDOW_SECONDS * MICROS, CONTENT_SLIDE_SECONDS * MICROS
+
+    def row(family: str, branch: str, key: str, k: Column) -> Column:
+        return F.struct(F.lit(family).alias("family"), F.lit(branch).alias("branch"),
+                        F.col(key).alias("key"), k.alias("k"))
+
+    per_event = [row("u", USER_BRANCH, "user_id", floor_div(us, hour) + F.lit(1))]
+    per_event += [row("c", CONTENT_BRANCH, "content_id", floor_div(us, slide) + F.lit(o))
+                  for o in BRANCHES[CONTENT_BRANCH][1]]
+    x = (events.filter(F.col(event_time).isNotNull())
+         .select(F.inline(F.array(*per_event)), _arrival(arrival).alias("_a"),
+                 is_type("event_type", EVENT_CLICK).alias("_click"), is_type("event_type", EVENT_VIEW).alias("_view"),
+                 engaged("event_type").alias("_eng"), F.col("dwell_time_ms"))
+         .filter(F.col("key").isNotNull()))
+    t = table.select(F.col("branch").alias("_tb"), F.col("k").alias("_tk"), F.col("earliest"))
+    x = x.join(t, (F.col("branch") == F.col("_tb")) & (F.col("k") == F.col("_tk")), "left")
+    kept = ~F.coalesce(F.col("earliest") < F.col("_a"), F.lit(False))
+    g = x.groupBy("family", "key", "k").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_click").alias("c"), F.sum("dwell_time_ms").alias("d"),
+        F.count_if("_view").alias("v"), F.count_if("_eng").alias("g"),
+        F.count_if(kept).alias("nk"), F.count_if(kept & F.col("_click")).alias("ck"),
         F.sum(F.when(kept, F.col("dwell_time_ms")).otherwise(F.lit(0))).alias("dk"),
+        F.count_if(kept & F.col("_view")).alias("vk"), F.count_if(kept & F.col("_eng")).alias("gk"),
     )
     nk = F.nullif(F.col("nk"), F.lit(0))
-    user_rows = ug.select(
-        "entity_id", "we",
-        F.inline(F.array(
-            F.struct(F.lit(CLICK_RATE).alias("feature_name"), (F.col("c") / F.col("n")).alias("batch_value"),
-                     (F.col("ck") / nk).alias("stream_value")),
-            F.struct(F.lit(AVG_DWELL_TIME).alias("feature_name"), (F.col("d") / F.col("n")).alias("batch_value"),
-                     (F.col("dk") / nk).alias("stream_value")),
-        )),
+    user_values = F.array(
+        F.struct(F.lit(CLICK_RATE).alias("feature_name"), (F.col("c") / F.col("n")).alias("batch_value"),
+                 (F.col("ck") / nk).alias("stream_value")),
+        F.struct(F.lit(AVG_DWELL_TIME).alias("feature_name"), (F.col("d") / F.col("n")).alias("batch_value"),
+                 (F.col("dk") / nk).alias("stream_value")),
     )
-
-    # content windows: each event is in 3 windows, each tested on its own end
-    slide = CONTENT_SLIDE_SECONDS * MICROS
-    c = ev.filter(F.col("content_id").isNotNull()).select(
-        "*", F.explode(F.array(*[F.lit(o) for o in BRANCHES[CONTENT_BRANCH][1]])).alias("_o"))
-    k = floor_div(F.unix_micros(F.col(event_time)), slide) + F.col("_o")
-    c = _lookup(c.withColumn("_kk", k), table, CONTENT_BRANCH, F.col("_kk"), "_e")
-    kept = ~F.coalesce(F.col("_e") < a, F.lit(False))
-    view, eng = is_type("event_type", EVENT_VIEW), engaged("event_type")
-    cg = c.groupBy(F.col("content_id").alias("entity_id"),
-                   F.timestamp_micros(F.col("_kk") * F.lit(slide)).alias("we")).agg(
-        F.count_if(view).alias("v"), F.count_if(eng).alias("g"),
-        F.count_if(kept).alias("nk"), F.count_if(kept & view).alias("vk"), F.count_if(kept & eng).alias("gk"),
+    content_values = F.array(
+        F.struct(F.lit(ENGAGEMENT_RATE).alias("feature_name"), safe_rate(F.col("g"), F.col("v")).alias("batch_value"),
+                 F.when(F.col("nk") > 0, safe_rate(F.col("gk"), F.col("vk"))).alias("stream_value")),
     )
-    content_rows = cg.select(
-        "entity_id", "we", F.lit(ENGAGEMENT_RATE).alias("feature_name"),
-        safe_rate(F.col("g"), F.col("v")).alias("batch_value"),
-        F.when(F.col("nk") > 0, safe_rate(F.col("gk"), F.col("vk"))).alias("stream_value"),
-    )
-
-    rows = user_rows.unionByName(content_rows)
+    is_user = F.col("family") == "u"
+    end = F.timestamp_micros(F.col("k") * F.when(is_user, F.lit(hour)).otherwise(F.lit(slide)))
+    rows = g.select(F.col("key").alias("entity_id"), end.alias("we"),
+                    F.inline(F.when(is_user, user_values).otherwise(content_values)))
     return rows.filter(F.col("stream_value").isNull() | (F.col("stream_value") != F.col("batch_value"))).select(
         "entity_id", "feature_name", iso_seconds("we").alias("computed_at"),
         F.col("batch_value").cast("double").alias("batch_value"),
