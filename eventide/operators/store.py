@@ -108,10 +108,12 @@ def upsert_latest(new_rows: DataFrame, store_path: str, buckets: int = STORE_BUC
 
     checkpoint_root(spark)
     incoming = new_rows.select(*FEATURE_LOG_COLUMNS).withColumn("bucket", store_bucket(buckets=buckets))
+    # touched bucket ids: at most ``buckets`` small ints; a static filter on the
+    # partition column prunes the read to those folders
+    touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
     try:
-        current = spark.read.parquet(store_path)
-        touched = incoming.select("bucket").distinct()
-        merged_input = current.join(touched, "bucket", "left_semi").unionByName(incoming)
+        current = spark.read.parquet(store_path).filter(F.col("bucket").isin(touched))
+        merged_input = current.unionByName(incoming)
     except Exception:  # noqa: BLE001 - first write: no table yet
         merged_input = incoming
     merged = latest_features(merged_input).withColumn("bucket", store_bucket(buckets=buckets))
