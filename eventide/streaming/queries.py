@@ -385,3 +385,23 @@ def change_feed_stream(spark: SparkSession, layout: Layout) -> DataFrame:
         F.lit(FEED_FEATURE_UPDATE).alias("type"), "entity_id", "feature_name",
         F.struct(F.col("feature_value").alias("value"), "computed_at", "received_at").alias("data"),
     )).alias("message"))
+
+
+def metric_state_stream(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Running serving counters over the metrics table as a stream (use
+    ``outputMode("complete")``): total late drops and the newest watermark
+    sample (by batch, then emission text). One global partial aggregation."""
+    from eventide.schemas import METRIC_RECORD
+    from pyspark.sql import types as T
+
+    schema = T.StructType(METRIC_RECORD.fields + [T.StructField("branch", T.StringType()),
+                                                  T.StructField("seq", T.LongType())])
+    metrics = spark.readStream.schema(schema).parquet(f"{layout.metrics}/*")
+    is_late = F.col("metric_name") == METRIC_LATE_EVENTS_DROPPED
+    is_wm = F.col("metric_name") == METRIC_CURRENT_WATERMARK
+    return metrics.agg(
+        F.coalesce(F.sum(F.when(is_late, F.col("metric_value").cast("bigint"))), F.lit(0)).cast("bigint")
+        .alias("late_events_dropped"),
+        F.max_by(F.when(is_wm, F.col("metric_value")), F.when(is_wm, F.struct("seq", "computed_at")))
+        .cast("bigint").alias("current_watermark"),
+    )

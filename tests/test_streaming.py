@@ -348,3 +348,17 @@ def test_backfill_compares_with_stream_output(spark, tmp_path, lateness_files):
     assert all(s is None for (_, _, t), (_, s) in div.items() if t > f"{DAY}T03:00:00Z")
     latest = spark.read.parquet(str(tmp_path / "backfill" / "latest"))
     assert latest.filter("feature_name = 'category_affinity_score:News'").first().feature_value == 7.0
+
+
+def test_metric_state_stream(spark, tmp_path, lateness_files):
+    layout = q.Layout(str(tmp_path / "out"))
+    raw = file_stream(spark, str(lateness_files), max_files_per_trigger=1)
+    _drain(spark, q.start_late_metrics(event_stream(raw, watermark=False), layout, checkpoint=str(tmp_path / "ck3"),
+                                       trigger={"availableNow": True}))
+    state = (q.metric_state_stream(spark, layout).writeStream.outputMode("complete").format("memory")
+             .queryName("metric_state_out").option("checkpointLocation", str(tmp_path / "ck-state"))
+             .trigger(availableNow=True).start())
+    _drain(spark, state)
+    row = spark.table("metric_state_out").first()
+    assert row.late_events_dropped == 4
+    assert row.current_watermark == 1767229200000
