@@ -18,11 +18,8 @@ import argparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.config import ISO_SECONDS, WATERMARK_DELAY_SECONDS
-from eventide.functions.timefmt import iso_seconds
-from eventide.operators import affinity as aff
 from eventide.operators import late, store
-from eventide.operators import windows as win
+from eventide.plans.batch import feature_log_of
 from eventide.session import prepare
 from eventide.sources.changelog import metadata_snapshot, parse_metadata_messages
 from eventide.sources.events_json import parse_events
@@ -47,14 +44,7 @@ def recompute(events: DataFrame, changelog: DataFrame, as_of: Column | None = No
     """Feature log of a full batch recomputation: every window feature (as if
     no event were late) plus affinity as of ``as_of`` (default: newest event
     time). Window records arrive at window end + 30 s."""
-    if as_of is None:
-        as_of = events.select(F.date_trunc("second", F.max("event_time"))).scalar()
-    windows = store.with_log_columns(
-        win.window_features_one_pass(events),
-        F.unix_seconds(F.to_timestamp("computed_at", ISO_SECONDS)) + F.lit(WATERMARK_DELAY_SECONDS))
-    affinity = store.with_log_columns(
-        aff.affinity_features(events, metadata_snapshot(changelog), iso_seconds(as_of)), F.unix_seconds(as_of))
-    return windows.unionByName(affinity)
+    return feature_log_of(events, metadata_snapshot(changelog), as_of)
 
 
 def run(spark: SparkSession, events_path: str, metadata_path: str, out: str,

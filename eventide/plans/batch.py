@@ -131,11 +131,12 @@ def events_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # feature log and store
 # ---------------------------------------------------------------------------
-def feature_log_of(ev: DataFrame, snapshot: DataFrame) -> DataFrame:
+def feature_log_of(ev: DataFrame, snapshot: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Every feature record as the store receives it. A window record arrives
     when the watermark can first close it (window end + 30 s); affinity
-    records arrive at ``as_of``."""
-    as_of = as_of_time(ev)
+    records arrive at ``as_of`` (default: the newest event time)."""
+    if as_of is None:
+        as_of = as_of_time(ev)
     affinity = store.with_log_columns(
         aff.affinity_features(ev, snapshot, iso_seconds(as_of)), F.unix_seconds(as_of))
     return window_log_of(ev).unionByName(affinity)
