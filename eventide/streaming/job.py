@@ -53,7 +53,8 @@ class Job:
 
 def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[SparkSession], DataFrame],
               root: str, trigger: dict | None = None, mode: str = "FAILFAST", emit_zero: bool = False,
-              store_path: str | None = None, kafka: PipelineConfig | None = None) -> Job:
+              store_path: str | None = None, kafka: PipelineConfig | None = None,
+              prune_compacted: bool = False) -> Job:
     layout = q.Layout(root.rstrip("/"))
     publish_metric = None
     if kafka is not None:
@@ -76,7 +77,7 @@ def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[S
     use_sink = sink if (store_path or kafka is not None) else None
     q1 = q.start_window_features(event_stream(raw, mode), layout, trigger=trigger, sink=use_sink)
     q2 = q.start_affinity(event_stream(raw, mode, watermark=False), layout, changelog_loader,
-                          trigger=trigger, emit_zero=emit_zero, sink=use_sink)
+                          trigger=trigger, emit_zero=emit_zero, sink=use_sink, prune_compacted=prune_compacted)
     metric_sink = (lambda m: kafka_metrics(m, kafka)) if kafka is not None else None
     q3 = q.start_late_metrics(event_stream(raw, mode, watermark=False), layout, trigger=trigger, sink=metric_sink)
     started = [q1, q2, q3]
@@ -100,6 +101,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--store", help="latest-value table path")
     ap.add_argument("--permissive", action="store_true", help="quarantine malformed JSON instead of failing")
     ap.add_argument("--emit-zero", action="store_true")
+    ap.add_argument("--prune-compacted", action="store_true",
+                    help="delete pair-count deltas and bases that a newer base has superseded")
     args = ap.parse_args(argv)
     spark = prepare(SparkSession.builder.appName("eventide-stream").getOrCreate())
     cfg = PipelineConfig.from_env()
@@ -110,7 +113,8 @@ def main(argv: list[str] | None = None) -> None:
         raw = file_stream(spark, args.events_dir)
         loader = lambda s: metadata_changelog_files(s, args.metadata_dir)
     job = start_job(spark, raw, loader, args.out, mode="PERMISSIVE" if args.permissive else "FAILFAST",
-                    emit_zero=args.emit_zero, store_path=args.store, kafka=cfg if args.kafka else None)
+                    emit_zero=args.emit_zero, store_path=args.store, kafka=cfg if args.kafka else None,
+                    prune_compacted=args.prune_compacted)
     spark.streams.awaitAnyTermination()
     job.stop()
 

@@ -43,7 +43,7 @@ from eventide.operators.late import CONTENT_BRANCH, USER_BRANCH, floor_div
 from eventide.schemas import FEATURE_COLUMNS
 from eventide.session import SESSION_DEFAULTS, checkpoint_root, prepare
 from eventide.sources.changelog import metadata_snapshot
-from eventide.streaming.sinks import read_batches, read_previous, read_table, write_batch
+from eventide.streaming.sinks import delete_folders, read_batches, read_previous, read_table, write_batch
 
 MICROS = 1_000_000
 # Q2 folds its pair-count deltas into a new base table after this many batches.
@@ -182,7 +182,7 @@ def start_window_features(events: DataFrame, layout: Layout, checkpoint: str | N
 # Q2
 # ---------------------------------------------------------------------------
 def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, changelog: DataFrame,
-                   emit_zero: bool = False) -> DataFrame:
+                   emit_zero: bool = False, prune_compacted: bool = False) -> DataFrame:
     """One micro-batch of the affinity query; returns the records written.
 
     ``updated_pairs`` holds the new running totals of the pairs changed in
@@ -203,6 +203,13 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
         full = spark.read.parquet(f"{layout.pairs_base}/v={batch_id}").drop("ub")
         full.withColumn("cb", _content_bucket()).write.mode("overwrite").partitionBy("cb").parquet(
             f"{layout.pairs_by_content_base}/v={batch_id}")
+        if prune_compacted and base_version >= 0:
+            # a replay of this batch reads base ``base_version`` plus later deltas,
+            # so only what precedes that base can go
+            for table in (layout.pairs, layout.pairs_by_content):
+                delete_folders(spark, table, "batch_id", base_version)
+            for table in (layout.pairs_base, layout.pairs_by_content_base):
+                delete_folders(spark, table, "v", base_version - 1)
 
     seen = read_previous(spark, layout.meta_seen, batch_id)
     changed = changelog
@@ -278,7 +285,7 @@ def pair_table(spark: SparkSession, layout: Layout, batch_id: int,
 def start_affinity(events: DataFrame, layout: Layout, changelog_loader: Callable[[SparkSession], DataFrame],
                    checkpoint: str | None = None, trigger: dict | None = None, emit_zero: bool = False,
                    sink: Callable[[DataFrame], None] | None = None,
-                   name: str = "category_affinity") -> StreamingQuery:
+                   name: str = "category_affinity", prune_compacted: bool = False) -> StreamingQuery:
     """``events`` without a watermark: affinity is a lifetime count (no lateness)."""
     spark = events.sparkSession
     prepare_streaming(spark)
@@ -287,7 +294,7 @@ def start_affinity(events: DataFrame, layout: Layout, changelog_loader: Callable
     def write(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            affinity_batch(df, batch_id, layout, changelog_loader(df.sparkSession), emit_zero)
+            affinity_batch(df, batch_id, layout, changelog_loader(df.sparkSession), emit_zero, prune_compacted)
             if sink is not None:
                 sink(df.sparkSession.read.parquet(f"{layout.affinity}/batch_id={batch_id}")
                      .withColumn("seq", F.lit(batch_id).cast("bigint")))

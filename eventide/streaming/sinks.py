@@ -76,3 +76,23 @@ def read_previous(spark: SparkSession, table: str, batch_id: int) -> DataFrame |
     (first batch after a gap or a restart)."""
     prev = read_batches(spark, table, [batch_id - 1]) if batch_id > 0 else None
     return prev if prev is not None else read_table(spark, table, upto_batch=batch_id - 1)
+
+
+def delete_folders(spark: SparkSession, table: str, column: str, upto: int) -> int:
+    """Delete ``table/<column>=<n>`` folders with n <= ``upto`` (retention of
+    compacted data); returns how many were removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(table)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return 0
+    removed = 0
+    prefix = f"{column}="
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix) and name[len(prefix):].lstrip("-").isdigit():
+            if int(name[len(prefix):]) <= upto:
+                fs.delete(status.getPath(), True)
+                removed += 1
+    return removed

@@ -362,3 +362,28 @@ def test_metric_state_stream(spark, tmp_path, lateness_files):
     row = spark.table("metric_state_out").first()
     assert row.late_events_dropped == 4
     assert row.current_watermark == 1767229200000
+
+
+def test_pair_compaction_with_pruning(spark, tmp_path, monkeypatch):
+    """Compaction every batch with pruning keeps totals right and drops the
+    deltas and bases that no replay can need."""
+    import os as _os
+
+    monkeypatch.setattr(q, "PAIRS_COMPACT_EVERY", 1)
+    ev_dir, meta_dir = tmp_path / "events", tmp_path / "meta"
+    layout = q.Layout(str(tmp_path / "out"))
+    _write_lines(meta_dir, "m.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}),
+                                       "offset": 1}])
+    for i in range(4):
+        _write_lines(ev_dir, f"e-{i:03d}.json", [_ev("u1", "c1", "view", f"10:0{i}:00")])
+    raw = file_stream(spark, str(ev_dir), max_files_per_trigger=1)
+    _drain(spark, q.start_affinity(event_stream(raw, watermark=False), layout,
+                                   lambda s: metadata_changelog_files(s, str(meta_dir)),
+                                   checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True},
+                                   prune_compacted=True))
+    latest = q.feature_log(spark, layout).agg(F.max_by("feature_value", "seq")).first()[0]
+    assert latest == 4.0
+    deltas = sorted(d for d in _os.listdir(layout.pairs) if d.startswith("batch_id="))
+    bases = sorted(d for d in _os.listdir(layout.pairs_base) if d.startswith("v="))
+    # a replay of batch 3 reads base v=2 plus delta 3: nothing older is kept
+    assert deltas == ["batch_id=3"] and bases == ["v=2", "v=3"]
