@@ -44,8 +44,8 @@ CONTENT_FEATURES = f"""cf AS (
     coalesce(CAST(count(*) FILTER (WHERE lower(event_type) IN ('like', 'share')) AS DOUBLE)
       / nullif(count(*) FILTER (WHERE lower(event_type) = 'view'), 0), 0.0) AS feature_value,
     strftime(we, {ISO_S}) AS computed_at
-  FROM (SELECT ev.*, time_bucket(INTERVAL 5 MINUTE, ts) + to_minutes(CAST(5 * u.i AS INTEGER)) AS we
-        FROM ev, (SELECT unnest([1, 2, 3]) AS i) u
+  FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) + to_minutes(CAST(5 * unnest([1, 2, 3]) AS INTEGER)) AS we
+        FROM ev
         WHERE content_id IS NOT NULL AND ts IS NOT NULL) x
   GROUP BY content_id, we)"""
 
@@ -169,8 +169,8 @@ ur AS (
   UNION ALL
   SELECT entity_id, we, 'avg_dwell_time', CAST(d AS DOUBLE) / n, CAST(dk AS DOUBLE) / nullif(nk, 0) FROM ug),
 cw AS (
-  SELECT cl.*, time_bucket(INTERVAL 5 MINUTE, ts) + to_minutes(CAST(5 * u.i AS INTEGER)) AS we
-  FROM cl, (SELECT unnest([1, 2, 3]) AS i) u WHERE content_id IS NOT NULL AND ts IS NOT NULL),
+  SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) + to_minutes(CAST(5 * unnest([1, 2, 3]) AS INTEGER)) AS we
+  FROM cl WHERE content_id IS NOT NULL AND ts IS NOT NULL),
 cg AS (
   SELECT content_id AS entity_id, we,
     count(*) FILTER (WHERE lower(event_type) = 'view') AS v,
