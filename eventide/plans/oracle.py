@@ -29,15 +29,17 @@ META = """meta AS (
   WHERE rn = 1)"""
 
 USER_FEATURES = f"""uf AS (
-  SELECT user_id AS entity_id, f.feature_name, f.feature_value,
-    strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, {ISO_S}) AS computed_at
-  FROM (
-    SELECT user_id, date_trunc('hour', ts) AS ts,
-      CAST(count(*) FILTER (WHERE lower(event_type) = 'click') AS DOUBLE) / count(*) AS cr,
-      CAST(sum(dwell_time_ms) AS DOUBLE) / count(*) AS ad
-    FROM ev WHERE user_id IS NOT NULL AND ts IS NOT NULL
-    GROUP BY user_id, date_trunc('hour', ts)) g,
-  LATERAL (VALUES ('click_rate', g.cr), ('avg_dwell_time', g.ad)) f(feature_name, feature_value))"""
+  SELECT entity_id, f.feature_name AS feature_name, f.feature_value AS feature_value, computed_at FROM (
+    SELECT user_id AS entity_id,
+      strftime(ts + INTERVAL 1 HOUR, {ISO_S}) AS computed_at,
+      unnest([struct_pack(feature_name := 'click_rate', feature_value := cr),
+              struct_pack(feature_name := 'avg_dwell_time', feature_value := ad)]) AS f
+    FROM (
+      SELECT user_id, date_trunc('hour', ts) AS ts,
+        CAST(count(*) FILTER (WHERE lower(event_type) = 'click') AS DOUBLE) / count(*) AS cr,
+        CAST(sum(dwell_time_ms) AS DOUBLE) / count(*) AS ad
+      FROM ev WHERE user_id IS NOT NULL AND ts IS NOT NULL
+      GROUP BY user_id, date_trunc('hour', ts)) g) u)"""
 
 CONTENT_FEATURES = f"""cf AS (
   SELECT content_id AS entity_id, 'engagement_rate' AS feature_name,
