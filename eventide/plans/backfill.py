@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators import late, store
 from eventide.plans.batch import feature_log_of
-from eventide.session import prepare
+from eventide.session import prepare, size_shuffle_partitions
 from eventide.sources.changelog import metadata_snapshot, parse_metadata_messages
 from eventide.sources.events_json import parse_events
 
@@ -51,6 +51,7 @@ def run(spark: SparkSession, events_path: str, metadata_path: str, out: str,
         stream_out: str | None = None) -> None:
     prepare(spark)
     events = load_events(spark, events_path)
+    size_shuffle_partitions(events)
     log = recompute(events, load_changelog(spark, metadata_path))
     log.write.mode("overwrite").parquet(f"{out}/feature_log")
     written = spark.read.parquet(f"{out}/feature_log")  # a written table: later steps do not recompute

@@ -66,3 +66,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare(spark)
+
+
+TARGET_SHUFFLE_BYTES = 256 * 1024 * 1024
+
+
+def size_shuffle_partitions(df, target_bytes: int = TARGET_SHUFFLE_BYTES, expansion: float = 3.0) -> int:
+    """Set AQE's initial shuffle partition count from the input size.
+
+    The optimizer's size estimate of ``df`` (the scanned bytes for file
+    sources), times ``expansion`` for rows that fan out before a shuffle (the
+    sliding windows emit three rows per event), divided by ``target_bytes``.
+    AQE coalesces small partitions at run time, so starting high is cheap; too
+    few partitions is what spills. Never goes below the cluster's parallelism.
+    Returns the number set.
+    """
+    spark = df.sparkSession
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: keep the current setting
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = spark.sparkContext.defaultParallelism
+    n = max(floor, int(size * expansion // target_bytes) + 1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 2))
+    return n

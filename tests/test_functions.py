@@ -48,3 +48,16 @@ def test_parse_event_time_precision_and_case(spark):
 def test_floor_div_is_exact_for_negative_values(spark):
     for v, n in [(-1, 300), (-300, 300), (299, 300), (1767268799999999, 300_000_000)]:
         assert _one(spark, floor_div(F.lit(v).cast("bigint"), n)) == v // n
+
+
+def test_size_shuffle_partitions(spark):
+    from eventide.plans import batch
+    from eventide.session import size_shuffle_partitions
+    from conftest import SF01
+
+    ev = batch.events(spark, SF01)
+    floor = spark.sparkContext.defaultParallelism
+    assert size_shuffle_partitions(ev) == floor          # small input: the cluster's parallelism
+    n = size_shuffle_partitions(ev, target_bytes=16 * 1024)
+    assert n > floor
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(n)
