@@ -58,6 +58,10 @@ def test_size_shuffle_partitions(spark):
     ev = batch.events(spark, SF01)
     floor = spark.sparkContext.defaultParallelism
     assert size_shuffle_partitions(ev) == floor          # small input: the cluster's parallelism
-    n = size_shuffle_partitions(ev, target_bytes=16 * 1024)
-    assert n > floor
-    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(n)
+    try:
+        n = size_shuffle_partitions(ev, target_bytes=16 * 1024)
+        assert n > floor
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(n)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
