@@ -96,6 +96,10 @@ class Layout:
     def pairs_by_content_base(self) -> str:
         return f"{self.root}/pairs_by_content_base"
 
+    @property
+    def meta_snapshot(self) -> str:
+        return f"{self.root}/meta_snapshot"
+
     @property
     def meta_seen(self) -> str:
         return f"{self.root}/meta_seen"
@@ -212,13 +216,30 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
                 delete_folders(spark, table, "v", base_version - 1)
 
     seen = read_previous(spark, layout.meta_seen, batch_id)
+    state = seen.agg(F.max("max_seq").alias("seq"), F.max("snapshot_batch").alias("snap")).first() \
+        if seen is not None else None
     changed = changelog
-    if seen is not None:
-        last_seq = seen.select(F.max("max_seq")).scalar()
-        changed = changelog.filter(F.col("seq") > F.coalesce(last_seq, F.lit(-1)))
+    if state is not None and state["seq"] is not None:
+        changed = changelog.filter(F.col("seq") > F.lit(state["seq"]))
     changed_contents = changed.select("content_id").distinct()
+    has_changes = changed_contents.limit(1).count() > 0
+    snapshot_batch = state["snap"] if state is not None else None
+    if has_changes or snapshot_batch is None:
+        # new snapshot = previous snapshot + only the newer changelog rows (a seq
+        # filter parquet can skip row groups with): O(contents + changes), not
+        # O(changelog history); written only when the changelog changed
+        if snapshot_batch is not None:
+            previous = spark.read.parquet(f"{layout.meta_snapshot}/batch_id={snapshot_batch}")
+            snapshot = metadata_snapshot(previous.withColumn("deleted", F.lit(False))
+                                         .unionByName(changed, allowMissingColumns=True))
+        else:
+            snapshot = metadata_snapshot(changelog)
+        write_batch(snapshot, layout.meta_snapshot, batch_id)
+        snapshot_batch = batch_id
+    snapshot = spark.read.parquet(f"{layout.meta_snapshot}/batch_id={snapshot_batch}")
+
     affected = updated_pairs.select("user_id")
-    if changed_contents.limit(1).count() > 0:
+    if has_changes:
         # metadata changed: the users of those contents need a recompute too,
         # found in the content buckets of the changed contents only
         by_content, _ = pair_table(spark, layout, batch_id, _buckets(changed_contents, _content_bucket()),
@@ -228,7 +249,7 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
     affected = affected.distinct()
     pairs, _ = pair_table(spark, layout, batch_id, _buckets(affected, _user_bucket()))
     scoped = pairs.join(affected, "user_id", "left_semi")
-    counts = aff.affinity_counts(scoped, metadata_snapshot(changelog))
+    counts = aff.affinity_counts(scoped, snapshot)
     records = aff.affinity_features_from_counts(counts, iso_seconds(F.current_timestamp()))
 
     if emit_zero:
@@ -243,7 +264,9 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
 
     rows = _log_rows(records, batch_id)
     write_batch(rows, layout.affinity, batch_id)
-    write_batch(changelog.agg(F.max("seq").alias("max_seq")), layout.meta_seen, batch_id)
+    write_batch(changelog.agg(F.max("seq").alias("max_seq"),
+                              F.lit(snapshot_batch).cast("bigint").alias("snapshot_batch")),
+                layout.meta_seen, batch_id)
     return rows
 
 
