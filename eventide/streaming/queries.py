@@ -43,7 +43,15 @@ from eventide.operators.late import CONTENT_BRANCH, USER_BRANCH, floor_div
 from eventide.schemas import FEATURE_COLUMNS
 from eventide.session import SESSION_DEFAULTS, checkpoint_root, prepare
 from eventide.sources.changelog import metadata_snapshot
-from eventide.streaming.sinks import delete_folders, read_batches, read_previous, read_table, write_batch
+from eventide.streaming.sinks import (
+    compact_table,
+    delete_folders,
+    read_batches,
+    read_log,
+    read_previous,
+    read_table,
+    write_batch,
+)
 
 MICROS = 1_000_000
 # Q2 folds its pair-count deltas into a new base table after this many batches.
@@ -253,8 +261,9 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
     records = aff.affinity_features_from_counts(counts, iso_seconds(F.current_timestamp()))
 
     if emit_zero:
-        before = read_table(spark, layout.affinity, upto_batch=batch_id - 1)
+        before = read_log(spark, layout.affinity)  # compacted versions included
         if before is not None:
+            before = before.filter(F.col("batch_id") <= batch_id - 1)
             stale = (before.join(affected, before["entity_id"] == affected["user_id"], "left_semi")
                      .select("entity_id", "feature_name").distinct()
                      .join(records.select("entity_id", "feature_name"), ["entity_id", "feature_name"], "left_anti"))
@@ -391,7 +400,7 @@ def start_late_metrics(events: DataFrame, layout: Layout, checkpoint: str | None
 # ---------------------------------------------------------------------------
 def feature_log(spark: SparkSession, layout: Layout) -> DataFrame | None:
     """Window and affinity records as one log (seq = batch id)."""
-    parts = [t for t in (read_table(spark, layout.features), read_table(spark, layout.affinity)) if t is not None]
+    parts = [t for t in (read_log(spark, layout.features), read_log(spark, layout.affinity)) if t is not None]
     if not parts:
         return None
     log = parts[0].drop("batch_id")
@@ -401,10 +410,17 @@ def feature_log(spark: SparkSession, layout: Layout) -> DataFrame | None:
 
 
 def metric_log(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    m = read_table(spark, layout.metrics)
+    m = read_log(spark, layout.metrics)
     return None if m is None else m.drop("batch_id")
 
 
+def compact_outputs(spark: SparkSession, layout: Layout, upto_batch: int, prune: bool = False) -> None:
+    """Maintenance: fold the per-batch feature, affinity and metric folders up
+    to ``upto_batch`` (committed batches) into compacted versions."""
+    for table in (layout.features, layout.affinity, layout.metrics):
+        compact_table(spark, table, upto_batch, prune)
+
+
 def change_feed_stream(spark: SparkSession, layout: Layout) -> DataFrame:
     """The feature log as a stream of ``feature_update`` JSON messages."""
     from eventide.config import FEED_FEATURE_UPDATE

@@ -96,3 +96,67 @@ def delete_folders(spark: SparkSession, table: str, column: str, upto: int) -> i
                 fs.delete(status.getPath(), True)
                 removed += 1
     return removed
+
+
+def list_versions(spark: SparkSession, root: str, column: str) -> list[int]:
+    """Sorted ``n`` of the ``root/<column>=<n>`` folders (a listing of names only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        return []
+    prefix = f"{column}="
+    out = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix) and name[len(prefix):].lstrip("-").isdigit():
+            out.append(int(name[len(prefix):]))
+    return sorted(out)
+
+
+def compact_table(spark: SparkSession, table: str, upto_batch: int, prune: bool = False) -> int | None:
+    """Fold the batch folders of ``table`` up to ``upto_batch`` (plus the
+    previous compacted version) into ``<table>_compacted/v=<upto_batch>``,
+    keeping each row's ``batch_id``. Run it for batches the stream has
+    committed. With ``prune``, folders superseded by the previous compacted
+    version are deleted (readers that listed them earlier get one version of
+    grace). Returns the version written, or None when there was nothing."""
+    base_root = f"{table.rstrip('/')}_compacted"
+    versions = [v for v in list_versions(spark, base_root, "v") if v < upto_batch]
+    prev = versions[-1] if versions else -1
+    parts = []
+    if prev >= 0:
+        parts.append(spark.read.parquet(f"{base_root}/v={prev}"))
+    newer = [b for b in list_versions(spark, table, "batch_id") if prev < b <= upto_batch]
+    batches = read_batches(spark, table, newer)
+    if batches is not None:
+        parts.append(batches)
+    if not parts:
+        return None
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.unionByName(p, allowMissingColumns=True)
+    merged.write.mode("overwrite").parquet(f"{base_root}/v={upto_batch}")
+    if prune and prev >= 0:
+        delete_folders(spark, table, "batch_id", prev)
+        delete_folders(spark, base_root, "v", prev - 1)
+    return upto_batch
+
+
+def read_log(spark: SparkSession, table: str) -> DataFrame | None:
+    """A batch-foldered table as one frame: newest compacted version plus the
+    batch folders written after it (with a ``batch_id`` column)."""
+    base_root = f"{table.rstrip('/')}_compacted"
+    versions = list_versions(spark, base_root, "v")
+    v = versions[-1] if versions else -1
+    parts = [spark.read.parquet(f"{base_root}/v={v}")] if v >= 0 else []
+    newer = read_batches(spark, table, [b for b in list_versions(spark, table, "batch_id") if b > v])
+    if newer is not None:
+        parts.append(newer)
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

@@ -387,3 +387,20 @@ def test_pair_compaction_with_pruning(spark, tmp_path, monkeypatch):
     bases = sorted(d for d in _os.listdir(layout.pairs_base) if d.startswith("v="))
     # a replay of batch 3 reads base v=2 plus delta 3: nothing older is kept
     assert deltas == ["batch_id=3"] and bases == ["v=2", "v=3"]
+
+
+def test_log_compaction_keeps_the_log(spark, tmp_path, lateness_files):
+    import os as _os
+
+    layout = q.Layout(str(tmp_path / "out"))
+    raw = file_stream(spark, str(lateness_files), max_files_per_trigger=1)
+    _drain(spark, q.start_window_features(event_stream(raw), layout, checkpoint=str(tmp_path / "ck"),
+                                          trigger={"availableNow": True}))
+    cols = ("entity_id", "feature_name", "feature_value", "computed_at", "seq")
+    before = rows(q.feature_log(spark, layout), *cols)
+    q.compact_outputs(spark, layout, upto_batch=2)
+    assert rows(q.feature_log(spark, layout), *cols) == before
+    q.compact_outputs(spark, layout, upto_batch=4, prune=True)
+    assert rows(q.feature_log(spark, layout), *cols) == before
+    left = sorted(d for d in _os.listdir(layout.features) if d.startswith("batch_id="))
+    assert all(int(d.split("=")[1]) > 2 for d in left)
