@@ -54,7 +54,9 @@ class Job:
 def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[SparkSession], DataFrame],
               root: str, trigger: dict | None = None, mode: str = "FAILFAST", emit_zero: bool = False,
               store_path: str | None = None, kafka: PipelineConfig | None = None,
-              prune_compacted: bool = False) -> Job:
+              prune_compacted: bool = False, compact_every: int | None = 100) -> Job:
+    """Start Q1-Q3 (+ quarantine in PERMISSIVE mode). Every ``compact_every``
+    batches each query folds its own output folders (None: never)."""
     layout = q.Layout(root.rstrip("/"))
     publish_metric = None
     if kafka is not None:
@@ -75,11 +77,14 @@ def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[S
             kafka_features(rows.select(*FEATURE_COLUMNS), kafka)
 
     use_sink = sink if (store_path or kafka is not None) else None
-    q1 = q.start_window_features(event_stream(raw, mode), layout, trigger=trigger, sink=use_sink)
+    q1 = q.start_window_features(event_stream(raw, mode), layout, trigger=trigger, sink=use_sink,
+                                 compact_every=compact_every, prune=prune_compacted)
     q2 = q.start_affinity(event_stream(raw, mode, watermark=False), layout, changelog_loader,
-                          trigger=trigger, emit_zero=emit_zero, sink=use_sink, prune_compacted=prune_compacted)
+                          trigger=trigger, emit_zero=emit_zero, sink=use_sink, prune_compacted=prune_compacted,
+                          compact_every=compact_every)
     metric_sink = (lambda m: kafka_metrics(m, kafka)) if kafka is not None else None
-    q3 = q.start_late_metrics(event_stream(raw, mode, watermark=False), layout, trigger=trigger, sink=metric_sink)
+    q3 = q.start_late_metrics(event_stream(raw, mode, watermark=False), layout, trigger=trigger, sink=metric_sink,
+                              compact_every=compact_every, prune=prune_compacted)
     started = [q1, q2, q3]
     if mode.upper() == "PERMISSIVE":
         # malformed messages are kept, not dropped: an append-only quarantine table
@@ -102,7 +107,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--permissive", action="store_true", help="quarantine malformed JSON instead of failing")
     ap.add_argument("--emit-zero", action="store_true")
     ap.add_argument("--prune-compacted", action="store_true",
-                    help="delete pair-count deltas and bases that a newer base has superseded")
+                    help="delete folders that a newer compacted version has superseded")
+    ap.add_argument("--compact-every", type=int, default=100, help="batches between output compactions")
     args = ap.parse_args(argv)
     spark = prepare(SparkSession.builder.appName("eventide-stream").getOrCreate())
     cfg = PipelineConfig.from_env()
@@ -114,7 +120,7 @@ def main(argv: list[str] | None = None) -> None:
         loader = lambda s: metadata_changelog_files(s, args.metadata_dir)
     job = start_job(spark, raw, loader, args.out, mode="PERMISSIVE" if args.permissive else "FAILFAST",
                     emit_zero=args.emit_zero, store_path=args.store, kafka=cfg if args.kafka else None,
-                    prune_compacted=args.prune_compacted)
+                    prune_compacted=args.prune_compacted, compact_every=args.compact_every)
     spark.streams.awaitAnyTermination()
     job.stop()
 

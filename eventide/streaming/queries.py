@@ -159,6 +159,14 @@ def _checkpoint(spark: SparkSession, name: str, location: str | None, layout: "L
     return f"{checkpoint_root(spark)}/streams/{job_key}/{name}"
 
 
+def _maintain(spark: SparkSession, table: str, batch_id: int, compact_every: int | None, prune: bool) -> None:
+    """Every ``compact_every`` batches, fold this writer's own table up to the
+    previous (committed) batch; the current batch can still be replayed and
+    stays a separate folder."""
+    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+        compact_table(spark, table, batch_id - 1, prune)
+
+
 def _log_rows(df: DataFrame, batch_id: int) -> DataFrame:
     return df.select(
         *FEATURE_COLUMNS,
@@ -172,7 +180,8 @@ def _log_rows(df: DataFrame, batch_id: int) -> DataFrame:
 # ---------------------------------------------------------------------------
 def start_window_features(events: DataFrame, layout: Layout, checkpoint: str | None = None,
                           trigger: dict | None = None, sink: Callable[[DataFrame], None] | None = None,
-                          name: str = "window_features") -> StreamingQuery:
+                          name: str = "window_features", compact_every: int | None = None,
+                          prune: bool = False) -> StreamingQuery:
     """``events`` must carry the 30 s watermark (see ``event_stream``)."""
     spark = events.sparkSession
     prepare_streaming(spark)
@@ -184,6 +193,7 @@ def start_window_features(events: DataFrame, layout: Layout, checkpoint: str | N
         if sink is not None:
             sink(df.sparkSession.read.parquet(f"{layout.features}/batch_id={batch_id}")
                  .withColumn("seq", F.lit(batch_id).cast("bigint")))
+        _maintain(df.sparkSession, layout.features, batch_id, compact_every, prune)
 
     writer = (features.writeStream.outputMode("append").foreachBatch(write).queryName(name)
               .option("checkpointLocation", _checkpoint(spark, name, checkpoint, layout)))
@@ -317,7 +327,8 @@ def pair_table(spark: SparkSession, layout: Layout, batch_id: int,
 def start_affinity(events: DataFrame, layout: Layout, changelog_loader: Callable[[SparkSession], DataFrame],
                    checkpoint: str | None = None, trigger: dict | None = None, emit_zero: bool = False,
                    sink: Callable[[DataFrame], None] | None = None,
-                   name: str = "category_affinity", prune_compacted: bool = False) -> StreamingQuery:
+                   name: str = "category_affinity", prune_compacted: bool = False,
+                   compact_every: int | None = None) -> StreamingQuery:
     """``events`` without a watermark: affinity is a lifetime count (no lateness)."""
     spark = events.sparkSession
     prepare_streaming(spark)
@@ -330,6 +341,7 @@ def start_affinity(events: DataFrame, layout: Layout, changelog_loader: Callable
             if sink is not None:
                 sink(df.sparkSession.read.parquet(f"{layout.affinity}/batch_id={batch_id}")
                      .withColumn("seq", F.lit(batch_id).cast("bigint")))
+            _maintain(df.sparkSession, layout.affinity, batch_id, compact_every, prune_compacted)
         finally:
             df.unpersist()
 
@@ -376,7 +388,8 @@ def late_metrics_batch(batch: DataFrame, batch_id: int, layout: Layout) -> DataF
 
 def start_late_metrics(events: DataFrame, layout: Layout, checkpoint: str | None = None,
                        trigger: dict | None = None, sink: Callable[[DataFrame], None] | None = None,
-                       name: str = "late_metrics") -> StreamingQuery:
+                       name: str = "late_metrics", compact_every: int | None = None,
+                       prune: bool = False) -> StreamingQuery:
     """``events`` without a watermark (raw rows of each micro-batch)."""
     spark = events.sparkSession
     prepare_streaming(spark)
@@ -387,6 +400,7 @@ def start_late_metrics(events: DataFrame, layout: Layout, checkpoint: str | None
             metrics = late_metrics_batch(df, batch_id, layout)
             if sink is not None:
                 sink(metrics.select("metric_name", "metric_value", "computed_at"))
+            _maintain(df.sparkSession, layout.metrics, batch_id, compact_every, prune)
         finally:
             df.unpersist()
 

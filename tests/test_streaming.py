@@ -140,7 +140,8 @@ def test_job_with_listener_and_store(spark, tmp_path, lateness_files):
                                        "offset": 1}])
     raw = file_stream(spark, str(lateness_files), max_files_per_trigger=1)
     job = start_job(spark, raw, lambda s: metadata_changelog_files(s, str(meta_dir)), str(tmp_path / "out"),
-                    trigger={"availableNow": True}, store_path=str(tmp_path / "store"))
+                    trigger={"availableNow": True}, store_path=str(tmp_path / "store"),
+                    compact_every=2, prune_compacted=True)
     job.drain()
     job.stop()
     latest = {(r.entity_id, r.feature_name): r.feature_value for r in read_latest(spark, str(tmp_path / "store")).collect()}
@@ -149,6 +150,11 @@ def test_job_with_listener_and_store(spark, tmp_path, lateness_files):
     assert latest[("c1", "engagement_rate")] == 0.0      # newest closed window: 01:15
     assert q.metric_log(spark, job.layout).filter("metric_name = 'late_events_dropped'").count() == 4
     assert any(name == "current_watermark" and value > 0 for name, value, _ in job.listener.records)
+    # outputs were compacted in-job (every 2 batches) and the log is still whole
+    import os as _os
+    assert _os.path.isdir(job.layout.metrics + "_compacted")
+    fl = q.feature_log(spark, job.layout)
+    assert fl.filter("feature_name = 'click_rate' AND computed_at = '2026-01-01T01:00:00Z'").first().feature_value == 1.0
 
 
 def test_pair_compaction_keeps_totals(spark, tmp_path, monkeypatch):
