@@ -15,12 +15,13 @@ Window ends lie on a grid (1 h, or 5 min for the sliding windows), so
 ``floor((ts - L) / G)`` the minimum arrival is a partial aggregation; a
 suffix minimum over slots (two levels: inside blocks of slots, then across
 block minima) gives ``earliest`` for every threshold. That table grows with
-the event-time span, not with the row count; it is checkpointed once, counted,
-and broadcast to a map-side join with the events.
+the event-time span, not with the row count; it is materialized once (persist),
+counted, and broadcast to a map-side join with the events.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +43,6 @@ from eventide.functions.events import engaged, is_type, safe_rate
 from eventide.functions.timefmt import iso_micros, iso_seconds
 from eventide.config import MAX_BROADCAST_ROWS
 from eventide.operators.joins import MAX_BROADCAST_BYTES
-from eventide.session import checkpoint_root
 
 MICROS = 1_000_000
 USER_BRANCH = "user_window"
@@ -119,14 +119,15 @@ THRESHOLD_ROW_BYTES = 64
 
 def threshold_table(events: DataFrame, event_time: str = "event_time",
                     arrival: list[str] | None = None) -> DataFrame:
-    """Earliest-arrival table, materialized once with ``checkpoint()`` into
-    ``spark.checkpoint.dir`` (one pass over the events; every lookup then reads
-    the small table instead of re-deriving it, and lineage is cut). Its exact
-    row count - at most span / grid + offsets per branch - decides the
-    broadcast; beyond the bound it stays a shuffle join on k (AQE splits hot
-    slots)."""
-    checkpoint_root(events.sparkSession)
-    table = earliest_arrival_table(events, event_time, arrival).checkpoint(eager=True)
+    """Earliest-arrival table, materialized once and counted.
+
+    ``persist`` keeps the small table (at most span / grid + offsets rows per
+    branch) for every lookup of this query, and Spark's cache manager hands
+    the same materialized table to later queries with the same plan over the
+    same input; a lost block is recomputed from its lineage (one aggregation
+    over the events). The exact row count decides the broadcast; beyond the
+    bound the join stays a shuffle join on k (AQE splits hot slots)."""
+    table = earliest_arrival_table(events, event_time, arrival).persist(StorageLevel.MEMORY_AND_DISK)
     rows = table.count()
     if rows <= MAX_BROADCAST_ROWS and rows * THRESHOLD_ROW_BYTES <= MAX_BROADCAST_BYTES:
         return F.broadcast(table)

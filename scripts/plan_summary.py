@@ -11,7 +11,7 @@ import __spark_entry__ as entry  # noqa: E402
 from eventide.session import local_session  # noqa: E402
 
 COUNTS = [
-    ("scans", r"FileScan parquet|Scan ExistingRDD"),
+    ("scans", r"FileScan parquet|Scan ExistingRDD|InMemoryTableScan"),
     ("hash exch.", r"Exchange hashpartitioning"),
     ("single-part. exch.", r"Exchange SinglePartition"),
     ("broadcast", r"BroadcastExchange"),
