@@ -27,12 +27,13 @@ def pair_counts(events: DataFrame) -> DataFrame:
     )
 
 
-def affinity_counts(pairs: DataFrame, snapshot: DataFrame, broadcast_checked: bool = True) -> DataFrame:
+def affinity_counts(pairs: DataFrame, snapshot: DataFrame, broadcast_checked: bool = True,
+                    keep_snapshot: bool = True) -> DataFrame:
     """pairs ⋈ snapshot -> (user_id, category, n). NULL categories produce no
     feature (their feature name would be NULL)."""
     meta = snapshot.filter(F.col("category").isNotNull()).select("content_id", "category")
     if broadcast_checked:
-        meta = broadcast_if_small(meta)
+        meta = broadcast_if_small(meta, keep=keep_snapshot)
     return (
         pairs.join(meta, "content_id", "inner")
         .groupBy("user_id", "category")

@@ -8,6 +8,7 @@ eight bytes per other column). Beyond the bound the join is left to Catalyst
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,16 @@ def measure(df: DataFrame) -> tuple[int, int]:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    rows, size = measure(df)
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+                       max_bytes: int = MAX_BROADCAST_BYTES, keep: bool = True) -> DataFrame:
+    """Broadcast ``df`` when measured small. With ``keep`` the measured data is
+    persisted, so the broadcast does not recompute it and later batch queries
+    over the same plan reuse it; a side that is too large is released and
+    joined by shuffle instead. Per-micro-batch callers pass ``keep=False``
+    (each batch has a new plan, nothing would be reused)."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
+    rows, size = measure(kept)
+    if rows <= max_rows and size <= max_bytes:
+        return F.broadcast(kept)
+    if keep:
+        kept.unpersist()
+    return df

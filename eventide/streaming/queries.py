@@ -267,7 +267,7 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
     affected = affected.distinct()
     pairs, _ = pair_table(spark, layout, batch_id, _buckets(affected, _user_bucket()))
     scoped = pairs.join(affected, "user_id", "left_semi")
-    counts = aff.affinity_counts(scoped, snapshot)
+    counts = aff.affinity_counts(scoped, snapshot, keep_snapshot=False)
     records = aff.affinity_features_from_counts(counts, iso_seconds(F.current_timestamp()))
 
     if emit_zero:
