@@ -73,3 +73,29 @@ def test_publication_round_trips(spark, tmp_path):
         "content_id string, category string, creator_id string, publish_timestamp string, seq bigint, deleted boolean")
     again = parse_metadata_messages(metadata_to_messages(meta))
     assert rows(metadata_snapshot(again), "content_id", "category", "seq") == [("c1", "Tech", 2)]
+
+
+def test_batch_folder_helpers_on_edges(spark, tmp_path):
+    from eventide.streaming.sinks import (
+        compact_table,
+        delete_folders,
+        list_versions,
+        read_batches,
+        read_log,
+        read_previous,
+        write_batch,
+    )
+
+    table = str(tmp_path / "t")
+    assert read_log(spark, table) is None
+    assert compact_table(spark, table, 5) is None
+    assert read_batches(spark, table, [0, 1]) is None
+    for b in (0, 2, 3):
+        write_batch(spark.createDataFrame([(b,)], "x int"), table, b)
+    assert list_versions(spark, table, "batch_id") == [0, 2, 3]
+    assert read_previous(spark, table, 2).count() == 1          # batch 1 missing: falls back to <= 1
+    assert sorted(r.x for r in read_batches(spark, table, [1, 2, 3]).collect()) == [2, 3]
+    assert compact_table(spark, table, 2) == 2
+    assert sorted(r.x for r in read_log(spark, table).collect()) == [0, 2, 3]
+    assert delete_folders(spark, table, "batch_id", 0) == 1
+    assert list_versions(spark, table, "batch_id") == [2, 3]
