@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.common import table, without
+from eventide.llm.common import free_name, table
 
 #: Characters that go to the library in one call, about.
 CHUNK = 16_384
@@ -118,10 +118,11 @@ def encode(docs: DataFrame, text: str = "text", rank_file: str | None = None,
     ones give way. Strings of special tokens are ordinary text. ``rank_file``
     is opened on the executors; None is the installed 50k file.
     """
-    rest = without(docs, "n_tokens", "ids") if text.lower() not in ("n_tokens", "ids") else docs
-    out = rest.withColumn("_bpe", _encoder(rank_file, pattern)(F.col(f"`{text}`")))
-    return out.select(*[F.col(f"`{c}`") for c in rest.columns if c.lower() not in ("n_tokens", "ids")],
-                      "_bpe.n_tokens", "_bpe.ids")
+    new = ("n_tokens", "ids")
+    found, = free_name(docs, "encoded")
+    out = docs.withColumn(found, _encoder(rank_file, pattern)(F.col(f"`{text}`")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new],
+                      *[F.col(f"{found}.{c}") for c in new])
 
 
 def decode(encoded: DataFrame, ids: str = "ids", into: str = "decoded", rank_file: str | None = None,

@@ -56,12 +56,6 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """``df`` without columns that clash with the result columns ``names`` (any case)."""
-    clash = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in clash])
-
-
 def lower_ascii(col):
     """A-Z to a-z; every other character as it is."""
     return F.translate(col, UPPER, LOWER)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from eventide.llm import bpe
+from eventide.llm import bpe, token_counts
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op9_byte_bpe": bpe.op9_byte_bpe,
 }
 
