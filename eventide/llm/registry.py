@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from eventide.llm import bpe, token_counts
+from eventide.llm import bpe, decontamination, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op7_decontamination": decontamination.op7_decontamination,
     "op9_byte_bpe": bpe.op9_byte_bpe,
 }
 
