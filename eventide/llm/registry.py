@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from eventide.llm import bpe, decontamination, token_counts
+from eventide.llm import bpe, decontamination, sharding, token_counts
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op7_decontamination": decontamination.op7_decontamination,
     "op9_byte_bpe": bpe.op9_byte_bpe,
+    "op10_sharding": sharding.op10_sharding,
 }
 
 SQL: dict[str, str] = {}
