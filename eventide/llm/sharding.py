@@ -37,38 +37,50 @@ def uniform(*parts) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") * F.lit(2.0 ** -53)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> Column:
     """How many of ``marked`` among ``total`` rows are in a draw of ``drawn``, at quantile ``u``.
 
     Weights of the values are built by their ratio from the first value on, so
     nothing overflows; values beyond ``DEVIATIONS`` standard deviations are left out.
     """
-    n, k, d = (c.cast("double") for c in (total, marked, drawn))
-    least, most = F.greatest(F.lit(0.0), d - (n - k)), F.least(d, k)
-    mode = F.floor((d + 1) * (k + 1) / (n + 2)).cast("double")
-    spread = F.sqrt(F.greatest(F.lit(0.0), d * k / F.greatest(n, F.lit(1.0)) * (1 - k / F.greatest(n, F.lit(1.0)))
-                               * (n - d) / F.greatest(n - 1, F.lit(1.0))))
-    reach = F.ceil(spread * DEVIATIONS) + DEVIATIONS
-    low = F.greatest(least, mode - reach).cast("long")
-    high = F.least(most, mode + reach).cast("long")
-    values = F.sequence(low, F.greatest(low, high))
-
-    def after(weight: Column, x: Column) -> Column:
+    one, zero = F.lit(1.0), F.lit(0.0)
+
+    def scope(g: Column) -> Column:
+        share = g.k / F.greatest(g.n, one)
+        spread = F.sqrt(F.greatest(zero, g.d * share * (1 - share) * (g.n - g.d) / F.greatest(g.n - 1, one)))
+        mode, reach = F.floor((g.d + 1) * (g.k + 1) / (g.n + 2)), F.ceil(spread * DEVIATIONS) + DEVIATIONS
+        low = F.greatest(F.greatest(zero, g.d - (g.n - g.k)).cast("long"), mode - reach)
+        high = F.least(F.least(g.d, g.k).cast("long"), mode + reach)
+        return F.struct(g.n.alias("n"), g.k.alias("k"), g.d.alias("d"), g.u.alias("u"), low.alias("low"),
+                        F.greatest(low, high).alias("high"))
+
+    def after(g: Column, weight: Column, x: Column) -> Column:
         v = x.cast("double")
-        return weight * (k - v) * (d - v) / ((v + 1) * (n - k - d + v + 1))
-
-    whole = F.aggregate(
-        values, F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum")),
-        lambda a, x: F.struct(F.when(x < high, after(a.w, x)).otherwise(F.lit(0.0)).alias("w"), (a["sum"] + a.w).alias("sum")),
-        lambda a: a["sum"])
-    target = u * whole
-    return F.aggregate(
-        values, F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), low.alias("value"), F.lit(False).alias("found")),
-        lambda a, x: F.struct(
-            F.when(x < high, after(a.w, x)).otherwise(F.lit(0.0)).alias("w"), (a["sum"] + a.w).alias("sum"),
-            F.when(a.found, a.value).otherwise(x).alias("value"),
-            (a.found | (a["sum"] + a.w > target)).alias("found")),
-        lambda a: a.value)
+        return F.when(x < g.high, weight * (g.k - v) * (g.d - v) / ((v + 1) * (g.n - g.k - g.d + v + 1))).otherwise(zero)
+
+    def whole(g: Column) -> Column:
+        return F.aggregate(F.sequence(g.low, g.high), F.struct(one.alias("w"), zero.alias("sum")),
+                           lambda a, x: F.struct(after(g, a.w, x).alias("w"), (a["sum"] + a.w).alias("sum")),
+                           lambda a: a["sum"])
+
+    def pick(g: Column, target: Column) -> Column:
+        return F.aggregate(
+            F.sequence(g.low, g.high),
+            F.struct(one.alias("w"), zero.alias("sum"), g.low.alias("value"), F.lit(False).alias("found")),
+            lambda a, x: F.struct(
+                after(g, a.w, x).alias("w"), (a["sum"] + a.w).alias("sum"),
+                F.when(a.found, a.value).otherwise(x).alias("value"),
+                (a.found | (a["sum"] + a.w > target)).alias("found")),
+            lambda a: a.value)
+
+    given = F.struct(total.cast("double").alias("n"), marked.cast("double").alias("k"), drawn.cast("double").alias("d"),
+                     u.alias("u"))
+    return let(given, lambda g: let(scope(g), lambda h: let(h.u * whole(h), lambda target: pick(h, target))))
 
 
 def halves(node: DataFrame, seed: int) -> DataFrame:
@@ -92,9 +104,8 @@ def halves(node: DataFrame, seed: int) -> DataFrame:
 
 def _deal(a: Column, room: Column, u: Column) -> Column:
     """One shard's draw: of ``total`` places left, ``room`` are its own and ``need`` go to the left half."""
-    got = F.aggregate(F.array(hypergeometric(a.total, room, a.need, u)), F.lit(0).cast("long"), lambda s, x: x)
-    return F.struct((a.need - got).alias("need"), (a.total - room).alias("total"),
-                    F.array_append(a.out, got).alias("out"))
+    return let(hypergeometric(a.total, room, a.need, u), lambda got: F.struct(
+        (a.need - got).alias("need"), (a.total - room).alias("total"), F.array_append(a.out, got).alias("out")))
 
 
 def communication_matrix(counts: DataFrame, room: Column, seed: int, partitions: int) -> DataFrame:
