@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from eventide.llm import bpe, decontamination, line_dedup, sharding, token_counts, warc
+from eventide.llm import bpe, decontamination, line_dedup, quality, sharding, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op6_warc": warc.op6_warc,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op8_quality_rules": quality.op8_quality_rules,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_sharding": sharding.op10_sharding,
 }
