@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from eventide.llm import bpe, decontamination, line_dedup, quality, sharding, simhash, token_counts, warc
+from eventide.llm import bpe, decontamination, line_dedup, pii, quality, sharding, simhash, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_simhash": simhash.op4_simhash,
+    "op5_pii": pii.op5_pii,
     "op6_warc": warc.op6_warc,
     "op7_decontamination": decontamination.op7_decontamination,
     "op8_quality_rules": quality.op8_quality_rules,
