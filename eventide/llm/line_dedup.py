@@ -162,6 +162,20 @@ def _kept(docs: DataFrame, key: str, text: str, mark: Column, print_: str, lost:
         total.cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped"))
 
 
+def rewrite(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars",
+            min_docs: int = MIN_DOCS) -> DataFrame:
+    """``docs`` with their lines deduplicated and the columns they had.
+
+    A column ``chars`` gets the new length of a text that lost lines; documents
+    that lose all their lines stay, with an empty text.
+    """
+    out = dedup_lines(docs, key, text, min_docs)
+    length = F.when(F.col("n_dropped") > 0, F.length(F.col(f"`{text}`")))
+    kinds = dict(docs.dtypes)
+    return out.select(*[F.coalesce(length.cast(kinds[c]), F.col(f"`{c}`")).alias(c) if c == chars else F.col(f"`{c}`")
+                        for c in docs.columns])
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, how many of them were dropped, and a digest of what stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
