@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from eventide.llm import bpe, decontamination, line_dedup, pii, quality, sharding, simhash, token_counts, warc
+from eventide.llm import bpe, decontamination, line_dedup, maxent_lm, pii, quality, sharding, simhash, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op2_maxent_lm": maxent_lm.op2_maxent_lm,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_simhash": simhash.op4_simhash,
     "op5_pii": pii.op5_pii,
