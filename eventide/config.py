@@ -52,8 +52,9 @@ ISO_INSTANT_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2
 # ---------------------------------------------------------------------------
 # Tunables (not semantics)
 # ---------------------------------------------------------------------------
-# A dimension side is broadcast only when its row count is proven to be at
-# most this many rows; beyond it the join is left to a shuffle join.
+# The threshold table of the late classifier is broadcast only when its row
+# count is proven to be at most this many rows (of a fixed width); beyond it
+# the join is left to a shuffle join.
 MAX_BROADCAST_ROWS = 2_000_000
 # Slots per block in the two-level suffix minimum of the late classifier.
 SLOT_BLOCK = 4096

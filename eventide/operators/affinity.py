@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.config import AFFINITY_PREFIX
-from eventide.operators.joins import broadcast_if_small
 from eventide.schemas import FEATURE_COLUMNS
 
 
@@ -27,13 +26,15 @@ def pair_counts(events: DataFrame) -> DataFrame:
     )
 
 
-def affinity_counts(pairs: DataFrame, snapshot: DataFrame, broadcast_checked: bool = True,
-                    keep_snapshot: bool = True) -> DataFrame:
+def affinity_counts(pairs: DataFrame, snapshot: DataFrame) -> DataFrame:
     """pairs ⋈ snapshot -> (user_id, category, n). NULL categories produce no
-    feature (their feature name would be NULL)."""
+    feature (their feature name would be NULL).
+
+    The pairs come from a shuffle anyway, so the join is left to AQE: it
+    broadcasts the snapshot when its measured size allows
+    (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and splits hot
+    contents otherwise."""
     meta = snapshot.filter(F.col("category").isNotNull()).select("content_id", "category")
-    if broadcast_checked:
-        meta = broadcast_if_small(meta, keep=keep_snapshot)
     return (
         pairs.join(meta, "content_id", "inner")
         .groupBy("user_id", "category")
@@ -50,10 +51,8 @@ def affinity_features_from_counts(counts: DataFrame, computed_at: Column) -> Dat
     ).select(*FEATURE_COLUMNS)
 
 
-def affinity_features(events: DataFrame, snapshot: DataFrame, computed_at: Column,
-                      broadcast_checked: bool = True) -> DataFrame:
-    counts = affinity_counts(pair_counts(events), snapshot, broadcast_checked)
-    return affinity_features_from_counts(counts, computed_at)
+def affinity_features(events: DataFrame, snapshot: DataFrame, computed_at: Column) -> DataFrame:
+    return affinity_features_from_counts(affinity_counts(pair_counts(events), snapshot), computed_at)
 
 
 AFFINITY_SQL = """
@@ -75,12 +74,11 @@ def affinity_features_sql(events: DataFrame, snapshot: DataFrame, computed_at_sq
                           view_suffix: str = "") -> DataFrame:
     """The same affinity through Spark SQL over temporary views (stream or
     batch frame -> view -> query). Pair counts are aggregated in a subquery
-    before the join, as in the DataFrame form; the snapshot view carries the
-    size-checked broadcast hint when it is small."""
+    before the join, as in the DataFrame form. Each caller that may run beside
+    another passes its own ``view_suffix``: view names are the session's."""
     spark = events.sparkSession
     ev_view, meta_view = f"user_events_view{view_suffix}", f"content_metadata_table{view_suffix}"
     events.createOrReplaceTempView(ev_view)
-    broadcast_if_small(snapshot.filter(F.col("category").isNotNull()).select("content_id", "category")) \
-        .createOrReplaceTempView(meta_view)
+    snapshot.filter(F.col("category").isNotNull()).select("content_id", "category").createOrReplaceTempView(meta_view)
     return spark.sql(AFFINITY_SQL.format(prefix=AFFINITY_PREFIX, computed_at=computed_at_sql,
                                          events=ev_view, metadata=meta_view))

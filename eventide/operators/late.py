@@ -15,13 +15,16 @@ Window ends lie on a grid (1 h, or 5 min for the sliding windows), so
 ``floor((ts - L) / G)`` the minimum arrival is a partial aggregation; a
 suffix minimum over slots (two levels: inside blocks of slots, then across
 block minima) gives ``earliest`` for every threshold. That table grows with
-the event-time span, not with the row count; it is materialized once (persist),
-counted, and broadcast to a map-side join with the events.
+the event-time span, not with the row count; each query writes it once as a
+small table, counts it, and broadcasts it to a map-side join with the events.
+
+Arrival keys (arrival time, id) are packed into one decimal, a fixed-width
+aggregation buffer, so minima are hash aggregates. An event emits one row per
+branch; the thresholds that its windows need follow from the slot table.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +36,7 @@ from eventide.config import (
     ENGAGEMENT_RATE,
     EVENT_CLICK,
     EVENT_VIEW,
+    MAX_BROADCAST_ROWS,
     METRIC_CURRENT_WATERMARK,
     METRIC_LATE_EVENTS_DROPPED,
     SLOT_BLOCK,
@@ -41,8 +45,7 @@ from eventide.config import (
 )
 from eventide.functions.events import engaged, is_type, safe_rate
 from eventide.functions.timefmt import iso_micros, iso_seconds
-from eventide.config import MAX_BROADCAST_ROWS
-from eventide.operators.joins import MAX_BROADCAST_BYTES
+from eventide.session import materialise
 
 MICROS = 1_000_000
 USER_BRANCH = "user_window"
@@ -68,9 +71,9 @@ def running_extreme(table: DataFrame, part: list[str], key: str, value: str, out
     """Running ``fn`` of ``value`` ordered by ``key`` (suffix when descending),
     including the current row, per ``part``. Two levels: a window per block of
     ``block`` keys, plus a carry from the block extremes before it. Only the
-    block table is ordered as one sequence; it has (distinct keys / block) rows,
-    i.e. 1/4096 of a table whose keys are event-time slots, which is what
-    bounds the broadcast of the carry."""
+    block table is ordered as one sequence in one task. It has one row per
+    block that holds any key, at most (key range / block): about 256k rows for
+    5-minute slots over the whole four-digit calendar."""
     order = F.col(key).desc() if descending else F.col(key).asc()
     t = table.withColumn("_blk", floor_div(F.col(key), block))
     w_in = Window.partitionBy(*part, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -80,12 +83,15 @@ def running_extreme(table: DataFrame, part: list[str], key: str, value: str, out
     carry = (t.groupBy(*part, "_blk").agg(fn(value).alias("_bx"))
              .select(*part, "_blk", fn("_bx").over(w_blk).alias("_carry")))
     pick = F.least if fn is F.min else F.greatest
-    return (inner.join(F.broadcast(carry), [*part, "_blk"])
+    return (inner.join(carry, [*part, "_blk"])
             .select(*part, key, pick("_in", "_carry").alias(out)))
 
 
 def _arrival(arrival: list[str]) -> Column:
-    return F.struct(*[F.col(c) for c in arrival])
+    """(arrival time, non-negative id) as one decimal: 17 digits of micros, 19 of the id."""
+    at, number = arrival
+    return (F.unix_micros(F.col(at)).cast("decimal(18,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)")
+            + F.col(number).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def earliest_arrival_table(events: DataFrame, event_time: str = "event_time",
@@ -95,43 +101,35 @@ def earliest_arrival_table(events: DataFrame, event_time: str = "event_time",
     ``ts >= k * grid + lateness``, for every k some event needs."""
     arrival = arrival or ["arrival_ts", "event_id"]
     us = F.unix_micros(F.col(event_time))
-    a = _arrival(arrival)
-    none = F.when(F.lit(False), a)
-    entries = []
-    for branch, (grid, offsets) in BRANCHES.items():
-        g = grid * MICROS
-        slot = floor_div(us - F.lit(lateness_seconds * MICROS), g)
-        base = floor_div(us, g)
-        entries.append(F.struct(F.lit(branch).alias("branch"), slot.alias("k"), a.alias("a")))
-        entries += [F.struct(F.lit(branch).alias("branch"), (base + F.lit(o)).alias("k"), none.alias("a"))
-                    for o in offsets]
+    late_us = lateness_seconds * MICROS
+    entries = [F.struct(F.lit(branch).alias("branch"), floor_div(us - F.lit(late_us), grid * MICROS).alias("k"),
+                        _arrival(arrival).alias("a")) for branch, (grid, _) in BRANCHES.items()]
     per_slot = (
         events.filter(F.col(event_time).isNotNull())
         .select(F.inline(F.array(*entries)))
         .groupBy("branch", "k").agg(F.min("a").alias("m"))
     )
-    return running_extreme(per_slot, ["branch"], "k", "m", "earliest", F.min, descending=True)
-
-
-# bytes per threshold-table row: branch label, k, (timestamp, bigint) arrival key
-THRESHOLD_ROW_BYTES = 64
+    # an event of slot s lies in grid cell s .. s + ceil(lateness / grid), so its
+    # windows end among the next few cells: empty entries for those, from slots only
+    none = F.lit(None).cast("decimal(38,0)")
+    needed = F.lit(None)
+    for branch, (grid, offsets) in BRANCHES.items():
+        last = -(-lateness_seconds // grid) + max(offsets)
+        needed = F.when(F.col("branch") == branch, F.sequence(F.lit(0), F.lit(last))).otherwise(needed)
+    spread = F.transform(needed, lambda o: F.struct((F.col("k") + o).alias("k"), F.when(o == 0, F.col("m")).otherwise(none).alias("m")))
+    table = per_slot.select("branch", F.inline(spread)).groupBy("branch", "k").agg(F.min("m").alias("m"))
+    return running_extreme(table, ["branch"], "k", "m", "earliest", F.min, descending=True)
 
 
 def threshold_table(events: DataFrame, event_time: str = "event_time",
                     arrival: list[str] | None = None) -> DataFrame:
-    """Earliest-arrival table, materialized once and counted.
+    """Earliest-arrival table, written once per query and counted.
 
-    ``persist`` keeps the small table (at most span / grid + offsets rows per
-    branch) for every lookup of this query, and Spark's cache manager hands
-    the same materialized table to later queries with the same plan over the
-    same input; a lost block is recomputed from its lineage (one aggregation
-    over the events). The exact row count decides the broadcast; beyond the
-    bound the join stays a shuffle join on k (AQE splits hot slots)."""
-    table = earliest_arrival_table(events, event_time, arrival).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = table.count()
-    if rows <= MAX_BROADCAST_ROWS and rows * THRESHOLD_ROW_BYTES <= MAX_BROADCAST_BYTES:
-        return F.broadcast(table)
-    return table
+    It has at most span / grid + a few rows per branch, of fixed width. The
+    exact row count decides the broadcast; beyond the bound the join stays a
+    shuffle join on k (AQE splits hot slots)."""
+    table = materialise(earliest_arrival_table(events, event_time, arrival), "thresholds")
+    return F.broadcast(table) if table.count() <= MAX_BROADCAST_ROWS else table
 
 
 def _end_index(event_time: str, branch: str, offset: int) -> Column:
@@ -149,23 +147,22 @@ def _lookup(events: DataFrame, table: DataFrame, branch: str, k: Column, out: st
 
 
 def classify(events: DataFrame, event_time: str = "event_time",
-             arrival: list[str] | None = None, table: DataFrame | None = None) -> DataFrame:
-    """events + late_user_window, late_content_window, user_window_end,
-    content_last_window_end (the event's hour end / last sliding window end)."""
+             arrival: list[str] | None = None, table: DataFrame | None = None,
+             branches: tuple[str, ...] = (USER_BRANCH, CONTENT_BRANCH)) -> DataFrame:
+    """events + late_user_window and user_window_end (the event's hour end),
+    late_content_window and content_last_window_end (its last sliding window's
+    end); only the columns, and joins, of the given ``branches``."""
     arrival = arrival or ["arrival_ts", "event_id"]
     table = table if table is not None else threshold_table(events, event_time, arrival)
-    a = _arrival(arrival)
-    x = _lookup(events, table, USER_BRANCH, _end_index(event_time, USER_BRANCH, 1), "_eu")
-    x = _lookup(x, table, CONTENT_BRANCH, _end_index(event_time, CONTENT_BRANCH, CONTENT_LAST_OFFSET), "_ec")
-    user_end = _end_ts(event_time, USER_BRANCH, 1)
-    last_end = _end_ts(event_time, CONTENT_BRANCH, CONTENT_LAST_OFFSET)
-    return x.select(
-        *events.columns,
-        F.coalesce(F.col("_eu") < a, F.lit(False)).alias("late_user_window"),
-        F.coalesce(F.col("_ec") < a, F.lit(False)).alias("late_content_window"),
-        user_end.alias("user_window_end"),
-        last_end.alias("content_last_window_end"),
-    )
+    names = {USER_BRANCH: ("late_user_window", "user_window_end", 1),
+             CONTENT_BRANCH: ("late_content_window", "content_last_window_end", CONTENT_LAST_OFFSET)}
+    x, flags, ends = events, [], []
+    for branch in branches:
+        flag, end, offset = names[branch]
+        x = _lookup(x, table, branch, _end_index(event_time, branch, offset), f"_{flag}")
+        flags.append(F.coalesce(F.col(f"_{flag}") < _arrival(arrival), F.lit(False)).alias(flag))
+        ends.append(_end_ts(event_time, branch, offset).alias(end))
+    return x.select(*events.columns, *flags, *ends)
 
 
 def _late_rows(classified: DataFrame, flag: str, end: str) -> DataFrame:

@@ -9,6 +9,8 @@ newest arrival at the store.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,7 +76,9 @@ def category_affinity_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     as_of_sql = ("date_format(date_trunc('second', (SELECT max(event_time) FROM user_events_view)), "
                  "\"yyyy-MM-dd'T'HH:mm:ss'Z'\")")
-    return aff.affinity_features_sql(ev, metadata_latest(spark, sf_dir), as_of_sql)
+    suffix = "_" + uuid.uuid4().hex
+    as_of_sql = as_of_sql.replace("user_events_view", f"user_events_view{suffix}")
+    return aff.affinity_features_sql(ev, metadata_latest(spark, sf_dir), as_of_sql, suffix)
 
 
 def all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,16 +172,16 @@ def entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # late data
 # ---------------------------------------------------------------------------
-def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return late.classify(events(spark, sf_dir))
+def classified(spark: SparkSession, sf_dir: str, *branches: str) -> DataFrame:
+    return late.classify(events(spark, sf_dir), **({"branches": branches} if branches else {}))
 
 
 def late_user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return late.late_user_events(classified(spark, sf_dir))
+    return late.late_user_events(classified(spark, sf_dir, late.USER_BRANCH))
 
 
 def late_content_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return late.late_content_events(classified(spark, sf_dir))
+    return late.late_content_events(classified(spark, sf_dir, late.CONTENT_BRANCH))
 
 
 def late_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,9 +32,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) a folder is chosen and
-    registered on the SparkContext; later calls reuse it. Core Spark
-    settings cannot be changed at runtime, so the session conf is not touched.
+    Only when the setting is absent and the master is local (tests) a folder
+    is chosen and registered on the SparkContext; later calls reuse it. On a
+    cluster a missing setting is an error: a folder on the driver's disk would
+    be lost with it and unseen by executors. Core Spark settings cannot be
+    changed at runtime, so the session conf is not touched.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -44,11 +47,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not is_local(sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     root = tempfile.mkdtemp(prefix="eventide-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir().rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a new Parquet table in the shared folder, read back.
+
+    Each call writes its own table from the files as they are now, so the
+    result can never be that of an earlier input; the lineage ends there.
+    """
+    path = f"{checkpoint_root(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "eventide") -> SparkSession:
     """Session for tests and the local bench."""
