@@ -94,7 +94,8 @@ class PipelineConfig:
             "kafka.bootstrap.servers": self.bootstrap_servers,
             "subscribe": topic,
             "startingOffsets": self.starting_offsets,
-            "kafka.group.id": self.consumer_group,
+            # a prefix only: queries that share one group id would each get part of the data
+            "groupIdPrefix": self.consumer_group,
         }
         opts.update(self.kafka_options)
         return opts

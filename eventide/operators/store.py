@@ -95,38 +95,74 @@ def store_bucket(entity_id: Column | str = "entity_id", buckets: int = STORE_BUC
     return F.pmod(F.xxhash64(e), F.lit(buckets)).cast("int")
 
 
+def _manifests(spark, store_path: str) -> list[int]:
+    """Numbers of the store's manifests; empty when there is no store yet."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{store_path}/manifests")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def _read_manifest(spark, store_path: str) -> tuple[int, dict[int, int]]:
+    """(version, bucket -> version whose folder holds it) of the newest manifest; (0, {}) without one."""
+    versions = _manifests(spark, store_path)
+    if not versions:
+        return 0, {}
+    lines = spark.sparkContext.textFile(f"{store_path}/manifests/{versions[-1]}", 1).collect()  # one line a bucket
+    return versions[-1], {int(b): int(v) for b, v in (line.split() for line in lines)}
+
+
+def _write_manifest(spark, store_path: str, version: int, folders: dict[int, int]) -> None:
+    """Switch readers to ``version``: a file that appears under its name only when it is complete."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store_path}/manifests/{version}")
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{store_path}/manifests/{version}.draft")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(draft, True)
+    out.write(bytearray("".join(f"{b} {v}\n" for b, v in sorted(folders.items())), "ascii"))
+    out.close()
+    if not fs.rename(draft, path):
+        raise OSError(f"another writer has made version {version} of {store_path}")
+
+
 def upsert_latest(new_rows: DataFrame, store_path: str, buckets: int = STORE_BUCKETS) -> None:
     """Merge feature-log rows into a latest-value table bucketed by entity.
 
-    Only buckets touched by ``new_rows`` are read and rewritten (dynamic
-    partition overwrite); the merged buckets are checkpointed first, so the
-    write never reads the files it replaces. Re-applying the same rows gives
-    the same table (latest by seq), so replays are harmless.
+    Only buckets touched by ``new_rows`` are read and written again, into a new
+    version folder; a manifest then names the folder of every bucket. Readers
+    see the old manifest or the new one, and a failure at any point, also of a
+    read, leaves the store as it was. Re-applying the same rows gives the same
+    table (latest by seq), so replays are harmless. One writer at a time.
     """
     spark = new_rows.sparkSession
-    from eventide.session import checkpoint_root
-
-    checkpoint_root(spark)
+    version, folders = _read_manifest(spark, store_path)
     incoming = new_rows.select(*FEATURE_LOG_COLUMNS).withColumn("bucket", store_bucket(buckets=buckets))
-    # touched bucket ids: at most ``buckets`` small ints; a static filter on the
-    # partition column prunes the read to those folders
+    # touched bucket ids: at most ``buckets`` small ints
     touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
-    try:
-        current = spark.read.parquet(store_path).filter(F.col("bucket").isin(touched))
-        merged_input = current.unionByName(incoming)
-    except Exception:  # noqa: BLE001 - first write: no table yet
-        merged_input = incoming
+    if not touched:
+        return
+    current = _read_buckets(spark, store_path, {b: folders[b] for b in touched if b in folders})
+    merged_input = incoming if current is None else current.select(*incoming.columns).unionByName(incoming)
     merged = latest_features(merged_input).withColumn("bucket", store_bucket(buckets=buckets))
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(store_path))
+    merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{store_path}/data/v={version + 1}")
+    _write_manifest(spark, store_path, version + 1, folders | dict.fromkeys(touched, version + 1))
+
+
+def _read_buckets(spark, store_path: str, folders: dict[int, int]) -> DataFrame | None:
+    paths = [f"{store_path}/data/v={v}/bucket={b}" for b, v in sorted(folders.items())]
+    return spark.read.option("basePath", f"{store_path}/data").parquet(*paths).drop("v") if paths else None
 
 
 def read_latest(spark, store_path: str, entity_id: str | None = None,
                 buckets: int = STORE_BUCKETS) -> DataFrame:
-    """Latest-value table; a lookup by entity prunes to one bucket."""
-    df = spark.read.parquet(store_path)
-    if entity_id is not None:
-        key = F.trim(F.lit(entity_id))
-        df = df.filter((F.col("bucket") == store_bucket(key, buckets)) & (F.col("entity_id") == key))
-    return df.drop("bucket")
+    """Latest-value table; a lookup by entity reads the one bucket that can hold it."""
+    version, folders = _read_manifest(spark, store_path)
+    if not version:
+        raise FileNotFoundError(f"no store at {store_path}")
+    if entity_id is None:
+        return _read_buckets(spark, store_path, folders).drop("bucket")
+    key = F.trim(F.lit(entity_id))
+    bucket = spark.range(1).select(store_bucket(key, buckets)).first()[0]
+    some = _read_buckets(spark, store_path, {bucket: folders[bucket]} if bucket in folders else folders)
+    return some.filter((F.col("bucket") == bucket) & (F.col("entity_id") == key)).drop("bucket")

@@ -5,7 +5,8 @@ Rules kept from the reference:
 * a timestamp that is not an ISO instant with ``Z`` (or is missing) takes the
   processing time instead of being rejected; accepted times are truncated
   to milliseconds;
-* a missing ``dwell_time_ms`` is 0; ``"12"`` and ``12.7`` both coerce to 12;
+* a missing or null ``dwell_time_ms`` is 0; ``"12"`` and ``12.7`` both coerce to 12; what is
+  present but no number, or out of range, is malformed;
 * malformed JSON fails the query (``FAILFAST``); ``PERMISSIVE`` is offered and
   malformed rows can be split off with :func:`split_malformed`.
 """
@@ -33,11 +34,18 @@ def events_to_json(events: DataFrame, timestamp: Column | None = None) -> DataFr
     return events.select(F.col("user_id").alias("key"), body.alias("value"))
 
 
-def _dwell(text: Column) -> Column:
+def _dwell(text: Column, fail: bool) -> Column:
     as_int = text.try_cast(T.DoubleType()).try_cast(T.LongType())
+    if fail:
+        error = F.raise_error(F.concat(F.lit("dwell_time_ms is no number in range: "), text)).cast("bigint")
+        as_int = F.when(text.isNotNull() & as_int.isNull(), error).otherwise(as_int)
     return F.coalesce(as_int, F.lit(0).cast("bigint"))
 
 
+def _bad_dwell(text: Column) -> Column:
+    return text.isNotNull() & text.try_cast(T.DoubleType()).try_cast(T.LongType()).isNull()
+
+
 def drop_empty(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Skip NULL / empty messages. Apply it where ``value`` is a source column:
     a filter over a computed value would be pushed down and evaluated twice."""
@@ -59,16 +67,18 @@ def parse_events(raw: DataFrame, value_col: str = "value", mode: str = "FAILFAST
         options["columnNameOfCorruptRecord"] = CORRUPT_COLUMN
     value = F.col(value_col)
     e = F.from_json(value, schema, options).alias("e")
-    rows = (drop_empty(raw, value_col) if skip_empty else raw).select(e, *keep)
+    permissive = mode.upper() == "PERMISSIVE"
+    rows = (drop_empty(raw, value_col) if skip_empty else raw).select(e, *([value.alias("_raw")] if permissive else []), *keep)
     out = [
         F.col("e.user_id").alias("user_id"),
         F.col("e.content_id").alias("content_id"),
         F.col("e.event_type").alias("event_type"),
-        _dwell(F.col("e.dwell_time_ms")).alias("dwell_time_ms"),
+        _dwell(F.col("e.dwell_time_ms"), fail=not permissive).alias("dwell_time_ms"),
         parse_event_time(F.col("e.timestamp"), fallback_time).alias("event_time"),
     ]
     if mode.upper() == "PERMISSIVE":
-        out.append(F.col(f"e.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN))
+        out.append(F.coalesce(F.col(f"e.{CORRUPT_COLUMN}"), F.when(_bad_dwell(F.col("e.dwell_time_ms")), F.col("_raw")))
+                   .alias(CORRUPT_COLUMN))
     return rows.select(*out, *keep)
 
 

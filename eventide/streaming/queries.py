@@ -46,6 +46,7 @@ from eventide.sources.changelog import metadata_snapshot
 from eventide.streaming.sinks import (
     compact_table,
     delete_folders,
+    list_versions,
     read_batches,
     read_log,
     read_previous,
@@ -290,11 +291,8 @@ def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, chan
 
 
 def _newest_base(spark: SparkSession, layout: Layout, batch_id: int) -> int:
-    bases = read_table(spark, layout.pairs_base)
-    if bases is None:
-        return -1
-    newest = bases.filter(F.col("v") < batch_id).agg(F.max("v")).first()[0]
-    return -1 if newest is None else int(newest)
+    """Newest base version below ``batch_id``, from the folder names alone; -1 without one."""
+    return max((v for v in list_versions(spark, layout.pairs_base, "v") if v < batch_id), default=-1)
 
 
 def pair_table(spark: SparkSession, layout: Layout, batch_id: int,

@@ -23,14 +23,10 @@ def write_batch(df: DataFrame, table: str, batch_id: int, partition_by: list[str
 
 
 def read_table(spark: SparkSession, table: str, upto_batch: int | None = None) -> DataFrame | None:
-    import os
-
-    if "://" not in table and not os.path.exists(table):
-        return None
-    try:
-        df = spark.read.option("basePath", table).parquet(table)
-    except Exception:  # noqa: BLE001 - no batch written yet
+    """All batches of a table, or None before the first one. Any other failure of a read is raised."""
+    if not has_data(spark, table):
         return None
+    df = spark.read.option("basePath", table).parquet(table)
     if upto_batch is not None:
         df = df.filter(F.col("batch_id") <= upto_batch)
     return df
@@ -59,16 +55,25 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     return out
 
 
+def has_data(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder exists and holds any Parquet file, at any depth (batches may be empty)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return False
+    files = fs.listFiles(path, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
 def read_batches(spark: SparkSession, table: str, batch_ids: list[int]) -> DataFrame | None:
     """Rows of the given batches only: explicit folders, so the listing cost
     does not grow with the number of batches ever written."""
     paths = existing_paths(spark, [f"{table.rstrip('/')}/batch_id={b}" for b in batch_ids])
-    if not paths:
-        return None
-    try:
-        return spark.read.option("basePath", table).parquet(*paths)
-    except Exception:  # noqa: BLE001 - only empty batch folders (no files)
-        return None
+    paths = [p for p in paths if has_data(spark, p)]  # a partitioned write of no rows leaves no file
+    return spark.read.option("basePath", table).parquet(*paths) if paths else None
 
 
 def read_previous(spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:

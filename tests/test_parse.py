@@ -41,6 +41,15 @@ def test_g5_timestamps_dwell_and_unknown_fields(spark):
     assert 9 not in got  # empty message dropped
 
 
+def test_junk_dwell_fails_or_is_quarantined(spark):
+    row = '{"user_id":"u","content_id":"c","event_type":"view","dwell_time_ms":%s,"timestamp":"2026-06-13T10:00:00Z"}'
+    for junk in ('"x"', "1e30", "true"):
+        with pytest.raises(Exception, match="dwell_time_ms"):
+            _parse(spark, [row % junk]).collect()
+    good, bad = split_malformed(_parse(spark, [row % x for x in ('"x"', "1e30", "null", "7")], mode="PERMISSIVE"))
+    assert sorted(r.dwell_time_ms for r in good.collect()) == [0, 7] and bad.count() == 2
+
+
 def test_malformed_json_failfast_and_quarantine(spark):
     vals = ['{"user_id":"u","timestamp":"2026-06-13T10:00:00Z"}', "{not json"]
     with pytest.raises(Exception):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventide.operators import serving, store
@@ -25,6 +26,28 @@ def test_upsert_latest_rewrites_touched_buckets(spark, tmp_path):
     assert rows(store.read_latest(spark, path, " u2 ", buckets=4), "entity_id") == [("u2",)]
 
 
+def test_a_failed_read_leaves_the_store_unchanged(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    stored = [(f"u{i}", "click_rate", float(i), "t1", 1.0, 0) for i in range(30)]
+    store.upsert_latest(spark.createDataFrame(stored, LOG), path, buckets=4)
+    new = spark.createDataFrame([("u1", "click_rate", 99.0, "t2", 2.0, 1)], LOG)
+    real = store._read_buckets
+
+    def broken(*_):
+        raise OSError("read failed")
+
+    monkeypatch.setattr(store, "_read_buckets", broken)
+    with pytest.raises(OSError, match="read failed"):
+        store.upsert_latest(new, path, buckets=4)
+    monkeypatch.setattr(store, "_read_buckets", real)
+    assert rows(store.read_latest(spark, path), "entity_id", "feature_value") == sorted((r[0], r[2]) for r in stored)
+    store.upsert_latest(new, path, buckets=4)
+    assert store.read_latest(spark, path).count() == 30
+    assert [r.feature_value for r in store.read_latest(spark, path, "u1", buckets=4).collect()] == [99.0]
+    with pytest.raises(FileNotFoundError):
+        store.read_latest(spark, str(tmp_path / "none"))
+
+
 def test_changelog_upserts_keep_inserts_and_update_after(spark):
     df = spark.createDataFrame([("+I", 1), ("-U", 1), ("+U", 2), ("-D", 2)], "kind string, v int")
     assert rows(store.changelog_upserts(df), "v") == [(1,), (2,)]
