@@ -6,7 +6,7 @@ inside a query, so results are repeatable.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.config import (
@@ -15,6 +15,7 @@ from eventide.config import (
     ENGAGEMENT_RATE,
     FEED_FEATURE_UPDATE,
     FEED_METRICS_UPDATE,
+    FEED_STATE_DUMP,
     METRIC_CURRENT_WATERMARK,
     METRIC_LATE_EVENTS_DROPPED,
     RECENT_UPDATES_CAP,
@@ -76,13 +77,14 @@ def watermark_lag(state: DataFrame) -> DataFrame:
     )
 
 
-def freshness(latest: DataFrame, now_seconds: Column,
+def freshness(log: DataFrame, now_seconds: Column,
               names: tuple[str, ...] = (CLICK_RATE, ENGAGEMENT_RATE)) -> DataFrame:
-    """Age of the newest arrival per feature name; ``--`` when none.
-    One global partial aggregation, then one row per name."""
+    """Age of the newest arrival per feature name; ``--`` when none. A record's
+    newest arrival is its key's latest one, so the log needs no grouping by key:
+    one global partial aggregation, then one row per name."""
     aggs = [F.max(F.when(F.col("feature_name") == n, F.col("received_at"))).alias(f"_r{i}")
             for i, n in enumerate(names)]
-    one = latest.filter(F.col("feature_name").isin(*names)).agg(*aggs)
+    one = log.filter(F.col("feature_name").isin(*names)).agg(*aggs)
     rows = F.array(*[F.struct(F.lit(n).alias("feature_name"), F.col(f"_r{i}").alias("last_received_at"))
                      for i, n in enumerate(names)])
     return one.select(F.inline(rows)).select(
@@ -101,29 +103,67 @@ def recent_updates(log: DataFrame, n: int = RECENT_UPDATES_CAP) -> DataFrame:
     )
 
 
+STATE_BLOCK = 3_600_000_000    # micros of message time that one task puts in order
+
+
+def running_state(metrics: DataFrame, log: DataFrame) -> DataFrame:
+    """(seq, late_events_dropped, current_watermark, last_sim_time): the serving
+    state once every message up to ``seq`` (micros) has been read.
+
+    Changes are summed per ``seq`` first, put in order per block of message
+    time, and completed by a carry over the blocks before it; only the block
+    table (one row per hour with messages) is ordered as one sequence."""
+    is_late = F.col("metric_name") == METRIC_LATE_EVENTS_DROPPED
+    is_wm = F.col("metric_name") == METRIC_CURRENT_WATERMARK
+    number = F.col("metric_value").cast("bigint")
+    none = F.lit(None).cast("bigint")
+    changes = metrics.select("seq", F.when(is_late, number).alias("late"), F.when(is_wm, number).alias("wm"), none.alias("sim"))
+    windows = log.filter(~F.col("feature_name").startswith(AFFINITY_PREFIX)).select(
+        (F.col("received_at") * F.lit(1_000_000)).cast("bigint").alias("seq"), none.alias("late"), none.alias("wm"),
+        epoch_millis_of_iso(F.col("computed_at")).alias("sim"))
+    merged = [F.sum("late").alias("late"), F.max("wm").alias("wm"), F.max("sim").alias("sim")]
+    per_seq = changes.unionByName(windows).groupBy("seq").agg(*merged).withColumn(
+        "block", F.floor(F.col("seq") / F.lit(STATE_BLOCK)))
+    inside = Window.partitionBy("block").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_seq.groupBy("block").agg(*merged).select(
+        "block", F.sum("late").over(before).alias("late0"), F.max("wm").over(before).alias("wm0"),
+        F.max("sim").over(before).alias("sim0"))
+    rows = per_seq.select("block", "seq", F.sum("late").over(inside).alias("late"), F.max("wm").over(inside).alias("wm"),
+                          F.max("sim").over(inside).alias("sim")).join(carry, "block")
+    zero = F.lit(0).cast("bigint")
+    return rows.select(
+        "seq", (F.coalesce("late", zero) + F.coalesce("late0", zero)).alias("late_events_dropped"),
+        F.coalesce(F.greatest("wm", "wm0"), zero).alias("current_watermark"),
+        F.coalesce(F.greatest("sim", "sim0"), zero).alias("last_sim_time"))
+
+
+def feature_update(log: DataFrame) -> Column:
+    """JSON of a ``feature_update`` message; arrival as whole epoch milliseconds."""
+    return F.to_json(F.struct(
+        F.lit(FEED_FEATURE_UPDATE).alias("type"), "entity_id", "feature_name",
+        F.struct(F.col("feature_value").alias("value"), "computed_at",
+                 (F.col("received_at") * F.lit(1000)).cast("bigint").alias("received_at")).alias("data")))
+
+
 def change_feed(log: DataFrame, metrics: DataFrame) -> DataFrame:
     """Message stream of the store: one ``feature_update`` per feature record,
-    one ``metrics_update`` per metric record, as JSON text with a sort key."""
-    features = log.select(
-        F.col("received_at").alias("at"), F.col("seq"),
-        F.to_json(F.struct(
-            F.lit(FEED_FEATURE_UPDATE).alias("type"), "entity_id", "feature_name",
-            F.struct(F.col("feature_value").alias("value"), "computed_at", "received_at").alias("data"),
-        )).alias("message"),
-    )
-    metric = metrics.select(
+    and one ``metrics_update`` per metric record with the state it leads to."""
+    features = log.select(F.col("received_at").alias("at"), F.col("seq"), feature_update(log).alias("message"))
+    metric = metrics.select("seq").join(running_state(metrics, log), "seq").select(
         (F.col("seq") / F.lit(1_000_000.0)).alias("at"), F.col("seq"),
-        F.to_json(F.struct(
-            F.lit(FEED_METRICS_UPDATE).alias("type"), "metric_name", "metric_value", "computed_at",
-        )).alias("message"),
+        F.to_json(F.struct(F.lit(FEED_METRICS_UPDATE).alias("type"), "late_events_dropped", "current_watermark",
+                           "last_sim_time")).alias("message"),
     )
     return features.unionByName(metric)
 
 
 def state_snapshot(documents: DataFrame, state: DataFrame) -> DataFrame:
-    """``state_dump``: one row per entity document plus one metrics row."""
-    metrics_doc = state.select(
-        F.lit("__metrics__").alias("entity_id"),
-        F.to_json(F.struct("late_events_dropped", "current_watermark", "last_sim_time")).alias("document"),
-    )
-    return documents.select("entity_id", "document").unionByName(metrics_doc)
+    """``state_dump``: a ``features`` row per entity document and one ``metrics``
+    row (without an entity, so no entity id can collide with it)."""
+    def part(name: str, entity: Column, document: Column) -> list[Column]:
+        return [F.lit(FEED_STATE_DUMP).alias("type"), F.lit(name).alias("part"), entity.alias("entity_id"), document.alias("document")]
+
+    metrics_doc = state.select(*part("metrics", F.lit(None).cast("string"), F.to_json(
+        F.struct("late_events_dropped", "current_watermark", "last_sim_time"))))
+    return documents.select(*part("features", F.col("entity_id"), F.col("document"))).unionByName(metrics_doc)

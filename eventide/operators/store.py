@@ -67,13 +67,16 @@ def latest_features(log: DataFrame) -> DataFrame:
 
 
 def entity_documents(latest: DataFrame) -> DataFrame:
-    """entity -> JSON ``{feature_name: {value, computed_at, received_at}}``.
+    """entity -> JSON ``{feature_name: {value, computed_at, received_at}}``,
+    ``received_at`` in whole epoch milliseconds.
 
-    Built per entity from its latest rows only (one row per feature), sorted
-    by feature name so the text is deterministic."""
+    Built per entity from its latest rows only: one row per feature, that is
+    three plus the number of categories, which bounds the list. Sorted by
+    feature name so the text is deterministic."""
     entry = F.struct(
         F.col("feature_name").alias("key"),
-        F.struct(F.col("feature_value").alias("value"), "computed_at", "received_at").alias("value"),
+        F.struct(F.col("feature_value").alias("value"), "computed_at",
+                 (F.col("received_at") * F.lit(1000)).cast("bigint").alias("received_at")).alias("value"),
     )
     return latest.groupBy("entity_id").agg(
         F.count(F.lit(1)).alias("n_features"),

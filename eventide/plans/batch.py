@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.config import (
+    AVG_DWELL_TIME,
+    CLICK_RATE,
     CONTENT_SLIDE_SECONDS,
     CONTENT_WINDOW_SECONDS,
     ISO_SECONDS,
@@ -27,7 +29,9 @@ from eventide.operators import late, serving, store
 from eventide.operators import windows as win
 from eventide.sources import testdata
 from eventide.sources.changelog import metadata_snapshot
-from eventide.sources.events_json import parse_events
+from eventide.schemas import METRIC_RECORD
+from eventide.sources.events_json import events_to_json, parse_events
+from eventide.sources.logs import feature_log_from_messages, metric_log_from_messages
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,6 +169,59 @@ def feature_store_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.latest_features(feature_log(spark, sf_dir)).drop("seq")
 
 
+def metric_log_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric records through the sink's key and JSON value: the key beside what the value reads back as."""
+    v = F.from_json(F.col("value"), METRIC_RECORD)
+    return store.metric_kv(metric_log(spark, sf_dir)).select("key", v.alias("r")).select("key", "r.*")
+
+
+def serving_messages(log: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Both topics as the serving reader gets them, with messages it must skip:
+    an empty one beside each click rate, one without an entity beside each average."""
+    def topic(name: str, rows: DataFrame, value: Column, offset: Column) -> DataFrame:
+        return rows.select(F.lit(name).alias("topic"), "key", value.alias("value"), offset.alias("offset"),
+                           F.timestamp_micros(offset).alias("arrival_ts"))
+
+    offset = (F.col("received_at") * F.lit(1_000_000)).cast("bigint")
+    features = log.withColumn("key", store.store_key())
+    text = F.to_json(F.struct("entity_id", "feature_name", "feature_value", "computed_at"))
+    nameless = F.to_json(F.struct(F.lit("").alias("entity_id"), "feature_name", "feature_value", "computed_at"))
+    m = metrics.withColumn("key", F.col("metric_name"))
+    return (topic("feature-store", features, text, offset)
+            .unionByName(topic("feature-store", features.filter(F.col("feature_name") == CLICK_RATE), F.lit(""), offset))
+            .unionByName(topic("feature-store", features.filter(F.col("feature_name") == AVG_DWELL_TIME), nameless, offset))
+            .unionByName(topic("flink-metrics", m, F.to_json(F.struct("metric_name", "metric_value", "computed_at")), F.col("seq"))))
+
+
+def serving_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both logs sent as messages and read back: accepted features, and the state
+    with its last feature time taken from the log that was read."""
+    ev = events(spark, sf_dir)
+    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
+    messages = serving_messages(log, late.metric_log(late.classify(ev), ev))
+    read = feature_log_from_messages(messages)
+    state = serving.metric_state(metric_log_from_messages(messages), read)
+    return state.select(read.select(F.count(F.lit(1))).scalar().alias("n_features"), "*")
+
+
+def events_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events published as keyed messages and parsed again, summed by message key."""
+    messages = events_to_json(events(spark, sf_dir))
+    return parse_events(messages, keep=["key"]).groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("dwell_time_ms").alias("dwell_time_ms"),
+        F.date_format(F.max("event_time"), ISO_MILLIS).alias("last_event_time"))
+
+
+def changelog_rowkinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata changelog with explicit row kinds (first version inserted, later ones
+    retracted and updated, some deleted), reduced to what an upsert consumer keeps."""
+    log = testdata.metadata_changelog(spark, sf_dir)
+    first = F.col("seq") < testdata.CONTENT_KEYS
+    kinds = F.concat(F.when(first, F.array(F.lit("+I"))).otherwise(F.array(F.lit("-U"), F.lit("+U"))),
+                     F.when(F.col("seq") % 10 == 0, F.array(F.lit("-D"))).otherwise(F.array().cast("array<string>")))
+    return store.changelog_upserts(log.select(F.explode(kinds).alias("kind"), "content_id", "category", "seq"))
+
+
 def entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.entity_documents(store.latest_features(feature_log(spark, sf_dir)))
 
@@ -244,20 +301,23 @@ def watermark_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.entity_lookup(store.latest_features(feature_log(spark, sf_dir)), LOOKUP_ENTITY)
+    """One entity's latest features. Only events that name the id are expanded
+    into features; the filter stands below the expansion, at the scan."""
+    ev = events(spark, sf_dir)
+    key = F.trim(F.lit(LOOKUP_ENTITY))
+    own = ev.filter((F.col("user_id") == key) | (F.col("content_id") == key))
+    log = feature_log_of(own, metadata_latest(spark, sf_dir), as_of_time(ev))
+    return serving.entity_lookup(store.latest_features(log.filter(F.col("entity_id") == key)), LOOKUP_ENTITY)
 
 
 def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
-    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
-    lookup = serving.entity_lookup(store.latest_features(log), LOOKUP_ENTITY)
-    return serving.entity_report(lookup, now_of(ev))
+    return serving.entity_report(entity_lookup(spark, sf_dir), now_of(events(spark, sf_dir)))
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     log = feature_log_of(ev, metadata_latest(spark, sf_dir))
-    return serving.freshness(store.latest_features(log), now_of(ev))
+    return serving.freshness(store.valid_features(log), now_of(ev))
 
 
 def recent_updates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -249,3 +249,52 @@ FROM (SELECT 'click_rate' AS feature_name,
     AS message
 FROM log ORDER BY received_at DESC, seq DESC, computed_at DESC, entity_id ASC, feature_name ASC LIMIT 50""",
 })
+
+# ---------------------------------------------------------------------------
+# JSON documents and messages, and the logs read back
+# ---------------------------------------------------------------------------
+DOCUMENTS = """docs AS (
+  SELECT entity_id, count(*) AS n_features,
+    '{' || string_agg('"' || feature_name || '":' || CAST(to_json(struct_pack(value := feature_value,
+      computed_at := computed_at, received_at := CAST(received_at * 1000 AS BIGINT))) AS VARCHAR), ',' ORDER BY feature_name)
+      || '}' AS document
+  FROM latest GROUP BY entity_id)"""
+
+RUNNING = f"""changes AS (
+  SELECT seq, CASE WHEN metric_name = 'late_events_dropped' THEN CAST(metric_value AS BIGINT) END AS late,
+    CASE WHEN metric_name = 'current_watermark' THEN CAST(metric_value AS BIGINT) END AS wm, CAST(NULL AS BIGINT) AS sim
+  FROM ml
+  UNION ALL
+  SELECT CAST(received_at * 1000000 AS BIGINT), NULL, NULL, epoch_ms(strptime(computed_at, {ISO_S}))
+  FROM log WHERE NOT starts_with(feature_name, 'category_affinity_score:')),
+running AS (
+  SELECT DISTINCT seq,
+    CAST(coalesce(sum(late) OVER w, 0) AS BIGINT) AS late_events_dropped,
+    CAST(coalesce(max(wm) OVER w, 0) AS BIGINT) AS current_watermark,
+    CAST(coalesce(max(sim) OVER w, 0) AS BIGINT) AS last_sim_time
+  FROM changes WINDOW w AS (ORDER BY seq RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+METRICS = (CLASSIFIED, LATE_METRICS, WM_SAMPLES, METRIC_LOG)
+
+SQL.update({
+    "entity_documents": with_(*ALL_CORE, LATEST, DOCUMENTS) + "SELECT entity_id, n_features, document FROM docs",
+    "state_snapshot": with_(*ALL_CORE, LATEST, DOCUMENTS, *METRICS, STATE) + """SELECT 'state_dump' AS type, 'features' AS part,
+  entity_id, document FROM docs
+UNION ALL
+SELECT 'state_dump', 'metrics', NULL, CAST(to_json(struct_pack(late_events_dropped := late_events_dropped,
+  current_watermark := current_watermark, last_sim_time := last_sim_time)) AS VARCHAR) FROM st""",
+    "change_feed": with_(*ALL_CORE, *METRICS, RUNNING) + """SELECT received_at AS at, seq,
+  CAST(to_json(struct_pack(type := 'feature_update', entity_id := entity_id, feature_name := feature_name,
+    data := struct_pack(value := feature_value, computed_at := computed_at,
+                        received_at := CAST(received_at * 1000 AS BIGINT)))) AS VARCHAR) AS message
+FROM log
+UNION ALL
+SELECT CAST(ml.seq AS DOUBLE) / 1000000.0, ml.seq, CAST(to_json(struct_pack(type := 'metrics_update',
+  late_events_dropped := late_events_dropped, current_watermark := current_watermark, last_sim_time := last_sim_time)) AS VARCHAR)
+FROM ml JOIN running ON ml.seq = running.seq""",
+    "metric_log_kv": with_(EV, *METRICS) + "SELECT metric_name AS key, metric_name, metric_value, computed_at FROM ml",
+    "serving_reader": with_(*ALL_CORE, *METRICS, STATE) + "SELECT (SELECT count(*) FROM log) AS n_features, * FROM st",
+    "events_published": with_(EV) + """SELECT user_id AS key, count(*) AS n, CAST(sum(dwell_time_ms) AS BIGINT) AS dwell_time_ms,
+  strftime(max(date_trunc('millisecond', ts)), '%Y-%m-%dT%H:%M:%S.%gZ') AS last_event_time FROM ev GROUP BY user_id""",
+    "changelog_rowkinds": "SELECT 'cnt_' || CAST(p_partkey % 100 AS VARCHAR) AS content_id, p_type AS category, p_partkey AS seq FROM part",
+})

@@ -40,6 +40,10 @@ QUERIES: dict[str, Query] = {
     "recent_updates": batch.recent_updates,
     "change_feed": batch.change_feed,
     "state_snapshot": batch.state_snapshot,
+    "metric_log_kv": batch.metric_log_kv,
+    "serving_reader": batch.serving_reader,
+    "events_published": batch.events_published,
+    "changelog_rowkinds": batch.changelog_rowkinds,
 }
 
 

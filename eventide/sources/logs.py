@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 from eventide.schemas import FEATURE_RECORD, METRIC_RECORD
 
 
+def serving_messages(reader, cfg, starting: str = "earliest") -> DataFrame:
+    """Both topics of the serving reader in one subscription, from the start.
+
+    ``reader`` is ``spark.read`` or ``spark.readStream``; split the messages with
+    the two functions below."""
+    topics = f"{cfg.feature_store_topic},{cfg.metrics_topic}"
+    raw = reader.format("kafka").options(**{**cfg.kafka_reader_options(topics), "startingOffsets": starting}).load()
+    return raw.select("topic", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                      "partition", "offset", F.col("timestamp").alias("arrival_ts"))
+
+
 def _messages(raw: DataFrame, topic: str | None) -> DataFrame:
     ok = F.col("value").isNotNull() & (F.length("value") > 0)
     if topic is not None and "topic" in raw.columns:
