@@ -15,6 +15,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,16 +86,21 @@ def encode_text(enc, text: str, size: int = CHUNK, long_blank: int = LONG_BLANK)
     return ids
 
 
+def _binaries(data: bytearray, ends: list[int], null: pa.Array | None = None) -> pa.Array:
+    """An array of byte strings on top of one buffer, without a copy of each."""
+    out = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(np.array(ends, np.int32)), pa.py_buffer(data)])
+    return out if null is None else pc.if_else(null, pa.scalar(None, pa.binary()), out)
+
+
 def _encoder(rank_file: str | None, pattern: str | None):
     @F.arrow_udf("struct<n_tokens:bigint,ids:binary>")
     def encode(texts: pa.Array) -> pa.Array:
         enc = encoding(rank_file, pattern)
-        counts, packed = [], []
+        packed, ends = bytearray(), [0]
         for text in texts:
-            ids = np.array(encode_text(enc, text.as_py() or ""), dtype="<u4")
-            counts.append(len(ids))
-            packed.append(ids.tobytes())
-        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(packed, pa.binary())],
+            packed += np.array(encode_text(enc, text.as_py() or ""), dtype="<u4").tobytes()
+            ends.append(len(packed))
+        return pa.StructArray.from_arrays([pa.array(np.diff(ends) // 4, pa.int64()), _binaries(packed, ends)],
                                           ["n_tokens", "ids"])
 
     return encode
@@ -104,8 +110,11 @@ def _decoder(rank_file: str | None, pattern: str | None):
     @F.arrow_udf("binary")
     def decode(ids: pa.Array) -> pa.Array:
         enc = encoding(rank_file, pattern)
-        return pa.array([None if x.as_py() is None else enc.decode_bytes(np.frombuffer(x.as_py(), "<u4").tolist())
-                         for x in ids], pa.binary())
+        raw, ends = bytearray(), [0]
+        for x in ids:
+            raw += enc.decode_bytes(np.frombuffer(x.as_py() or b"", "<u4").tolist())
+            ends.append(len(raw))
+        return _binaries(raw, ends, ids.is_null() if ids.null_count else None)
 
     return decode
 

@@ -43,6 +43,11 @@ def test_edge_rows_round_trip(spark, enc):
         assert bytes(r.decoded) == text.encode() and r.n_tokens == len(r.ids) // 4
 
 
+def test_null_ids_decode_to_null(spark):
+    rows = spark.createDataFrame([(None,), (bytearray(b""),)], "ids binary")
+    assert [r.decoded if r.decoded is None else bytes(r.decoded) for r in bpe.decode(rows).collect()] == [None, b""]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.decode(bpe.encode(docs)).count() == 0
