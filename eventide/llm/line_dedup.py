@@ -25,8 +25,6 @@ from eventide.llm.common import BLANKS, LOWER, UPPER, free_name, lower_ascii, sa
 MIN_DOCS = 10
 #: Runs of a level that are compacted into one of the next.
 FANOUT = 4
-#: Buckets of a run: merges of bucketed runs need no shuffle.
-BUCKETS = 32
 #: Batches in which the registered query adds the documents.
 BATCHES = 6
 
@@ -47,10 +45,15 @@ def lines_of(text: Column) -> Column:
 
 
 class LineRuns:
-    """In how many documents each line hash was seen, over all batches added."""
+    """In how many documents each line hash was seen, over all batches added.
 
-    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT, buckets: int = BUCKETS):
-        self.spark, self.min_docs, self.fanout, self.buckets = spark, min_docs, fanout, buckets
+    Runs have as many buckets as a shuffle has partitions when the store is
+    made: merges of runs need no shuffle, and a task writes one file.
+    """
+
+    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT):
+        self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
         self.decided: str | None = None
 
