@@ -74,6 +74,7 @@ class PipelineConfig:
     content_metadata_topic: str = "content-metadata"
     feature_store_topic: str = "feature-store"
     metrics_topic: str = "flink-metrics"
+    metadata_partitions: int = 1            # of the metadata topic
     consumer_group: str = "feature-pipeline-group"
     starting_offsets: str = "earliest"
     kafka_options: dict[str, str] = field(default_factory=dict)

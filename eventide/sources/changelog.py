@@ -55,6 +55,7 @@ def parse_metadata_messages(raw: DataFrame, key_col: str = "key", value_col: str
         v["publish_timestamp"].alias("publish_timestamp"),
         F.col(seq_col).cast("bigint").alias("seq"),
         F.col(value_col).isNull().alias("deleted"),
+        *[F.col(c) for c in ("partition",) if c in raw.columns],
     )
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import argparse
 import threading
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,6 @@ from eventide.config import PipelineConfig
 from eventide.operators.store import upsert_latest
 from eventide.streaming import queries as q
 from eventide.streaming.listener import WatermarkMetricListener
-from eventide.schemas import METRIC_RECORD
 from eventide.streaming.sinks import kafka_features, kafka_metrics
 from eventide.streaming.sources import (
     event_stream,
@@ -51,18 +49,15 @@ class Job:
         self.spark.streams.removeListener(self.listener)
 
 
-def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: Callable[[SparkSession], DataFrame],
+def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: q.ChangelogLoader,
               root: str, trigger: dict | None = None, mode: str = "FAILFAST", emit_zero: bool = False,
               store_path: str | None = None, kafka: PipelineConfig | None = None,
               prune_compacted: bool = False, compact_every: int | None = 100) -> Job:
     """Start Q1-Q3 (+ quarantine in PERMISSIVE mode). Every ``compact_every``
     batches each query folds its own output folders (None: never)."""
     layout = q.Layout(root.rstrip("/"))
-    publish_metric = None
-    if kafka is not None:
-        def publish_metric(record: tuple[str, float, str]) -> None:
-            kafka_metrics(spark.createDataFrame([record], METRIC_RECORD), kafka)
-    listener = WatermarkMetricListener("window_features", on_record=publish_metric)
+    # observation only: Q3 alone publishes watermarks, one per micro-batch (10 s trigger)
+    listener = WatermarkMetricListener("window_features")
     spark.streams.addListener(listener)
 
     # Q1 and Q2 run their batches on separate driver threads; merges into the
@@ -114,10 +109,10 @@ def main(argv: list[str] | None = None) -> None:
     cfg = PipelineConfig.from_env()
     if args.kafka:
         raw = kafka_stream(spark, cfg, cfg.user_events_topic)
-        loader = lambda s: metadata_changelog_kafka(s, cfg)
+        loader = lambda s, seen: metadata_changelog_kafka(s, cfg, seen)
     else:
         raw = file_stream(spark, args.events_dir)
-        loader = lambda s: metadata_changelog_files(s, args.metadata_dir)
+        loader = lambda s, _: metadata_changelog_files(s, args.metadata_dir)
     job = start_job(spark, raw, loader, args.out, mode="PERMISSIVE" if args.permissive else "FAILFAST",
                     emit_zero=args.emit_zero, store_path=args.store, kafka=cfg if args.kafka else None,
                     prune_compacted=args.prune_compacted, compact_every=args.compact_every)

@@ -3,10 +3,9 @@
 * Q1 ``window_features`` (append): user hourly and content sliding windows
   under a 30 s watermark; a window is emitted once, when the watermark passes
   its end; rows behind the watermark are dropped by Spark's stateful operator.
-* Q2 ``category_affinity`` (update): lifetime (user, content) pair counts in
-  Spark state; each micro-batch recomputes affinity only for the users it
-  touched plus the users of contents whose metadata changed, against the
-  newest metadata snapshot (a category change re-attributes past events).
+* Q2 ``category_affinity`` (foreachBatch): each micro-batch changes the totals
+  per (user, category) by its own pair counts, and moves the earlier counts of
+  contents whose category changed (a category change re-attributes past events).
 * Q3 ``late_metrics`` (stateless foreachBatch): the micro-batch's rows are
   classified against the watermark at batch start, the same one Q1 applies;
   late rows become ``late_events_dropped`` records, and each batch adds a
@@ -31,6 +30,7 @@ from eventide.config import (
     CHECKPOINT_INTERVAL,
     CONTENT_SLIDE_SECONDS,
     CONTENT_WINDOW_SECONDS,
+    FEED_METRICS_UPDATE,
     METRIC_CURRENT_WATERMARK,
     METRIC_LATE_EVENTS_DROPPED,
     USER_WINDOW_SECONDS,
@@ -40,26 +40,23 @@ from eventide.functions.timefmt import iso_micros, iso_seconds
 from eventide.operators import affinity as aff
 from eventide.operators import windows as win
 from eventide.operators.late import CONTENT_BRANCH, USER_BRANCH, floor_div
+from eventide.operators.store import expire_versions, read_buckets, write_buckets
 from eventide.schemas import FEATURE_COLUMNS
 from eventide.session import SESSION_DEFAULTS, checkpoint_root, prepare
 from eventide.sources.changelog import metadata_snapshot
 from eventide.streaming.sinks import (
     compact_table,
-    delete_folders,
-    list_versions,
     read_batches,
     read_log,
     read_previous,
-    read_table,
     write_batch,
 )
 
 MICROS = 1_000_000
-# Q2 folds its pair-count deltas into a new base table after this many batches.
-PAIRS_COMPACT_EVERY = 50
-# Q2 pair tables are partitioned by user bucket; a batch without metadata
-# changes reads only the buckets of its own users.
+# Buckets of Q2's tables: pair counts by content, totals by user.
 PAIR_USER_BUCKETS = 256
+# (spark, partition -> greatest offset seen) -> metadata changelog rows, the newer ones at least
+ChangelogLoader = Callable[[SparkSession, dict[int, int]], DataFrame]
 
 
 def _user_bucket(col: str = "user_id"):
@@ -94,16 +91,16 @@ class Layout:
         return f"{self.root}/pairs"
 
     @property
-    def pairs_base(self) -> str:
-        return f"{self.root}/pairs_base"
+    def totals(self) -> str:
+        return f"{self.root}/affinity_totals"
 
     @property
-    def pairs_by_content(self) -> str:
-        return f"{self.root}/pairs_by_content"
+    def affinity_diff(self) -> str:
+        return f"{self.root}/affinity_diff"
 
     @property
-    def pairs_by_content_base(self) -> str:
-        return f"{self.root}/pairs_by_content_base"
+    def meta_changes(self) -> str:
+        return f"{self.root}/meta_changes"
 
     @property
     def meta_snapshot(self) -> str:
@@ -160,12 +157,13 @@ def _checkpoint(spark: SparkSession, name: str, location: str | None, layout: "L
     return f"{checkpoint_root(spark)}/streams/{job_key}/{name}"
 
 
-def _maintain(spark: SparkSession, table: str, batch_id: int, compact_every: int | None, prune: bool) -> None:
+def _maintain(spark: SparkSession, table: str, batch_id: int, compact_every: int | None, prune: bool,
+              partition_by: list[str] | None = None) -> None:
     """Every ``compact_every`` batches, fold this writer's own table up to the
     previous (committed) batch; the current batch can still be replayed and
     stays a separate folder."""
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-        compact_table(spark, table, batch_id - 1, prune)
+        compact_table(spark, table, batch_id - 1, prune, partition_by)
 
 
 def _log_rows(df: DataFrame, batch_id: int) -> DataFrame:
@@ -204,125 +202,102 @@ def start_window_features(events: DataFrame, layout: Layout, checkpoint: str | N
 # ---------------------------------------------------------------------------
 # Q2
 # ---------------------------------------------------------------------------
-def affinity_batch(updated_pairs: DataFrame, batch_id: int, layout: Layout, changelog: DataFrame,
-                   emit_zero: bool = False, prune_compacted: bool = False) -> DataFrame:
-    """One micro-batch of the affinity query; returns the records written.
-
-    ``updated_pairs`` holds the new running totals of the pairs changed in
-    this batch; ``changelog`` is the metadata changelog as of now.
-    """
-    spark = updated_pairs.sparkSession
-    delta = updated_pairs.select("user_id", "content_id", "n")
-    # the deltas are kept twice: by user bucket (recompute reads) and by
-    # content bucket (finding the users of re-categorized contents)
-    write_batch(delta.withColumn("ub", _user_bucket()), layout.pairs, batch_id, partition_by=["ub"])
-    write_batch(delta.withColumn("cb", _content_bucket()), layout.pairs_by_content, batch_id, partition_by=["cb"])
-    base_version = _newest_base(spark, layout, batch_id)
-    if batch_id - base_version >= PAIRS_COMPACT_EVERY:
-        # written tables cut the lineage; later batches read them plus newer deltas
-        full, _ = pair_table(spark, layout, batch_id)
-        full.withColumn("ub", _user_bucket()).write.mode("overwrite").partitionBy("ub").parquet(
-            f"{layout.pairs_base}/v={batch_id}")
-        full = spark.read.parquet(f"{layout.pairs_base}/v={batch_id}").drop("ub")
-        full.withColumn("cb", _content_bucket()).write.mode("overwrite").partitionBy("cb").parquet(
-            f"{layout.pairs_by_content_base}/v={batch_id}")
-        if prune_compacted and base_version >= 0:
-            # a replay of this batch reads base ``base_version`` plus later deltas,
-            # so only what precedes that base can go
-            for table in (layout.pairs, layout.pairs_by_content):
-                delete_folders(spark, table, "batch_id", base_version)
-            for table in (layout.pairs_base, layout.pairs_by_content_base):
-                delete_folders(spark, table, "v", base_version - 1)
+def _metadata_changes(spark: SparkSession, layout: Layout, batch_id: int, loader: ChangelogLoader) -> tuple[DataFrame, int | None, int]:
+    """(changelog rows new in this batch, batch of the snapshot before them, batch of the one after).
 
+    Offsets are compared within their partition, and the new rows are written
+    once: the snapshot and the offsets seen are both made from that table, so
+    rows that arrive meanwhile belong to the next batch."""
     seen = read_previous(spark, layout.meta_seen, batch_id)
-    state = seen.agg(F.max("max_seq").alias("seq"), F.max("snapshot_batch").alias("snap")).first() \
-        if seen is not None else None
-    changed = changelog
-    if state is not None and state["seq"] is not None:
-        changed = changelog.filter(F.col("seq") > F.lit(state["seq"]))
-    changed_contents = changed.select("content_id").distinct()
-    has_changes = changed_contents.limit(1).count() > 0
-    snapshot_batch = state["snap"] if state is not None else None
-    if has_changes or snapshot_batch is None:
-        # new snapshot = previous snapshot + only the newer changelog rows (a seq
-        # filter parquet can skip row groups with): O(contents + changes), not
-        # O(changelog history); written only when the changelog changed
-        if snapshot_batch is not None:
-            previous = spark.read.parquet(f"{layout.meta_snapshot}/batch_id={snapshot_batch}")
-            snapshot = metadata_snapshot(previous.withColumn("deleted", F.lit(False))
-                                         .unionByName(changed, allowMissingColumns=True))
-        else:
-            snapshot = metadata_snapshot(changelog)
-        write_batch(snapshot, layout.meta_snapshot, batch_id)
-        snapshot_batch = batch_id
-    snapshot = spark.read.parquet(f"{layout.meta_snapshot}/batch_id={snapshot_batch}")
-
-    affected = updated_pairs.select("user_id")
-    if has_changes:
-        # metadata changed: the users of those contents need a recompute too,
-        # found in the content buckets of the changed contents only
-        by_content, _ = pair_table(spark, layout, batch_id, _buckets(changed_contents, _content_bucket()),
-                                   by_content=True)
-        affected = affected.unionByName(
-            by_content.join(changed_contents, "content_id", "left_semi").select("user_id"))
-    affected = affected.distinct()
-    pairs, _ = pair_table(spark, layout, batch_id, _buckets(affected, _user_bucket()))
-    scoped = pairs.join(affected, "user_id", "left_semi")
-    counts = aff.affinity_counts(scoped, snapshot)
-    records = aff.affinity_features_from_counts(counts, iso_seconds(F.current_timestamp()))
-
-    if emit_zero:
-        before = read_log(spark, layout.affinity)  # compacted versions included
+    before = None
+    offsets: dict[int, int] = {}
+    if seen is not None:
+        newest = seen.agg(F.max("snapshot_batch")).first()[0]
+        before = None if newest is None else int(newest)
+        offsets = {r[0]: r[1] for r in seen.groupBy("partition").agg(F.max("max_seq")).collect()}  # a row a partition
+    changelog = loader(spark, offsets)
+    if "partition" not in changelog.columns:
+        changelog = changelog.withColumn("partition", F.lit(0))
+    known = F.lit(-1).cast("bigint")
+    for partition, seq in offsets.items():
+        known = F.when(F.col("partition") == partition, F.lit(seq)).otherwise(known)
+    write_batch(changelog.filter(F.col("seq") > known), layout.meta_changes, batch_id)
+    changes = spark.read.schema(changelog.schema).parquet(f"{layout.meta_changes}/batch_id={batch_id}")
+    after = before
+    if before is None or not changes.isEmpty():
+        rows = changes
         if before is not None:
-            before = before.filter(F.col("batch_id") <= batch_id - 1)
-            stale = (before.join(affected, before["entity_id"] == affected["user_id"], "left_semi")
-                     .select("entity_id", "feature_name").distinct()
-                     .join(records.select("entity_id", "feature_name"), ["entity_id", "feature_name"], "left_anti"))
-            zeros = stale.select("entity_id", "feature_name", F.lit(0.0).alias("feature_value"),
-                                 iso_seconds(F.current_timestamp()).alias("computed_at"))
-            records = records.unionByName(zeros)
-
-    rows = _log_rows(records, batch_id)
+            previous = spark.read.parquet(f"{layout.meta_snapshot}/batch_id={before}").withColumn("deleted", F.lit(False))
+            # a content's changes all lie in its key's partition; its snapshot row precedes them
+            rows = previous.withColumn("seq", F.lit(-1).cast("bigint")).unionByName(changes, allowMissingColumns=True)
+        write_batch(metadata_snapshot(rows.drop("partition")), layout.meta_snapshot, batch_id)
+        after = batch_id
+    at = changes.groupBy("partition").agg(F.max("seq").alias("max_seq"))
+    if seen is not None:
+        at = at.unionByName(seen.select("partition", "max_seq")).groupBy("partition").agg(F.max("max_seq").alias("max_seq"))
+    write_batch(at.withColumn("snapshot_batch", F.lit(after).cast("bigint")), layout.meta_seen, batch_id)
+    return changes, before, after
+
+
+def affinity_batch(events: DataFrame, batch_id: int, layout: Layout, loader: ChangelogLoader,
+                   emit_zero: bool = False) -> DataFrame:
+    """One micro-batch of the affinity query; returns the records written.
+
+    Totals per (user, category) change by differences: this batch's events
+    under the new snapshot, and, for contents whose category changed, their
+    earlier counts moved from the old category to the new one. Only for those
+    contents is the pair table read, in their buckets. The totals table is
+    versioned by batch, so a replay starts from the version before it.
+    """
+    spark = events.sparkSession
+    write_batch(aff.pair_counts(events).withColumn("cb", _content_bucket()), layout.pairs, batch_id, partition_by=["cb"])
+    pairs = read_batches(spark, layout.pairs, [batch_id])
+    changes, before, after = _metadata_changes(spark, layout, batch_id, loader)
+    snapshot = spark.read.parquet(f"{layout.meta_snapshot}/batch_id={after}").select("content_id", "category")
+
+    diffs = []
+    if pairs is not None:
+        diffs.append(pairs.join(snapshot, "content_id").select("user_id", "category", "n"))
+    if after != before:
+        old = (spark.read.parquet(f"{layout.meta_snapshot}/batch_id={before}").select("content_id", F.col("category").alias("old"))
+               if before is not None else snapshot.limit(0).select("content_id", F.col("category").alias("old")))
+        moved = (changes.filter(F.col("content_id").isNotNull()).select("content_id").distinct()
+                 .join(snapshot, "content_id", "left").join(old, "content_id", "left")
+                 .filter(~F.col("category").eqNullSafe(F.col("old"))))
+        past = read_log(spark, layout.pairs)
+        buckets = _buckets(moved, _content_bucket())
+        if past is not None and buckets:
+            counts = (past.filter((F.col("batch_id") < batch_id) & F.col("cb").isin(buckets))
+                      .join(moved, "content_id").groupBy("user_id", "old", "category").agg(F.sum("n").alias("n")))
+            diffs.append(counts.select("user_id", F.inline(F.array(
+                F.struct(F.col("old").alias("category"), (-F.col("n")).alias("n")), F.struct("category", "n")))))
+    none = spark.createDataFrame([], "user_id string, category string, n bigint")
+    diff = none
+    for d in diffs:
+        diff = diff.unionByName(d)
+    # read four times in this batch and by no later one: a written table, always in the same place
+    (diff.filter(F.col("category").isNotNull()).groupBy("user_id", "category").agg(F.sum("n").alias("n"))
+     .withColumn("bucket", _user_bucket()).write.mode("overwrite").parquet(layout.affinity_diff))
+    diff = spark.read.parquet(layout.affinity_diff)
+
+    touched = _buckets(diff, F.col("bucket"))
+    if touched:
+        totals = read_buckets(spark, layout.totals, touched, below=batch_id + 1)
+        summed = (diff if totals is None else diff.unionByName(totals)).groupBy("user_id", "category", "bucket").agg(
+            F.sum("n").alias("n"))
+        write_buckets(summed, layout.totals, batch_id + 1, touched)
+        totals = read_buckets(spark, layout.totals, touched, below=batch_id + 2)
+        changed = totals.join(diff.select("user_id", "category"), ["user_id", "category"], "left_semi")
+        # a total that fell to zero is a retraction: dropped unless asked for
+        changed = changed.filter(F.col("n") >= 0 if emit_zero else F.col("n") > 0)
+    else:
+        changed = diff
+    rows = _log_rows(aff.affinity_features_from_counts(changed, iso_seconds(F.current_timestamp())), batch_id)
     write_batch(rows, layout.affinity, batch_id)
-    write_batch(changelog.agg(F.max("seq").alias("max_seq"),
-                              F.lit(snapshot_batch).cast("bigint").alias("snapshot_batch")),
-                layout.meta_seen, batch_id)
     return rows
 
 
-def _newest_base(spark: SparkSession, layout: Layout, batch_id: int) -> int:
-    """Newest base version below ``batch_id``, from the folder names alone; -1 without one."""
-    return max((v for v in list_versions(spark, layout.pairs_base, "v") if v < batch_id), default=-1)
-
-
-def pair_table(spark: SparkSession, layout: Layout, batch_id: int,
-               buckets: list[int] | None = None, by_content: bool = False) -> tuple[DataFrame, int]:
-    """Pair totals as of ``batch_id``: newest compacted base (version v < batch_id)
-    plus the deltas of batches after v, optionally only some buckets (user
-    buckets, or content buckets when ``by_content``), read with partition
-    pruning. Totals only grow, so max(n) per pair is its newest total.
-    Returns (table, v) with v = -1 without a base."""
-    version = _newest_base(spark, layout, batch_id)
-    base_path = layout.pairs_by_content_base if by_content else layout.pairs_base
-    delta_path = layout.pairs_by_content if by_content else layout.pairs
-    bucket = "cb" if by_content else "ub"
-    parts = []
-    if version >= 0:
-        parts.append(spark.read.parquet(f"{base_path}/v={version}"))
-    deltas = read_batches(spark, delta_path, list(range(version + 1, batch_id + 1)))
-    if deltas is not None:
-        parts.append(deltas.drop("batch_id"))
-    if not parts:  # no base and only empty deltas (e.g. all keys NULL so far)
-        return spark.createDataFrame([], "user_id string, content_id string, n bigint"), version
-    merged = parts[0].select("user_id", "content_id", "n", bucket)
-    for p in parts[1:]:
-        merged = merged.unionByName(p.select("user_id", "content_id", "n", bucket))
-    if buckets is not None:
-        merged = merged.filter(F.col(bucket).isin(buckets))
-    return merged.groupBy("user_id", "content_id").agg(F.max("n").alias("n")), version
-
-
-def start_affinity(events: DataFrame, layout: Layout, changelog_loader: Callable[[SparkSession], DataFrame],
+def start_affinity(events: DataFrame, layout: Layout, changelog_loader: ChangelogLoader,
                    checkpoint: str | None = None, trigger: dict | None = None, emit_zero: bool = False,
                    sink: Callable[[DataFrame], None] | None = None,
                    name: str = "category_affinity", prune_compacted: bool = False,
@@ -330,20 +305,19 @@ def start_affinity(events: DataFrame, layout: Layout, changelog_loader: Callable
     """``events`` without a watermark: affinity is a lifetime count (no lateness)."""
     spark = events.sparkSession
     prepare_streaming(spark)
-    pairs = aff.pair_counts(events)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.persist()
-        try:
-            affinity_batch(df, batch_id, layout, changelog_loader(df.sparkSession), emit_zero, prune_compacted)
-            if sink is not None:
-                sink(df.sparkSession.read.parquet(f"{layout.affinity}/batch_id={batch_id}")
-                     .withColumn("seq", F.lit(batch_id).cast("bigint")))
-            _maintain(df.sparkSession, layout.affinity, batch_id, compact_every, prune_compacted)
-        finally:
-            df.unpersist()
+        session = df.sparkSession
+        affinity_batch(df, batch_id, layout, changelog_loader, emit_zero)
+        if sink is not None:
+            sink(session.read.parquet(f"{layout.affinity}/batch_id={batch_id}")
+                 .withColumn("seq", F.lit(batch_id).cast("bigint")))
+        _maintain(session, layout.affinity, batch_id, compact_every, prune_compacted)
+        _maintain(session, layout.pairs, batch_id, compact_every, prune_compacted, ["cb"])
+        if prune_compacted:
+            expire_versions(session, layout.totals)
 
-    writer = (pairs.writeStream.outputMode("update").foreachBatch(write).queryName(name)
+    writer = (events.writeStream.outputMode("append").foreachBatch(write).queryName(name)
               .option("checkpointLocation", _checkpoint(spark, name, checkpoint, layout)))
     return _trigger(writer, trigger).start()
 
@@ -395,9 +369,10 @@ def start_late_metrics(events: DataFrame, layout: Layout, checkpoint: str | None
     def write(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            metrics = late_metrics_batch(df, batch_id, layout)
-            if sink is not None:
-                sink(metrics.select("metric_name", "metric_value", "computed_at"))
+            late_metrics_batch(df, batch_id, layout)
+            if sink is not None:  # the rows as written, not a second evaluation with other times
+                sink(df.sparkSession.read.parquet(f"{layout.metrics}/batch_id={batch_id}")
+                     .select("metric_name", "metric_value", "computed_at"))
             _maintain(df.sparkSession, layout.metrics, batch_id, compact_every, prune)
         finally:
             df.unpersist()
@@ -433,33 +408,50 @@ def compact_outputs(spark: SparkSession, layout: Layout, upto_batch: int, prune:
         compact_table(spark, table, upto_batch, prune)
 
 
+def _table_stream(spark: SparkSession, table: str, schema) -> DataFrame:
+    """A batch-foldered table as a stream, also before its first batch."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(table)
+
+
 def change_feed_stream(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The feature log as a stream of ``feature_update`` JSON messages."""
-    from eventide.config import FEED_FEATURE_UPDATE
+    """Window and affinity records as one stream of ``feature_update`` JSON messages."""
+    from eventide.operators.serving import feature_update
     from eventide.schemas import FEATURE_LOG
 
-    log = spark.readStream.schema(FEATURE_LOG).parquet(f"{layout.features}/*")
-    return log.select(F.to_json(F.struct(
-        F.lit(FEED_FEATURE_UPDATE).alias("type"), "entity_id", "feature_name",
-        F.struct(F.col("feature_value").alias("value"), "computed_at", "received_at").alias("data"),
-    )).alias("message"))
+    log = None
+    for table in (layout.features, layout.affinity):
+        part = _table_stream(spark, table, FEATURE_LOG)
+        log = part if log is None else log.unionByName(part)
+    return log.select(feature_update(log).alias("message"))
 
 
 def metric_state_stream(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Running serving counters over the metrics table as a stream (use
-    ``outputMode("complete")``): total late drops and the newest watermark
-    sample (by batch, then emission text). One global partial aggregation."""
-    from eventide.schemas import METRIC_RECORD
+    """Running serving state over the metric and feature tables as a stream (use
+    ``outputMode("complete")`` or ``"update"``): total late drops, newest
+    watermark sample, newest window feature time. One global partial aggregation."""
+    from eventide.functions.timefmt import epoch_millis_of_iso
+    from eventide.schemas import FEATURE_LOG, METRIC_RECORD
     from pyspark.sql import types as T
 
     schema = T.StructType(METRIC_RECORD.fields + [T.StructField("branch", T.StringType()),
                                                   T.StructField("seq", T.LongType())])
-    metrics = spark.readStream.schema(schema).parquet(f"{layout.metrics}/*")
-    is_late = F.col("metric_name") == METRIC_LATE_EVENTS_DROPPED
-    is_wm = F.col("metric_name") == METRIC_CURRENT_WATERMARK
-    return metrics.agg(
-        F.coalesce(F.sum(F.when(is_late, F.col("metric_value").cast("bigint"))), F.lit(0)).cast("bigint")
-        .alias("late_events_dropped"),
-        F.max_by(F.when(is_wm, F.col("metric_value")), F.when(is_wm, F.struct("seq", "computed_at")))
-        .cast("bigint").alias("current_watermark"),
-    )
+    number = F.col("metric_value").cast("bigint")
+    none = F.lit(None).cast("bigint")
+    metrics = _table_stream(spark, layout.metrics, schema).select(
+        F.when(F.col("metric_name") == METRIC_LATE_EVENTS_DROPPED, number).alias("late"),
+        F.when(F.col("metric_name") == METRIC_CURRENT_WATERMARK, number).alias("wm"), none.alias("sim"))
+    windows = _table_stream(spark, layout.features, FEATURE_LOG).select(
+        none.alias("late"), none.alias("wm"), epoch_millis_of_iso(F.col("computed_at")).alias("sim"))
+    zero = F.lit(0).cast("bigint")
+    return metrics.unionByName(windows).agg(
+        F.coalesce(F.sum("late"), zero).alias("late_events_dropped"),
+        F.coalesce(F.max("wm"), zero).alias("current_watermark"),
+        F.coalesce(F.max("sim"), zero).alias("last_sim_time"))
+
+
+def metrics_feed_stream(spark: SparkSession, layout: Layout) -> DataFrame:
+    """``metrics_update`` JSON messages: the state after each micro-batch (``outputMode("update")``)."""
+    state = metric_state_stream(spark, layout)
+    return state.select(F.to_json(F.struct(F.lit(FEED_METRICS_UPDATE).alias("type"), *state.columns)).alias("message"))

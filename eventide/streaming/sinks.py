@@ -120,43 +120,36 @@ def list_versions(spark: SparkSession, root: str, column: str) -> list[int]:
     return sorted(out)
 
 
-def compact_table(spark: SparkSession, table: str, upto_batch: int, prune: bool = False) -> int | None:
-    """Fold the batch folders of ``table`` up to ``upto_batch`` (plus the
-    previous compacted version) into ``<table>_compacted/v=<upto_batch>``,
-    keeping each row's ``batch_id``. Run it for batches the stream has
-    committed. With ``prune``, folders superseded by the previous compacted
-    version are deleted (readers that listed them earlier get one version of
-    grace). Returns the version written, or None when there was nothing."""
+def compact_table(spark: SparkSession, table: str, upto_batch: int, prune: bool = False,
+                  partition_by: list[str] | None = None) -> int | None:
+    """Fold the batch folders of ``table`` since the last fold, up to
+    ``upto_batch``, into ``<table>_compacted/v=<upto_batch>``, keeping each
+    row's ``batch_id``: a row is folded once. Run it for batches the stream has
+    committed. With ``prune``, the batch folders of earlier folds are deleted
+    (readers that listed them get one fold of grace). Returns the version
+    written, or None when there was nothing."""
     base_root = f"{table.rstrip('/')}_compacted"
-    versions = [v for v in list_versions(spark, base_root, "v") if v < upto_batch]
-    prev = versions[-1] if versions else -1
-    parts = []
-    if prev >= 0:
-        parts.append(spark.read.parquet(f"{base_root}/v={prev}"))
-    newer = [b for b in list_versions(spark, table, "batch_id") if prev < b <= upto_batch]
-    batches = read_batches(spark, table, newer)
-    if batches is not None:
-        parts.append(batches)
-    if not parts:
+    prev = max((v for v in list_versions(spark, base_root, "v") if v < upto_batch), default=-1)
+    rows = read_batches(spark, table, [b for b in list_versions(spark, table, "batch_id") if prev < b <= upto_batch])
+    if rows is None:
         return None
-    merged = parts[0]
-    for p in parts[1:]:
-        merged = merged.unionByName(p, allowMissingColumns=True)
-    merged.write.mode("overwrite").parquet(f"{base_root}/v={upto_batch}")
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{base_root}/v={upto_batch}")
     if prune and prev >= 0:
         delete_folders(spark, table, "batch_id", prev)
-        delete_folders(spark, base_root, "v", prev - 1)
     return upto_batch
 
 
 def read_log(spark: SparkSession, table: str) -> DataFrame | None:
-    """A batch-foldered table as one frame: newest compacted version plus the
-    batch folders written after it (with a ``batch_id`` column)."""
+    """A batch-foldered table as one frame: all folds plus the batch folders
+    written after the last one (with a ``batch_id`` column)."""
     base_root = f"{table.rstrip('/')}_compacted"
     versions = list_versions(spark, base_root, "v")
-    v = versions[-1] if versions else -1
-    parts = [spark.read.parquet(f"{base_root}/v={v}")] if v >= 0 else []
-    newer = read_batches(spark, table, [b for b in list_versions(spark, table, "batch_id") if b > v])
+    parts = []
+    if versions:
+        parts.append(spark.read.option("basePath", base_root).parquet(*[f"{base_root}/v={v}" for v in versions]).drop("v"))
+    last = versions[-1] if versions else -1
+    newer = read_batches(spark, table, [b for b in list_versions(spark, table, "batch_id") if b > last])
     if newer is not None:
         parts.append(newer)
     if not parts:

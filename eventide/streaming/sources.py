@@ -8,6 +8,8 @@ typed events, plus an arrival-order column (offset / file row order).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,13 +55,16 @@ def malformed_stream(raw: DataFrame) -> DataFrame:
         F.col(CORRUPT_COLUMN).alias("value"), *keep)
 
 
-def metadata_changelog_kafka(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """Batch read of the compacted metadata topic -> changelog rows."""
+def metadata_changelog_kafka(spark: SparkSession, cfg: PipelineConfig, seen: dict[int, int] | None = None) -> DataFrame:
+    """Batch read of the compacted metadata topic -> changelog rows (with ``partition``),
+    from the offsets after those ``seen`` (partition -> greatest offset)."""
+    starts = {str(p): (seen or {}).get(p, -3) + 1 for p in range(cfg.metadata_partitions)}  # -2: from the earliest
     raw = (spark.read.format("kafka").options(**cfg.kafka_reader_options(cfg.content_metadata_topic))
+           .option("startingOffsets", json.dumps({cfg.content_metadata_topic: starts}))
            .option("endingOffsets", "latest").load())
     return parse_metadata_messages(
         raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-                   "offset"))
+                   "offset", "partition"))
 
 
 def metadata_changelog_files(spark: SparkSession, path: str) -> DataFrame:

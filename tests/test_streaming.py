@@ -103,7 +103,7 @@ def test_affinity_reattributes_on_metadata_change(spark, tmp_path):
     def run(name):
         raw = file_stream(spark, str(ev_dir))
         query = q.start_affinity(event_stream(raw, watermark=False), layout,
-                                 lambda s: metadata_changelog_files(s, str(meta_dir)),
+                                 lambda s, _: metadata_changelog_files(s, str(meta_dir)),
                                  checkpoint=str(tmp_path / "ck2"), trigger={"availableNow": True},
                                  emit_zero=False, name=name)
         _drain(spark, query)
@@ -139,7 +139,7 @@ def test_job_with_listener_and_store(spark, tmp_path, lateness_files):
     _write_lines(meta_dir, "m.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}),
                                        "offset": 1}])
     raw = file_stream(spark, str(lateness_files), max_files_per_trigger=1)
-    job = start_job(spark, raw, lambda s: metadata_changelog_files(s, str(meta_dir)), str(tmp_path / "out"),
+    job = start_job(spark, raw, lambda s, _: metadata_changelog_files(s, str(meta_dir)), str(tmp_path / "out"),
                     trigger={"availableNow": True}, store_path=str(tmp_path / "store"),
                     compact_every=2, prune_compacted=True)
     job.drain()
@@ -157,23 +157,48 @@ def test_job_with_listener_and_store(spark, tmp_path, lateness_files):
     assert fl.filter("feature_name = 'click_rate' AND computed_at = '2026-01-01T01:00:00Z'").first().feature_value == 1.0
 
 
-def test_pair_compaction_keeps_totals(spark, tmp_path, monkeypatch):
-    """With compaction after every batch, totals equal the uncompacted run."""
-    monkeypatch.setattr(q, "PAIRS_COMPACT_EVERY", 1)
+def test_batches_without_metadata_change_read_no_pairs(spark, tmp_path, monkeypatch):
+    """Totals change by differences: the pair table is read only for contents that moved."""
     ev_dir, meta_dir = tmp_path / "events", tmp_path / "meta"
     layout = q.Layout(str(tmp_path / "out"))
     _write_lines(meta_dir, "m.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}),
                                        "offset": 1}])
+    reads = []
+    real = q.read_log
+    monkeypatch.setattr(q, "read_log", lambda s, table: reads.append(table) or real(s, table))
     for i in range(3):
-        _write_lines(ev_dir, f"e-{i:03d}.json", [_ev("u1", "c1", "view", f"10:0{i}:00")] * (i + 1))
+        _write_lines(ev_dir, f"e-{i:03d}.json", [_ev(f"u{k}", "c1", "view", f"10:0{i}:00") for k in range(40)] * (i + 1))
     raw = file_stream(spark, str(ev_dir), max_files_per_trigger=1)
     query = q.start_affinity(event_stream(raw, watermark=False), layout,
-                             lambda s: metadata_changelog_files(s, str(meta_dir)),
+                             lambda s, _: metadata_changelog_files(s, str(meta_dir)),
                              checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
     _drain(spark, query)
-    latest = q.feature_log(spark, layout).agg(F.max_by("feature_value", "seq")).first()[0]
-    assert latest == 6.0
-    assert q.read_table(spark, layout.pairs_base) is not None
+    assert reads == [layout.pairs]  # the first batch, in which the contents appear
+    latest = real(spark, layout.affinity).groupBy("entity_id").agg(F.max_by("feature_value", "seq").alias("v"))
+    assert {r.v for r in latest.collect()} == {6.0} and latest.count() == 40
+
+
+def test_metadata_partitions_and_rows_arriving_between_reads(spark, tmp_path):
+    """Offsets are compared per partition; rows that arrive while a batch runs belong to the next one."""
+    layout = q.Layout(str(tmp_path / "out"))
+    log = [("c1", "A", 100, 0), ("c2", "A", 5, 1)]
+    schema = "content_id string, category string, seq bigint, partition int"
+
+    def loader(s, seen):
+        rows = list(log)
+        if len(log) == 2:
+            log.extend([("c2", "B", 6, 1), ("c3", "C", 7, 1)])  # a slower partition, offsets far below 100
+        return s.createDataFrame(rows, schema).selectExpr(
+            "content_id", "category", "cast(null as string) creator_id", "cast(null as string) publish_timestamp",
+            "seq", "false as deleted", "partition")
+
+    events = spark.createDataFrame([("u", c) for c in ("c1", "c2", "c2", "c3")], "user_id string, content_id string")
+    for batch in range(3):
+        q.affinity_batch(events, batch, layout, loader)
+    q.affinity_batch(events, 2, layout, loader)  # a replay of the last batch
+    latest = (q.read_log(spark, layout.affinity).groupBy("feature_name").agg(F.max_by("feature_value", "seq").alias("v")))
+    got = {r.feature_name.rpartition(":")[2]: r.v for r in latest.collect()}
+    assert got == {"A": 3.0, "B": 6.0, "C": 3.0}
 
 
 def test_restart_from_checkpoint_continues(spark, tmp_path):
@@ -272,7 +297,7 @@ def test_permissive_job_quarantines_malformed_json(spark, tmp_path):
     src.mkdir()
     (src / "p.json").write_text(json.dumps(_ev("u1", "c1", "view", "10:00:00")) + "\n{broken\n")
     raw = file_stream(spark, str(src))
-    job = start_job(spark, raw, lambda s: metadata_changelog_files(s, str(meta_dir)), str(tmp_path / "out"),
+    job = start_job(spark, raw, lambda s, _: metadata_changelog_files(s, str(meta_dir)), str(tmp_path / "out"),
                     trigger={"availableNow": True}, mode="PERMISSIVE")
     job.drain()
     job.stop()
@@ -291,7 +316,7 @@ def test_affinity_batch_with_only_null_keys(spark, tmp_path):
     _write_lines(ev_dir, "e-1.json", [_ev("u1", "c1", "view", "10:01:00")])
     raw = file_stream(spark, str(ev_dir), max_files_per_trigger=1)
     query = q.start_affinity(event_stream(raw, watermark=False), layout,
-                             lambda s: metadata_changelog_files(s, str(meta_dir)),
+                             lambda s, _: metadata_changelog_files(s, str(meta_dir)),
                              checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
     _drain(spark, query)
     got = [(r.entity_id, r.feature_value) for r in q.feature_log(spark, layout).collect()]
@@ -311,7 +336,7 @@ def test_affinity_emit_zero_retracts_to_zero(spark, tmp_path):
     def run(name):
         raw = file_stream(spark, str(ev_dir))
         _drain(spark, q.start_affinity(event_stream(raw, watermark=False), layout,
-                                       lambda s: metadata_changelog_files(s, str(meta_dir)),
+                                       lambda s, _: metadata_changelog_files(s, str(meta_dir)),
                                        checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True},
                                        emit_zero=True, name=name))
         latest = (q.feature_log(spark, layout).groupBy("entity_id", "feature_name")
@@ -337,7 +362,7 @@ def test_backfill_compares_with_stream_output(spark, tmp_path, lateness_files):
     _write_lines(meta_dir, "m.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}),
                                        "offset": 1}])
     raw = file_stream(spark, str(lateness_files), max_files_per_trigger=1)
-    job = start_job(spark, raw, lambda s: metadata_changelog_files(s, str(meta_dir)), str(tmp_path / "stream"),
+    job = start_job(spark, raw, lambda s, _: metadata_changelog_files(s, str(meta_dir)), str(tmp_path / "stream"),
                     trigger={"availableNow": True})
     job.drain()
     job.stop()
@@ -352,7 +377,9 @@ def test_backfill_compares_with_stream_output(spark, tmp_path, lateness_files):
     assert div[("u1", "click_rate", f"{DAY}T01:00:00Z")] == (0.2, 1.0)
     # windows after the last watermark exist only in the batch
     assert all(s is None for (_, _, t), (_, s) in div.items() if t > f"{DAY}T03:00:00Z")
-    latest = spark.read.parquet(str(tmp_path / "backfill" / "latest"))
+    from eventide.operators.store import read_latest
+
+    latest = read_latest(spark, str(tmp_path / "backfill" / "latest"))
     assert latest.filter("feature_name = 'category_affinity_score:News'").first().feature_value == 7.0
 
 
@@ -370,29 +397,34 @@ def test_metric_state_stream(spark, tmp_path, lateness_files):
     assert row.current_watermark == 1767229200000
 
 
-def test_pair_compaction_with_pruning(spark, tmp_path, monkeypatch):
-    """Compaction every batch with pruning keeps totals right and drops the
-    deltas and bases that no replay can need."""
+def test_folding_and_pruning_keep_totals(spark, tmp_path):
+    """Folds take new batches only; pruned versions and folders change no result."""
     import os as _os
 
-    monkeypatch.setattr(q, "PAIRS_COMPACT_EVERY", 1)
     ev_dir, meta_dir = tmp_path / "events", tmp_path / "meta"
     layout = q.Layout(str(tmp_path / "out"))
-    _write_lines(meta_dir, "m.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}),
-                                       "offset": 1}])
-    for i in range(4):
+    meta = [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "News"}), "offset": 1}]
+    _write_lines(meta_dir, "m.json", meta)
+    for i in range(5):
         _write_lines(ev_dir, f"e-{i:03d}.json", [_ev("u1", "c1", "view", f"10:0{i}:00")])
-    raw = file_stream(spark, str(ev_dir), max_files_per_trigger=1)
-    _drain(spark, q.start_affinity(event_stream(raw, watermark=False), layout,
-                                   lambda s: metadata_changelog_files(s, str(meta_dir)),
-                                   checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True},
-                                   prune_compacted=True))
-    latest = q.feature_log(spark, layout).agg(F.max_by("feature_value", "seq")).first()[0]
-    assert latest == 4.0
-    deltas = sorted(d for d in _os.listdir(layout.pairs) if d.startswith("batch_id="))
-    bases = sorted(d for d in _os.listdir(layout.pairs_base) if d.startswith("v="))
-    # a replay of batch 3 reads base v=2 plus delta 3: nothing older is kept
-    assert deltas == ["batch_id=3"] and bases == ["v=2", "v=3"]
+
+    def run():
+        raw = file_stream(spark, str(ev_dir), max_files_per_trigger=1)
+        _drain(spark, q.start_affinity(event_stream(raw, watermark=False), layout,
+                                       lambda s, _: metadata_changelog_files(s, str(meta_dir)),
+                                       checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True},
+                                       prune_compacted=True, compact_every=1))
+        return {r.feature_name.rpartition(":")[2]: r.v for r in q.feature_log(spark, layout).groupBy("feature_name").agg(
+            F.max_by("feature_value", "seq").alias("v")).collect()}
+
+    assert run() == {"News": 5.0}
+    assert sorted(_os.listdir(layout.totals + "/manifests"))[-2:] == ["4", "5"]
+    folds = sorted(d for d in _os.listdir(layout.pairs + "_compacted") if d.startswith("v="))
+    assert folds == ["v=0", "v=1", "v=2", "v=3"]
+    assert q.read_log(spark, layout.pairs).agg(F.sum("n")).first()[0] == 5
+    _write_lines(meta_dir, "m2.json", [{"key": "c1", "value": json.dumps({"content_id": "c1", "category": "Tech"}), "offset": 2}])
+    _write_lines(ev_dir, "e-009.json", [_ev("u1", "c1", "view", "10:09:00")])
+    assert run() == {"News": 5.0, "Tech": 6.0}  # the stale value stays, as retractions are dropped
 
 
 def test_log_compaction_keeps_the_log(spark, tmp_path, lateness_files):
