@@ -20,9 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Folders that this process has made below the shared folder.
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder that ``spark.checkpoint.dir`` names."""
-    return f"{checkpoint_root(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    _made.append(f"{checkpoint_root(spark)}/llm-{uuid.uuid4().hex}")
+    return f"{_made[-1]}/{name}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all working tables of this process: results must be written by then, as lazy frames read them."""
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
