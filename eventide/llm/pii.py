@@ -17,7 +17,7 @@ its check is left as it is. Everything is a built-in expression.
 | phone | digits after the country code | country code, layout |
 | ip | four octets | dots |
 | date | day among the 73,049 = 17 x 4,297 of 1900 to 2099 | layout |
-| email | letters and digits of the local part | domain, case, punctuation |
+| email | ASCII letters and digits of the local part | domain, case, punctuation, other letters |
 | secret | hexadecimal digits | case |
 """
 
@@ -36,7 +36,7 @@ _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: What may be personal data, by kind; the first that matches a stretch counts. Lengths are
 #: bounded and starts are anchored by what precedes them, so the search is linear.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,256}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})(?![A-Za-z0-9])",
     "phone": r"(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}[ -]?)?\([0-9]{2,4}\)[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![A-Za-z0-9])"
