@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.config import (
+    AFFINITY_PREFIX,
     AVG_DWELL_TIME,
     CLICK_RATE,
     CONTENT_SLIDE_SECONDS,
@@ -27,6 +28,7 @@ from eventide.functions.timefmt import iso_micros, iso_seconds
 from eventide.operators import affinity as aff
 from eventide.operators import late, serving, store
 from eventide.operators import windows as win
+from eventide.session import checkpoint_root, materialise
 from eventide.sources import testdata
 from eventide.sources.changelog import metadata_snapshot
 from eventide.schemas import METRIC_RECORD
@@ -310,6 +312,17 @@ def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.entity_lookup(store.latest_features(log.filter(F.col("entity_id") == key)), LOOKUP_ENTITY)
 
 
+def stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup as a server does it: the log is merged into the stored latest-value
+    table, in two parts, and one id is read from the single bucket that can hold it."""
+    path = f"{checkpoint_root(spark)}/tables/store-{uuid.uuid4().hex}"
+    log = materialise(feature_log(spark, sf_dir), "feature_log")
+    affinity = F.col("feature_name").startswith(AFFINITY_PREFIX)
+    for part in (log.filter(affinity), log.filter(~affinity)):
+        store.upsert_latest(part, path)
+    return serving.entity_lookup(store.read_latest(spark, path, LOOKUP_ENTITY), LOOKUP_ENTITY)
+
+
 def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.entity_report(entity_lookup(spark, sf_dir), now_of(events(spark, sf_dir)))
 

@@ -236,6 +236,7 @@ WHERE stream_value IS NULL OR stream_value <> batch_value""",
     "metric_state": with_(*ALL_CORE, CLASSIFIED, LATE_METRICS, WM_SAMPLES, METRIC_LOG, STATE) + "SELECT * FROM st",
     "watermark_lag": with_(*ALL_CORE, CLASSIFIED, LATE_METRICS, WM_SAMPLES, METRIC_LOG, STATE) + LAG,
     "entity_lookup": with_(*ALL_CORE, LATEST) + LOOKUP,
+    "stored_lookup": with_(*ALL_CORE, LATEST) + LOOKUP,
     "entity_report": with_(*ALL_CORE, LATEST) + f"""SELECT entity_id, feature_name,
   printf('%.4f', feature_value) AS value_text, computed_at, {_age('received_at')} AS age
 FROM ({LOOKUP}) l""",

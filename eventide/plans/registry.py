@@ -35,6 +35,7 @@ QUERIES: dict[str, Query] = {
     "metric_state": batch.metric_state,
     "watermark_lag": batch.watermark_lag,
     "entity_lookup": batch.entity_lookup,
+    "stored_lookup": batch.stored_lookup,
     "entity_report": batch.entity_report,
     "freshness": batch.freshness,
     "recent_updates": batch.recent_updates,
