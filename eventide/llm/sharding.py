@@ -145,9 +145,9 @@ def shard(rows: DataFrame, shards: int = SHARDS, seed: int = 0, block_rows: int
     whole = sizes.agg(F.sum("count").alias("n"), F.max(part).alias("last")).first()
     total, partitions = whole.n or 0, (whole["last"] or 0) + 1
     # one row: the sizes of all partitions in order, empty ones included
-    listed = sizes.agg(F.map_from_entries(F.collect_list(F.struct(part, "count"))).alias("m")).select(
-        F.transform(F.sequence(F.lit(0).cast("long"), F.lit(partitions - 1).cast("long")),
-                    lambda p: F.coalesce(F.try_element_at(F.col("m"), p), F.lit(0).cast("long"))).alias("counts"))
+    every = rows.sparkSession.range(partitions).withColumnRenamed("id", part).join(sizes, part, "left")
+    listed = every.agg(F.array_sort(F.collect_list(F.struct(part, F.coalesce("count", F.lit(0)).alias("n")))).alias("l")).select(
+        F.transform("l", lambda x: x.n.cast("long")).alias("counts"))
     room = F.array(*[F.lit(total // shards + (s < total % shards)).cast("long") for s in range(shards)])
     matrix = saved(communication_matrix(listed, room, seed, partitions), "matrix")
 
