@@ -99,7 +99,7 @@ class LineRuns:
         self._drop([*runs, *([before] if before else [])])
 
     def forget(self) -> None:
-        """Take the runs out of the session's catalog; frames made from them go on reading their files."""
+        """Take the runs out of the session's catalog."""
         self._drop([name for level in self.levels for name in level] + ([self.decided] if self.decided else []))
 
     def common(self) -> DataFrame:
@@ -139,10 +139,12 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_do
     for batch in range(batches):
         own = hashed.where(F.col("batch") == batch)
         runs.add(own.select(F.explode(F.array_distinct("hashes")).alias("h")).where("h is not null"))
+    # a table of its own, so that both sides of the next join come from a shuffle: a hot line's rows are split, or it is broadcast
+    common = saved(runs.common(), "common")
+    runs.forget()
     lost = hashed.dropDuplicates(["k", "p"]).select("k", "p", F.posexplode("hashes").alias("at", "h")).where(
-        "h is not null").join(runs.common(), "h", "left_semi").groupBy("k", "p").agg(
+        "h is not null").join(common, "h", "left_semi").groupBy("k", "p").agg(
         F.array_sort(F.collect_list("at")).alias("lost"))
-    runs.forget()
     return _kept(docs, key, text, mark, print_, lost)
 
 
