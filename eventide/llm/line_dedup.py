@@ -48,7 +48,8 @@ class LineRuns:
     """In how many documents each line hash was seen, over all batches added.
 
     Runs have as many buckets as a shuffle has partitions when the store is
-    made: merges of runs need no shuffle, and a task writes one file.
+    made: a task writes one file, and a batch's counts, which one shuffle has
+    brought together by hash, are merge-joined with the decided run as it lies.
     """
 
     def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT):
@@ -56,21 +57,28 @@ class LineRuns:
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
         self.decided: str | None = None
+        self.paths: dict[str, str] = {}
 
     def _write(self, counts: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.paths[name] = scratch(self.spark, "run")
         (counts.select("h", "docs").repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").sortBy("h")
-         .option("path", scratch(self.spark, "run")).saveAsTable(name))
+         .option("path", self.paths[name]).saveAsTable(name))
         return name
 
+    def _files(self, name: str) -> DataFrame:
+        """A run's rows without its buckets. Spark 4.1 takes a union of bucketed tables for one
+        bucketed table and then groups it without a shuffle, which splits keys."""
+        return self.spark.read.schema("h binary, docs long").parquet(self.paths[name])
+
     def _drop(self, names: list[str]) -> None:
         for name in names:  # the files stay in the shared folder: a lazy plan may still read them
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def _summed(self, names: list[str]) -> DataFrame:
-        frame = self.spark.table(names[0])
+        frame = self._files(names[0])
         for name in names[1:]:
-            frame = frame.unionByName(self.spark.table(name))
+            frame = frame.unionByName(self._files(name))
         return frame.groupBy("h").agg(F.sum("docs").alias("docs"))
 
     def add(self, hashes: DataFrame) -> None:
@@ -92,7 +100,7 @@ class LineRuns:
         merged = saved(self._summed(runs), "merged")
         over = merged.where(F.col("docs") >= self.min_docs)
         if self.decided:
-            over = over.unionByName(self.spark.table(self.decided)).dropDuplicates(["h"])
+            over = over.unionByName(self._files(self.decided)).dropDuplicates(["h"])
         before, self.decided = self.decided, self._write(over)
         self.levels[level + 1].append(self._write(merged.where(F.col("docs") < self.min_docs)))
         self.levels[level] = []
@@ -106,7 +114,7 @@ class LineRuns:
         """Distinct hashes (``h``) of the lines found in at least ``min_docs`` documents so far."""
         runs = [name for level in self.levels for name in level]
         found = self._summed(runs).where(F.col("docs") >= self.min_docs).select("h") if runs else None
-        decided = self.spark.table(self.decided).select("h") if self.decided else None
+        decided = self._files(self.decided).select("h") if self.decided else None
         if decided is None:
             return found
         return decided if found is None else decided.unionByName(found).distinct()

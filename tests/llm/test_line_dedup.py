@@ -35,6 +35,22 @@ def test_against_brute_force(spark, seed, batches, fanout, min_docs):
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(str((k, *w)) for (k, *_), w in zip(rows, want, strict=True))
 
 
+@pytest.mark.parametrize("partitions", ["2", "4", "32"])
+def test_runs_sum_over_batches_for_any_number_of_buckets(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        runs = ld.LineRuns(spark, min_docs=5, fanout=3)
+        for _ in range(5):  # every hash once a batch, some in the last batches only
+            runs.add(spark.range(300).selectExpr("unhex(substring(sha2(cast(id as string), 256), 1, 32)) h"))
+        assert runs.common().count() == 300
+        runs.add(spark.range(200, 400).selectExpr("unhex(substring(sha2(cast(id as string), 256), 1, 32)) h"))
+        assert runs.common().count() == 300
+        runs.forget()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_empty_table(spark):
     assert ld.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
