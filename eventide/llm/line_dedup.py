@@ -85,7 +85,10 @@ class LineRuns:
         """Add a batch: one row (``h``) per distinct line of each document."""
         counts = hashes.groupBy("h").agg(F.count(F.lit(1)).alias("docs"))
         if self.decided:
-            counts = counts.join(self.spark.table(self.decided).hint("merge"), "h", "left_anti")
+            # an anti join, written as an outer join: Spark would push the former below the counting,
+            # and a hot line's rows would travel one by one to be dropped
+            decided = self.spark.table(self.decided).select("h", F.lit(True).alias("known"))
+            counts = counts.join(decided.hint("merge"), "h", "left").where("known is null")
         self.levels[0].append(self._write(counts))
         level = 0
         while len(self.levels[level]) >= self.fanout:
