@@ -195,12 +195,17 @@ def serving_messages(log: DataFrame, metrics: DataFrame) -> DataFrame:
             .unionByName(topic("flink-metrics", m, F.to_json(F.struct("metric_name", "metric_value", "computed_at")), F.col("seq"))))
 
 
+def written_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The feature log and the metric log as tables of this query: what reads them several times makes them once."""
+    ev = events(spark, sf_dir)
+    log = materialise(feature_log_of(ev, metadata_latest(spark, sf_dir)), "feature_log")
+    return log, materialise(late.metric_log(late.classify(ev), ev), "metric_log")
+
+
 def serving_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both logs sent as messages and read back: accepted features, and the state
     with its last feature time taken from the log that was read."""
-    ev = events(spark, sf_dir)
-    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
-    messages = serving_messages(log, late.metric_log(late.classify(ev), ev))
+    messages = materialise(serving_messages(*written_logs(spark, sf_dir)), "messages")
     read = feature_log_from_messages(messages)
     state = serving.metric_state(metric_log_from_messages(messages), read)
     return state.select(read.select(F.count(F.lit(1))).scalar().alias("n_features"), "*")
@@ -338,9 +343,7 @@ def recent_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
-    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
-    return serving.change_feed(log, late.metric_log(late.classify(ev), ev))
+    return serving.change_feed(*written_logs(spark, sf_dir))
 
 
 def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

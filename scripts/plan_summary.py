@@ -1,4 +1,4 @@
-"""Summarize the physical plan of every registered query (markdown table).
+"""Summarize the physical plans of the registered feature queries (markdown table).
 Usage: python scripts/plan_summary.py [sf_dir] > PLANS.md"""
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ import sys
 sys.path.insert(0, ".")
 from pyspark.sql import DataFrameWriter  # noqa: E402
 
-import __spark_entry__ as entry  # noqa: E402
+from eventide.plans import registry  # noqa: E402
 from eventide.session import local_session  # noqa: E402
 
 COUNTS = [
@@ -44,7 +44,7 @@ def main() -> None:
     DataFrameWriter.parquet = noted
     print("| query | " + " | ".join(c for c, _ in COUNTS) + " |")
     print("| --- |" + " --- |" * len(COUNTS))
-    for name, fn in entry.queries().items():
+    for name, fn in registry.queries().items():
         ran.clear()
         final = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         plans = [*ran, final]
