@@ -10,7 +10,8 @@ gzip magic as line separator: a task scans its range for the magic and owns
 what starts inside. Such a candidate is a record only if its member header and
 the first bytes it decodes to are right. The magic also turns up inside
 compressed data, so bytes that start no record belong to the member before
-them; where that member began in an earlier range, both parts leave their tasks
+them, or to one of their own that follows it (its first bytes hold the magic);
+where that member began in an earlier range, both parts leave their tasks
 as fragments and are joined by file and range. No file is read as a whole.
 """
 
@@ -33,6 +34,8 @@ EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff03000000000000000000")
 MIN_REVISIT_BYTES = 100
 #: Compressed bytes that the writer puts between two separators, about.
 BLOCK_BYTES = 1 << 20
+#: Compressed bytes that the reader decodes at once.
+PIECE_BYTES = 1 << 16
 #: Time of the records: archives of equal pages are equal.
 RECORD_DATE = "2024-01-01T00:00:00Z"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -139,14 +142,26 @@ def starts_record(candidate: bytes) -> bool:
     return head.startswith(b"WARC/1.") or (opened.eof and not head)
 
 
-def decoded(data: bytes) -> bytes | None:
-    """A member's content, or None where it is not complete or not right."""
+def decoded(data: bytes) -> list[bytes] | None:
+    """Contents of the members that the data is made of, or None where one is not complete or not right.
+
+    There is more than one where a member's first bytes hold the magic: what stands before that is too short
+    to be seen as a record's start, so the member was added to the one before it.
+    """
+    out, at = [], 0
     try:
-        opened = zlib.decompressobj(31)
-        out = opened.decompress(data)
+        while at < len(data):
+            opened, parts = zlib.decompressobj(31), []
+            while not opened.eof:
+                if at == len(data):
+                    return None
+                piece = data[at:at + PIECE_BYTES]
+                parts.append(opened.decompress(piece))
+                at += len(piece) - len(opened.unused_data)
+            out.append(b"".join(parts))
     except zlib.error:
         return None
-    return out if opened.eof else None
+    return out
 
 
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload binary, digest string"
@@ -178,11 +193,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         def whole() -> bool:
             """Close the member that is being read, if all of it is there."""
             nonlocal open_
-            data = decoded(MAGIC + b"".join(open_)) if open_ else b""
-            if data is None:
+            found = decoded(MAGIC + b"".join(open_)) if open_ else []
+            if found is None:
                 return False
-            if data:
-                out.append(parse(data))
+            out.extend(parse(data) for data in found if data)
             open_ = None
             return True
 
@@ -226,11 +240,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                data = decoded(MAGIC + MAGIC.join(p["part"] for p in row["parts"]))
-                if data is None:
+                found = decoded(MAGIC + MAGIC.join(p["part"] for p in row["parts"]))
+                if found is None:
                     raise ValueError(f"no whole WARC record at {row['parts'][0]['start']} of {row['file']}")
-                if data:
-                    rows.append(parse(data))
+                rows += [parse(data) for data in found if data]
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
                     [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),

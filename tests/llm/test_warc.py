@@ -88,6 +88,35 @@ def test_archive_inside_a_record(spark, tmp_path):
     assert [(r.page_id, bytes(r.payload)) for r in warc.read_archives(spark, f"{tmp_path}/a.warc").collect()] == [(1, inner)] * 2
 
 
+@pytest.mark.parametrize("size", ["23", "150", "333", "100000"])
+def test_magic_in_the_first_bytes_of_a_member(spark, tmp_path, size):
+    """The bytes before the next magic are too few to decode: such a member is a record all the same."""
+    rnd = random.Random(5)
+    bodies = [bytes(rnd.choice(b"abcdefgh ") for _ in range(rnd.randrange(20, 600))) for _ in range(30)]
+    data = b""
+    for i, body in enumerate(bodies):
+        one = warc.member(warc.record(i, "u", body, hashlib.sha256(body).hexdigest(), "response", None))
+        if i % 7 < 4:  # the magic as a time stamp: nothing before it can be decoded
+            one = one[:4] + warc.MAGIC + one[7:]
+        data += one + (warc.EMPTY_MEMBER if i % 5 == 0 else b"")
+    Path(tmp_path, "a.warc").write_bytes(data)
+    assert gzip.decompress(data).count(b"WARC/1.1") == 30
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = sorted((r.page_id, bytes(r.payload)) for r in warc.read_archives(spark, f"{tmp_path}/a.warc").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == list(enumerate(bodies))
+
+
+def test_bytes_after_a_member_raise(spark, tmp_path):
+    good = warc.member(warc.record(1, "u", b"abc" * 99, "d", "response", None))
+    Path(tmp_path, "a.warc").write_bytes(good + b"rest")
+    with pytest.raises(Exception, match="no whole WARC record"):
+        warc.read_archives(spark, f"{tmp_path}/a.warc").collect()
+
+
 def test_broken_archive_raises(spark, tmp_path):
     good = warc.member(warc.record(1, "u", b"abc" * 99, "d", "response", None))
     Path(tmp_path, "a.warc").write_bytes(good + good[:-9])
