@@ -32,21 +32,36 @@ ROUNDS = 10
 #: Key of the registered query; a deployment passes its own.
 KEY = "eventide-pseudonyms"
 
+#: Length of an IBAN by country (the registry's); codes that are not listed have 15 to 34 characters.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+_LISTED = "(?:" + "|".join(
+    f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items()) + ")(?![A-Za-z0-9])"
+_CODES = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+#: Sizes of the digit groups of a written card, besides 13 to 19 digits in one.
+CARD_LAYOUTS = ("4-4-4-4-", "4-6-5-", "4-6-4-", "4-3-3-3-", "4-4-4-4-3-")
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: What may be personal data, by kind; the first that matches a stretch counts. Lengths are
 #: bounded and starts are anchored by what precedes them, so the search is linear.
 PATTERNS = {
     "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,256}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_LISTED}|(?!{_CODES})[A-Z]{{2}}[0-9]{{2}}(?:(?: (?!{_LISTED}))?[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})(?![A-Za-z0-9])",
     "phone": r"(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}[ -]?)?\([0-9]{2,4}\)[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![A-Za-z0-9])"
              r"|(?<![A-Za-z0-9+])\+[0-9]{1,3}[ -][0-9]{2,4}[ -][0-9]{3,4}[ -]?[0-9]{3,4}(?![A-Za-z0-9])",
     "ssn": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
     "date": r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![A-Za-z0-9/-])",
     "ip": rf"(?<![A-Za-z0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[A-Za-z0-9])",
-    "card": r"(?<![A-Za-z0-9])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9])",
 }
+#: A run of digit groups, up to where another kind begins: the cards in it are looked for by :func:`cards`.
+_OTHER = "|".join(PATTERNS[kind] for kind in ("phone", "ssn", "date", "ip"))
+PATTERNS["card"] = (rf"(?<![A-Za-z0-9])(?=[0-9](?:(?:[ -](?!{_OTHER}))?[0-9]){{12}})[0-9]{{1,19}}(?![A-Za-z0-9])"
+                    rf"(?:[ -](?!{_OTHER})[0-9]{{1,19}}(?![A-Za-z0-9]))*+")
 ANY = "|".join(PATTERNS.values())
+PARTS = "array<struct<kind:string,pseudonym:string>>"
 DATE_LAYOUTS = {"-": "yyyy-MM-dd", "/": "dd/MM/yyyy", ".": "dd.MM.yyyy"}
 
 
@@ -202,6 +217,48 @@ def replaced(kind: str, m: Column, key: str, undo: bool = False) -> Column:
     return _letters_and_digits(m, "A-Fa-f", kind, key, undo)
 
 
+def cards(m: Column, key: str, undo: bool = False) -> Column:
+    """(kind, text) of the parts of a run of digit groups: cards replaced, the rest of null kind.
+
+    A card is one group of 13 to 19 digits or groups of a usual layout, whatever digits stand beside it
+    (expiry, code, other numbers); without one, the run as a whole may be a card in groups of any size.
+    """
+    part = lambda kind, text: F.struct(F.lit(kind).cast("string").alias("kind"), text.alias("pseudonym"))
+    text_of = lambda pieces, i, n: F.regexp_replace(F.array_join(F.slice(pieces, i + 1, n), ""), "[ -]$", "")
+    width = lambda x: F.length(F.regexp_replace(x, "[^0-9]", ""))
+
+    def groups_at(pieces: Column, i: Column) -> Column:
+        """How many groups from ``i`` on are a card; 0 for none."""
+        sizes = F.array_join(F.transform(F.slice(pieces, i + 1, 5), lambda x: F.concat(width(x).cast("string"), F.lit("-"))), "")
+        fits = lambda n: valid("card", text_of(pieces, i, F.lit(n)))
+
+        def chosen(z: Column) -> Column:
+            out = F.when(z.rlike("^1[3-9]-") & fits(1), 1)
+            for layout in CARD_LAYOUTS:
+                out = out.when(z.startswith(layout) & fits(layout.count("-")), layout.count("-"))
+            return out.otherwise(0)
+
+        return let(sizes, chosen)
+
+    def parted(pieces: Column, taken: Column) -> Column:
+        """The parts, from the groups and the number of groups of the card that begins at each."""
+        def step(state: Column, i: Column) -> Column:
+            n, last = F.element_at(taken, i + 1), lambda n: F.element_at(pieces, i + n)
+            after = lambda n: F.array(part(None, F.regexp_extract(last(n), "[ -]$", 0)))
+            return F.when(i < state["next"], state).when(n > 0, F.struct((i + n).alias("next"), F.concat(
+                state["parts"], F.array(part("card", replaced("card", text_of(pieces, i, n), key, undo))), after(n)).alias("parts"))
+            ).otherwise(F.struct((i + 1).alias("next"), F.concat(state["parts"], F.array(part(None, last(F.lit(1))))).alias("parts")))
+
+        start = F.struct(F.lit(0).alias("next"), F.array().cast(PARTS).alias("parts"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(pieces) - 1), start, step, lambda state: state["parts"])
+
+    whole = F.when(width(m).between(13, 19) & valid("card", m), F.array(part("card", replaced("card", m, key, undo)))
+                   ).otherwise(F.array(part(None, m)))
+    return let(F.regexp_extract_all(m, F.lit("[0-9]+[ -]?"), F.lit(0)), lambda pieces: let(
+        F.transform(pieces, lambda _, i: groups_at(pieces, i)),
+        lambda taken: F.when(F.exists(taken, lambda n: n > 0), parted(pieces, taken)).otherwise(whole)))
+
+
 # --- the operator --------------------------------------------------------------------------
 
 def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", undo: bool = False) -> DataFrame:
@@ -218,21 +275,22 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", undo: bool
         out = None
         for kind, pattern in PATTERNS.items():
             is_kind = m.rlike(f"^(?:{pattern})$")
-            one = F.when(valid(kind, m), F.struct(F.lit(kind).alias("kind"), replaced(kind, m, key, undo).alias("pseudonym"))
-                         ).otherwise(F.struct(F.lit(None).cast("string").alias("kind"), m.alias("pseudonym")))
+            one = cards(m, key, undo) if kind == "card" else F.array(
+                F.when(valid(kind, m), F.struct(F.lit(kind).alias("kind"), replaced(kind, m, key, undo).alias("pseudonym"))
+                       ).otherwise(F.struct(F.lit(None).cast("string").alias("kind"), m.alias("pseudonym"))))
             out = F.when(is_kind, one) if out is None else out.when(is_kind, one)
         return out
 
-    none = F.array().cast("array<struct<kind:string,pseudonym:string>>")
+    none = F.array().cast(f"array<{PARTS}>")
     cut = docs.withColumn(found, F.when(source.rlike("[0-9@]"), F.transform(
         F.regexp_extract_all(source, F.lit(ANY), F.lit(0)), judged)).otherwise(none))
     some = F.size(found) > 0
     woven = F.array_join(F.flatten(F.zip_with(
-        F.split(source, ANY, -1), F.col(found), lambda gap, m: F.array(gap, F.coalesce(m.pseudonym, F.lit(""))))), "")
+        F.split(source, ANY, -1), F.col(found), lambda gap, m: F.array(gap, F.coalesce(F.array_join(m.pseudonym, ""), F.lit(""))))), "")
     kept = [c for c in docs.columns if c.lower() != "pseudonyms"]
     return cut.select(
         *[F.when(some, woven).otherwise(source).alias(c) if c == text else F.col(f"`{c}`") for c in kept],
-        F.coalesce(F.filter(found, lambda m: m.kind.isNotNull()), none).alias("pseudonyms"))
+        F.coalesce(F.filter(F.flatten(found), lambda m: m.kind.isNotNull()), F.array().cast(PARTS)).alias("pseudonyms"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,6 +121,38 @@ def test_days_and_numbers_are_permuted(spark):
     assert small.distinct().count() == 1000
 
 
+#: Text, and the values in it with their kinds, written down by hand.
+BESIDE = [
+    ("4111 1111 1111 1111 12/27", [("card", "4111 1111 1111 1111")]),
+    ("4111 1111 1111 1111 123", [("card", "4111 1111 1111 1111")]),
+    ("no 7 4111111111111111", [("card", "4111111111111111")]),
+    ("12/27 4111-1111-1111-1111 123, 5", [("card", "4111-1111-1111-1111")]),
+    ("ref 1234567 3782 822463 10005 1234 x", [("card", "3782 822463 10005")]),
+    ("1 2 3 4111 1111 1111 1111 5500 0000 0000 0004 9 99", [("card", "4111 1111 1111 1111"), ("card", "5500 0000 0000 0004")]),
+    ("41111111 11111111", [("card", "41111111 11111111")]),
+    ("5 1984-02-29 4111111111111111 123-45-6789 7", [("date", "1984-02-29"), ("card", "4111111111111111"), ("ssn", "123-45-6789")]),
+    ("4111 1111 1111 1112 123", []),
+    ("DE89370400440532013000 BIC COBADEFFXXX", [("iban", "DE89370400440532013000")]),
+    ("DE89 3704 0044 0532 0130 00 12 AB", [("iban", "DE89 3704 0044 0532 0130 00")]),
+    ("AB12 REF GB82 WEST 1234 5698 7654 32 FOR 30", [("iban", "GB82 WEST 1234 5698 7654 32")]),
+    ("NO9386011117947 BE68539007547034", [("iban", "NO9386011117947"), ("iban", "BE68539007547034")]),
+]
+
+
+def test_values_beside_others(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(BESIDE)] + [(99, "8 " * 3000 + "x")], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(docs, key="k").collect()}
+    assert got[99].text == "8 " * 3000 + "x"
+    for i, (text, spots) in enumerate(BESIDE):
+        new = [(p.kind, p.pseudonym) for p in got[i].pseudonyms]
+        assert [k for k, _ in new] == [k for k, _ in spots], text
+        want = text
+        for (kind, old), (_, pseudonym) in zip(spots, new, strict=True):
+            assert old != pseudonym and CHECK[kind](pseudonym)
+            want = want.replace(old, pseudonym)
+        assert got[i].text == want
+
+
 def test_empty_table(spark):
     assert pii.pseudonymise(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
