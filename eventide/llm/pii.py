@@ -43,6 +43,12 @@ _LISTED = "(?:" + "|".join(
 _CODES = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
 #: Sizes of the digit groups of a written card, besides 13 to 19 digits in one.
 CARD_LAYOUTS = ("4-4-4-4-", "4-6-5-", "4-6-4-", "4-3-3-3-", "4-4-4-4-3-")
+_DATE = (r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
+         r"(?!(?!T[0-9]{2}:)[A-Za-z0-9/-])")
+#: Country codes of one, two and three digits: where a phone number has no mark after its code.
+_COUNTRY = "(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+#: What a group of a phone number does not begin: a date, or a card in groups.
+_NO_PHONE = rf"(?!{_DATE}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}|[0-9]{{4}}[ -][0-9]{{6}}[ -])"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: What may be personal data, by kind; the first that matches a stretch counts. Lengths are
 #: bounded and starts are anchored by what precedes them, so the search is linear.
@@ -51,9 +57,12 @@ PATTERNS = {
     "iban": rf"(?<![A-Za-z0-9])(?:{_LISTED}|(?!{_CODES})[A-Z]{{2}}[0-9]{{2}}(?:(?: (?!{_LISTED}))?[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})(?![A-Za-z0-9])",
     "phone": r"(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}[ -]?)?\([0-9]{2,4}\)[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![A-Za-z0-9])"
-             r"|(?<![A-Za-z0-9+])\+[0-9]{1,3}[ -][0-9]{2,4}[ -][0-9]{3,4}[ -]?[0-9]{3,4}(?![A-Za-z0-9])",
+             r"|(?<![A-Za-z0-9+])\+[0-9]{1,3}[ -][0-9]{2,4}[ -][0-9]{3,4}[ -]?[0-9]{3,4}(?![A-Za-z0-9])"
+             rf"|(?<![A-Za-z0-9+])(?=\+(?:[ .-]?[0-9]){{8}})\+(?:[0-9]{{8,15}}|[0-9]{{1,3}}[ .-][0-9]{{6,12}}"
+             rf"|[0-9]{{1,3}}(?:[ .-]{_NO_PHONE}[0-9]{{1,4}}){{2,5}})(?![A-Za-z0-9])"
+             r"|(?<![A-Za-z0-9+.-])(?:(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}|(?:1\.)?[0-9]{3}\.[0-9]{3}\.[0-9]{4})(?![A-Za-z0-9]|[.-][0-9])",
     "ssn": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
-    "date": r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![A-Za-z0-9/-])",
+    "date": _DATE,
     "ip": rf"(?<![A-Za-z0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[A-Za-z0-9])",
 }
 #: A run of digit groups, up to where another kind begins: the cards in it are looked for by :func:`cards`.
@@ -199,7 +208,7 @@ def replaced(kind: str, m: Column, key: str, undo: bool = False) -> Column:
             "-", F.lpad((n[0] + F.when(n[0] >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
             F.lpad((n[1] + 1).cast("string"), 2, "0"), F.lpad((n[2] + 1).cast("string"), 4, "0")))
     if kind == "phone":
-        code = F.regexp_extract(m, r"^(\+[0-9]{1,3}(?:[ -]|(?=\()))", 1)
+        code = F.regexp_extract(m, rf"^(\+(?:[0-9]{{1,3}}(?:[ .-]|(?=\())|{_COUNTRY}(?=[0-9]))|1[.-](?=[0-9]{{3}}[.-]))", 1)
         return let(code, lambda c: let(F.substring(m, F.length(c) + 1, F.length(m)), lambda rest: let(digits(rest), lambda d: let(
             feistel(d, _same(d, 10), key, kind, undo), lambda n: F.concat(c, refill(rest, "[0-9]", _texts(n)))))))
     if kind == "ip":

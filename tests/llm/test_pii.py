@@ -153,6 +153,35 @@ def test_values_beside_others(spark):
         assert got[i].text == want
 
 
+LAYOUTS = [
+    ("call +14155552671.", [("phone", "+14155552671", "+1")]),
+    ("415-555-2671 or 1-415-555-2672", [("phone", "415-555-2671", ""), ("phone", "1-415-555-2672", "1-")]),
+    ("415.555.2671, v1.2.3.4.5 at 10.0.0.255", [("phone", "415.555.2671", ""), ("ip", "10.0.0.255", "")]),
+    ("+33 1 23 45 67 89 and +1.415.555.2671", [("phone", "+33 1 23 45 67 89", "+33 "), ("phone", "+1.415.555.2671", "+1.")]),
+    ("+41 44 668 18 00 1984-02-29", [("phone", "+41 44 668 18 00", "+41 "), ("date", "1984-02-29", "")]),
+    ("+1 4155552671 4111 1111 1111 1111", [("phone", "+1 4155552671", "+1 "), ("card", "4111 1111 1111 1111", "")]),
+    ("at 1984-02-29T10:00", [("date", "1984-02-29", "")]),
+    ("1984-02-29Tx 1+2 555-2671 +12", []),
+]
+
+
+def test_layouts_of_phones_and_dates(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LAYOUTS)], "doc_id long, text string")
+    frame = pii.pseudonymise(docs, key="k")
+    got = {r.doc_id: r for r in frame.collect()}
+    for i, (text, spots) in enumerate(LAYOUTS):
+        new = [(p.kind, p.pseudonym) for p in got[i].pseudonyms]
+        assert [k for k, _ in new] == [k for k, *_ in spots], text
+        for (kind, old, code), (_, pseudonym) in zip(spots, new, strict=True):
+            assert old != pseudonym and pseudonym.startswith(code)
+            assert re.fullmatch(pii.PATTERNS[kind], pseudonym)
+            assert kind == "ip" or re.sub("[0-9]", "9", old) == re.sub("[0-9]", "9", pseudonym)
+            text = text.replace(old, pseudonym)
+        assert got[i].text == text
+    back = pii.pseudonymise(frame.select("doc_id", "text"), key="k", undo=True).collect()
+    assert {r.doc_id: r.text for r in back} == {i: t for i, (t, _) in enumerate(LAYOUTS)}
+
+
 def test_empty_table(spark):
     assert pii.pseudonymise(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
