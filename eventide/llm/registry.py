@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from eventide.llm import bpe, decontamination, line_dedup, maxent_lm, pieces, pii, quality, sharding, simhash, token_counts, warc
+from eventide.llm import (
+    bpe,
+    decontamination,
+    line_dedup,
+    maxent_lm,
+    periodic_runs,
+    pieces,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -15,6 +28,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_sharding": sharding.op10_sharding,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op13_sentencepiece": pieces.op13_sentencepiece,
 }
 
