@@ -7,6 +7,7 @@ from eventide.llm import (
     decontamination,
     line_dedup,
     maxent_lm,
+    merkle,
     periodic_runs,
     pieces,
     pii,
@@ -29,10 +30,12 @@ QUERIES = {
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_sharding": sharding.op10_sharding,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_merkle": merkle.op12_merkle,
     "op13_sentencepiece": pieces.op13_sentencepiece,
 }
 
 SQL: dict[str, str] = {
     "op6_warc": warc.OP6_SQL,
     "op3_line_dedup": line_dedup.OP3_SQL,
+    "op12_merkle": merkle.OP12_SQL,
 }
