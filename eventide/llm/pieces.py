@@ -38,11 +38,11 @@ from eventide.llm.common import free_name, table
 #: Fixed value: the mark that stands for a blank in normalised text.
 MARK = "▁"
 #: Units a worker remembers; then it starts anew, which changes no result.
-MAX_UNITS = 300_000
+MAX_UNITS = 100_000
 #: Tokens of all units that a worker remembers, likewise.
-MAX_TOKENS = 4_000_000
+MAX_TOKENS = 1_000_000
 #: Characters of texts that are encoded together, about; one text is never split over two batches.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 500_000
 #: Symbols of a unit from which on it is merged from a heap instead of in rounds.
 HEAP_FROM = 2_048
 #: No pair.
@@ -58,13 +58,56 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+class Pairs:
+    """Whole numbers by pairs of symbols, looked up for whole arrays: a hash table with as many planes as its fullest slot has keys."""
+
+    FREE = -1
+
+    def __init__(self, of: dict[int, int]):
+        keys = np.array(list(of), np.int64)
+        self.shift = np.uint64(64 - max(8, int(len(of) * 4).bit_length()))
+        slots = self.slots(keys)
+        order = np.argsort(slots, kind="stable")
+        ranked = slots[order]
+        heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        plane = np.arange(len(ranked)) - np.repeat(heads, np.diff(heads, append=len(ranked)))
+        shape = (int(plane.max()) + 1, 1 << (64 - int(self.shift)))
+        self.keys, self.values = np.full(shape, self.FREE, np.int64), np.full(shape, self.FREE, np.int32)
+        self.keys[plane, ranked] = keys[order]
+        self.values[plane, ranked] = np.array(list(of.values()), np.int32)[order]
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 if it has none."""
+        slots = self.slots(keys)
+        found = self.keys[0][slots]
+        out = np.where(found == keys, self.values[0][slots], self.FREE)
+        rest = np.flatnonzero((found != keys) & (found != self.FREE))
+        for known, values in zip(self.keys[1:], self.values[1:], strict=True):
+            if not len(rest):
+                break
+            found = known[slots[rest]]
+            hit = found == keys[rest]
+            out[rest[hit]] = values[slots[rest[hit]]]
+            rest = rest[~hit & (found != self.FREE)]
+        return out
+
+
+@functools.lru_cache(maxsize=2)
+def library(path: str | None):
+    """The library's processor, one per worker process and model."""
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path or default_model())
+
+
 class Model:
     """Tables of a BPE model with byte fallback, from the library's view of its file."""
 
     def __init__(self, path: str | None):
-        import sentencepiece
-
-        self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path or default_model())
+        self.library = sp = library(path)
         self.size = size = sp.vocab_size()
         pieces, self.byte = {}, np.zeros(256, np.int64)
         scores = np.array([sp.get_score(i) for i in range(size)])
@@ -89,15 +132,15 @@ class Model:
                 a, b = symbol.get(piece[:k]), symbol.get(piece[k:])
                 if a is not None and b is not None:
                     merged[a << BITS | b] = i
-        self.pairs = np.array(sorted(merged), np.int64)
-        self.made = np.array([merged[p] for p in self.pairs.tolist()], np.int64)
+        #: The piece that a pair of symbols makes.
+        self.made = Pairs(merged)
         self.of = merged
         self.char = np.arange(size, size + 0x110000, dtype=np.int64)
         for piece, i in pieces.items():
             if len(piece) == 1:
                 self.char[ord(piece)] = i
         #: Two characters that stand beside each other in some piece.
-        self.beside = np.array(sorted({ord(p[k]) << BITS | ord(p[k + 1]) for p in pieces for k in range(len(p) - 1)}), np.int64)
+        self.beside = Pairs({ord(p[k]) << BITS | ord(p[k + 1]): 0 for p in pieces for k in range(len(p) - 1)})
         self.alone = np.zeros(size, bool)
         for piece, i in pieces.items():
             inner = piece[:-1]
@@ -119,11 +162,6 @@ class Model:
         self.tokens = np.zeros(0, np.int64)
         self.starts = np.zeros(1, np.int64)
 
-    def lookup(self, pairs: np.ndarray) -> np.ndarray:
-        """The piece that each pair of symbols makes, -1 if none."""
-        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == pairs, self.made[at], -1)
-
     def heap(self, symbols: list[int]) -> list[int]:
         """The merges of one unit in order of rank, leftmost first, from a heap."""
         n = len(symbols)
@@ -157,9 +195,7 @@ class Model:
         symbols = self.char[points]
         # within a unit, characters that no piece has side by side never meet: segments end there too
         cut = np.ones(len(points), bool)
-        keys = points[:-1] << BITS | points[1:]
-        at = np.minimum(np.searchsorted(self.beside, keys), len(self.beside) - 1)
-        cut[1:] = (unit[1:] != unit[:-1]) | (self.beside[at] != keys)
+        cut[1:] = (unit[1:] != unit[:-1]) | (self.beside(points[:-1] << BITS | points[1:]) < 0)
         place = np.arange(len(points))
         ends = np.flatnonzero(cut)
         done_symbols, done_places = [], []
@@ -173,9 +209,9 @@ class Model:
         symbols, place, first = symbols[live], place[live], cut[live]
         while len(symbols):
             starts = np.flatnonzero(first)
-            made = np.full(len(symbols), -1, np.int64)
+            made = np.full(len(symbols), -1, np.int32)
             inner = np.flatnonzero(~first) - 1
-            made[inner] = self.lookup(symbols[inner] << BITS | symbols[inner + 1])
+            made[inner] = self.made(symbols[inner] << BITS | symbols[inner + 1])
             rank = np.where(made >= 0, self.rank[made], NONE)
             least = np.minimum.reduceat(rank, starts)
             sizes = np.diff(starts, append=len(symbols))
@@ -232,7 +268,7 @@ class Model:
             self.forget()
             new = set().union(*units)
         if new:
-            self.learn(sorted(new))
+            self.learn(list(new))
         out = []
         for found in units:
             which = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
@@ -251,7 +287,7 @@ def model(path: str | None) -> Model:
     return Model(path)
 
 
-def _groups(texts: list[str]):
+def _groups(texts):
     """Consecutive texts of about ``BATCH_CHARS`` characters."""
     group, chars = [], 0
     for text in texts:
@@ -264,21 +300,27 @@ def _groups(texts: list[str]):
         yield group
 
 
-def _encoder(path: str | None, begin: bool, end: bool):
-    @F.arrow_udf("struct<n_tokens:bigint,ids:binary>")
+def _encoder(path: str | None, begin: bool, end: bool, back: bool):
+    kind = "struct<n_tokens:bigint,ids:binary" + (",text:string>" if back else ">")
+
+    @F.arrow_udf(kind)
     def encode(texts: pa.Array) -> pa.Array:
         own = model(path)
-        head = np.array([own.bos] * begin, "<u4").tobytes()
-        tail = np.array([own.eos] * end, "<u4").tobytes()
-        packed, ends = bytearray(), [0]
-        for group in _groups([x.as_py() or "" for x in texts]):
-            for ids in own.encode(group):
-                packed += head
-                packed += ids.astype("<u4").tobytes()
-                packed += tail
+        head = np.array([own.bos] * begin, "<u4")
+        tail = np.array([own.eos] * end, "<u4")
+        packed, ends, raw, stops = bytearray(), [0], bytearray(), [0]
+        for group in _groups(x.as_py() or "" for x in texts):
+            for inner in own.encode(group):
+                ids = np.concatenate([head, inner.astype("<u4"), tail])
+                packed += ids.tobytes()
                 ends.append(len(packed))
-        return pa.StructArray.from_arrays([pa.array(np.diff(ends) // 4, pa.int64()), _binaries(packed, ends)],
-                                          ["n_tokens", "ids"])
+                if back:
+                    raw += own.library.decode(ids.tolist()).encode()
+                    stops.append(len(raw))
+        columns = [pa.array(np.diff(ends) // 4, pa.int64()), _binaries(packed, ends)]
+        if back:
+            return pa.StructArray.from_arrays([*columns, _binaries(raw, stops).cast(pa.string())], ["n_tokens", "ids", "text"])
+        return pa.StructArray.from_arrays(columns, ["n_tokens", "ids"])
 
     return encode
 
@@ -286,10 +328,10 @@ def _encoder(path: str | None, begin: bool, end: bool):
 def _decoder(path: str | None):
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        library = model(path).library
+        own = library(path)
         raw, ends = bytearray(), [0]
         for x in ids:
-            raw += library.decode(np.frombuffer(x.as_py() or b"", "<u4").tolist()).encode()
+            raw += own.decode(np.frombuffer(x.as_py() or b"", "<u4").tolist()).encode()
             ends.append(len(raw))
         return _binaries(raw, ends, ids.is_null() if ids.null_count else None).cast(pa.string())
 
@@ -297,20 +339,21 @@ def _decoder(path: str | None):
 
 
 def encode(docs: DataFrame, text: str = "text", model_file: str | None = None, begin: bool = True,
-           end: bool = True) -> DataFrame:
+           end: bool = True, decoded: str | None = None) -> DataFrame:
     """``docs`` with ``n_tokens`` (long) and ``ids`` (binary: little-endian unsigned 32-bit).
 
     The ids are the library's for the whole text, with its begin and end ids if
-    asked for; a null or empty text has no others. Input columns named like the
-    two new ones give way; repeated rows repeat, an empty table gives no rows.
-    ``model_file`` is opened on the executors; None is the installed 32k model.
-    A worker's memory follows its longest text.
+    asked for; a null or empty text has no others. ``decoded`` names a column
+    for the text that the ids decode to, made where they are. Input columns
+    named like the new ones give way; repeated rows repeat, an empty table
+    gives no rows. ``model_file`` is opened on the executors; None is the
+    installed 32k model. A worker's memory follows its longest text.
     """
-    new = ("n_tokens", "ids")
+    new = {"n_tokens": "n_tokens", "ids": "ids"} | ({decoded: "text"} if decoded else {})
     found, = free_name(docs, "encoded")
-    out = docs.withColumn(found, _encoder(model_file, begin, end)(F.col(f"`{text}`")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new],
-                      *[F.col(f"{found}.{c}") for c in new])
+    out = docs.withColumn(found, _encoder(model_file, begin, end, decoded is not None)(F.col(f"`{text}`")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in {n.lower() for n in new}],
+                      *[F.col(f"{found}.{field}").alias(name) for name, field in new.items()])
 
 
 def decode(encoded: DataFrame, ids: str = "ids", into: str = "decoded", model_file: str | None = None) -> DataFrame:
@@ -321,7 +364,7 @@ def decode(encoded: DataFrame, ids: str = "ids", into: str = "decoded", model_fi
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token count, and digests of its ids and of the decoded text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decode(encode(docs)).select(
+    return encode(docs, decoded="decoded").select(
         "doc_id", "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

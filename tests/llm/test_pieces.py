@@ -61,6 +61,8 @@ def test_edge_rows(spark, model):
         want = [1, *model.library.encode(r.text or ""), 2]
         assert np.frombuffer(r.ids, "<u4").tolist() == want and r.n_tokens == len(want)
         assert r.decoded == model.library.decode(want)
+    both = pieces.encode(docs, decoded="TEXT_").collect()
+    assert sorted(map(str, ((r.text, r.TEXT_) for r in both))) == sorted(map(str, ((r.text, r.decoded) for r in out.collect())))
     bare = pieces.encode(docs, begin=False, end=False).where("text is null").first()
     assert bare.n_tokens == 0 and bytes(bare.ids) == b""
 
