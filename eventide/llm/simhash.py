@@ -246,27 +246,42 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     linked like any other. Repeated rows keep their rows; a null key is never
     the smallest unless all of a component are null. An empty table gives no rows.
     """
-    rows = saved(docs.select(F.col(f"`{key}`").alias("key"), _fingerprints(shingle)(F.col(f"`{text}`")).alias("fp")), "fingerprints")
+    return _placed(docs, key, text, shingle, radius, blocks, tree_size).select(F.col("key").alias(key), "fp", "component")
+
+
+def _placed(docs: DataFrame, key: str, text: str, shingle: int, radius: int, blocks: int | None = None,
+            tree_size: int = TREE_SIZE) -> DataFrame:
+    """One row per document: key, ``mark`` (a hash of its text), fp, component."""
+    rows = saved(docs.select(F.col(f"`{key}`").alias("key"), _mark(text).alias("mark"),
+                             _fingerprints(shingle)(F.col(f"`{text}`")).alias("fp")), "fingerprints")
     nodes = saved(rows.groupBy("fp").agg(F.min("key").alias("first")), "nodes")
     rooted = components(links(nodes.select("fp"), radius, blocks, tree_size))
     labelled = nodes.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component"))
     found = labelled.select("fp", "root").join(smallest, "root").select("fp", "component")
-    return rows.join(found, "fp").select(F.col("key").alias(key), "fp", "component")
+    return rows.join(found, "fp").select("key", "mark", "fp", "component")
+
+
+def _mark(text: str):
+    return F.xxhash64(F.col(f"`{text}`"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              radius: int = RADIUS) -> DataFrame:
     """``docs`` with one document of each component: that with the smallest key; columns as they are.
 
-    Rows that share that key are the same document and all stay if they share
-    the text too; documents without a key stay only where none of the component has one.
+    A row's component follows from its own text, so rows that share a key but
+    not the text are judged each by itself: a row goes only if its component
+    has a smaller key. Rows of a component that share its smallest key all
+    stay; rows without a key stay only where none of the component has one.
     """
-    other, = free_name(docs, "key")
-    found = near_duplicates(docs, key, text, shingle, radius)
-    gone = found.where(~F.col(key).eqNullSafe(F.col("component"))).select(F.col(key).alias(other)).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs[key].eqNullSafe(gone[other]), "left_anti")
+    other, print_ = free_name(docs, "key", "mark")
+    found = _placed(docs, key, text, shingle, radius)
+    # a table, so that its size is known: it is broadcast where that is small, and no text is shuffled
+    gone = saved(found.where(~F.col("key").eqNullSafe(F.col("component"))).select(
+        F.col("key").alias(other), F.col("mark").alias(print_)).distinct(), "gone")
+    return docs.join(gone, docs[key].eqNullSafe(gone[other]) & (_mark(text) == gone[print_]), "left_anti")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,8 +109,16 @@ def test_documents(spark):
     assert sh.near_duplicates(docs.limit(0)).count() == 0
     kept = sh.keep_one(docs)
     assert kept.columns == docs.columns
-    gone = {k for (k, *_), c in zip(rows, want, strict=True) if k != c}
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(k) for k, *_ in rows if k not in gone)
+    assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == sorted(
+        str((k, t)) for (k, t, _), c in zip(rows, want, strict=True) if k == c)
+
+
+def test_rows_of_one_key_and_unlike_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
+    rows = [(7, a), (7, b), (3, b), (9, a), (None, a), (None, c), (5, c), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, sh.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(7, a), (3, b), (5, c), (5, None)], key=str)
 
 
 def test_query(spark):
