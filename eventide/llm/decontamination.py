@@ -10,12 +10,15 @@ the corpus is one list per segment.
 A search holds phrases against every segment. For a phrase it takes the lists of
 its terms from the rarest on, moves each by the term's offset in the phrase, and
 intersects them. With ``slop`` a term may stand that many words off its place.
-Phrases come in blocks of bounded size, so a test set of any size works; the
-segments are read once for each block.
+The phrases are made and told apart on Spark and written as a table in blocks
+of bounded size. Block by block they are sent to the tasks and the matches added to
+a table, so neither the plan nor the driver grows with the test set; the segments are
+read once for each block.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -24,11 +27,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import free_name, saved, table
+from eventide.llm.common import free_name, saved, scratch, table
 
 #: Consecutive words of an item that make a match.
 WINDOW = 10
@@ -36,8 +40,8 @@ WINDOW = 10
 SLOP = 2
 #: Words of a segment; a longer document is a segment of its own.
 SEGMENT_WORDS = 500_000
-#: Words of the test items that are searched for in one pass.
-BLOCK_WORDS = 200_000
+#: Windows of the test items that are searched for in one pass, about.
+BLOCK_WINDOWS = 200_000
 
 #: A-Z to a-z, other ASCII characters that are no digit or letter to blanks: `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`.
 FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else 32 if c <= 0x2F or 0x3A <= c <= 0x60 or 0x7B <= c <= 0x7F else c
@@ -161,31 +165,36 @@ class Segment:
         return starts, doc
 
 
-def windows(items: Iterable[tuple[str, str | None]], size: int = WINDOW) -> dict[tuple[bytes, ...], set[str]]:
-    """Distinct windows of the items, and the items that have them."""
-    found = defaultdict(set)
-    for item, text in items:
-        own = words_of(text)
-        for k in range(max(1, len(own) - size + 1) if own else 0):
-            found[tuple(own[k:k + size])].add(item)
-    return dict(found)
+def windows(benchmark: DataFrame, item: str, text: str, size: int = WINDOW) -> DataFrame:
+    """Distinct windows of the items (words joined by blanks) and the items that have them: window, items."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, doc in zip(batch.column(0), batch.column(1), strict=True):
+                own = words_of(doc.as_py())
+                for low in range(0, max(1, len(own) - size + 1) if own else 0, 10_000):
+                    found = {b" ".join(own[k:k + size]) for k in range(low, min(low + 10_000, max(1, len(own) - size + 1)))}
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(found), pa.binary()), pa.array([name.as_py()] * len(found), pa.string())], ["window", "item"])
+
+    named = benchmark.select(F.coalesce(F.col(f"`{item}`").cast("string"), F.lit("")), F.col(f"`{text}`"))
+    return named.mapInArrow(cut, "window binary, item string").groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
 MATCHES = "segment long, at int, items array<string>, near_items array<string>, spans array<struct<s:long,e:long>>"
 
 
-def search(index: DataFrame, phrases: dict[tuple[bytes, ...], set[str]], slop: int = SLOP) -> DataFrame:
+def search(index: DataFrame, shared: Broadcast, slop: int = SLOP) -> DataFrame:
     """Matches by document: (segment, its place ``at`` in it, exact items, proximity items, exact word spans).
 
     Only documents with a match of either kind have a row. An exact match is
-    also a proximity match. ``phrases`` is one block of the test set.
+    also a proximity match. ``shared`` holds one block of the test set: phrase
+    (tuple of words) -> items.
     """
     names = ["segment", "at", "items", "near_items", "spans"]
     kinds = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()),
              pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))]
 
-    shared = index.sparkSession.sparkContext.broadcast(phrases)
-
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
         vocabulary = sorted({t for phrase in wanted for t in phrase})
@@ -215,21 +224,27 @@ def search(index: DataFrame, phrases: dict[tuple[bytes, ...], set[str]], slop: i
                         "postings").mapInArrow(find, MATCHES)
 
 
-def blocks(benchmark: DataFrame, item: str, text: str, size: int, block_words: int) -> Iterator[dict]:
-    """The test set's windows, block by block; the driver holds one block at a time."""
-    rows, held = [], 0
-    for row in benchmark.select(F.coalesce(F.col(f"`{item}`").cast("string"), F.lit("")), F.col(f"`{text}`")).toLocalIterator():
-        rows.append(tuple(row))
-        held += len(words_of(row[1]))
-        if held >= block_words:
-            yield windows(rows, size)
-            rows, held = [], 0
-    yield windows(rows, size)
+def search_all(index: DataFrame, phrases: DataFrame, slop: int, block_windows: int) -> DataFrame:
+    """:func:`search` for all phrases (window, items), block by block; the matches as a table."""
+    spark = index.sparkSession
+    known = saved(phrases, "windows")
+    blocks = math.ceil(known.count() / block_windows)
+    numbered, found = scratch(spark, "blocks"), scratch(spark, "matches")
+    known.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(max(blocks, 1)))).repartition("block").write.partitionBy(
+        "block").parquet(numbered)
+    for block in range(blocks):
+        part = spark.read.schema("window binary, items array<string>, block long").parquet(numbered).where(
+            F.col("block") == block).select("window", "items").toArrow()
+        shared = spark.sparkContext.broadcast({tuple(w.split(b" ")): items for w, items in zip(
+            part.column("window").to_pylist(), part.column("items").to_pylist(), strict=True)})
+        search(index, shared, slop).write.mode("append").parquet(found)
+        shared.destroy()
+    return spark.read.schema(MATCHES).parquet(found) if blocks else spark.createDataFrame([], MATCHES)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str = "text", item: str = "item_id",
                   item_text: str = "text", window: int = WINDOW, slop: int = SLOP,
-                  block_words: int = BLOCK_WORDS, segment_words: int = SEGMENT_WORDS) -> DataFrame:
+                  block_windows: int = BLOCK_WINDOWS, segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """One row per document: its key columns, ``n_words``, ``n_hit``, ``items``, ``near_items``, ``spans``.
 
     A window is ``window`` consecutive words of an item, or the whole of a
@@ -240,10 +255,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keys: list[str], text:
     matches nothing; an empty table gives no rows.
     """
     index = build_index(docs, keys, text, segment_words)
-    found = None
-    for phrases in blocks(benchmark, item, item_text, window, block_words):
-        part = search(index, phrases, slop)
-        found = part if found is None else found.unionByName(part)
+    found = search_all(index, windows(benchmark, item, item_text, window), slop, block_windows)
     together = found.groupBy("segment", "at").agg(
         *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near_items", "spans")])
     covered = F.aggregate(
@@ -266,10 +278,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     """
     print_, other = free_name(docs, "fingerprint", "key")
     marked = docs.withColumn(print_, F.xxhash64(F.col(f"`{text}`")))
-    hit = decontaminate(marked, benchmark, [key, print_], text).where("n_hit > 0").select(
-        F.col(f"`{key}`").alias(other), F.col(print_).alias(print_ + "2")).distinct()
+    # a table, so that its size is known: it is broadcast where that is small, and no text is shuffled
+    hit = saved(decontaminate(marked, benchmark, [key, print_], text).where("n_hit > 0").select(
+        F.col(f"`{key}`").alias(other), F.col(print_).alias(print_ + "2")).distinct(), "hit")
     same = marked[key].eqNullSafe(hit[other]) & (marked[print_] == hit[print_ + "2"])
-    return marked.join(hit.hint("shuffle_hash"), same, "left_anti").drop(print_)
+    return marked.join(hit, same, "left_anti").drop(print_)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,13 +52,13 @@ def random_case(seed):
     return docs, items
 
 
-@pytest.mark.parametrize(("seed", "segment_words", "block_words"), [(1, 30, 10), (2, 10**6, 10**6), (3, 1, 5)])
-def test_against_brute_force(spark, seed, segment_words, block_words):
+@pytest.mark.parametrize(("seed", "segment_words", "block_windows"), [(1, 30, 10), (2, 10**6, 10**6), (3, 1, 5)])
+def test_against_brute_force(spark, seed, segment_words, block_windows):
     docs, items = random_case(seed)
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = dc.decontaminate(frame, bench, ["doc_id", "text"], window=4, slop=1, segment_words=segment_words,
-                           block_words=block_words).collect()
+                           block_windows=block_windows).collect()
     assert len(out) == len(docs)
     assert sorted((str(r.doc_id), str(r.text)) for r in out) == sorted((str(a), str(b)) for a, b in docs)
     named = [("" if i is None else i, t) for i, t in items]
@@ -78,6 +78,17 @@ def test_proximity_with_unique_terms(spark):
     assert got == {0: (5, 1), 1: (0, 1), 2: (0, 1), 3: (0, 0), 4: (0, 0), 5: (0, 0)}
 
 
+def test_the_plan_does_not_grow_with_the_test_set(spark):
+    docs = spark.createDataFrame([(i, f"w{i} " * 3 + "q r s") for i in range(20)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, f"w{i} w{i} w{i}") for i in range(200)], "item_id long, text string")
+    sizes = []
+    for n in (1000, 20):
+        out = dc.decontaminate(docs, bench, ["doc_id"], block_windows=n)
+        assert sorted(r.n_hit for r in out.collect()) == [3] * 20
+        sizes.append(out._jdf.queryExecution().optimizedPlan().treeString().count("\n"))
+    assert sizes[0] == sizes[1]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
