@@ -153,9 +153,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_do
     # a table of its own, so that both sides of the next join come from a shuffle: a hot line's rows are split, or it is broadcast
     common = saved(runs.common(), "common")
     runs.forget()
-    lost = hashed.dropDuplicates(["k", "p"]).select("k", "p", F.posexplode("hashes").alias("at", "h")).where(
+    # so is what is lost: it is broadcast where that is small, and no text is shuffled
+    lost = saved(hashed.dropDuplicates(["k", "p"]).select("k", "p", F.posexplode("hashes").alias("at", "h")).where(
         "h is not null").join(common, "h", "left_semi").groupBy("k", "p").agg(
-        F.array_sort(F.collect_list("at")).alias("lost"))
+        F.array_sort(F.collect_list("at")).alias("lost")), "lost")
     return _kept(docs, key, text, mark, print_, lost)
 
 
@@ -164,7 +165,7 @@ def _kept(docs: DataFrame, key: str, text: str, mark: Column, print_: str, lost:
     lines, gone, there, same = free_name(docs, "lines", "lost", "k", "p")
     lost = lost.select(F.col("k").alias(there), F.col("p").alias(same), F.col("lost").alias(gone))
     marked = docs.withColumn(print_, mark)
-    joined = marked.join(lost.hint("shuffle_hash"), marked[key].eqNullSafe(lost[there]) & (marked[print_] == lost[same]), "left")
+    joined = marked.join(lost, marked[key].eqNullSafe(lost[there]) & (marked[print_] == lost[same]), "left")
     split = joined.withColumn(lines, lines_of(F.col(f"`{text}`"))).withColumn(
         gone, F.coalesce(gone, F.array().cast("array<int>")))
     total = F.size(lines)
@@ -201,16 +202,16 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: DuckDB form of the query.
 OP3_SQL = f"""
 WITH lines AS (
-  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+  SELECT doc_id, row, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+  FROM (SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
 ), keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS k
   FROM lines
 ), common AS (
-  SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= {MIN_DOCS}
+  SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT row) >= {MIN_DOCS}
 )
 SELECT doc_id, count(*) AS n_lines, count(c.k) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.k IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN common c ON keyed.k = c.k
-GROUP BY doc_id
+GROUP BY doc_id, row
 """

@@ -55,6 +55,17 @@ def test_empty_table(spark):
     assert ld.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_query_and_sql_count_rows_that_share_an_id(spark, tmp_path):
+    import duckdb
+    rows = [(7, "shared\nown a")] * 4 + [(7, "shared\nown b")] * 6 + [(None, "x\nnine")] * 9 + [(8, None), (8, None), (9, "nine")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = sorted(map(str, map(tuple, ld.op3_line_dedup(spark, str(tmp_path)).collect())))
+    assert got == sorted(map(str, con.execute(ld.OP3_SQL).fetchall()))
+    assert sum(", 2, 1, " in r for r in got) == 20
+
+
 def test_query_matches_sql(spark):
     import duckdb
     sf = "/root/testdata/sf0.01"
