@@ -79,6 +79,6 @@ def test_store_latest_and_documents(spark):
     assert rows(latest, "entity_id", "feature_name", "feature_value") == [("u1", "click_rate", 0.5)]
     doc = store.entity_documents(latest).first()
     assert doc.document == ('{"click_rate":{"value":0.5,"computed_at":"2026-01-01T12:00:00Z",'
-                            '"received_at":160.0}}')
+                            '"received_at":160000}}')
     kv = store.feature_kv(latest.select("entity_id", "feature_name", "feature_value", "computed_at")).first()
     assert kv.key == "u1:click_rate"
