@@ -17,6 +17,8 @@ as fragments and are joined by file and range. No file is read as a whole.
 
 from __future__ import annotations
 
+import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import free_name, scratch, table
+from eventide.llm.common import free_name, saved, scratch, table
 
 #: First bytes of every gzip member (deflate).
 MAGIC = b"\x1f\x8b\x08"
@@ -66,17 +68,43 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, ki
 
 
 def parse(data: bytes) -> dict:
-    """Fields of a decoded record; the payload is what follows the HTTP head."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    block = rest[:int(fields["Content-Length"])]
-    page = lambda name: (x := fields.get(name, "")[len("<urn:page:"):-1]) and int(x) or (0 if x == "0" else None)
-    payload = block.partition(b"\r\n\r\n")[2]
-    revisit = fields["WARC-Type"] == "revisit"
-    return {"page_id": page("WARC-Record-ID"), "url": fields.get("WARC-Target-URI"), "record_type": fields["WARC-Type"],
-            "refers_to": page("WARC-Refers-To") if revisit else None,
-            "payload": None if revisit else payload,
-            "digest": fields["WARC-Payload-Digest"].removeprefix("sha256:")}
+    """Fields of a decoded record.
+
+    Names count in any case, a value may go on in indented lines, lines may end
+    in a line feed alone, and what is not stated is null. The payload is what
+    follows the HTTP head in a block of HTTP, else the block; a revisit has
+    none. Page ids are those of this module's writer; ids of others stay text.
+    """
+    cut = re.search(rb"\r?\n\r?\n", data)
+    head, rest = (data[:cut.start()], data[cut.end():]) if cut else (data, b"")
+    fields: dict[str, str] = {}
+    name = ""
+    for line in head.decode("utf-8", "replace").splitlines()[1:]:
+        if line[:1] in (" ", "\t"):
+            fields[name] = f"{fields.get(name, '')} {line.strip()}"
+        else:
+            name, _, value = line.partition(":")
+            name = name.strip().lower()
+            fields[name] = value.strip()
+    size = fields.get("content-length", "")
+    block = rest[:int(size)] if size.isdigit() else rest.removesuffix(b"\r\n\r\n")
+    kind = fields.get("warc-type", "").lower() or None
+    payload = None
+    if kind != "revisit":
+        http = re.search(rb"\r?\n\r?\n", block) if fields.get("content-type", "").lower().startswith("application/http") else None
+        payload = block[http.end():] if http else block
+    return {"page_id": _page(fields.get("warc-record-id")), "url": fields.get("warc-target-uri"), "record_type": kind,
+            "refers_to": _page(fields.get("warc-refers-to")), "payload": payload,
+            "digest": fields["warc-payload-digest"].removeprefix("sha256:") if "warc-payload-digest" in fields else None,
+            "record_id": fields.get("warc-record-id"), "refers_to_id": fields.get("warc-refers-to"),
+            "payload_bytes": None if payload is None else len(payload),
+            "payload_digest": None if payload is None else hashlib.sha256(payload).hexdigest()}
+
+
+def _page(record_id: str | None) -> int | None:
+    """The page id in a record id of :func:`record`."""
+    found = re.fullmatch(r"<urn:page:(-?\d+)>", record_id or "")
+    return int(found[1]) if found else None
 
 
 # --- writing -------------------------------------------------------------------------------
@@ -85,18 +113,20 @@ def plan_records(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     """(page_id, url, payload, digest, refers_to) of every page.
 
     Of equal payloads of at least ``min_bytes`` bytes the smallest page_id is
-    the response, and ``refers_to`` of the others names it. The smallest id per
-    digest is aggregated before the shuffle and joined only where a digest
-    repeats, so pages do not gather by payload. Rows that repeat the smallest
-    id are responses too; if no page of a payload has an id, all are.
+    the response, and ``refers_to`` of the others names it. The smallest id of
+    each digest that repeats is aggregated before the shuffle and written as a
+    table, so its size is known: where that is small it is broadcast and no
+    payload is shuffled; else pages meet by digest, and a digest with very many
+    pages is split by Spark's skew join. Rows that repeat the smallest id are
+    responses too; if no page of a payload has an id, all are.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    firsts = rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
-        F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null").drop("n")
-    known = rows.join(firsts.hint("shuffle_hash"), "digest", "left")
+    firsts = saved(rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
+        F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null").drop("n"), "firsts")
+    known = rows.join(firsts, "digest", "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return known.select("page_id", "url", "payload", "digest", F.when(again, F.col("first")).alias("refers_to"))
 
@@ -139,7 +169,7 @@ def starts_record(candidate: bytes) -> bool:
         head = opened.decompress(MAGIC + candidate[:4096], 64)
     except zlib.error:
         return False
-    return head.startswith(b"WARC/1.") or (opened.eof and not head)
+    return head.startswith(b"WARC/") or (opened.eof and not head)
 
 
 def decoded(data: bytes) -> list[bytes] | None:
@@ -164,27 +194,59 @@ def decoded(data: bytes) -> list[bytes] | None:
     return out
 
 
-RECORDS = "page_id long, url string, record_type string, refers_to long, payload binary, digest string"
+#: Columns of a record, as Arrow has them and as Spark does.
+FIELDS = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
+          ("payload", pa.binary()), ("digest", pa.string()), ("record_id", pa.string()), ("refers_to_id", pa.string()),
+          ("payload_bytes", pa.int64()), ("payload_digest", pa.string())]
+RECORDS = ("page_id long, url string, record_type string, refers_to long, payload binary, digest string, "
+           "record_id string, refers_to_id string, payload_bytes long, payload_digest string")
 #: Fragments: the first part of a member that runs on in another range, or bytes that start no record.
 FRAGMENTS = "file string, start long, nr int, opens boolean, part binary"
-
-
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the archives below ``path``: page_id, url, record_type, refers_to, payload, digest.
-
-    The payload of a revisit is null. A task's byte range is the session's
-    ``spark.sql.files.maxPartitionBytes``. Empty members and empty files have no
-    records; bytes that never make a record raise an error when the fragments
-    are joined. Fragments are rare, so the archives are read once more for them
-    rather than kept decoded.
+#: Names that Spark's text source takes for compressed as a whole, and all others.
+GZ, NOT_GZ = "*.gz", "{*[!z],*[!g]z,*[!.]gz,z,gz}"
+#: Decoded bytes that leave a task together, about.
+OUT_BYTES = 1 << 24
+
+
+def _rows(records: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Records in batches of bounded size."""
+    held, size = [], 0
+    for r in records:
+        held.append(r)
+        size += len(r.get("payload") or r.get("part") or b"") + 500
+        if size >= OUT_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """Records of the archives below ``path``, of any type and by any writer.
+
+    Columns: page_id and refers_to (of this module's writer, else null), url,
+    record_type (lower case, null if not stated), payload (null for a revisit,
+    and with ``payloads`` off), payload_bytes and payload_digest (SHA-256, of
+    the payload that was read), and as stated digest, record_id, refers_to_id.
+
+    A task's byte range is the session's ``spark.sql.files.maxPartitionBytes``.
+    Files called .gz are not split, since Hadoop's readers decompress them as a
+    whole: each is one task's. Empty members and empty files have no records;
+    bytes that never make a record raise an error when the fragments are
+    joined. Without payloads the archives are decoded once and the records
+    written as a table; with them they are read once more for the fragments,
+    which are rare, rather than kept decoded.
     """
-    raw = spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+    raw = spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").option(
+        "pathGlobFilter", NOT_GZ).text(path)
     cut = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
                      F.col("value").cast("binary").alias("candidate"))
-    kind = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
-            ("payload", pa.binary()), ("digest", pa.string()), ("file", pa.string()), ("start", pa.int64()),
-            ("nr", pa.int32()), ("opens", pa.bool_()), ("part", pa.binary())]
-    schema = pa.schema(kind)
+    schema = pa.schema([*FIELDS, ("file", pa.string()), ("start", pa.int64()),
+                        ("nr", pa.int32()), ("opens", pa.bool_()), ("part", pa.binary())])
+
+    def record_of(data: bytes) -> dict:
+        found = parse(data)
+        return found if payloads else found | {"payload": None}
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, nr, open_ = None, 0, None  # open_: parts of the member that is being read
@@ -196,7 +258,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             found = decoded(MAGIC + b"".join(open_)) if open_ else []
             if found is None:
                 return False
-            out.extend(parse(data) for data in found if data)
+            out.extend(record_of(data) for data in found if data)
             open_ = None
             return True
 
@@ -223,59 +285,88 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 elif candidate or not (fresh and at[1] == 0):  # before a file's first magic there is nothing
                     nr += 1
                     out.append({"file": at[0], "start": at[1], "nr": nr, "opens": False, "part": candidate})
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
-                out = []
+                if len(out) >= 1000:
+                    yield from _rows(iter(out), schema)
+                    out = []
         leave()
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+        yield from _rows(iter(out), schema)
 
     held = cut.mapInArrow(members, f"{RECORDS}, {FRAGMENTS}")
+    if not payloads:
+        held = saved(held, "records")
     fragments = held.where("file is not null")
     in_file = Window.partitionBy("file").orderBy("start", "nr")
     numbered = fragments.withColumn("member", F.sum(F.col("opens").cast("int")).over(in_file))
     glued = numbered.groupBy("file", "member").agg(F.array_sort(F.collect_list(F.struct("start", "nr", "part"))).alias("parts"))
 
     def glue(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                found = decoded(MAGIC + MAGIC.join(p["part"] for p in row["parts"]))
-                if found is None:
-                    raise ValueError(f"no whole WARC record at {row['parts'][0]['start']} of {row['file']}")
-                rows += [parse(data) for data in found if data]
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
-                    [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
-                     ("payload", pa.binary()), ("digest", pa.string())]))
-
-    names = ["page_id", "url", "record_type", "refers_to", "payload", "digest"]
-    return held.where("file is null").select(*names).unionByName(glued.mapInArrow(glue, RECORDS))
+        def joined() -> Iterator[dict]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    found = decoded(MAGIC + MAGIC.join(p["part"] for p in row["parts"]))
+                    if found is None:
+                        raise ValueError(f"no whole WARC record at {row['parts'][0]['start']} of {row['file']}")
+                    yield from (record_of(data) for data in found if data)
+
+        yield from _rows(joined(), pa.schema(FIELDS))
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[dict]:
+            for batch in batches:
+                for name, content in zip(batch.column(0), batch.column(1), strict=True):
+                    for data in inflated(content.as_buffer(), name.as_py()):
+                        yield record_of(data)
+
+        yield from _rows(each(), pa.schema(FIELDS))
+
+    whole_files = spark.read.format("binaryFile").option("pathGlobFilter", GZ).load(path).select("path", "content")
+    names = [name for name, _ in FIELDS]
+    return held.where("file is null").select(*names).unionByName(glued.mapInArrow(glue, RECORDS)).unionByName(
+        whole_files.mapInArrow(unpack, RECORDS))
+
+
+def inflated(data: pa.Buffer, name: str) -> Iterator[bytes]:
+    """Contents of the members of a whole file, one at a time, empty ones left out."""
+    at, view = 0, memoryview(data)
+    while at < len(view):
+        opened, parts = zlib.decompressobj(31), []
+        try:
+            while not opened.eof:
+                piece = view[at:at + PIECE_BYTES]
+                if not len(piece):
+                    raise zlib.error("cut off")
+                parts.append(opened.decompress(piece))
+                at += len(piece) - len(opened.unused_data)
+        except zlib.error as wrong:
+            raise ValueError(f"no whole WARC record before {at} of {name}") from wrong
+        if any(parts):
+            yield b"".join(parts)
 
 
 def payloads(records: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record.
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every response and revisit.
 
     Length and digest are taken from the payload that was read; a revisit has
-    those of the response it refers to.
+    those of the response that it refers to by page id and digest, so pages
+    that share an id but not the payload are told apart. A revisit of a record
+    that is not there has none.
     """
-    own = records.select("page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
-                         F.sha2("payload", 256).alias("payload_digest"))
+    own = records.select("page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "digest")
     responses = own.where("record_type = 'response'")
-    target, size, digest = free_name(own, "target", "size", "digest")
-    targets = responses.groupBy(F.col("page_id").alias(target)).agg(
-        F.max("payload_bytes").alias(size), F.max("payload_digest").alias(digest))
-    revisits = own.where("record_type <> 'response'").join(targets, F.col("refers_to") == F.col(target), "left")
+    targets = responses.where("page_id is not null").groupBy(
+        F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("digest")).agg(
+        F.max("payload_bytes").alias("payload_bytes"))
+    revisits = own.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(
+        targets.withColumn("payload_digest", F.col("digest")), ["refers_to", "digest"], "left")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    return responses.select(*columns).unionByName(revisits.select(
-        "page_id", F.col(size).alias("payload_bytes"), F.col(digest).alias("payload_digest"), "record_type", "refers_to"))
+    return responses.select(*columns).unionByName(revisits.select(*columns))
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     path = scratch(spark, "archives")
     write_archives(table(spark, sf_dir, "pages"), path)
-    return payloads(read_archives(spark, path))
+    return payloads(read_archives(spark, path, payloads=False))
 
 
 #: DuckDB form of the query's result.

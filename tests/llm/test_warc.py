@@ -46,6 +46,49 @@ def test_edge_rows(spark, tmp_path):
         assert gzip.decompress(part.read_bytes()).count(b"WARC/1.1\r\nWARC-Type") >= 1
 
 
+def test_pages_that_share_an_id_but_not_the_payload(spark, tmp_path):
+    pages = [(1, "u", "A" * 200), (1, "u", "B" * 300), (2, "u", "A" * 200), (1, "v", "A" * 200), (3, "u", "B" * 300), (2, "u", "B" * 300)]
+    check(spark, pages, f"{tmp_path}/w")
+    read = warc.payloads(warc.read_archives(spark, f"{tmp_path}/w", payloads=False))
+    assert sorted(str(tuple(r)) for r in read.collect()) == brute(pages)
+
+
+FOREIGN = [
+    (b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: 9\r\n\r\nsoftware:\r\n\r\n",
+     ("warcinfo", "<urn:uuid:1>", None, None, b"software:", None)),
+    (b"WARC/1.1\r\nwarc-type:response\r\nWARC-Record-ID:<urn:uuid:2>\r\nWARC-Target-URI:http://a/\r\n"
+     b"Content-Type: application/http; msgtype=response\r\nContent-Length: 30\r\n\r\nHTTP/1.1 200 OK\r\nA: b\r\n\r\nbody\x00!!\r\n\r\n",
+     ("response", "<urn:uuid:2>", None, "http://a/", b"body\x00", None)),
+    (b"WARC/1.0\nWARC-Type: resource\nWARC-Payload-Digest: sha1:ABC\nX-Long: one\n  two\nContent-Length: 3\n\nabc\n\n",
+     ("resource", None, None, None, b"abc", "sha1:ABC")),
+    (b"WARC/1.1\r\nWARC-Type: revisit\r\nWARC-Refers-To: <urn:uuid:2>\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+     ("revisit", None, "<urn:uuid:2>", None, None, None)),
+    (b"WARC/1.1\r\nNo colon\r\nContent-Type: text/plain\r\n\r\nno length\r\n\r\n", (None, None, None, None, b"no length", None)),
+]
+
+
+@pytest.mark.parametrize(("name", "size"), [("a.warc", "61"), ("a.warc", "100000"), ("a.warc.gz", "61"), ("b.xz", "200")])
+def test_archives_of_other_writers(spark, tmp_path, name, size):
+    """Other record types, ids, header styles and names; nothing is lost."""
+    Path(tmp_path, name).write_bytes(b"".join(gzip.compress(raw, mtime=k) for k, (raw, _) in enumerate(FOREIGN * 6)))
+    Path(tmp_path, "empty.gz").write_bytes(b"")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = [(r.record_type, r.record_id, r.refers_to_id, r.url, r.payload and bytes(r.payload), r.digest)
+               for r in warc.read_archives(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(map(str, got)) == sorted(str(want) for _, want in FOREIGN * 6)
+    assert warc.payloads(warc.read_archives(spark, str(tmp_path), payloads=False)).count() == 12
+
+
+def test_broken_gz_raises(spark, tmp_path):
+    Path(tmp_path, "a.gz").write_bytes(gzip.compress(b"WARC/1.0\r\n\r\n")[:-3])
+    with pytest.raises(Exception, match="no whole WARC record"):
+        warc.read_archives(spark, str(tmp_path)).collect()
+
+
 def test_small_ranges_cut_members(spark, tmp_path):
     """Ranges of a few hundred bytes: members span many of them, and each is owned by one."""
     rnd = random.Random(2)
