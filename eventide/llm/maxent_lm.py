@@ -14,9 +14,10 @@ Counting, training and scoring are separate passes over whole texts:
 2. Words that make up at least 1/``HEAD`` of the tokens, at most ``HEAD`` by that
    rule, are numbered and sent to every task. Texts become arrays of numbers,
    written once. Rarer words keep their text and are joined to their counts.
-3. In every round each task takes gradient steps (AdaGrad, one step size per row) over all of its
-   training tokens from the common weights; the results are averaged row by row,
-   weighted by how often a partition met the row, in a two-level sum.
+3. The training texts are dealt out to the rounds, so each is learnt from once. In its round each
+   task takes gradient steps (AdaGrad, one step size per row) over its texts from the common
+   weights; the results are averaged row by row, weighted by how often a partition met the
+   row, in a two-level sum as wide as the root of the number of tasks.
 4. Batches of documents are scored with numpy over the rows their features name.
 """
 
@@ -42,7 +43,7 @@ HEAD = 1 << 17
 LISTED_CLASSES, PLACES, TAIL_CLASSES = 16, 32, 16
 #: Rows of a hashed feature's table: single words, pairs of words, places by (class, word).
 WORD_ROWS, PAIR_ROWS, PLACE_ROWS = 4_096, 8_192, 4_096
-#: Step size of each round; every round starts from the weights that the round before it averaged.
+#: Step size of each round; every round starts from the weights that the round before it averaged, with texts of its own.
 RATES = (1.5, 1.5, 1.5)
 #: Tokens of a gradient step, and of a scored batch.
 BATCH = 16_384
@@ -334,8 +335,8 @@ def encode(docs: DataFrame, voc: Vocabulary, key: str, text: str) -> DataFrame:
 CHUNK_ROWS = 512
 
 
-def train_round(encoded: DataFrame, model: Model, rate: float) -> Model:
-    """One pass of gradient steps over all training texts, averaged over the partitions."""
+def train_round(encoded: DataFrame, model: Model, rate: float, nr: int = 0, rounds: int = 1) -> Model:
+    """Gradient steps over the training texts of round ``nr`` of ``rounds``, averaged over the partitions."""
     spark = encoded.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
@@ -365,10 +366,11 @@ def train_round(encoded: DataFrame, model: Model, rate: float) -> Model:
              pa.array([weights.tobytes()], pa.binary())], ["chunk", "part", "met", "weights"])
 
     form = "chunk int, part int, met binary, weights binary"
-    trainers = max(1, math.ceil(model.voc.n / TRAINER_TOKENS))
-    texts = encoded.where(~F.col("held_out")).select("ids").coalesce(trainers)
+    trainers = max(1, math.ceil(model.voc.n / rounds / TRAINER_TOKENS))
+    own = F.pmod(F.xxhash64("row"), F.lit(rounds)) == nr
+    texts = encoded.where(~F.col("held_out") & own).select("ids").coalesce(trainers)
     partial = texts.mapInArrow(learned, form)
-    once = partial.groupBy("chunk", (F.col("part") % 32).alias("group")).applyInArrow(summed, form)
+    once = partial.groupBy("chunk", (F.col("part") % math.ceil(math.sqrt(trainers))).alias("group")).applyInArrow(summed, form)
     tables = [model.by_class.copy(), model.by_place.copy()]
     for r in once.groupBy("chunk").applyInArrow(summed, form).toLocalIterator():
         which, low = r.chunk // 1000, r.chunk % 1000 * CHUNK_ROWS
@@ -419,8 +421,8 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", rates:
     voc = vocabulary(counts)
     encoded = encode(docs, voc, key, text)
     model = Model.start(voc)
-    for rate in rates if voc.n else ():
-        model = train_round(encoded, model, rate)
+    for nr, rate in enumerate(rates if voc.n else ()):
+        model = train_round(encoded, model, rate, nr, len(rates))
 
     # words without a number: their count decides base and place
     rare = encoded.select("row", F.inline(F.arrays_zip("rare", "freq"))).withColumnRenamed("rare", "word")
