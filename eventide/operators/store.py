@@ -90,120 +90,8 @@ def changelog_upserts(changes: DataFrame, kind: str = "kind") -> DataFrame:
     return changes.filter(F.col(kind).isin("+I", "+U")).drop(kind)
 
 
-STORE_BUCKETS = 64
-
-
-def store_bucket(entity_id: Column | str = "entity_id", buckets: int = STORE_BUCKETS) -> Column:
-    e = F.col(entity_id) if isinstance(entity_id, str) else entity_id
-    return F.pmod(F.xxhash64(e), F.lit(buckets)).cast("int")
-
-
-def _manifests(spark, store_path: str) -> list[int]:
-    """Numbers of the store's manifests; empty when there is no store yet."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{store_path}/manifests")
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(root)]
-    return sorted(int(name) for name in names if name.isdigit())
-
-
-def _read_manifest(spark, store_path: str, below: int | None = None) -> tuple[int, dict[int, int]]:
-    """(version, bucket -> version whose folder holds it) of the newest manifest
-    (``below`` a version where given); (0, {}) without one."""
-    versions = [v for v in _manifests(spark, store_path) if below is None or v < below]
-    if not versions:
-        return 0, {}
-    lines = spark.sparkContext.textFile(f"{store_path}/manifests/{versions[-1]}", 1).collect()  # one line a bucket
-    return versions[-1], {int(b): int(v) for b, v in (line.split() for line in lines)}
-
-
-def _write_manifest(spark, store_path: str, version: int, folders: dict[int, int]) -> None:
-    """Switch readers to ``version``: a file that appears under its name only when it is complete."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store_path}/manifests/{version}")
-    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{store_path}/manifests/{version}.draft")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(draft, True)
-    out.write(bytearray("".join(f"{b} {v}\n" for b, v in sorted(folders.items())), "ascii"))
-    out.close()
-    if fs.exists(path):  # a replay of the writer's own batch: the same folders again
-        fs.delete(path, False)
-    if not fs.rename(draft, path):
-        raise OSError(f"version {version} of {store_path} could not be made")
-
-
-def read_buckets(spark, store_path: str, buckets: list[int] | None = None, below: int | None = None) -> DataFrame | None:
-    """Rows of a versioned table (with ``bucket``), of the newest version or the newest one
-    ``below`` a number, of some buckets or all; None where it has none of them yet."""
-    _, folders = _read_manifest(spark, store_path, below)
-    return _read_buckets(spark, store_path, folders if buckets is None else {b: folders[b] for b in buckets if b in folders})
-
-
-def write_buckets(rows: DataFrame, store_path: str, version: int, buckets: list[int]) -> None:
-    """Make ``version``: these buckets as in ``rows`` (with ``bucket``), all others as in the version before.
-
-    A version number written again, by a replay, gives way to the new one."""
-    spark = rows.sparkSession
-    _, folders = _read_manifest(spark, store_path, below=version)
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{store_path}/data/v={version}")
-    _write_manifest(spark, store_path, version, folders | dict.fromkeys(buckets, version))
-
-
-def expire_versions(spark, store_path: str, keep: int = 2) -> None:
-    """Delete the manifests before the newest ``keep``, and the folders that none of those names.
-
-    Readers that opened an older manifest get the grace of the kept ones."""
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    versions = _manifests(spark, store_path)
-    named = {(v, b) for n in versions[-keep:] for b, v in _read_manifest(spark, store_path, below=n + 1)[1].items()}
-    root = path_of(f"{store_path}/data")
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for version in fs.listStatus(root) if fs.exists(root) else ():
-        v = int(version.getPath().getName().partition("=")[2])
-        for bucket in fs.listStatus(version.getPath()):
-            name = bucket.getPath().getName()
-            if v <= versions[-1] and name.startswith("bucket=") and (v, int(name[7:])) not in named:
-                fs.delete(bucket.getPath(), True)
-    for n in versions[:-keep]:
-        fs.delete(path_of(f"{store_path}/manifests/{n}"), False)
-
-
-def upsert_latest(new_rows: DataFrame, store_path: str, buckets: int = STORE_BUCKETS) -> None:
-    """Merge feature-log rows into a latest-value table bucketed by entity.
-
-    Only buckets touched by ``new_rows`` are read and written again, into a new
-    version folder; a manifest then names the folder of every bucket. Readers
-    see the old manifest or the new one, and a failure at any point, also of a
-    read, leaves the store as it was. Re-applying the same rows gives the same
-    table (latest by seq), so replays are harmless. One writer at a time.
-    """
-    spark = new_rows.sparkSession
-    version, _ = _read_manifest(spark, store_path)
-    incoming = new_rows.select(*FEATURE_LOG_COLUMNS).withColumn("bucket", store_bucket(buckets=buckets))
-    # touched bucket ids: at most ``buckets`` small ints
-    touched = [r[0] for r in incoming.select("bucket").distinct().collect()]
-    if not touched:
-        return
-    current = read_buckets(spark, store_path, touched)
-    merged_input = incoming if current is None else current.select(*incoming.columns).unionByName(incoming)
-    merged = latest_features(merged_input).withColumn("bucket", store_bucket(buckets=buckets))
-    write_buckets(merged, store_path, version + 1, touched)
-
-
-def _read_buckets(spark, store_path: str, folders: dict[int, int]) -> DataFrame | None:
-    paths = [f"{store_path}/data/v={v}/bucket={b}" for b, v in sorted(folders.items())]
-    return spark.read.option("basePath", f"{store_path}/data").parquet(*paths).drop("v") if paths else None
-
-
-def read_latest(spark, store_path: str, entity_id: str | None = None,
-                buckets: int = STORE_BUCKETS) -> DataFrame:
-    """Latest-value table; a lookup by entity reads the one bucket that can hold it."""
-    version, folders = _read_manifest(spark, store_path)
-    if not version:
-        raise FileNotFoundError(f"no store at {store_path}")
-    if entity_id is None:
-        return _read_buckets(spark, store_path, folders).drop("bucket")
-    key = F.trim(F.lit(entity_id))
-    bucket = spark.range(1).select(store_bucket(key, buckets)).first()[0]
-    some = _read_buckets(spark, store_path, {bucket: folders[bucket]} if bucket in folders else folders)
-    return some.filter((F.col("bucket") == bucket) & (F.col("entity_id") == key)).drop("bucket")
+def write_latest(log: DataFrame, path: str) -> None:
+    """The latest records of a log as a table sorted by entity, so that a lookup's filter
+    skips the files and row groups that cannot hold it."""
+    (latest_features(log).repartitionByRange("entity_id").sortWithinPartitions("entity_id", "feature_name")
+     .write.mode("overwrite").parquet(path))

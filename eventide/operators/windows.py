@@ -19,7 +19,10 @@ from eventide.config import (
     CONTENT_WINDOW,
     ENGAGEMENT_RATE,
     EVENT_CLICK,
+    EVENT_LIKE,
+    EVENT_SHARE,
     EVENT_VIEW,
+    ISO_SECONDS,
     USER_WINDOW,
     WATERMARK_DELAY_SECONDS,
 )
@@ -125,6 +128,38 @@ def window_features(events: DataFrame, event_time: str = "event_time") -> DataFr
     return user_features(events, event_time).unionByName(content_features(events, event_time))
 
 
+USER_SQL = """
+SELECT user_id AS entity_id, inline(array(
+         struct('{click_rate}' AS feature_name, n_clicks / n_events AS feature_value),
+         struct('{avg_dwell}' AS feature_name, dwell_sum / n_events AS feature_value))),
+       date_format(window.end, "{stamp}") AS computed_at
+FROM (SELECT user_id, window({event_time}, '{user_window}') AS window, count(*) AS n_events,
+             count_if(lower(event_type) = '{click}') AS n_clicks, sum(dwell_time_ms) AS dwell_sum
+      FROM {events} WHERE user_id IS NOT NULL GROUP BY user_id, window({event_time}, '{user_window}'))
+"""
+CONTENT_SQL = """
+SELECT content_id AS entity_id, '{engagement}' AS feature_name,
+       CASE WHEN n_views > 0 THEN n_engaged / n_views ELSE 0.0D END AS feature_value,
+       date_format(window.end, "{stamp}") AS computed_at
+FROM (SELECT content_id, window({event_time}, '{content_window}', '{content_slide}') AS window,
+             count_if(lower(event_type) = '{view}') AS n_views,
+             count_if(lower(event_type) IN ('{like}', '{share}')) AS n_engaged
+      FROM {events} WHERE content_id IS NOT NULL
+      GROUP BY content_id, window({event_time}, '{content_window}', '{content_slide}'))
+"""
+
+
+def window_features_sql(events: DataFrame, event_time: str = "event_time", view_suffix: str = "") -> DataFrame:
+    """:func:`window_features` through Spark SQL over a temporary view of a batch or streaming frame."""
+    view = f"user_events_view{view_suffix}"
+    events.createOrReplaceTempView(view)
+    names = dict(events=view, event_time=event_time, stamp=ISO_SECONDS, click_rate=CLICK_RATE, avg_dwell=AVG_DWELL_TIME,
+                 engagement=ENGAGEMENT_RATE, user_window=USER_WINDOW, content_window=CONTENT_WINDOW, content_slide=CONTENT_SLIDE,
+                 click=EVENT_CLICK, view=EVENT_VIEW, like=EVENT_LIKE, share=EVENT_SHARE)
+    spark = events.sparkSession
+    return spark.sql(USER_SQL.format(**names)).unionByName(spark.sql(CONTENT_SQL.format(**names)))
+
+
 def closed_only(features: DataFrame, events: DataFrame, event_time: str = "event_time",
                 computed_at: str = "computed_at") -> DataFrame:
     """Batch analogue of firing on the watermark: keep windows whose end is at

@@ -55,7 +55,7 @@ def run(spark: SparkSession, events_path: str, metadata_path: str, out: str,
     log = recompute(events, load_changelog(spark, metadata_path))
     log.write.mode("overwrite").parquet(f"{out}/feature_log")
     written = spark.read.parquet(f"{out}/feature_log")  # a written table: later steps do not recompute
-    store.upsert_latest(written, f"{out}/latest")
+    store.write_latest(written, f"{out}/latest")
     if stream_out:
         from eventide.streaming.queries import Layout, feature_log
 

@@ -34,6 +34,7 @@ from eventide.sources.changelog import metadata_snapshot
 from eventide.schemas import METRIC_RECORD
 from eventide.sources.events_json import events_to_json, parse_events
 from eventide.sources.logs import feature_log_from_messages, metric_log_from_messages
+from eventide.streaming import latest
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,14 +319,16 @@ def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lookup as a server does it: the log is merged into the stored latest-value
-    table, in two parts, and one id is read from the single bucket that can hold it."""
-    path = f"{checkpoint_root(spark)}/tables/store-{uuid.uuid4().hex}"
+    """The lookup as a server does it: the log comes in two parts to the stream that keeps
+    the latest values, and one id is read from the state of its last committed version."""
+    root = f"{checkpoint_root(spark)}/tables/stored-{uuid.uuid4().hex}"
     log = materialise(feature_log(spark, sf_dir), "feature_log")
     affinity = F.col("feature_name").startswith(AFFINITY_PREFIX)
     for part in (log.filter(affinity), log.filter(~affinity)):
-        store.upsert_latest(part, path)
-    return serving.entity_lookup(store.read_latest(spark, path, LOOKUP_ENTITY), LOOKUP_ENTITY)
+        part.write.mode("append").parquet(f"{root}/log")
+        stream = spark.readStream.schema(log.schema).parquet(f"{root}/log")
+        latest.start_latest(stream, f"{root}/state", {"availableNow": True}).awaitTermination()
+    return serving.entity_lookup(latest.read_latest(spark, f"{root}/state", LOOKUP_ENTITY), LOOKUP_ENTITY)
 
 
 def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,5 @@
-"""Launch the whole streaming job: Q1-Q3, the watermark listener, optional
-latest-value store and Kafka sinks.
+"""Launch the whole streaming job: ingest, windows, affinity, optional latest
+values and Kafka sinks.
 
     python -m eventide.streaming.job --out /shared/features \\
         --events-dir /shared/in/events --metadata-dir /shared/in/metadata
@@ -9,39 +9,49 @@ latest-value store and Kafka sinks.
 from __future__ import annotations
 
 import argparse
-import threading
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from eventide.config import PipelineConfig
-from eventide.operators.store import upsert_latest
+from eventide.schemas import FEATURE_COLUMNS, METRIC_COLUMNS
 from eventide.streaming import queries as q
+from eventide.streaming.affinity import start_affinity, start_moves
+from eventide.streaming.ingest import event_table, start_ingest
+from eventide.streaming.latest import latest_checkpoint, start_latest
 from eventide.streaming.listener import WatermarkMetricListener
 from eventide.streaming.sinks import kafka_features, kafka_metrics
-from eventide.streaming.sources import (
-    event_stream,
-    file_stream,
-    kafka_stream,
-    malformed_stream,
-    metadata_changelog_files,
-    metadata_changelog_kafka,
-)
-from eventide.schemas import FEATURE_COLUMNS
+from eventide.streaming.sources import file_stream, kafka_stream, metadata_stream_files, metadata_stream_kafka
+from eventide.streaming.tables import Layout
 
 
 @dataclass
 class Job:
+    """The running queries, and how to start those that follow them.
+
+    With a trigger that ends by itself (``availableNow``) a query sees what is
+    there when it starts, so each stage starts when the one it reads has ended.
+    """
+
     spark: SparkSession
-    layout: q.Layout
-    queries: list[StreamingQuery]
+    layout: Layout
     listener: WatermarkMetricListener
-    extra: dict = field(default_factory=dict)
+    later: list[list[Callable[[], StreamingQuery]]]
+    queries: list[StreamingQuery] = field(default_factory=list)
+
+    def start_next(self) -> None:
+        self.queries += [start() for start in self.later.pop(0)]
 
     def drain(self) -> None:
-        for query in self.queries:
-            query.processAllAvailable()
+        """Until all that the sources have has come through."""
+        while True:
+            for query in self.queries:
+                query.processAllAvailable()
+            if not self.later:
+                return
+            self.start_next()
 
     def stop(self) -> None:
         for query in self.queries:
@@ -49,45 +59,37 @@ class Job:
         self.spark.streams.removeListener(self.listener)
 
 
-def start_job(spark: SparkSession, raw: DataFrame, changelog_loader: q.ChangelogLoader,
-              root: str, trigger: dict | None = None, mode: str = "FAILFAST", emit_zero: bool = False,
-              store_path: str | None = None, kafka: PipelineConfig | None = None,
-              prune_compacted: bool = False, compact_every: int | None = 100) -> Job:
-    """Start Q1-Q3 (+ quarantine in PERMISSIVE mode). Every ``compact_every``
-    batches each query folds its own output folders (None: never)."""
-    layout = q.Layout(root.rstrip("/"))
-    # observation only: Q3 alone publishes watermarks, one per micro-batch (10 s trigger)
+def start_job(spark: SparkSession, raw: DataFrame, changes: DataFrame, root: str, trigger: dict | None = None,
+              mode: str = "FAILFAST", emit_zero: bool = False, latest: bool = False,
+              kafka: PipelineConfig | None = None, files_per_batch: int | None = None) -> Job:
+    """``raw`` are the event messages, ``changes`` the metadata changelog, both streams.
+
+    ``latest`` keeps the latest value of every feature as state. In PERMISSIVE
+    mode malformed messages are kept apart (``ingest.quarantine``).
+    ``files_per_batch`` bounds what the readers of the event table take at once.
+    """
+    layout = Layout(root.rstrip("/"))
+    # observation only: the window query alone records watermarks
     listener = WatermarkMetricListener("window_features")
     spark.streams.addListener(listener)
-
-    # Q1 and Q2 run their batches on separate driver threads; merges into the
-    # one store table are serialized (read-modify-write of the same buckets)
-    store_lock = threading.Lock()
-
-    def sink(rows: DataFrame) -> None:
-        if store_path:
-            with store_lock:
-                upsert_latest(rows, store_path)
-        if kafka is not None:
-            kafka_features(rows.select(*FEATURE_COLUMNS), kafka)
-
-    use_sink = sink if (store_path or kafka is not None) else None
-    q1 = q.start_window_features(event_stream(raw, mode), layout, trigger=trigger, sink=use_sink,
-                                 compact_every=compact_every, prune=prune_compacted)
-    q2 = q.start_affinity(event_stream(raw, mode, watermark=False), layout, changelog_loader,
-                          trigger=trigger, emit_zero=emit_zero, sink=use_sink, prune_compacted=prune_compacted,
-                          compact_every=compact_every)
-    metric_sink = (lambda m: kafka_metrics(m, kafka)) if kafka is not None else None
-    q3 = q.start_late_metrics(event_stream(raw, mode, watermark=False), layout, trigger=trigger, sink=metric_sink,
-                              compact_every=compact_every, prune=prune_compacted)
-    started = [q1, q2, q3]
-    if mode.upper() == "PERMISSIVE":
-        # malformed messages are kept, not dropped: an append-only quarantine table
-        writer = (malformed_stream(raw).writeStream.format("parquet").outputMode("append")
-                  .option("path", layout.quarantine).queryName("quarantine")
-                  .option("checkpointLocation", q._checkpoint(spark, "quarantine", None, layout)))
-        started.append(q._trigger(writer, trigger).start())
-    return Job(spark, layout, started, listener)
+    features = (lambda rows: kafka_features(rows.select(*FEATURE_COLUMNS), kafka)) if kafka is not None else None
+    metrics = (lambda rows: kafka_metrics(rows.select(*METRIC_COLUMNS), kafka)) if kafka is not None else None
+
+    stages: list[list[Callable[[], StreamingQuery]]] = [
+        [lambda: start_ingest(raw, layout, mode, trigger=trigger)],
+        [lambda: q.start_window_features(event_table(spark, layout, files_per_batch=files_per_batch), layout, trigger=trigger,
+                                         sink=features, metric_sink=metrics),
+         lambda: start_moves(event_table(spark, layout, watermark=False, files_per_batch=files_per_batch), changes, layout,
+                             trigger=trigger)],
+        [lambda: start_affinity(spark, layout, trigger=trigger, emit_zero=emit_zero, sink=features)],
+    ]
+    if latest:
+        stages.append([lambda: start_latest(q.feature_log_stream(spark, layout), latest_checkpoint(spark, layout), trigger)])
+    job = Job(spark, layout, listener, stages)
+    job.start_next()
+    while job.later and "availableNow" not in (trigger or {}):
+        job.start_next()
+    return job
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -98,24 +100,20 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--events-dir")
     ap.add_argument("--metadata-dir")
     ap.add_argument("--kafka", action="store_true")
-    ap.add_argument("--store", help="latest-value table path")
+    ap.add_argument("--latest", action="store_true", help="keep the latest value of every feature as state")
     ap.add_argument("--permissive", action="store_true", help="quarantine malformed JSON instead of failing")
     ap.add_argument("--emit-zero", action="store_true")
-    ap.add_argument("--prune-compacted", action="store_true",
-                    help="delete folders that a newer compacted version has superseded")
-    ap.add_argument("--compact-every", type=int, default=100, help="batches between output compactions")
     args = ap.parse_args(argv)
     spark = prepare(SparkSession.builder.appName("eventide-stream").getOrCreate())
     cfg = PipelineConfig.from_env()
     if args.kafka:
         raw = kafka_stream(spark, cfg, cfg.user_events_topic)
-        loader = lambda s, seen: metadata_changelog_kafka(s, cfg, seen)
+        changes = metadata_stream_kafka(spark, cfg)
     else:
         raw = file_stream(spark, args.events_dir)
-        loader = lambda s, _: metadata_changelog_files(s, args.metadata_dir)
-    job = start_job(spark, raw, loader, args.out, mode="PERMISSIVE" if args.permissive else "FAILFAST",
-                    emit_zero=args.emit_zero, store_path=args.store, kafka=cfg if args.kafka else None,
-                    prune_compacted=args.prune_compacted, compact_every=args.compact_every)
+        changes = metadata_stream_files(spark, args.metadata_dir)
+    job = start_job(spark, raw, changes, args.out, mode="PERMISSIVE" if args.permissive else "FAILFAST",
+                    emit_zero=args.emit_zero, latest=args.latest, kafka=cfg if args.kafka else None)
     spark.streams.awaitAnyTermination()
     job.stop()
 

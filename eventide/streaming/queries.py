@@ -1,17 +1,16 @@
-"""The streaming job: three Structured Streaming queries over one event stream.
-
-* Q1 ``window_features`` (append): user hourly and content sliding windows
-  under a 30 s watermark; a window is emitted once, when the watermark passes
-  its end; rows behind the watermark are dropped by Spark's stateful operator.
-* Q2 ``category_affinity`` (foreachBatch): each micro-batch changes the totals
-  per (user, category) by its own pair counts, and moves the earlier counts of
-  contents whose category changed (a category change re-attributes past events).
-* Q3 ``late_metrics`` (stateless foreachBatch): the micro-batch's rows are
-  classified against the watermark at batch start, the same one Q1 applies;
-  late rows become ``late_events_dropped`` records, and each batch adds a
-  ``current_watermark`` record.
-
-All outputs go through idempotent ``foreachBatch`` writers keyed by batchId,
+"""The queries of the streaming job.
+
+* ``ingest`` (:mod:`eventide.streaming.ingest`) reads and parses the topic once.
+* ``window_features`` (append): user hourly and content sliding windows under a
+  30 s watermark; a window is emitted once, when the watermark passes its end;
+  rows behind the watermark are dropped by Spark's stateful operators. The same
+  query lets the batch's events through beside the windows, so the late ones
+  are found in the very batches, and against the watermark, in which the windows drop them,
+  however the stream was cut. They become ``late_events_dropped`` records.
+* ``category_moves`` and ``category_affinity`` (:mod:`eventide.streaming.affinity`).
+* ``latest_features`` (:mod:`eventide.streaming.latest`), on request.
+
+Outputs by batch go through idempotent ``foreachBatch`` writers keyed by batchId,
 so a replay after an executor or driver failure overwrites, never duplicates.
 Checkpoints live under the cluster's ``spark.checkpoint.dir`` unless a
 location is given.
@@ -19,15 +18,15 @@ location is given.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventide.config import (
-    CHECKPOINT_INTERVAL,
     CONTENT_SLIDE_SECONDS,
     CONTENT_WINDOW_SECONDS,
     FEED_METRICS_UPDATE,
@@ -35,351 +34,104 @@ from eventide.config import (
     METRIC_LATE_EVENTS_DROPPED,
     USER_WINDOW_SECONDS,
     WATERMARK_DELAY_SECONDS,
+    WATERMARK_METRIC_PERIOD_MS,
 )
-from eventide.functions.timefmt import iso_micros, iso_seconds
-from eventide.operators import affinity as aff
+from eventide.functions.timefmt import epoch_millis_of_iso, iso_micros
 from eventide.operators import windows as win
 from eventide.operators.late import CONTENT_BRANCH, USER_BRANCH, floor_div
-from eventide.operators.store import expire_versions, read_buckets, write_buckets
-from eventide.schemas import FEATURE_COLUMNS
-from eventide.session import SESSION_DEFAULTS, checkpoint_root, prepare
-from eventide.sources.changelog import metadata_snapshot
-from eventide.streaming.sinks import (
-    compact_table,
-    read_batches,
-    read_log,
-    read_previous,
-    write_batch,
-)
-
-MICROS = 1_000_000
-# Buckets of Q2's tables: pair counts by content, totals by user.
-PAIR_USER_BUCKETS = 256
-# (spark, partition -> greatest offset seen) -> metadata changelog rows, the newer ones at least
-ChangelogLoader = Callable[[SparkSession, dict[int, int]], DataFrame]
-
-
-def _user_bucket(col: str = "user_id"):
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(PAIR_USER_BUCKETS)).cast("int")
-
-
-def _content_bucket(col: str = "content_id"):
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(PAIR_USER_BUCKETS)).cast("int")
-
-
-def _buckets(df: DataFrame, bucket) -> list[int]:
-    """Distinct bucket ids of ``df`` (at most PAIR_USER_BUCKETS small ints)."""
-    return [r[0] for r in df.select(bucket).distinct().collect()]
-
-
-@dataclass(frozen=True)
-class Layout:
-    """Output tables of the job under one root folder."""
-
-    root: str
-
-    @property
-    def features(self) -> str:
-        return f"{self.root}/features"
-
-    @property
-    def affinity(self) -> str:
-        return f"{self.root}/affinity"
-
-    @property
-    def pairs(self) -> str:
-        return f"{self.root}/pairs"
-
-    @property
-    def totals(self) -> str:
-        return f"{self.root}/affinity_totals"
-
-    @property
-    def affinity_diff(self) -> str:
-        return f"{self.root}/affinity_diff"
+from eventide.operators.serving import feature_update
+from eventide.schemas import FEATURE_COLUMNS, FEATURE_LOG, METRIC_RECORD
+from eventide.streaming.sinks import read_previous, read_table, write_batch
+from eventide.streaming.tables import Layout, checkpoint_of, log_rows, prepare_streaming, started, table_stream
 
-    @property
-    def meta_changes(self) -> str:
-        return f"{self.root}/meta_changes"
+__all__ = ["Layout", "change_feed_stream", "feature_log", "metric_log", "metric_state_stream", "metrics_feed_stream",
+           "prepare_streaming", "start_window_features"]
 
-    @property
-    def meta_snapshot(self) -> str:
-        return f"{self.root}/meta_snapshot"
-
-    @property
-    def meta_seen(self) -> str:
-        return f"{self.root}/meta_seen"
-
-    @property
-    def metrics(self) -> str:
-        return f"{self.root}/metrics"
-
-    @property
-    def clock(self) -> str:
-        return f"{self.root}/clock"
-
-    @property
-    def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
-
-
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def prepare_streaming(spark: SparkSession) -> None:
-    prepare(spark)
-    # rows must be tested against the watermark of the batch they arrive in
-    key = "spark.sql.streaming.statefulOperator.allowMultiple"
-    spark.conf.set(key, SESSION_DEFAULTS[key])
-    # lifetime pair counts and open windows live off-heap in RocksDB; each
-    # checkpoint uploads a changelog instead of a full snapshot. A provider
-    # chosen by the cluster is kept (it is fixed per checkpoint anyway).
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
-    if spark.conf.get(provider, default) == default:
-        spark.conf.set(provider, ROCKSDB_PROVIDER)
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-
-
-def _trigger(writer, trigger: dict | None):
-    return writer.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL}))
-
-
-def _checkpoint(spark: SparkSession, name: str, location: str | None, layout: "Layout") -> str:
-    """Explicit location, else ``<spark.checkpoint.dir>/streams/<job key>/<query>``
-    where the job key is derived from the output root: a restarted job
-    resumes its own state, two jobs never share one."""
-    if location:
-        return location
-    import hashlib
-
-    job_key = hashlib.sha1(layout.root.encode()).hexdigest()[:16]
-    return f"{checkpoint_root(spark)}/streams/{job_key}/{name}"
-
-
-def _maintain(spark: SparkSession, table: str, batch_id: int, compact_every: int | None, prune: bool,
-              partition_by: list[str] | None = None) -> None:
-    """Every ``compact_every`` batches, fold this writer's own table up to the
-    previous (committed) batch; the current batch can still be replayed and
-    stays a separate folder."""
-    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-        compact_table(spark, table, batch_id - 1, prune, partition_by)
-
-
-def _log_rows(df: DataFrame, batch_id: int) -> DataFrame:
-    return df.select(
-        *FEATURE_COLUMNS,
-        (F.unix_micros(F.current_timestamp()) / F.lit(float(MICROS))).alias("received_at"),
-        F.lit(batch_id).cast("bigint").alias("seq"),
-    )
+MICROS = 1_000_000
+METRIC_ROWS = T.StructType(METRIC_RECORD.fields + [T.StructField("branch", T.StringType()), T.StructField("seq", T.LongType())])
 
 
 # ---------------------------------------------------------------------------
-# Q1
+# windows and what comes too late for them
 # ---------------------------------------------------------------------------
-def start_window_features(events: DataFrame, layout: Layout, checkpoint: str | None = None,
-                          trigger: dict | None = None, sink: Callable[[DataFrame], None] | None = None,
-                          name: str = "window_features", compact_every: int | None = None,
-                          prune: bool = False) -> StreamingQuery:
-    """``events`` must carry the 30 s watermark (see ``event_stream``)."""
-    spark = events.sparkSession
-    prepare_streaming(spark)
+def _with_events(events: DataFrame) -> DataFrame:
+    """The window features, and beside them each event's time and which branches take it."""
     features = win.window_features(events)
+    own = {"event_time": F.col("event_time"), "has_user": F.col("user_id").isNotNull(), "has_content": F.col("content_id").isNotNull()}
+    kinds = dict(features.dtypes)
+    blank = [F.lit(None).cast(kinds[c]).alias(c) for c in FEATURE_COLUMNS]
+    passing = events.select(*blank, *[c.alias(name) for name, c in own.items()])
+    return features.select(*FEATURE_COLUMNS, F.lit(None).cast("timestamp").alias("event_time"),
+                           F.lit(None).cast("boolean").alias("has_user"), F.lit(None).cast("boolean").alias("has_content")
+                           ).unionByName(passing)
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        rows = _log_rows(df, batch_id)
-        write_batch(rows, layout.features, batch_id)
-        if sink is not None:
-            sink(df.sparkSession.read.parquet(f"{layout.features}/batch_id={batch_id}")
-                 .withColumn("seq", F.lit(batch_id).cast("bigint")))
-        _maintain(df.sparkSession, layout.features, batch_id, compact_every, prune)
-
-    writer = (features.writeStream.outputMode("append").foreachBatch(write).queryName(name)
-              .option("checkpointLocation", _checkpoint(spark, name, checkpoint, layout)))
-    return _trigger(writer, trigger).start()
-
-
-# ---------------------------------------------------------------------------
-# Q2
-# ---------------------------------------------------------------------------
-def _metadata_changes(spark: SparkSession, layout: Layout, batch_id: int, loader: ChangelogLoader) -> tuple[DataFrame, int | None, int]:
-    """(changelog rows new in this batch, batch of the snapshot before them, batch of the one after).
-
-    Offsets are compared within their partition, and the new rows are written
-    once: the snapshot and the offsets seen are both made from that table, so
-    rows that arrive meanwhile belong to the next batch."""
-    seen = read_previous(spark, layout.meta_seen, batch_id)
-    before = None
-    offsets: dict[int, int] = {}
-    if seen is not None:
-        newest = seen.agg(F.max("snapshot_batch")).first()[0]
-        before = None if newest is None else int(newest)
-        offsets = {r[0]: r[1] for r in seen.groupBy("partition").agg(F.max("max_seq")).collect()}  # a row a partition
-    changelog = loader(spark, offsets)
-    if "partition" not in changelog.columns:
-        changelog = changelog.withColumn("partition", F.lit(0))
-    known = F.lit(-1).cast("bigint")
-    for partition, seq in offsets.items():
-        known = F.when(F.col("partition") == partition, F.lit(seq)).otherwise(known)
-    write_batch(changelog.filter(F.col("seq") > known), layout.meta_changes, batch_id)
-    changes = spark.read.schema(changelog.schema).parquet(f"{layout.meta_changes}/batch_id={batch_id}")
-    after = before
-    if before is None or not changes.isEmpty():
-        rows = changes
-        if before is not None:
-            previous = spark.read.parquet(f"{layout.meta_snapshot}/batch_id={before}").withColumn("deleted", F.lit(False))
-            # a content's changes all lie in its key's partition; its snapshot row precedes them
-            rows = previous.withColumn("seq", F.lit(-1).cast("bigint")).unionByName(changes, allowMissingColumns=True)
-        write_batch(metadata_snapshot(rows.drop("partition")), layout.meta_snapshot, batch_id)
-        after = batch_id
-    at = changes.groupBy("partition").agg(F.max("seq").alias("max_seq"))
-    if seen is not None:
-        at = at.unionByName(seen.select("partition", "max_seq")).groupBy("partition").agg(F.max("max_seq").alias("max_seq"))
-    write_batch(at.withColumn("snapshot_batch", F.lit(after).cast("bigint")), layout.meta_seen, batch_id)
-    return changes, before, after
 
+def _late_for(watermark_ms: int | None) -> tuple:
+    """Conditions: the event's user hour, and the last of its content windows, ended at or before the watermark."""
+    us = F.unix_micros(F.col("event_time"))
+    hour_end = (floor_div(us, USER_WINDOW_SECONDS * MICROS) + 1) * F.lit(USER_WINDOW_SECONDS * MICROS)
+    last_end = floor_div(us, CONTENT_SLIDE_SECONDS * MICROS) * F.lit(CONTENT_SLIDE_SECONDS * MICROS) + F.lit(CONTENT_WINDOW_SECONDS * MICROS)
+    if watermark_ms is None:
+        return F.lit(False), F.lit(False)
+    limit = F.lit(watermark_ms * 1000).cast("bigint")
+    return (F.coalesce(F.col("has_user") & (hour_end <= limit), F.lit(False)),
+            F.coalesce(F.col("has_content") & (last_end <= limit), F.lit(False)))
 
-def affinity_batch(events: DataFrame, batch_id: int, layout: Layout, loader: ChangelogLoader,
-                   emit_zero: bool = False) -> DataFrame:
-    """One micro-batch of the affinity query; returns the records written.
 
-    Totals per (user, category) change by differences: this batch's events
-    under the new snapshot, and, for contents whose category changed, their
-    earlier counts moved from the old category to the new one. Only for those
-    contents is the pair table read, in their buckets. The totals table is
-    versioned by batch, so a replay starts from the version before it.
+def start_window_features(events: DataFrame, layout: Layout, checkpoint: str | None = None,
+                          trigger: dict | None = None, sink: Callable[[DataFrame], None] | None = None,
+                          metric_sink: Callable[[DataFrame], None] | None = None,
+                          name: str = "window_features") -> StreamingQuery:
+    """``events`` must carry the 30 s watermark (see ``event_table``).
+
+    A batch's watermark is the newest event time of the batches before it less
+    the delay, in milliseconds, as Spark has it; the newest time is observed
+    while the batch is written and kept beside it, so a restart goes on from
+    there. ``current_watermark`` is recorded at most once per 5 s.
     """
     spark = events.sparkSession
-    write_batch(aff.pair_counts(events).withColumn("cb", _content_bucket()), layout.pairs, batch_id, partition_by=["cb"])
-    pairs = read_batches(spark, layout.pairs, [batch_id])
-    changes, before, after = _metadata_changes(spark, layout, batch_id, loader)
-    snapshot = spark.read.parquet(f"{layout.meta_snapshot}/batch_id={after}").select("content_id", "category")
-
-    diffs = []
-    if pairs is not None:
-        diffs.append(pairs.join(snapshot, "content_id").select("user_id", "category", "n"))
-    if after != before:
-        old = (spark.read.parquet(f"{layout.meta_snapshot}/batch_id={before}").select("content_id", F.col("category").alias("old"))
-               if before is not None else snapshot.limit(0).select("content_id", F.col("category").alias("old")))
-        moved = (changes.filter(F.col("content_id").isNotNull()).select("content_id").distinct()
-                 .join(snapshot, "content_id", "left").join(old, "content_id", "left")
-                 .filter(~F.col("category").eqNullSafe(F.col("old"))))
-        past = read_log(spark, layout.pairs)
-        buckets = _buckets(moved, _content_bucket())
-        if past is not None and buckets:
-            counts = (past.filter((F.col("batch_id") < batch_id) & F.col("cb").isin(buckets))
-                      .join(moved, "content_id").groupBy("user_id", "old", "category").agg(F.sum("n").alias("n")))
-            diffs.append(counts.select("user_id", F.inline(F.array(
-                F.struct(F.col("old").alias("category"), (-F.col("n")).alias("n")), F.struct("category", "n")))))
-    none = spark.createDataFrame([], "user_id string, category string, n bigint")
-    diff = none
-    for d in diffs:
-        diff = diff.unionByName(d)
-    # read four times in this batch and by no later one: a written table, always in the same place
-    (diff.filter(F.col("category").isNotNull()).groupBy("user_id", "category").agg(F.sum("n").alias("n"))
-     .withColumn("bucket", _user_bucket()).write.mode("overwrite").parquet(layout.affinity_diff))
-    diff = spark.read.parquet(layout.affinity_diff)
-
-    touched = _buckets(diff, F.col("bucket"))
-    if touched:
-        totals = read_buckets(spark, layout.totals, touched, below=batch_id + 1)
-        summed = (diff if totals is None else diff.unionByName(totals)).groupBy("user_id", "category", "bucket").agg(
-            F.sum("n").alias("n"))
-        write_buckets(summed, layout.totals, batch_id + 1, touched)
-        totals = read_buckets(spark, layout.totals, touched, below=batch_id + 2)
-        changed = totals.join(diff.select("user_id", "category"), ["user_id", "category"], "left_semi")
-        # a total that fell to zero is a retraction: dropped unless asked for
-        changed = changed.filter(F.col("n") >= 0 if emit_zero else F.col("n") > 0)
-    else:
-        changed = diff
-    rows = _log_rows(aff.affinity_features_from_counts(changed, iso_seconds(F.current_timestamp())), batch_id)
-    write_batch(rows, layout.affinity, batch_id)
-    return rows
-
-
-def start_affinity(events: DataFrame, layout: Layout, changelog_loader: ChangelogLoader,
-                   checkpoint: str | None = None, trigger: dict | None = None, emit_zero: bool = False,
-                   sink: Callable[[DataFrame], None] | None = None,
-                   name: str = "category_affinity", prune_compacted: bool = False,
-                   compact_every: int | None = None) -> StreamingQuery:
-    """``events`` without a watermark: affinity is a lifetime count (no lateness)."""
-    spark = events.sparkSession
     prepare_streaming(spark)
 
     def write(df: DataFrame, batch_id: int) -> None:
         session = df.sparkSession
-        affinity_batch(df, batch_id, layout, changelog_loader, emit_zero)
-        if sink is not None:
-            sink(session.read.parquet(f"{layout.affinity}/batch_id={batch_id}")
-                 .withColumn("seq", F.lit(batch_id).cast("bigint")))
-        _maintain(session, layout.affinity, batch_id, compact_every, prune_compacted)
-        _maintain(session, layout.pairs, batch_id, compact_every, prune_compacted, ["cb"])
-        if prune_compacted:
-            expire_versions(session, layout.totals)
-
-    writer = (events.writeStream.outputMode("append").foreachBatch(write).queryName(name)
-              .option("checkpointLocation", _checkpoint(spark, name, checkpoint, layout)))
-    return _trigger(writer, trigger).start()
-
-
-# ---------------------------------------------------------------------------
-# Q3
-# ---------------------------------------------------------------------------
-def late_metrics_batch(batch: DataFrame, batch_id: int, layout: Layout) -> DataFrame:
-    """Classify one micro-batch against the watermark at its start."""
-    spark = batch.sparkSession
-    clock = read_previous(spark, layout.clock, batch_id)
-    prev_max = clock.select(F.max("max_ts")).scalar() if clock is not None else F.lit(None).cast("timestamp")
-    wm = prev_max - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(WATERMARK_DELAY_SECONDS))
-
-    us = F.unix_micros(F.col("event_time"))
-    hour_end = F.timestamp_micros((floor_div(us, USER_WINDOW_SECONDS * MICROS) + 1) * USER_WINDOW_SECONDS * MICROS)
-    last_end = F.timestamp_micros(floor_div(us, CONTENT_SLIDE_SECONDS * MICROS) * CONTENT_SLIDE_SECONDS * MICROS
-                                  + CONTENT_WINDOW_SECONDS * MICROS)
-    now = iso_micros(F.current_timestamp())
-    timed = batch.filter(F.col("event_time").isNotNull())
-
-    def branch(end, label: str) -> DataFrame:
-        return timed.filter(F.coalesce(end <= wm, F.lit(False))).select(
-            F.lit(METRIC_LATE_EVENTS_DROPPED).alias("metric_name"), F.lit(1.0).alias("metric_value"),
-            now.alias("computed_at"), F.lit(label).alias("branch"))
-
-    watermark = (timed.agg(F.count(F.lit(1)).alias("n"))
-                 .filter(wm.isNotNull())
-                 .select(F.lit(METRIC_CURRENT_WATERMARK).alias("metric_name"),
-                         F.unix_millis(wm).cast("double").alias("metric_value"),
-                         now.alias("computed_at"), F.lit(None).cast("string").alias("branch")))
-    metrics = branch(hour_end, USER_BRANCH).unionByName(branch(last_end, CONTENT_BRANCH)).unionByName(watermark)
-    write_batch(metrics.withColumn("seq", F.lit(batch_id).cast("bigint")), layout.metrics, batch_id)
-    new_max = timed.agg(F.greatest(F.max("event_time"), prev_max).alias("max_ts"))
-    if clock is None:
-        new_max = timed.agg(F.max("event_time").alias("max_ts"))
-    write_batch(new_max, layout.clock, batch_id)
-    return metrics
-
-
-def start_late_metrics(events: DataFrame, layout: Layout, checkpoint: str | None = None,
-                       trigger: dict | None = None, sink: Callable[[DataFrame], None] | None = None,
-                       name: str = "late_metrics", compact_every: int | None = None,
-                       prune: bool = False) -> StreamingQuery:
-    """``events`` without a watermark (raw rows of each micro-batch)."""
-    spark = events.sparkSession
-    prepare_streaming(spark)
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.persist()
+        before = read_previous(session, layout.clock, batch_id)
+        newest, recorded = (before.agg(F.max("newest_ms"), F.max("recorded_ms")).first() if before is not None else (None, None))
+        watermark = None if newest is None else newest - WATERMARK_DELAY_SECONDS * 1000
+        late_user, late_content = _late_for(watermark)
+        seen = Observation()
+        kept = df.observe(seen, F.max(F.unix_millis("event_time")).alias("newest_ms")).withColumn("late_user", late_user).withColumn("late_content", late_content).filter(
+            F.col("entity_id").isNotNull() | F.col("late_user") | F.col("late_content")).persist()
         try:
-            late_metrics_batch(df, batch_id, layout)
-            if sink is not None:  # the rows as written, not a second evaluation with other times
-                sink(df.sparkSession.read.parquet(f"{layout.metrics}/batch_id={batch_id}")
-                     .select("metric_name", "metric_value", "computed_at"))
-            _maintain(df.sparkSession, layout.metrics, batch_id, compact_every, prune)
+            write_batch(log_rows(kept.filter(F.col("entity_id").isNotNull()), batch_id), layout.features, batch_id)
+            newest_here, now = seen.get["newest_ms"], int(time.time() * 1000)
+            due = watermark is not None and (recorded is None or now - recorded > WATERMARK_METRIC_PERIOD_MS)
+            metrics = _metrics(kept, watermark if due else None, now)
+            write_batch(metrics.withColumn("seq", F.lit(batch_id).cast("bigint")), layout.metrics, batch_id)
         finally:
-            df.unpersist()
-
-    writer = (events.writeStream.outputMode("append").foreachBatch(write).queryName(name)
-              .option("checkpointLocation", _checkpoint(spark, name, checkpoint, layout)))
-    return _trigger(writer, trigger).start()
+            kept.unpersist()
+        clock = (max((x for x in (newest, newest_here) if x is not None), default=None), now if due else recorded, watermark)
+        write_batch(session.createDataFrame([clock], "newest_ms bigint, recorded_ms bigint, watermark_ms bigint"), layout.clock, batch_id)
+        for target, table, schema in ((sink, layout.features, FEATURE_LOG), (metric_sink, layout.metrics, METRIC_ROWS)):
+            if target is not None:  # the rows as written, not a second evaluation with other times
+                target(session.read.schema(schema).parquet(f"{table}/batch_id={batch_id}"))
+
+    writer = (_with_events(events).writeStream.outputMode("append").foreachBatch(write).queryName(name)
+              .option("checkpointLocation", checkpoint_of(spark, name, checkpoint, layout)))
+    return started(writer, trigger)
+
+
+def _metrics(kept: DataFrame, watermark_ms: int | None, now_ms: int) -> DataFrame:
+    """A record for every late event and branch, and the watermark's where it is due."""
+    now = iso_micros(F.timestamp_millis(F.lit(now_ms)))
+    branches = F.array_compact(F.array(F.when(F.col("late_user"), F.lit(USER_BRANCH)), F.when(F.col("late_content"), F.lit(CONTENT_BRANCH))))
+    late = kept.select(F.lit(METRIC_LATE_EVENTS_DROPPED).alias("metric_name"), F.lit(1.0).alias("metric_value"),
+                       now.alias("computed_at"), F.explode(branches).alias("branch"))
+    if watermark_ms is None:
+        return late
+    sample = kept.sparkSession.range(1).select(
+        F.lit(METRIC_CURRENT_WATERMARK).alias("metric_name"), F.lit(float(watermark_ms)).alias("metric_value"),
+        now.alias("computed_at"), F.lit(None).cast("string").alias("branch"))
+    return late.unionByName(sample)
 
 
 # ---------------------------------------------------------------------------
@@ -387,7 +139,7 @@ def start_late_metrics(events: DataFrame, layout: Layout, checkpoint: str | None
 # ---------------------------------------------------------------------------
 def feature_log(spark: SparkSession, layout: Layout) -> DataFrame | None:
     """Window and affinity records as one log (seq = batch id)."""
-    parts = [t for t in (read_log(spark, layout.features), read_log(spark, layout.affinity)) if t is not None]
+    parts = [t for t in (read_table(spark, layout.features), read_table(spark, layout.affinity)) if t is not None]
     if not parts:
         return None
     log = parts[0].drop("batch_id")
@@ -397,33 +149,18 @@ def feature_log(spark: SparkSession, layout: Layout) -> DataFrame | None:
 
 
 def metric_log(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    m = read_log(spark, layout.metrics)
+    m = read_table(spark, layout.metrics)
     return None if m is None else m.drop("batch_id")
 
 
-def compact_outputs(spark: SparkSession, layout: Layout, upto_batch: int, prune: bool = False) -> None:
-    """Maintenance: fold the per-batch feature, affinity and metric folders up
-    to ``upto_batch`` (committed batches) into compacted versions."""
-    for table in (layout.features, layout.affinity, layout.metrics):
-        compact_table(spark, table, upto_batch, prune)
-
-
-def _table_stream(spark: SparkSession, table: str, schema) -> DataFrame:
-    """A batch-foldered table as a stream, also before its first batch."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(table)
+def feature_log_stream(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Window and affinity records as one stream."""
+    return table_stream(spark, layout.features, FEATURE_LOG).unionByName(table_stream(spark, layout.affinity, FEATURE_LOG))
 
 
 def change_feed_stream(spark: SparkSession, layout: Layout) -> DataFrame:
     """Window and affinity records as one stream of ``feature_update`` JSON messages."""
-    from eventide.operators.serving import feature_update
-    from eventide.schemas import FEATURE_LOG
-
-    log = None
-    for table in (layout.features, layout.affinity):
-        part = _table_stream(spark, table, FEATURE_LOG)
-        log = part if log is None else log.unionByName(part)
+    log = feature_log_stream(spark, layout)
     return log.select(feature_update(log).alias("message"))
 
 
@@ -431,18 +168,12 @@ def metric_state_stream(spark: SparkSession, layout: Layout) -> DataFrame:
     """Running serving state over the metric and feature tables as a stream (use
     ``outputMode("complete")`` or ``"update"``): total late drops, newest
     watermark sample, newest window feature time. One global partial aggregation."""
-    from eventide.functions.timefmt import epoch_millis_of_iso
-    from eventide.schemas import FEATURE_LOG, METRIC_RECORD
-    from pyspark.sql import types as T
-
-    schema = T.StructType(METRIC_RECORD.fields + [T.StructField("branch", T.StringType()),
-                                                  T.StructField("seq", T.LongType())])
     number = F.col("metric_value").cast("bigint")
     none = F.lit(None).cast("bigint")
-    metrics = _table_stream(spark, layout.metrics, schema).select(
+    metrics = table_stream(spark, layout.metrics, METRIC_ROWS).select(
         F.when(F.col("metric_name") == METRIC_LATE_EVENTS_DROPPED, number).alias("late"),
         F.when(F.col("metric_name") == METRIC_CURRENT_WATERMARK, number).alias("wm"), none.alias("sim"))
-    windows = _table_stream(spark, layout.features, FEATURE_LOG).select(
+    windows = table_stream(spark, layout.features, FEATURE_LOG).select(
         none.alias("late"), none.alias("wm"), epoch_millis_of_iso(F.col("computed_at")).alias("sim"))
     zero = F.lit(0).cast("bigint")
     return metrics.unionByName(windows).agg(

@@ -81,80 +81,3 @@ def read_previous(spark: SparkSession, table: str, batch_id: int) -> DataFrame |
     (first batch after a gap or a restart)."""
     prev = read_batches(spark, table, [batch_id - 1]) if batch_id > 0 else None
     return prev if prev is not None else read_table(spark, table, upto_batch=batch_id - 1)
-
-
-def delete_folders(spark: SparkSession, table: str, column: str, upto: int) -> int:
-    """Delete ``table/<column>=<n>`` folders with n <= ``upto`` (retention of
-    compacted data); returns how many were removed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return 0
-    removed = 0
-    prefix = f"{column}="
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix) and name[len(prefix):].lstrip("-").isdigit():
-            if int(name[len(prefix):]) <= upto:
-                fs.delete(status.getPath(), True)
-                removed += 1
-    return removed
-
-
-def list_versions(spark: SparkSession, root: str, column: str) -> list[int]:
-    """Sorted ``n`` of the ``root/<column>=<n>`` folders (a listing of names only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return []
-    prefix = f"{column}="
-    out = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix) and name[len(prefix):].lstrip("-").isdigit():
-            out.append(int(name[len(prefix):]))
-    return sorted(out)
-
-
-def compact_table(spark: SparkSession, table: str, upto_batch: int, prune: bool = False,
-                  partition_by: list[str] | None = None) -> int | None:
-    """Fold the batch folders of ``table`` since the last fold, up to
-    ``upto_batch``, into ``<table>_compacted/v=<upto_batch>``, keeping each
-    row's ``batch_id``: a row is folded once. Run it for batches the stream has
-    committed. With ``prune``, the batch folders of earlier folds are deleted
-    (readers that listed them get one fold of grace). Returns the version
-    written, or None when there was nothing."""
-    base_root = f"{table.rstrip('/')}_compacted"
-    prev = max((v for v in list_versions(spark, base_root, "v") if v < upto_batch), default=-1)
-    rows = read_batches(spark, table, [b for b in list_versions(spark, table, "batch_id") if prev < b <= upto_batch])
-    if rows is None:
-        return None
-    writer = rows.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{base_root}/v={upto_batch}")
-    if prune and prev >= 0:
-        delete_folders(spark, table, "batch_id", prev)
-    return upto_batch
-
-
-def read_log(spark: SparkSession, table: str) -> DataFrame | None:
-    """A batch-foldered table as one frame: all folds plus the batch folders
-    written after the last one (with a ``batch_id`` column)."""
-    base_root = f"{table.rstrip('/')}_compacted"
-    versions = list_versions(spark, base_root, "v")
-    parts = []
-    if versions:
-        parts.append(spark.read.option("basePath", base_root).parquet(*[f"{base_root}/v={v}" for v in versions]).drop("v"))
-    last = versions[-1] if versions else -1
-    newer = read_batches(spark, table, [b for b in list_versions(spark, table, "batch_id") if b > last])
-    if newer is not None:
-        parts.append(newer)
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out

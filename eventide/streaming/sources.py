@@ -2,20 +2,18 @@
 
 Kafka is the production source (the connector jar must be on the cluster's
 classpath); JSON-lines file streams serve tests and file-based deployments.
-Both yield a ``value`` string column that :func:`parse_events` turns into
-typed events, plus an arrival-order column (offset / file row order).
+Event sources yield a ``value`` string column, which the ingest parses, and
+arrival columns; metadata sources yield changelog rows.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.config import WATERMARK_DELAY, PipelineConfig
+from eventide.config import PipelineConfig
 from eventide.sources.changelog import parse_metadata_messages
-from eventide.sources.events_json import CORRUPT_COLUMN, drop_empty, parse_events
+from eventide.sources.events_json import drop_empty
 
 
 def kafka_stream(spark: SparkSession, cfg: PipelineConfig, topic: str) -> DataFrame:
@@ -35,39 +33,16 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return drop_empty(reader.load(path)).select(F.col("value"), F.current_timestamp().alias("arrival_ts"))
 
 
-def event_stream(raw: DataFrame, mode: str = "FAILFAST", watermark: bool = True) -> DataFrame:
-    """Raw values -> typed, watermarked events (30 s bounded out-of-orderness).
-    The fallback time of an unparseable timestamp is the micro-batch time.
-    FAILFAST fails the query on malformed JSON (the reference's behaviour);
-    PERMISSIVE keeps only well-formed rows (see :func:`malformed_stream`)."""
-    keep = [c for c in ("arrival_ts", "partition", "offset") if c in raw.columns]
-    events = parse_events(raw, mode=mode, keep=keep)
-    if mode.upper() == "PERMISSIVE":
-        events = events.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    return events.withWatermark("event_time", WATERMARK_DELAY) if watermark else events
-
-
-def malformed_stream(raw: DataFrame) -> DataFrame:
-    """Messages that are not valid event JSON, with their arrival columns."""
-    keep = [c for c in ("arrival_ts", "partition", "offset") if c in raw.columns]
-    parsed = parse_events(raw, mode="PERMISSIVE", keep=keep)
-    return parsed.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(
-        F.col(CORRUPT_COLUMN).alias("value"), *keep)
-
+def metadata_stream_kafka(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """The compacted metadata topic as a stream of changelog rows; a message without a value is a delete."""
+    raw = spark.readStream.format("kafka").options(**cfg.kafka_reader_options(cfg.content_metadata_topic)).load()
+    return parse_metadata_messages(raw.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "offset", "partition"))
 
-def metadata_changelog_kafka(spark: SparkSession, cfg: PipelineConfig, seen: dict[int, int] | None = None) -> DataFrame:
-    """Batch read of the compacted metadata topic -> changelog rows (with ``partition``),
-    from the offsets after those ``seen`` (partition -> greatest offset)."""
-    starts = {str(p): (seen or {}).get(p, -3) + 1 for p in range(cfg.metadata_partitions)}  # -2: from the earliest
-    raw = (spark.read.format("kafka").options(**cfg.kafka_reader_options(cfg.content_metadata_topic))
-           .option("startingOffsets", json.dumps({cfg.content_metadata_topic: starts}))
-           .option("endingOffsets", "latest").load())
-    return parse_metadata_messages(
-        raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-                   "offset", "partition"))
 
-
-def metadata_changelog_files(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of JSON-lines metadata messages {key, value, offset}."""
-    raw = spark.read.schema("key string, value string, offset bigint").json(path)
-    return parse_metadata_messages(raw)
+def metadata_stream_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """JSON-lines metadata messages {key, value, offset[, partition]} as a stream of changelog rows."""
+    reader = spark.readStream.schema("key string, value string, offset bigint, partition int")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return parse_metadata_messages(reader.json(path))

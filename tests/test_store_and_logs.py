@@ -1,4 +1,4 @@
-"""Bucketed latest-value store, changelog row kinds, topic-shaped serving input."""
+"""Latest values as state and as a table, changelog row kinds, topic-shaped serving input."""
 
 from __future__ import annotations
 
@@ -14,38 +14,35 @@ from conftest import rows
 LOG = "entity_id string, feature_name string, feature_value double, computed_at string, received_at double, seq bigint"
 
 
-def test_upsert_latest_rewrites_touched_buckets(spark, tmp_path):
-    path = str(tmp_path / "store")
-    b0 = spark.createDataFrame([("u1", "click_rate", 0.2, "t1", 1.0, 0), ("u2", "click_rate", 0.4, "t1", 1.0, 0)], LOG)
-    store.upsert_latest(b0, path, buckets=4)
-    b1 = spark.createDataFrame([("u1", "click_rate", 0.5, "t2", 2.0, 1)], LOG)
-    store.upsert_latest(b1, path, buckets=4)
-    store.upsert_latest(b1, path, buckets=4)  # replay of the same batch
-    latest = store.read_latest(spark, path)
-    assert rows(latest, "entity_id", "feature_value") == [("u1", 0.5), ("u2", 0.4)]
-    assert rows(store.read_latest(spark, path, " u2 ", buckets=4), "entity_id") == [("u2",)]
-
-
-def test_a_failed_read_leaves_the_store_unchanged(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "store")
-    stored = [(f"u{i}", "click_rate", float(i), "t1", 1.0, 0) for i in range(30)]
-    store.upsert_latest(spark.createDataFrame(stored, LOG), path, buckets=4)
-    new = spark.createDataFrame([("u1", "click_rate", 99.0, "t2", 2.0, 1)], LOG)
-    real = store._read_buckets
-
-    def broken(*_):
-        raise OSError("read failed")
-
-    monkeypatch.setattr(store, "_read_buckets", broken)
-    with pytest.raises(OSError, match="read failed"):
-        store.upsert_latest(new, path, buckets=4)
-    monkeypatch.setattr(store, "_read_buckets", real)
-    assert rows(store.read_latest(spark, path), "entity_id", "feature_value") == sorted((r[0], r[2]) for r in stored)
-    store.upsert_latest(new, path, buckets=4)
-    assert store.read_latest(spark, path).count() == 30
-    assert [r.feature_value for r in store.read_latest(spark, path, "u1", buckets=4).collect()] == [99.0]
-    with pytest.raises(FileNotFoundError):
-        store.read_latest(spark, str(tmp_path / "none"))
+def test_latest_values_as_state(spark, tmp_path):
+    """The log comes in parts; every committed version can be read, of one entity or all."""
+    from eventide.streaming.latest import read_latest, start_latest
+
+    log, state = str(tmp_path / "log"), str(tmp_path / "state")
+
+    def add(*records):
+        spark.createDataFrame(records, LOG).write.mode("append").parquet(log)
+        start_latest(spark.readStream.schema(LOG).parquet(log), state, {"availableNow": True}).awaitTermination()
+
+    add(("u1", "click_rate", 0.2, "t1", 1.0, 0), ("u2", "click_rate", 0.4, "t1", 1.0, 0), ("", "x", 1.0, "t", 1.0, 0),
+        (None, "x", 1.0, "t", 1.0, 0), ("u3", "", 1.0, "t", 1.0, 0))
+    add(("u1", "click_rate", 0.5, "t2", 2.0, 1), ("u1", "avg_dwell_time", None, None, 2.0, 1))
+    add(("u1", "click_rate", 0.2, "t1", 1.0, 0))  # an old record once more
+    assert rows(read_latest(spark, state), "entity_id", "feature_name", "feature_value", "computed_at", "seq") == [
+        ("u1", "avg_dwell_time", None, None, 1), ("u1", "click_rate", 0.5, "t2", 1), ("u2", "click_rate", 0.4, "t1", 0)]
+    assert rows(read_latest(spark, state, " u2 "), "entity_id") == [("u2",)]
+    assert rows(read_latest(spark, state, version=0), "entity_id", "feature_value") == [("u1", 0.2), ("u2", 0.4)]
+    assert read_latest(spark, state, "nobody").count() == 0
+    with pytest.raises(Exception, match="none"):
+        read_latest(spark, str(tmp_path / "none"))
+
+
+def test_written_latest_table(spark, tmp_path):
+    path = str(tmp_path / "latest")
+    log = spark.createDataFrame([("u1", "click_rate", 0.2, "t1", 1.0, 0), ("u1", "click_rate", 0.5, "t2", 2.0, 1),
+                                 ("u2", "click_rate", 0.4, "t1", 1.0, 0)], LOG)
+    store.write_latest(log, path)
+    assert rows(spark.read.parquet(path), "entity_id", "feature_value") == [("u1", 0.5), ("u2", 0.4)]
 
 
 def test_changelog_upserts_keep_inserts_and_update_after(spark):
@@ -99,26 +96,15 @@ def test_publication_round_trips(spark, tmp_path):
 
 
 def test_batch_folder_helpers_on_edges(spark, tmp_path):
-    from eventide.streaming.sinks import (
-        compact_table,
-        delete_folders,
-        list_versions,
-        read_batches,
-        read_log,
-        read_previous,
-        write_batch,
-    )
+    from eventide.streaming.sinks import read_batches, read_previous, read_table, write_batch
 
     table = str(tmp_path / "t")
-    assert read_log(spark, table) is None
-    assert compact_table(spark, table, 5) is None
+    assert read_table(spark, table) is None
     assert read_batches(spark, table, [0, 1]) is None
     for b in (0, 2, 3):
         write_batch(spark.createDataFrame([(b,)], "x int"), table, b)
-    assert list_versions(spark, table, "batch_id") == [0, 2, 3]
+    write_batch(spark.createDataFrame([(3,)], "x int"), table, 3)  # a replay
     assert read_previous(spark, table, 2).count() == 1          # batch 1 missing: falls back to <= 1
     assert sorted(r.x for r in read_batches(spark, table, [1, 2, 3]).collect()) == [2, 3]
-    assert compact_table(spark, table, 2) == 2
-    assert sorted(r.x for r in read_log(spark, table).collect()) == [0, 2, 3]
-    assert delete_folders(spark, table, "batch_id", 0) == 1
-    assert list_versions(spark, table, "batch_id") == [2, 3]
+    assert sorted(r.x for r in read_table(spark, table).collect()) == [0, 2, 3]
+    assert sorted(r.x for r in read_table(spark, table, upto_batch=2).collect()) == [0, 2]
