@@ -1,19 +1,22 @@
 """Language-model scores by a hashed maximum-entropy model.
 
-P(word | history) = P(class | history) * P(place in class | class, history).
-Both factors are maximum-entropy models (a softmax over summed weights) whose
-features are the last word, the last two words, and a skip over the last word, each
-hashed into tables of fixed size. The most frequent words have a place in a class
-of words of like frequency. All others share classes by the first letters; there
-the place is the word itself, given by its training count with absolute
-discounting, and the discounted mass belongs to words never seen.
+P(word | history) is a product along a class tree: P(class | history), then
+P(child | node, history) from node to node down to the word. Every factor is a
+maximum-entropy model, a softmax over summed weights, whose features are the last
+word, the last two words, and a skip over the last word, each hashed into tables
+whose size follows the training tokens. The most frequent words, as many as
+``HEAD``, are leaves of the tree: in order of spelling, which puts forms and languages
+together, the words of a node are cut into ``BRANCH`` children of like mass, so frequent
+words have short ways. All others
+share classes by the first letters; there the word itself is given by its training
+count with absolute discounting, and the discounted mass belongs to words never seen.
 
 Counting, training and scoring are separate passes over whole texts:
 
 1. Words of the training documents are counted in a table in the shared folder.
-2. Words that make up at least 1/``HEAD`` of the tokens, at most ``HEAD`` by that
-   rule, are numbered and sent to every task. Texts become arrays of numbers,
-   written once. Rarer words keep their text and are joined to their counts.
+2. The most frequent words are numbered and sent to every task. Texts become
+   arrays of numbers, written once. Rarer words keep their text and are joined to
+   their counts.
 3. The training texts are dealt out to the rounds, so each is learnt from once. In its round each
    task takes gradient steps (AdaGrad, one step size per row) over its texts from the common
    weights; the results are averaged row by row, weighted by how often a partition met the
@@ -37,21 +40,23 @@ from pyspark.sql import functions as F
 
 from eventide.llm.common import saved, table
 
-#: Words that are numbered at most; a numbered word makes up at least 1/HEAD of the training tokens.
-HEAD = 1 << 17
-#: Classes of listed words and their places; classes of all other words.
-LISTED_CLASSES, PLACES, TAIL_CLASSES = 16, 32, 16
-#: Rows of a hashed feature's table: single words, pairs of words, places by (class, word).
-WORD_ROWS, PAIR_ROWS, PLACE_ROWS = 4_096, 8_192, 4_096
+#: Children of a node of the class tree; its levels below the root.
+BRANCH, LEVELS = 16, 3
+#: Words that are numbered at most, as many as the tree has leaves.
+HEAD = BRANCH ** (LEVELS + 1)
+#: Classes of all other words.
+TAIL_CLASSES = 16
+#: Rows of the smallest and the largest table of a hashed feature (the largest is sorted as 16-bit numbers, pairs have twice as many).
+LEAST_ROWS, MOST_ROWS = 1 << 10, 1 << 15
 #: Step size of each round; every round starts from the weights that the round before it averaged, with texts of its own.
-RATES = (1.5, 1.5, 1.5)
+RATES = (0.7, 0.35, 0.15)
 #: Tokens of a gradient step, and of a scored batch.
 BATCH = 16_384
 #: Training tokens that one task takes its steps over, about: what is averaged grows with the tokens, not with the files.
 TRAINER_TOKENS = 4_000_000
 #: The end of a text as a word: no word has a line feed.
 END = b"\n"
-CLASSES = LISTED_CLASSES + TAIL_CLASSES
+CLASSES = BRANCH + TAIL_CLASSES
 #: Number of the start of a text as a history word; tail classes are numbered before it.
 START = HEAD + TAIL_CLASSES
 
@@ -75,6 +80,14 @@ class Numbers(dict):
 
 # --- the model -----------------------------------------------------------------------------
 
+def rows_for(tokens: int) -> int:
+    """Rows of a table: in proportion to the cube root of the training tokens, as a power of two.
+
+    A table travels once for every trainer, and trainers follow the tokens.
+    """
+    return min(MOST_ROWS, max(LEAST_ROWS, 1 << int(math.log2(max(tokens, 1)) / 3 + 5)))
+
+
 @dataclass
 class Vocabulary:
     """Numbered words by falling count, and what the counts say of all others."""
@@ -84,49 +97,66 @@ class Vocabulary:
     n: int
     v: int
     discount: float
-    #: Training tokens and distinct words by tail class; listed words are taken out at the start.
+    #: Training tokens and distinct words by tail class; numbered words are taken out at the start.
     tail_tokens: np.ndarray
     tail_words: np.ndarray
 
     def __post_init__(self) -> None:
-        """Class and place of every number: listed words fill classes of like mass in order of count."""
-        self.cls = np.concatenate([np.array([LISTED_CLASSES + tail_class(w) for w in self.words], np.int64),
-                                   np.zeros(HEAD - len(self.words), np.int64),
-                                   LISTED_CLASSES + np.arange(TAIL_CLASSES), [0]]).astype(np.int64)
-        self.place = np.full(START + 1, -1, np.int64)
-        mass, share, k, at = 0.0, self.counts[:LISTED_CLASSES * PLACES].sum() / LISTED_CLASSES, 0, 0
-        for i in range(len(self.words)):
-            if at and (at == PLACES or mass >= share * (k + 1)):
-                k, at = k + 1, 0
-            if k == LISTED_CLASSES:
-                break
-            self.cls[i], self.place[i] = k, at
-            mass, at = mass + self.counts[i], at + 1
-        self.listed = int((self.place >= 0).sum())
-        for word, count in zip(self.words[:self.listed], self.counts[:self.listed], strict=True):
+        """Class of every number, and of the numbered words the way down the tree."""
+        self.rows = rows_for(self.n)
+        self.cls = np.concatenate([np.zeros(HEAD, np.int64), BRANCH + np.arange(TAIL_CLASSES), [0]])
+        #: By level and number: the node that is left there, or -1 where the way has ended, and the child taken.
+        self.node = np.full((LEVELS, START + 1), -1, np.int32)
+        self.child = np.zeros((LEVELS, START + 1), np.int16)
+        self.order = np.array(sorted(range(len(self.words)), key=self.words.__getitem__), np.int64)
+        self.mass = np.concatenate([[0.0], np.cumsum(self.counts[self.order])])
+        #: Log of each child's training tokens, by node.
+        self.bias: list[np.ndarray] = []
+        self.class_mass = np.zeros(BRANCH)
+        for k, (low, high) in enumerate(self._cut(0, len(self.words), BRANCH ** LEVELS)):
+            self.cls[self.order[low:high]] = k
+            self.class_mass[k] = self.mass[high] - self.mass[low]
+            self._grow(low, high, 0)
+        self.node_bias = np.array(self.bias, np.float32).reshape(-1, BRANCH)
+        for word, count in zip(self.words, self.counts, strict=True):
             self.tail_tokens[tail_class(word)] -= count
             self.tail_words[tail_class(word)] -= 1
         hashed = np.arange(START + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-        half = WORD_ROWS // 2
+        half = self.rows // 2
         self.row = np.where(np.arange(START + 1) < half - 1, np.arange(START + 1), half + hashed.astype(np.int64) % half)
         self.row[START] = half - 1
+        self.log_base = self._log_base()
 
-        self.log_in_tail, self.log_base = self._log_in_tail(), self._log_base()
+    def _cut(self, low: int, high: int, room: int) -> list[tuple[int, int]]:
+        """The words ``[low, high)`` in at most ``BRANCH`` parts of like mass, none with more than ``room`` words."""
+        parts = []
+        for k in range(BRANCH):
+            if low == high:
+                break
+            share = self.mass[low] + (self.mass[high] - self.mass[low]) / (BRANCH - k)
+            end = int(np.searchsorted(self.mass, share, "right")) - 1
+            end = min(max(end, low + 1, high - (BRANCH - k - 1) * room), low + room, high)
+            parts.append((low, end))
+            low = end
+        return parts
+
+    def _grow(self, low: int, high: int, level: int) -> None:
+        """The nodes over the words ``[low, high)``; a single word is its own leaf."""
+        if high - low < 2:
+            return
+        nr, bias = len(self.bias), np.full(BRANCH, -1e9)
+        self.bias.append(bias)
+        for k, (a, b) in enumerate(self._cut(low, high, BRANCH ** (LEVELS - 1 - level))):
+            bias[k] = math.log(self.mass[b] - self.mass[a])
+            self.node[level, self.order[a:b]] = nr
+            self.child[level, self.order[a:b]] = k
+            self._grow(a, b, level + 1)
 
     def log_unseen(self) -> np.ndarray:
         """log10 of the mass of words never seen, by tail class."""
         mass = np.where(self.tail_tokens > 0, self.discount * self.tail_words / np.maximum(self.tail_tokens, 1), 1.0)
         return np.log10(mass)
 
-    def _log_in_tail(self) -> np.ndarray:
-        """log10 P(word | tail class) of the numbered words that are not listed; 0 for the listed."""
-        c = self.cls[:len(self.words)] - LISTED_CLASSES
-        out = np.zeros(START + 1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = np.log10((self.counts - self.discount) / self.tail_tokens[np.maximum(c, 0)])
-        out[:len(self.words)] = np.where(c >= 0, own, 0.0)
-        return out
-
     def _log_base(self) -> np.ndarray:
         """log10 base probability of the numbered words."""
         out = np.zeros(START + 1)
@@ -141,28 +171,20 @@ def mixed(a: np.ndarray, b: np.ndarray, rows: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weights: ``by_class`` has the class factor's tables one below the other, ``by_place`` the other factor's."""
+    """Weights: ``by_class`` has the class factor's tables one below the other, ``by_node`` those of the other factors."""
 
     voc: Vocabulary
     by_class: np.ndarray
-    by_place: np.ndarray
+    by_node: np.ndarray
     class_bias: np.ndarray
-    place_bias: np.ndarray
 
     @classmethod
     def start(cls, voc: Vocabulary) -> Model:
         """No features yet: the biases give the training frequencies."""
-        place_bias = np.full((LISTED_CLASSES, PLACES), -1e9, np.float32)
-        mass = np.full(CLASSES, 0.5)
-        at = np.flatnonzero(voc.place >= 0)
-        place_bias[voc.cls[at], voc.place[at]] = np.log(voc.counts[at] + 0.5)
-        np.add.at(mass, voc.cls[at], voc.counts[at])
-        mass[LISTED_CLASSES:] += voc.tail_tokens
-        empty = ~(place_bias > -1e8).any(axis=1)
-        mass[:LISTED_CLASSES][empty] = 1e-30
-        place_bias[empty] = 0
-        return cls(voc, np.zeros((2 * WORD_ROWS + PAIR_ROWS, CLASSES), np.float32),
-                   np.zeros((2 * PLACE_ROWS, PLACES), np.float32), np.log(mass).astype(np.float32), place_bias)
+        mass = np.concatenate([voc.class_mass, voc.tail_tokens + 0.5])
+        mass[:BRANCH] = np.where(voc.class_mass > 0, voc.class_mass, 1e-30)
+        return cls(voc, np.zeros((4 * voc.rows, CLASSES), np.float32), np.zeros((4 * voc.rows, BRANCH), np.float32),
+                   np.log(mass).astype(np.float32))
 
     def histories(self, texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
         """All tokens of the texts, and for each the rows of its history's features."""
@@ -170,13 +192,9 @@ class Model:
         whole = np.concatenate([x for t in texts for x in (gap, t)])
         own = np.concatenate([x for t in texts for x in (np.zeros(2, bool), np.ones(len(t), bool))])
         at = np.flatnonzero(own)
-        row = self.voc.row[whole]
+        row, size = self.voc.row[whole], self.voc.rows
         r1, r2 = row[at - 1], row[at - 2]
-        return whole[at], [r1, r2 + WORD_ROWS, mixed(r1, r2, PAIR_ROWS) + 2 * WORD_ROWS]
-
-    @staticmethod
-    def place_rows(cls: np.ndarray, r1: np.ndarray, r2: np.ndarray) -> list[np.ndarray]:
-        return [mixed(cls, r1, PLACE_ROWS), mixed(cls, r2, PLACE_ROWS) + PLACE_ROWS]
+        return whole[at], [r1, r2 + size, mixed(r1, r2, 2 * size) + 2 * size]
 
     @staticmethod
     def softmax(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
@@ -190,12 +208,15 @@ class Model:
         return logits
 
     def parts(self, ids: np.ndarray, rows: list[np.ndarray]):
-        """Probabilities of the classes, and for the listed tokens (their positions) of the places."""
-        cls, place = self.voc.cls[ids], self.voc.place[ids]
-        listed = np.flatnonzero(place >= 0)
-        places = self.place_rows(cls[listed], rows[0][listed], rows[1][listed])
-        return (cls, self.softmax(self.by_class, rows, self.class_bias), place[listed], listed, places,
-                self.softmax(self.by_place, places, self.place_bias[cls[listed]]))
+        """Probabilities of the classes, and for all nodes that the tokens leave (their positions) of the children."""
+        size = self.voc.rows
+        node = self.voc.node[:, ids]
+        level, at = np.nonzero(node >= 0)
+        left = node[level, at].astype(np.int64)
+        r1, r2 = rows[0][at], rows[1][at] - size
+        below = [mixed(left, r1, 2 * size), mixed(left, r2, 2 * size) + 2 * size]
+        return (self.voc.cls[ids], self.softmax(self.by_class, rows, self.class_bias), self.voc.child[level, ids[at]], at, below,
+                self.softmax(self.by_node, below, self.voc.node_bias[left]))
 
     def log_probs(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 P of every token of the texts; of a word without a number, only of its class."""
@@ -203,11 +224,11 @@ class Model:
         out = np.empty(len(ids))
         for low in range(0, len(ids), BATCH):
             part, own = ids[low:low + BATCH], [r[low:low + BATCH] for r in rows]
-            cls, p, place, listed, _, q = self.parts(part, own)
+            cls, p, child, at, _, q = self.parts(part, own)
             log = np.log10(np.maximum(p[np.arange(len(part)), cls], 1e-30), dtype=np.float64)
-            log[listed] += np.log10(np.maximum(q[np.arange(len(listed)), place], 1e-30), dtype=np.float64)
-            out[low:low + BATCH] = log
-        return out + self.voc.log_in_tail[ids]
+            down = np.log10(np.maximum(q[np.arange(len(at)), child], 1e-30), dtype=np.float64)
+            out[low:low + BATCH] = log + np.bincount(at, down, len(part))
+        return out
 
 
 class Trainer:
@@ -215,14 +236,14 @@ class Trainer:
 
     def __init__(self, model: Model, rate: float):
         self.model, self.rate = model, rate
-        self.tables = [model.by_class.copy(), model.by_place.copy()]
-        model.by_class, model.by_place = self.tables
+        self.tables = [model.by_class.copy(), model.by_node.copy()]
+        model.by_class, model.by_node = self.tables
         self.squares = [np.ones(len(t), np.float32) for t in self.tables]
         self.met = [np.zeros(len(t), np.float32) for t in self.tables]
 
     def update(self, which: int, rows: list[np.ndarray], gradient: np.ndarray) -> None:
         for r in rows:
-            order = np.argsort(r.astype(np.uint16), kind="stable")
+            order = np.argsort((r - r.min()).astype(np.uint16), kind="stable")  # a table has at most 2^16 rows
             ranked = r[order]
             ends = np.append(np.flatnonzero(ranked[1:] != ranked[:-1]), len(ranked) - 1)
             g = np.cumsum(gradient[order], axis=0)[ends]
@@ -237,12 +258,12 @@ class Trainer:
         ids, rows = self.model.histories(texts)
         for low in range(0, len(ids), BATCH):
             part, own = ids[low:low + BATCH], [r[low:low + BATCH] for r in rows]
-            cls, p, place, listed, places, q = self.model.parts(part, own)
+            cls, p, child, at, below, q = self.model.parts(part, own)
             p[np.arange(len(part)), cls] -= 1
             self.update(0, own, p)
-            if len(listed):
-                q[np.arange(len(listed)), place] -= 1
-                self.update(1, places, q)
+            if len(at):
+                q[np.arange(len(at)), child] -= 1
+                self.update(1, below, q)
 
 
 def batches_of(packed: Iterator[bytes], tokens: int = 4 * BATCH) -> Iterator[list[np.ndarray]]:
@@ -288,17 +309,30 @@ def count_words(docs: DataFrame, text: str = "text", held: int = 300_000) -> Dat
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def vocabulary(counts: DataFrame) -> Vocabulary:
-    """What the driver keeps of the counts: numbered words (at most ``HEAD``) and sums."""
+def count_step(c: str = "c") -> Column:
+    """Steps of a count, sixteen for each doubling."""
+    return F.floor(F.log2(c) * 16)
+
+
+def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
+    """What the driver keeps of the counts: the numbered words and sums; and the step from which on words
+    are numbered, the lowest that at most ``HEAD`` words reach."""
     sums = counts.agg(F.sum("c"), F.count("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     n, v, once, twice = (x or 0 for x in sums)
-    top = counts.where(F.col("c") * HEAD >= n).orderBy(F.desc("c"), "word").limit(HEAD).toArrow()
+    held, least = 0, 0
+    steps = counts.groupBy(count_step().alias("step")).agg(F.count(F.lit(1)).alias("words"))
+    for step, words in sorted(map(tuple, steps.collect()), reverse=True):  # at most 16 x 63 rows
+        held += words
+        if held > HEAD:
+            least = step + 1
+            break
+    top = counts.where(count_step() >= least).orderBy(F.desc("c"), "word").toArrow()
     by_class = counts.groupBy((F.crc32(F.substring("word", 1, 2)) % TAIL_CLASSES).alias("k")).agg(F.sum("c"), F.count("c"))
     tokens, words = np.zeros(TAIL_CLASSES), np.zeros(TAIL_CLASSES)
     for k, a, b in by_class.collect():
         tokens[k], words[k] = a, b
     return Vocabulary(top.column("word").to_pylist(), top.column("c").to_numpy().astype(np.float64), n, v,
-                      once / (once + 2 * twice) if once and twice else 0.5, tokens, words)
+                      once / (once + 2 * twice) if once and twice else 0.5, tokens, words), least
 
 
 def encode(docs: DataFrame, voc: Vocabulary, key: str, text: str) -> DataFrame:
@@ -342,7 +376,7 @@ def train_round(encoded: DataFrame, model: Model, rate: float, nr: int = 0, roun
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        trainer = Trainer(Model(m.voc, m.by_class, m.by_place, m.class_bias, m.place_bias), rate)
+        trainer = Trainer(Model(m.voc, m.by_class, m.by_node, m.class_bias), rate)
         seen = False
         for texts in batches_of(x.as_py() for batch in batches for x in batch.column(0)):
             trainer.learn(texts)
@@ -350,8 +384,10 @@ def train_round(encoded: DataFrame, model: Model, rate: float, nr: int = 0, roun
         for which, (weights, met) in enumerate(zip(trainer.tables, trainer.met, strict=True)) if seen else ():
             for low in range(0, len(weights), CHUNK_ROWS):
                 own = met[low:low + CHUNK_ROWS]
+                if not own.any():
+                    continue
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([which * 1000 + low // CHUNK_ROWS], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32()),
+                    [pa.array([which * MOST_ROWS + low // CHUNK_ROWS], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32()),
                      pa.array([own.tobytes()], pa.binary()), pa.array([(weights[low:low + CHUNK_ROWS] * own[:, None]).tobytes()], pa.binary())],
                     ["chunk", "part", "met", "weights"])
 
@@ -371,15 +407,15 @@ def train_round(encoded: DataFrame, model: Model, rate: float, nr: int = 0, roun
     texts = encoded.where(~F.col("held_out") & own).select("ids").coalesce(trainers)
     partial = texts.mapInArrow(learned, form)
     once = partial.groupBy("chunk", (F.col("part") % math.ceil(math.sqrt(trainers))).alias("group")).applyInArrow(summed, form)
-    tables = [model.by_class.copy(), model.by_place.copy()]
+    tables = [model.by_class.copy(), model.by_node.copy()]
     for r in once.groupBy("chunk").applyInArrow(summed, form).toLocalIterator():
-        which, low = r.chunk // 1000, r.chunk % 1000 * CHUNK_ROWS
+        which, low = r.chunk // MOST_ROWS, r.chunk % MOST_ROWS * CHUNK_ROWS
         met = np.frombuffer(bytes(r.met), np.float32)
         weights = np.frombuffer(bytes(r.weights), np.float32).reshape(len(met), -1)
         own = tables[which][low:low + CHUNK_ROWS]
         own[met > 0] = weights[met > 0] / met[met > 0, None]
     shared.unpersist()
-    return Model(model.voc, *tables, model.class_bias, model.place_bias)
+    return Model(model.voc, *tables, model.class_bias)
 
 
 def score_numbers(encoded: DataFrame, model: Model) -> DataFrame:
@@ -418,7 +454,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", rates:
     """
     train = docs.where(~is_held_out(F.col(f"`{key}`")))
     counts = saved(count_words(train, text), "counts")
-    voc = vocabulary(counts)
+    voc, least = vocabulary(counts)
     encoded = encode(docs, voc, key, text)
     model = Model.start(voc)
     for nr, rate in enumerate(rates if voc.n else ()):
@@ -430,7 +466,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", rates:
     log_tokens = F.element_at(F.array(*[F.lit(math.log10(max(1.0, x))) for x in voc.tail_tokens]), (place + 1).cast("int"))
     unseen = F.element_at(F.array(*[F.lit(float(x)) for x in voc.log_unseen()]), (place + 1).cast("int"))
     seen = F.coalesce("c", F.lit(0))
-    sums = rare.join(counts.where(F.col("c") * HEAD < voc.n), "word", "left").groupBy("row").agg(
+    sums = rare.join(counts.where(count_step() < least), "word", "left").groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("freq")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("freq") * F.log10((seen + 0.5) / F.lit(voc.n + 0.5 * (voc.v + 1)))).alias("rare_base"),
         F.sum(F.col("freq") * F.when(F.col("c") > 0, F.log10(F.col("c") - F.lit(voc.discount)) - log_tokens).otherwise(unseen)).alias("rare_score"))

@@ -50,7 +50,7 @@ def small_model(seed=1):
 
 def test_probabilities_of_all_words_sum_to_one():
     model, voc = small_model()
-    assert voc.listed > lm.LISTED_CLASSES and voc.listed < 700
+    assert len(voc.node_bias) > lm.BRANCH and set(voc.cls[:700]) == set(range(lm.BRANCH))
     empty = [lm.HEAD + k for k in range(lm.TAIL_CLASSES)]
     for history in ([], [3], [1, 2], [650, 4], [lm.HEAD + 2, 9]):
         known = sum(10 ** model.log_probs([np.array([*history, w], np.int32)])[-1] for w in range(700))
@@ -70,6 +70,77 @@ def test_learns_and_batches_alike(monkeypatch):
     assert np.allclose(whole, np.concatenate([model.log_probs([t]) for t in texts]))
 
 
+def plain_log_prob(model, history, word):
+    """log10 of a number's probability after two numbers, feature by feature and node by node."""
+    voc = model.voc
+    r1, r2 = (int(voc.row[h]) for h in history)
+    mix = lambda a, b, rows: ((a * 0x1F3D5B79 + b * 0x2545F491 + 0x3C6EF372) >> 7) * 0x27D4EB2F >> 11 & (rows - 1)
+
+    def factor(tables, rows, bias, chosen):
+        logits = [float(bias[k]) + sum(float(tables[r][k]) for r in rows) for k in range(len(bias))]
+        top = max(logits)
+        return math.log10(math.exp(logits[chosen] - top) / sum(math.exp(x - top) for x in logits))
+
+    n = voc.rows
+    total = factor(model.by_class, [r1, n + r2, 2 * n + mix(r1, r2, 2 * n)], model.class_bias, int(voc.cls[word]))
+    for level in range(lm.LEVELS):
+        node = int(voc.node[level, word])
+        if node >= 0:
+            total += factor(model.by_node, [mix(node, r1, 2 * n), 2 * n + mix(node, r2, 2 * n)], voc.node_bias[node],
+                            int(voc.child[level, word]))
+    return total
+
+
+def test_scores_against_brute_force():
+    model, _ = small_model(3)
+    rnd = np.random.default_rng(5)
+    texts = [rnd.integers(0, 700, n).astype(np.int32) for n in (1, 2, 40)] + [np.array([lm.HEAD + 3, 5, lm.HEAD], np.int32)]
+    want = [plain_log_prob(model, (t[i - 1] if i else lm.START, t[i - 2] if i > 1 else lm.START), t[i])
+            for t in texts for i in range(len(t))]
+    assert np.allclose(model.log_probs(texts), want, atol=1e-4)
+
+
+@pytest.mark.parametrize("head", [lm.HEAD, 8])
+def test_the_untrained_query_is_the_count_model(spark, monkeypatch, head):
+    """Without a round every score follows from the counts: shares along the tree multiply to a word's own,
+    rare words are discounted, words never seen share the rest."""
+    if head == 8:  # only words with counts of 8 and more are numbered
+        def cut(counts, whole=lm.vocabulary):
+            voc, _ = whole(counts)
+            top = counts.where(lm.count_step() >= 48).orderBy(lm.F.desc("c"), "word").toArrow()
+            tokens, words = np.zeros(lm.TAIL_CLASSES), np.zeros(lm.TAIL_CLASSES)
+            for r in counts.collect():
+                tokens[lm.tail_class(bytes(r.word))] += r.c
+                words[lm.tail_class(bytes(r.word))] += 1
+            return lm.Vocabulary(top.column("word").to_pylist(), top.column("c").to_numpy().astype(float), voc.n, voc.v,
+                                 voc.discount, tokens, words), 48
+
+        monkeypatch.setattr(lm, "vocabulary", cut)
+
+    rows = [(k, t) for k, t in ROWS] + [(20 + i, "a a a a a a a a a b b c d%d zebra the" % i) for i in range(9)]
+    c = Counter(w for k, t in rows if not held_out(k) for w in tokens(t))
+    numbered = {w for w, n in c.items() if n >= (1 if head != 8 else 8)}
+    once, twice = (sum(n == x for n in c.values()) for x in (1, 2))
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    kind = lambda w: lm.tail_class(w.encode())
+    rest = [sum(n for w, n in c.items() if w not in numbered and kind(w) == k) for k in range(lm.TAIL_CLASSES)]
+    size = [sum(w not in numbered and kind(w) == k for w in c) for k in range(lm.TAIL_CLASSES)]
+    whole = sum(n for w, n in c.items() if w in numbered) + sum(r + 0.5 for r in rest)
+
+    def log(w):
+        if w in numbered:
+            return math.log10(c[w] / whole)
+        k = kind(w)
+        share = (c[w] - discount) / rest[k] if w in c else discount * size[k] / rest[k] if rest[k] else 1.0
+        return math.log10((rest[k] + 0.5) / whole * share)
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm.score_texts(docs, rates=()).collect())
+    want = sorted((str(k), len(tokens(t)), sum(map(log, tokens(t)))) for k, t in rows)
+    for g, w in zip(got, want, strict=True):
+        assert g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-3 * max(1, abs(w[2])), (g, w)
+
+
 ROWS = [(1, None), (2, ""), (3, "The the THE\xa0é"), (4, "the cat"), (None, "the dog"), (4, "the cat"), (9, "x " * 3000)]
 
 
