@@ -36,6 +36,7 @@ from eventide.config import (
     ENGAGEMENT_RATE,
     EVENT_CLICK,
     EVENT_VIEW,
+    ISO_SECONDS,
     MAX_BROADCAST_ROWS,
     METRIC_CURRENT_WATERMARK,
     METRIC_LATE_EVENTS_DROPPED,
@@ -312,3 +313,25 @@ def compare_feature_sets(left: DataFrame, right: DataFrame, left_name: str = "ba
     lv, rv = F.col(left_name), F.col(right_name)
     return joined.filter(~lv.eqNullSafe(rv)).select(
         *keys, lv, rv, F.abs(lv - rv).alias("abs_diff"))
+
+
+def compare_feature_sets_stream(left: DataFrame, right: DataFrame, delay: str = "1 hour", left_name: str = "batch_value",
+                                right_name: str = "stream_value") -> DataFrame:
+    """:func:`compare_feature_sets` as windows close: a full outer join of two streams.
+
+    Both sides are watermarked by their window's end, which is part of the key,
+    so a row waits in the state until it is matched or the watermark (the newest
+    window end less ``delay``) is past it; rows that the other side never has
+    come out then. A window's rows may arrive ``delay`` apart.
+    """
+    def side(features: DataFrame, name: str, mark: str) -> DataFrame:
+        end = F.to_timestamp("computed_at", ISO_SECONDS)
+        return features.select(F.col("entity_id").alias(f"{mark}_id"), F.col("feature_name").alias(f"{mark}_name"),
+                               end.alias(f"{mark}_end"), F.col("feature_value").alias(name)).withWatermark(f"{mark}_end", delay)
+
+    same = (F.col("l_id") == F.col("r_id")) & (F.col("l_name") == F.col("r_name")) & (F.col("l_end") == F.col("r_end"))
+    joined = side(left, left_name, "l").join(side(right, right_name, "r"), same, "full_outer")
+    lv, rv = F.col(left_name), F.col(right_name)
+    return joined.filter(~lv.eqNullSafe(rv)).select(
+        F.coalesce("l_id", "r_id").alias("entity_id"), F.coalesce("l_name", "r_name").alias("feature_name"),
+        iso_seconds(F.coalesce("l_end", "r_end")).alias("computed_at"), lv, rv, F.abs(lv - rv).alias("abs_diff"))

@@ -299,3 +299,69 @@ FROM ml JOIN running ON ml.seq = running.seq""",
   strftime(max(date_trunc('millisecond', ts)), '%Y-%m-%dT%H:%M:%S.%gZ') AS last_event_time FROM ev GROUP BY user_id""",
     "changelog_rowkinds": "SELECT 'cnt_' || CAST(p_partkey % 100 AS VARCHAR) AS content_id, p_type AS category, p_partkey AS seq FROM part",
 })
+
+# ---------------------------------------------------------------------------
+# the streaming job in pieces
+# ---------------------------------------------------------------------------
+#: Events with the watermark that held when their piece came (times in milliseconds, as the job has them).
+PIECES = """pieces AS (
+  SELECT *, least(CAST(floor((epoch_us(arrival_ts) - a) * 3.0 / (b - a + 1)) AS INTEGER) + CAST(event_id % 20 = 0 AS INTEGER), 2) AS piece
+  FROM ev, (SELECT epoch_us(min(arrival_ts)) AS a, epoch_us(max(arrival_ts)) AS b FROM ev) s
+), marks AS (
+  SELECT x.piece, max(epoch_ms(y.ts)) - 30000 AS wm
+  FROM (SELECT DISTINCT piece FROM pieces) x JOIN pieces y ON y.piece < x.piece GROUP BY x.piece
+), marked AS (
+  SELECT p.*, m.wm, epoch_ms(date_trunc('hour', ts)) + 3600000 AS hour_end,
+    epoch_ms(time_bucket(INTERVAL 5 MINUTE, ts)) + 900000 AS last_end
+  FROM pieces p LEFT JOIN marks m ON p.piece = m.piece
+)"""
+
+#: Windows as the stream has them: without rows that came behind the watermark of their piece, and only closed ones.
+EMITTED = f"""uw AS (
+  SELECT user_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS we, lower(event_type) AS kind, dwell_time_ms,
+    coalesce(hour_end > wm, true) AS kept
+  FROM marked WHERE user_id IS NOT NULL
+), cw AS (
+  SELECT content_id, we, kind, coalesce(epoch_ms(we) > wm, true) AS kept FROM (
+    SELECT content_id, wm, lower(event_type) AS kind,
+      time_bucket(INTERVAL 5 MINUTE, ts) + to_minutes(CAST(5 * unnest([1, 2, 3]) AS INTEGER)) AS we
+    FROM marked WHERE content_id IS NOT NULL) x
+), ug AS (
+  SELECT user_id AS entity_id, we, count(*) AS n, count(*) FILTER (WHERE kind = 'click') AS c, sum(dwell_time_ms) AS d,
+    count(*) FILTER (WHERE kept) AS nk, count(*) FILTER (WHERE kept AND kind = 'click') AS ck,
+    sum(dwell_time_ms) FILTER (WHERE kept) AS dk
+  FROM uw GROUP BY user_id, we
+), cg AS (
+  SELECT content_id AS entity_id, we, count(*) FILTER (WHERE kind IN ('like', 'share')) AS g, count(*) FILTER (WHERE kind = 'view') AS v,
+    count(*) FILTER (WHERE kept) AS nk, count(*) FILTER (WHERE kept AND kind IN ('like', 'share')) AS gk,
+    count(*) FILTER (WHERE kept AND kind = 'view') AS vk
+  FROM cw GROUP BY content_id, we
+), both_sides AS (
+  SELECT entity_id, 'click_rate' AS feature_name, we, CAST(c AS DOUBLE) / n AS batch_value, CAST(ck AS DOUBLE) / nullif(nk, 0) AS kept_value FROM ug
+  UNION ALL
+  SELECT entity_id, 'avg_dwell_time', we, CAST(d AS DOUBLE) / n, CAST(dk AS DOUBLE) / nullif(nk, 0) FROM ug
+  UNION ALL
+  SELECT entity_id, 'engagement_rate', we, coalesce(CAST(g AS DOUBLE) / nullif(v, 0), 0.0),
+    CASE WHEN nk > 0 THEN coalesce(CAST(gk AS DOUBLE) / nullif(vk, 0), 0.0) END FROM cg
+), compared AS (
+  SELECT entity_id, feature_name, we, batch_value,
+    CASE WHEN epoch_ms(we) <= (SELECT max(epoch_ms(ts)) - 30000 FROM ev) THEN kept_value END AS stream_value
+  FROM both_sides
+)"""
+
+SQL.update({
+    "streamed_windows": SQL["closed_windows_only"],
+    "streamed_windows_sql": SQL["closed_windows_only"],
+    "streamed_late_metrics": with_(EV, PIECES) + """SELECT branch, CAST(count(*) AS BIGINT) AS late_events FROM (
+  SELECT 'user_window' AS branch FROM marked WHERE user_id IS NOT NULL AND hour_end <= wm
+  UNION ALL
+  SELECT 'content_window' FROM marked WHERE content_id IS NOT NULL AND last_end <= wm) x
+GROUP BY branch""",
+    # a window that the stream never emitted comes out once the join's watermark, an hour behind the newest window end, is past it
+    "streamed_divergence": with_(EV, PIECES, EMITTED) + f"""SELECT entity_id, feature_name, strftime(we, {ISO_S}) AS computed_at,
+  batch_value, stream_value, abs(batch_value - stream_value) AS abs_diff
+FROM compared
+WHERE stream_value <> batch_value
+  OR (stream_value IS NULL AND epoch_ms(we) <= (SELECT max(epoch_ms(we)) - 3600000 FROM compared))""",
+    "streamed_affinity": with_(EV, META, AFFINITY) + "SELECT entity_id, feature_name, feature_value FROM af",
+})

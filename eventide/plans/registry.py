@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.plans import batch
+from eventide.plans import batch, streamed
 from eventide.plans.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ QUERIES: dict[str, Query] = {
     "serving_reader": batch.serving_reader,
     "events_published": batch.events_published,
     "changelog_rowkinds": batch.changelog_rowkinds,
+    "streamed_windows": streamed.streamed_windows,
+    "streamed_windows_sql": streamed.streamed_windows_sql,
+    "streamed_late_metrics": streamed.streamed_late_metrics,
+    "streamed_divergence": streamed.streamed_divergence,
+    "streamed_affinity": streamed.streamed_affinity,
 }
 
 
