@@ -37,6 +37,20 @@ def clear_scratch(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def made() -> int:
+    """How many folders this process has made so far."""
+    return len(_made)
+
+
+def discard(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Delete the working tables made since then, but not the one that ``keep`` reads."""
+    kept = [p for p in _made[since:] if any(f"/{p.rpartition('/')[2]}/" in f for f in keep.inputFiles()[:1])]
+    later, _made[since:] = [p for p in _made[since:] if p not in kept], kept
+    for folder in later:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder.
 

@@ -75,8 +75,8 @@ class Terminals(dict):
         best, fewest = None, 0
         start = end - 1
         while start >= 0:
-            score = self.endings.get(word[start:end], 0)
-            if score == 0:
+            score = self.endings.get(word[start:end], False)
+            if score is False:
                 break
             if score is not None and (before := scores[start - first]) is not None:
                 total, n = before + score, tokens[start - first] + 1

@@ -72,3 +72,10 @@ def test_query_and_edges(spark, scores):
         pre = FIND.findall(r.text or "")
         assert got[r.doc_id].n_tokens == sum(brute(p.encode(), scores) for p in pre)
         assert (got[r.doc_id].n_bytes, got[r.doc_id].n_pretokens) == (len((r.text or "").encode()), len(pre))
+
+
+def test_a_piece_of_score_zero():
+    """The only piece of a vocabulary has probability one."""
+    only = tc.Terminals({b"a": 0})
+    assert [only.best("a" * n) for n in (1, 3)] == [(0, 1), (0, 3)]
+    assert tc.Terminals({b"a": 0, b"aa": 0}).best("aaa") == (0, 2)
