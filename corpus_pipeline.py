@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import bpe, decontamination, line_dedup, quality, simhash
-from eventide.llm.common import saved, table
+from eventide.llm.common import discard, made, saved, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the rows of the last one."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; the rows of the last one.
+
+    Once a stage is written, its working tables and its predecessor's rows are deleted.
+    """
+    docs, first = table(spark, sf_dir, "documents"), made()
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name)
+        discard(spark, first, docs)
     return docs
