@@ -82,13 +82,16 @@ def freshness(log: DataFrame, now_seconds: Column,
     """Age of the newest arrival per feature name; ``--`` when none. A record's
     newest arrival is its key's latest one, so the log needs no grouping by key:
     one global partial aggregation, then one row per name."""
-    aggs = [F.max(F.when(F.col("feature_name") == n, F.col("received_at"))).alias(f"_r{i}")
-            for i, n in enumerate(names)]
-    one = log.filter(F.col("feature_name").isin(*names)).agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(n).alias("feature_name"), F.col(f"_r{i}").alias("last_received_at"))
-                     for i, n in enumerate(names)])
-    return one.select(F.inline(rows)).select(
-        "feature_name", "last_received_at", age_text(F.col("last_received_at"), now_seconds).alias("age"))
+    newest = [F.max(F.when(F.col("feature_name") == n, F.col("received_at"))).alias(n) for n in names]
+    return freshness_of(log.filter(F.col("feature_name").isin(*names)).agg(*newest), now_seconds, names)
+
+
+def freshness_of(newest: DataFrame, now_seconds: Column,
+                 names: tuple[str, ...] = (CLICK_RATE, ENGAGEMENT_RATE)) -> DataFrame:
+    """:func:`freshness` of one row that has the newest arrival of each name in a column of that name."""
+    rows = F.array(*[F.struct(F.lit(n).alias("feature_name"), F.col(n).alias("last_received_at")) for n in names])
+    return newest.select(now_seconds.alias("_now"), F.inline(rows)).select(
+        "feature_name", "last_received_at", age_text(F.col("last_received_at"), F.col("_now")).alias("age"))
 
 
 def recent_updates(log: DataFrame, n: int = RECENT_UPDATES_CAP) -> DataFrame:

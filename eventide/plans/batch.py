@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from eventide.config import (
     AFFINITY_PREFIX,
-    AVG_DWELL_TIME,
     CLICK_RATE,
     CONTENT_SLIDE_SECONDS,
     CONTENT_WINDOW_SECONDS,
+    ENGAGEMENT_RATE,
     ISO_SECONDS,
     USER_WINDOW_SECONDS,
     WATERMARK_DELAY_SECONDS,
@@ -104,35 +104,11 @@ def closed_windows_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 # parsing (JSON round trip with the reference's lenient rules)
 # ---------------------------------------------------------------------------
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-PARSE_VARIANTS = 7
-
-
-def events_json(ev: DataFrame) -> DataFrame:
-    """Shaped events published as JSON, each row in one of seven wire shapes:
-    0 timestamp without zone, 1 timestamp with +00:00 offset, 2 dwell as a
-    JSON string, 3 dwell with a fraction, 4 dwell missing, 5 upper-case type
-    plus an unknown field, 6 plain. One ``to_json`` per row; the dwell field
-    is spliced in as text so the expression stays small enough for codegen."""
-    v = F.col("event_id") % PARSE_VARIANTS
-    micros = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    stamp = (F.when(v == 0, micros)
-             .when(v == 1, F.concat(micros, F.lit("+00:00")))
-             .otherwise(F.concat(micros, F.lit("Z"))))
-    etype = F.when(v == 5, F.upper("event_type")).otherwise(F.col("event_type"))
-    head = F.to_json(F.struct("user_id", "content_id", etype.alias("event_type"), stamp.alias("timestamp")))
-    dwell = F.col("dwell_time_ms").cast("string")
-    tail = (F.when(v == 2, F.concat(F.lit(',"dwell_time_ms":"'), dwell, F.lit('"}')))
-            .when(v == 3, F.concat(F.lit(',"dwell_time_ms":'), dwell, F.lit('.7}')))
-            .when(v == 4, F.lit("}"))
-            .when(v == 5, F.concat(F.lit(',"dwell_time_ms":'), dwell, F.lit(',"client":"web"}')))
-            .otherwise(F.concat(F.lit(',"dwell_time_ms":'), dwell, F.lit("}"))))
-    return ev.select("event_id", head.alias("head_json"), tail.alias("tail")).select(
-        "event_id", F.concat(F.expr("substring(head_json, 1, length(head_json) - 1)"), F.col("tail")).alias("value"))
 
 
 def events_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
-    parsed = parse_events(events_json(ev), keep=["event_id"], fallback_time=as_of_time(ev))
+    parsed = parse_events(testdata.events_json(ev), keep=["event_id"], fallback_time=as_of_time(ev))
     return parsed.select(
         "event_id", "user_id", "content_id", "event_type", "dwell_time_ms",
         F.date_format("event_time", ISO_MILLIS).alias("event_time"),
@@ -178,24 +154,6 @@ def metric_log_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.metric_kv(metric_log(spark, sf_dir)).select("key", v.alias("r")).select("key", "r.*")
 
 
-def serving_messages(log: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Both topics as the serving reader gets them, with messages it must skip:
-    an empty one beside each click rate, one without an entity beside each average."""
-    def topic(name: str, rows: DataFrame, value: Column, offset: Column) -> DataFrame:
-        return rows.select(F.lit(name).alias("topic"), "key", value.alias("value"), offset.alias("offset"),
-                           F.timestamp_micros(offset).alias("arrival_ts"))
-
-    offset = (F.col("received_at") * F.lit(1_000_000)).cast("bigint")
-    features = log.withColumn("key", store.store_key())
-    text = F.to_json(F.struct("entity_id", "feature_name", "feature_value", "computed_at"))
-    nameless = F.to_json(F.struct(F.lit("").alias("entity_id"), "feature_name", "feature_value", "computed_at"))
-    m = metrics.withColumn("key", F.col("metric_name"))
-    return (topic("feature-store", features, text, offset)
-            .unionByName(topic("feature-store", features.filter(F.col("feature_name") == CLICK_RATE), F.lit(""), offset))
-            .unionByName(topic("feature-store", features.filter(F.col("feature_name") == AVG_DWELL_TIME), nameless, offset))
-            .unionByName(topic("flink-metrics", m, F.to_json(F.struct("metric_name", "metric_value", "computed_at")), F.col("seq"))))
-
-
 def written_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The feature log and the metric log as tables of this query: what reads them several times makes them once."""
     ev = events(spark, sf_dir)
@@ -206,7 +164,7 @@ def written_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 def serving_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both logs sent as messages and read back: accepted features, and the state
     with its last feature time taken from the log that was read."""
-    messages = materialise(serving_messages(*written_logs(spark, sf_dir)), "messages")
+    messages = materialise(testdata.serving_messages(*written_logs(spark, sf_dir)), "messages")
     read = feature_log_from_messages(messages)
     state = serving.metric_state(metric_log_from_messages(messages), read)
     return state.select(read.select(F.count(F.lit(1))).scalar().alias("n_features"), "*")
@@ -336,9 +294,15 @@ def entity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
-    log = feature_log_of(ev, metadata_latest(spark, sf_dir))
-    return serving.freshness(store.valid_features(log), now_of(ev))
+    """The newest click rate is that of the newest event with a user, the newest engagement rate that of
+    the newest with a content: two maxima in one scan, no window is computed."""
+    us = lambda key: F.unix_micros(F.max(F.when(F.col(key).isNotNull() & (F.col(key) != ""), F.col("event_time"))))
+    hour_end = (late.floor_div(us("user_id"), USER_WINDOW_SECONDS * 1_000_000) + 1) * USER_WINDOW_SECONDS
+    last_end = (late.floor_div(us("content_id"), CONTENT_SLIDE_SECONDS * 1_000_000) * CONTENT_SLIDE_SECONDS
+                + CONTENT_WINDOW_SECONDS)
+    newest = events(spark, sf_dir).agg(*[(end + F.lit(WATERMARK_DELAY_SECONDS)).cast("double").alias(name)
+                                         for name, end in ((CLICK_RATE, hour_end), (ENGAGEMENT_RATE, last_end))])
+    return serving.freshness_of(newest, F.greatest(CLICK_RATE, ENGAGEMENT_RATE))
 
 
 def recent_updates(spark: SparkSession, sf_dir: str) -> DataFrame:

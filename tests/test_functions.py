@@ -65,3 +65,23 @@ def test_size_shuffle_partitions(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_config_from_the_environment(monkeypatch):
+    from eventide.config import PipelineConfig
+
+    names = {"KAFKA_BOOTSTRAP_SERVERS": "bootstrap_servers", "KAFKA_TOPIC_USER_EVENTS": "user_events_topic",
+             "KAFKA_TOPIC_CONTENT_METADATA": "content_metadata_topic", "KAFKA_TOPIC_FEATURE_STORE": "feature_store_topic",
+             "KAFKA_TOPIC_METRICS": "metrics_topic"}
+    for name in names:
+        monkeypatch.delenv(name, raising=False)
+    assert PipelineConfig.from_env() == PipelineConfig()
+    for name in names:
+        monkeypatch.setenv(name, name.lower())
+    cfg = PipelineConfig.from_env()
+    assert {field: getattr(cfg, field) for field in names.values()} == {f: n.lower() for n, f in names.items()}
+    reader = cfg.kafka_reader_options(cfg.user_events_topic)
+    assert reader["subscribe"] == "kafka_topic_user_events" and reader["startingOffsets"] == "earliest"
+    assert reader["kafka.bootstrap.servers"] == cfg.kafka_writer_options("t")["kafka.bootstrap.servers"] == "kafka_bootstrap_servers"
+    monkeypatch.setenv("KAFKA_TOPIC_METRICS", "")  # set to nothing: the default
+    assert PipelineConfig.from_env().metrics_topic == PipelineConfig().metrics_topic
