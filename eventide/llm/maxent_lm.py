@@ -110,7 +110,7 @@ class Vocabulary:
         self.child = np.zeros((LEVELS, START + 1), np.int16)
         self.order = np.array(sorted(range(len(self.words)), key=self.words.__getitem__), np.int64)
         self.mass = np.concatenate([[0.0], np.cumsum(self.counts[self.order])])
-        #: Log of each child's training tokens, by node.
+        #: Log of each child's share of the training tokens, by node.
         self.bias: list[np.ndarray] = []
         self.class_mass = np.zeros(BRANCH)
         for k, (low, high) in enumerate(self._cut(0, len(self.words), BRANCH ** LEVELS)):
@@ -147,7 +147,7 @@ class Vocabulary:
         nr, bias = len(self.bias), np.full(BRANCH, -1e9)
         self.bias.append(bias)
         for k, (a, b) in enumerate(self._cut(low, high, BRANCH ** (LEVELS - 1 - level))):
-            bias[k] = math.log(self.mass[b] - self.mass[a])
+            bias[k] = math.log((self.mass[b] - self.mass[a]) / (self.mass[high] - self.mass[low]))
             self.node[level, self.order[a:b]] = nr
             self.child[level, self.order[a:b]] = k
             self._grow(a, b, level + 1)
@@ -184,7 +184,7 @@ class Model:
         mass = np.concatenate([voc.class_mass, voc.tail_tokens + 0.5])
         mass[:BRANCH] = np.where(voc.class_mass > 0, voc.class_mass, 1e-30)
         return cls(voc, np.zeros((4 * voc.rows, CLASSES), np.float32), np.zeros((4 * voc.rows, BRANCH), np.float32),
-                   np.log(mass).astype(np.float32))
+                   np.log(mass / mass.sum()).astype(np.float32))
 
     def histories(self, texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
         """All tokens of the texts, and for each the rows of its history's features."""
@@ -198,11 +198,12 @@ class Model:
 
     @staticmethod
     def softmax(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
-        logits = weights[rows[0]]
+        """Shares of each row of summed weights. Biases are logs of shares, so a row's greatest is near zero."""
+        logits = np.take(weights, rows[0], axis=0)
         for r in rows[1:]:
-            logits += weights[r]
+            logits += np.take(weights, r, axis=0)
         logits += bias
-        logits -= logits.max(axis=1, keepdims=True)
+        np.clip(logits, -80, 80, out=logits)  # within what a float's exponential holds
         np.exp(logits, out=logits)
         logits /= logits.sum(axis=1, keepdims=True)
         return logits
@@ -216,7 +217,7 @@ class Model:
         r1, r2 = rows[0][at], rows[1][at] - size
         below = [mixed(left, r1, 2 * size), mixed(left, r2, 2 * size) + 2 * size]
         return (self.voc.cls[ids], self.softmax(self.by_class, rows, self.class_bias), self.voc.child[level, ids[at]], at, below,
-                self.softmax(self.by_node, below, self.voc.node_bias[left]))
+                self.softmax(self.by_node, below, np.take(self.voc.node_bias, left, axis=0)))
 
     def log_probs(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 P of every token of the texts; of a word without a number, only of its class."""
@@ -231,6 +232,24 @@ class Model:
         return out
 
 
+def group_sums(rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray, small: int = 16) -> np.ndarray:
+    """Sums of consecutive rows, group by group: small groups all together, one place at a time; large ones each in a go."""
+    order = np.argsort(-sizes, kind="stable")
+    start, size = starts[order], sizes[order]
+    sums = np.take(rows, start, axis=0)
+    large = int(np.searchsorted(-size, -small, "left"))
+    for k in range(1, small):
+        upto = int(np.searchsorted(-size, -k, "left"))  # groups with more than k rows come first
+        if upto <= large:
+            break
+        sums[large:upto] += np.take(rows, start[large:upto] + k, axis=0)
+    for j in range(large):
+        sums[j] = rows[start[j]:start[j] + size[j]].sum(axis=0)
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
+
+
 class Trainer:
     """One partition's gradient steps; ``met`` counts how often each row was a feature."""
 
@@ -245,14 +264,14 @@ class Trainer:
         for r in rows:
             order = np.argsort((r - r.min()).astype(np.uint16), kind="stable")  # a table has at most 2^16 rows
             ranked = r[order]
-            ends = np.append(np.flatnonzero(ranked[1:] != ranked[:-1]), len(ranked) - 1)
-            g = np.cumsum(gradient[order], axis=0)[ends]
-            g[1:] -= g[:-1].copy()
-            own = ranked[ends]
+            starts = np.concatenate([[0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1])
+            sizes = np.diff(starts, append=len(ranked))
+            g = group_sums(np.take(gradient, order, axis=0), starts, sizes)
+            own = ranked[starts]
             self.squares[which][own] += np.einsum("ij,ij->i", g, g)
             g *= (self.rate / np.sqrt(self.squares[which][own]))[:, None]
             self.tables[which][own] -= g
-            self.met[which][own] += np.diff(ends, prepend=-1)
+            self.met[which][own] += sizes
 
     def learn(self, texts: list[np.ndarray]) -> None:
         ids, rows = self.model.histories(texts)

@@ -91,6 +91,15 @@ def plain_log_prob(model, history, word):
     return total
 
 
+def test_group_sums():
+    rng = np.random.default_rng(2)
+    for n, most in ((1, 1), (50, 3), (400, 90)):
+        sizes = rng.integers(1, most + 1, n)
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        rows = rng.random((int(sizes.sum()), 4)).astype(np.float32)
+        assert np.allclose(lm.group_sums(rows, starts, sizes), [rows[a:a + k].sum(axis=0) for a, k in zip(starts, sizes, strict=True)], rtol=1e-4)
+
+
 def test_scores_against_brute_force():
     model, _ = small_model(3)
     rnd = np.random.default_rng(5)
