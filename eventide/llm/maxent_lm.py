@@ -50,6 +50,8 @@ TAIL_CLASSES = 16
 LEAST_ROWS, MOST_ROWS = 1 << 10, 1 << 15
 #: Step size of each round; every round starts from the weights that the round before it averaged, with texts of its own.
 RATES = (0.7, 0.35, 0.15)
+#: Greatest weight: three of them and a bias stay within what a float's exponential holds.
+MOST = 20.0
 #: Tokens of a gradient step, and of a scored batch.
 BATCH = 16_384
 #: Training tokens that one task takes its steps over, about: what is averaged grows with the tokens, not with the files.
@@ -197,27 +199,38 @@ class Model:
         return whole[at], [r1, r2 + size, mixed(r1, r2, 2 * size) + 2 * size]
 
     @staticmethod
-    def softmax(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
-        """Shares of each row of summed weights. Biases are logs of shares, so a row's greatest is near zero."""
+    def sums(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
+        """Summed weights. Weights are at most ``MOST`` and biases logs of shares, so a float holds the exponentials."""
         logits = np.take(weights, rows[0], axis=0)
         for r in rows[1:]:
             logits += np.take(weights, r, axis=0)
         logits += bias
-        np.clip(logits, -80, 80, out=logits)  # within what a float's exponential holds
+        return logits
+
+    @staticmethod
+    def softmax(logits: np.ndarray) -> np.ndarray:
+        """Shares of each row, in place."""
         np.exp(logits, out=logits)
         logits /= logits.sum(axis=1, keepdims=True)
         return logits
 
+    @staticmethod
+    def log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """log10 of the share of one column of each row."""
+        own = logits[np.arange(len(logits)), chosen].astype(np.float64)
+        np.exp(logits, out=logits)
+        return (own - np.log(logits.sum(axis=1))) / math.log(10)
+
     def parts(self, ids: np.ndarray, rows: list[np.ndarray]):
-        """Probabilities of the classes, and for all nodes that the tokens leave (their positions) of the children."""
+        """Class and class sums of the tokens; for all nodes that they leave: the child taken, their positions, rows and sums."""
         size = self.voc.rows
         node = self.voc.node[:, ids]
         level, at = np.nonzero(node >= 0)
         left = node[level, at].astype(np.int64)
         r1, r2 = rows[0][at], rows[1][at] - size
         below = [mixed(left, r1, 2 * size), mixed(left, r2, 2 * size) + 2 * size]
-        return (self.voc.cls[ids], self.softmax(self.by_class, rows, self.class_bias), self.voc.child[level, ids[at]], at, below,
-                self.softmax(self.by_node, below, np.take(self.voc.node_bias, left, axis=0)))
+        return (self.voc.cls[ids], self.sums(self.by_class, rows, self.class_bias), self.voc.child[level, ids[at]], at, below,
+                self.sums(self.by_node, below, np.take(self.voc.node_bias, left, axis=0)))
 
     def log_probs(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 P of every token of the texts; of a word without a number, only of its class."""
@@ -226,9 +239,7 @@ class Model:
         for low in range(0, len(ids), BATCH):
             part, own = ids[low:low + BATCH], [r[low:low + BATCH] for r in rows]
             cls, p, child, at, _, q = self.parts(part, own)
-            log = np.log10(np.maximum(p[np.arange(len(part)), cls], 1e-30), dtype=np.float64)
-            down = np.log10(np.maximum(q[np.arange(len(at)), child], 1e-30), dtype=np.float64)
-            out[low:low + BATCH] = log + np.bincount(at, down, len(part))
+            out[low:low + BATCH] = self.log_share(p, cls) + np.bincount(at, self.log_share(q, child), len(part))
         return out
 
 
@@ -270,7 +281,7 @@ class Trainer:
             own = ranked[starts]
             self.squares[which][own] += np.einsum("ij,ij->i", g, g)
             g *= (self.rate / np.sqrt(self.squares[which][own]))[:, None]
-            self.tables[which][own] -= g
+            self.tables[which][own] = np.clip(np.take(self.tables[which], own, axis=0) - g, -MOST, MOST)
             self.met[which][own] += sizes
 
     def learn(self, texts: list[np.ndarray]) -> None:
@@ -278,11 +289,11 @@ class Trainer:
         for low in range(0, len(ids), BATCH):
             part, own = ids[low:low + BATCH], [r[low:low + BATCH] for r in rows]
             cls, p, child, at, below, q = self.model.parts(part, own)
-            p[np.arange(len(part)), cls] -= 1
-            self.update(0, own, p)
-            if len(at):
-                q[np.arange(len(at)), child] -= 1
-                self.update(1, below, q)
+            for which, own_rows, logits, taken in ((0, own, p, cls), (1, below, q, child)):
+                if len(logits):
+                    gradient = self.model.softmax(logits)
+                    gradient[np.arange(len(gradient)), taken] -= 1
+                    self.update(which, own_rows, gradient)
 
 
 def batches_of(packed: Iterator[bytes], tokens: int = 4 * BATCH) -> Iterator[list[np.ndarray]]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import free_name, saved, scratch, table
+from eventide.llm.common import saved, scratch, table
 
 #: First bytes of every gzip member (deflate).
 MAGIC = b"\x1f\x8b\x08"
