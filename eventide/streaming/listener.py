@@ -29,8 +29,8 @@ def _epoch_ms(iso: str) -> int | None:
 class WatermarkMetricListener(StreamingQueryListener):
     """Keeps the most recent records in memory (a bounded buffer on the
     driver) and hands every record to ``on_record`` when given, e.g. to
-    publish it to the metrics topic. Durable per-batch watermark records are
-    also written by the late-metrics query."""
+    publish it to the metrics topic. The durable records are those of the window
+    query; this only observes."""
 
     def __init__(self, query_name: str | None = None, period_ms: int = WATERMARK_METRIC_PERIOD_MS,
                  on_record: Callable[[tuple[str, float, str]], None] | None = None, keep: int = 10_000):

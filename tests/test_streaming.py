@@ -440,3 +440,36 @@ def test_metric_state_stream(spark, tmp_path, lateness_files):
     assert row.late_events_dropped == 4
     newest = q.metric_log(spark, layout).filter("metric_name = 'current_watermark'").agg(F.max("metric_value")).first()[0]
     assert row.current_watermark == newest and row.last_sim_time == 1767232800000  # 02:00, the last closed hour
+
+
+def test_divergence_of_streams_as_windows_close(spark, tmp_path):
+    """Differing values come out when both sides have come, rows of one side once the watermark is past them;
+    what is matched or past leaves the state."""
+    from eventide.operators.late import compare_feature_sets_stream
+    from eventide.schemas import FEATURE_RECORD
+    from eventide.streaming.tables import table_stream
+
+    left, right, out = (str(tmp_path / x) for x in ("left", "right", "out"))
+    q.prepare_streaming(spark)
+
+    def add(table, *records):
+        spark.createDataFrame(records, FEATURE_RECORD).coalesce(1).write.mode("append").parquet(table)
+
+    def run():
+        joined = compare_feature_sets_stream(table_stream(spark, left, FEATURE_RECORD), table_stream(spark, right, FEATURE_RECORD))
+        query = _drain(joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
+                       .trigger(availableNow=True).start())
+        got = {(r.entity_id, r.computed_at): (r.batch_value, r.stream_value, r.abs_diff) for r in spark.read.parquet(out).collect()}
+        return got, query.recentProgress[-1].stateOperators[0].numRowsTotal
+
+    at = lambda hour: f"{DAY}T{hour:02d}:00:00Z"
+    add(left, ("a", "click_rate", 0.5, at(1)), ("b", "click_rate", 0.5, at(1)), ("c", "click_rate", 1.0, at(1)))
+    add(right, ("a", "click_rate", 0.5, at(1)), ("b", "click_rate", 0.25, at(1)), ("d", "click_rate", 2.0, at(1)))
+    got, _ = run()
+    assert got == {("b", at(1)): (0.5, 0.25, 0.25)}  # c and d may still be matched
+    for hour in range(2, 9):
+        add(left, ("a", "click_rate", 0.5, at(hour)))
+        add(right, ("a", "click_rate", 0.5, at(hour)))
+        got, kept = run()
+    assert got == {("b", at(1)): (0.5, 0.25, 0.25), ("c", at(1)): (1.0, None, None), ("d", at(1)): (None, 2.0, None)}
+    assert kept <= 6  # of 20 rows: those of the last windows
