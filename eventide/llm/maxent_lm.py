@@ -3,8 +3,9 @@
 P(word | history) is a product along a class tree: P(class | history), then
 P(child | node, history) from node to node down to the word. Every factor is a
 maximum-entropy model, a softmax over summed weights, whose features are the last
-word, the last two words, and a skip over the last word, each hashed into tables
-whose size follows the training tokens. The most frequent words, as many as
+word, the last two words, and a skip over the last word (at the root; below it the
+last word, and for the first nodes the skip), each hashed into tables whose size
+follows the training tokens. The most frequent words, as many as
 ``HEAD``, are leaves of the tree: in order of spelling, which puts forms and languages
 together, the words of a node are cut into ``BRANCH`` children of like mass, so frequent
 words have short ways. All others
@@ -200,10 +201,10 @@ class Model:
 
     @staticmethod
     def sums(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
-        """Summed weights. Weights are at most ``MOST`` and biases logs of shares, so a float holds the exponentials."""
+        """Summed weights; a feature with fewer rows is one of the first. Weights are at most ``MOST`` and biases logs of shares, so a float holds the exponentials."""
         logits = np.take(weights, rows[0], axis=0)
         for r in rows[1:]:
-            logits += np.take(weights, r, axis=0)
+            logits[:len(r)] += np.take(weights, r, axis=0)
         logits += bias
         return logits
 
@@ -227,8 +228,9 @@ class Model:
         node = self.voc.node[:, ids]
         level, at = np.nonzero(node >= 0)
         left = node[level, at].astype(np.int64)
-        r1, r2 = rows[0][at], rows[1][at] - size
-        below = [mixed(left, r1, 2 * size), mixed(left, r2, 2 * size) + 2 * size]
+        # nodes of the first level, which come first, have the skip too
+        first = int(np.searchsorted(level, 1))
+        below = [mixed(left, rows[0][at], 2 * size), mixed(left[:first], rows[1][at[:first]] - size, 2 * size) + 2 * size]
         return (self.voc.cls[ids], self.sums(self.by_class, rows, self.class_bias), self.voc.child[level, ids[at]], at, below,
                 self.sums(self.by_node, below, np.take(self.voc.node_bias, left, axis=0)))
 
@@ -273,6 +275,8 @@ class Trainer:
 
     def update(self, which: int, rows: list[np.ndarray], gradient: np.ndarray) -> None:
         for r in rows:
+            if not len(r):
+                continue
             order = np.argsort((r - r.min()).astype(np.uint16), kind="stable")  # a table has at most 2^16 rows
             ranked = r[order]
             starts = np.concatenate([[0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1])

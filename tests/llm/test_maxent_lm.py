@@ -86,8 +86,8 @@ def plain_log_prob(model, history, word):
     for level in range(lm.LEVELS):
         node = int(voc.node[level, word])
         if node >= 0:
-            total += factor(model.by_node, [mix(node, r1, 2 * n), 2 * n + mix(node, r2, 2 * n)], voc.node_bias[node],
-                            int(voc.child[level, word]))
+            skip = [] if level else [2 * n + mix(node, r2, 2 * n)]
+            total += factor(model.by_node, [mix(node, r1, 2 * n), *skip], voc.node_bias[node], int(voc.child[level, word]))
     return total
 
 

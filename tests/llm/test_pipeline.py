@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 import corpus_pipeline
-from eventide.llm import bpe, quality
+from eventide.llm import bpe, common, quality
 from test_decontamination import words
 from test_line_dedup import brute as brute_lines
 from test_quality import brute as brute_stats
@@ -38,7 +38,9 @@ def test_run_against_brute_force(spark):
         if not any(tuple(w[p:p + n]) in index for n in {len(i) for i in index} for p in range(len(w) - n + 1)):
             clean[k] = t
     assert len(clean) < len(left)
+    before = common.made()
     out = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
+    assert common.made() == before + 1  # the result alone is left
     assert sorted(out) == sorted(clean)
     enc = bpe.encoding(None, None)
     for k, t in clean.items():
