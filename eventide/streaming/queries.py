@@ -32,6 +32,7 @@ from eventide.config import (
     FEED_METRICS_UPDATE,
     METRIC_CURRENT_WATERMARK,
     METRIC_LATE_EVENTS_DROPPED,
+    RECENT_UPDATES_CAP,
     USER_WINDOW_SECONDS,
     WATERMARK_DELAY_SECONDS,
     WATERMARK_METRIC_PERIOD_MS,
@@ -41,7 +42,7 @@ from eventide.operators import windows as win
 from eventide.operators.late import CONTENT_BRANCH, USER_BRANCH, floor_div
 from eventide.operators.serving import feature_update
 from eventide.schemas import FEATURE_COLUMNS, FEATURE_LOG, METRIC_RECORD
-from eventide.streaming.sinks import read_previous, read_table, write_batch
+from eventide.streaming.sinks import newest_batches, read_previous, read_table, write_batch
 from eventide.streaming.tables import Layout, checkpoint_of, log_rows, prepare_streaming, started, table_stream
 
 __all__ = ["Layout", "change_feed_stream", "feature_log", "metric_log", "metric_state_stream", "metrics_feed_stream",
@@ -148,6 +149,19 @@ def feature_log(spark: SparkSession, layout: Layout) -> DataFrame | None:
     return log
 
 
+def recent_log(spark: SparkSession, layout: Layout, n: int = RECENT_UPDATES_CAP) -> DataFrame | None:
+    """A part of the log that surely holds its newest ``n`` arrivals (see ``serving.recent_updates``).
+
+    A table's records arrive in order of their batches, so from each table the newest batches with ``n`` rows are enough."""
+    parts = [t for t in (newest_batches(spark, table, n) for table in (layout.features, layout.affinity)) if t is not None]
+    if not parts:
+        return None
+    log = parts[0].drop("batch_id")
+    for p in parts[1:]:
+        log = log.unionByName(p.drop("batch_id"))
+    return log
+
+
 def metric_log(spark: SparkSession, layout: Layout) -> DataFrame | None:
     m = read_table(spark, layout.metrics)
     return None if m is None else m.drop("batch_id")

@@ -81,3 +81,26 @@ def read_previous(spark: SparkSession, table: str, batch_id: int) -> DataFrame |
     (first batch after a gap or a restart)."""
     prev = read_batches(spark, table, [batch_id - 1]) if batch_id > 0 else None
     return prev if prev is not None else read_table(spark, table, upto_batch=batch_id - 1)
+
+
+def batch_ids(spark: SparkSession, table: str) -> list[int]:
+    """Ids of the batches that a table has, in order: a listing of names only."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(path) if status.isDirectory()]
+    return sorted(int(name[9:]) for name in names if name.startswith("batch_id=") and name[9:].isdigit())
+
+
+def newest_batches(spark: SparkSession, table: str, rows: int) -> DataFrame | None:
+    """The newest batches of a table that have at least ``rows`` rows together, or all: older ones are not opened.
+
+    Batches are counted from their files' footers, the newest first, twice as many each time."""
+    ids, taken = batch_ids(spark, table), 0
+    while taken < len(ids):
+        taken = max(1, 2 * taken)
+        found = read_batches(spark, table, ids[-taken:])
+        if found is not None and (taken >= len(ids) or found.count() >= rows):
+            return found
+    return None

@@ -108,3 +108,22 @@ def test_batch_folder_helpers_on_edges(spark, tmp_path):
     assert sorted(r.x for r in read_batches(spark, table, [1, 2, 3]).collect()) == [2, 3]
     assert sorted(r.x for r in read_table(spark, table).collect()) == [0, 2, 3]
     assert sorted(r.x for r in read_table(spark, table, upto_batch=2).collect()) == [0, 2]
+
+
+def test_recent_updates_open_only_the_newest_batches(spark, tmp_path):
+    from eventide.streaming import queries as q
+    from eventide.streaming.sinks import batch_ids, write_batch
+
+    layout = q.Layout(str(tmp_path / "out"))
+    assert q.recent_log(spark, layout) is None and batch_ids(spark, layout.features) == []
+    for b in range(12):  # batches of 0 to 11 rows; affinity lags behind
+        write_batch(spark.createDataFrame([(f"u{b}", f"f{i}", float(i), "t", 100.0 + b, b) for i in range(b)], LOG), layout.features, b)
+    for b in range(3):
+        write_batch(spark.createDataFrame([(f"a{b}", f"g{i}", float(i), "t", 99.5 + 4 * b, b) for i in range(2)], LOG), layout.affinity, b)
+    assert batch_ids(spark, layout.features) == list(range(12))
+    for n in (1, 11, 12, 40, 500):
+        part = q.recent_log(spark, layout, n)
+        want = serving.recent_updates(q.feature_log(spark, layout), n).collect()
+        assert serving.recent_updates(part, n).collect() == want and len(want) == min(n, 72)
+    read = {int(f.rpartition("batch_id=")[2].partition("/")[0]) for f in q.recent_log(spark, layout, 11).inputFiles() if "/features/" in f}
+    assert read == {11}
