@@ -21,14 +21,17 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventide.config import (
+    AVG_DWELL_TIME,
+    CLICK_RATE,
     CONTENT_SLIDE_SECONDS,
     CONTENT_WINDOW_SECONDS,
+    ENGAGEMENT_RATE,
     FEED_METRICS_UPDATE,
     METRIC_CURRENT_WATERMARK,
     METRIC_LATE_EVENTS_DROPPED,
@@ -40,15 +43,19 @@ from eventide.config import (
 from eventide.functions.timefmt import epoch_millis_of_iso, iso_micros
 from eventide.operators import windows as win
 from eventide.operators.late import CONTENT_BRANCH, USER_BRANCH, floor_div
-from eventide.operators.serving import feature_update
+from eventide.operators.serving import feature_update, freshness_of
 from eventide.schemas import FEATURE_COLUMNS, FEATURE_LOG, METRIC_RECORD
 from eventide.streaming.sinks import newest_batches, read_previous, read_table, write_batch
 from eventide.streaming.tables import Layout, checkpoint_of, log_rows, prepare_streaming, started, table_stream
 
-__all__ = ["Layout", "change_feed_stream", "feature_log", "metric_log", "metric_state_stream", "metrics_feed_stream",
-           "prepare_streaming", "start_window_features"]
+__all__ = ["Layout", "change_feed_stream", "feature_log", "feature_log_stream", "metric_log", "metric_state_stream", "metrics_feed_stream",
+           "observed_freshness", "prepare_streaming", "recent_log", "serving_state", "start_window_features"]
 
 MICROS = 1_000_000
+WINDOW_FEATURES = (CLICK_RATE, AVG_DWELL_TIME, ENGAGEMENT_RATE)
+#: One row a batch of the window query, observed while its records were written.
+CLOCK = ("newest_ms bigint, recorded_ms bigint, watermark_ms bigint, sampled_ms bigint, late_events bigint, last_window_ms bigint, "
+         "written_at double, " + ", ".join(f"{name} bigint" for name in WINDOW_FEATURES))
 METRIC_ROWS = T.StructType(METRIC_RECORD.fields + [T.StructField("branch", T.StringType()), T.StructField("seq", T.LongType())])
 
 
@@ -88,30 +95,36 @@ def start_window_features(events: DataFrame, layout: Layout, checkpoint: str | N
     A batch's watermark is the newest event time of the batches before it less
     the delay, in milliseconds, as Spark has it; the newest time is observed
     while the batch is written and kept beside it, so a restart goes on from
-    there. ``current_watermark`` is recorded at most once per 5 s.
+    there. With it are kept the numbers that the serving state needs (see
+    :func:`serving_state`). ``current_watermark`` is recorded at most once per 5 s.
     """
     spark = events.sparkSession
     prepare_streaming(spark)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        session = df.sparkSession
+        session, now = df.sparkSession, int(time.time() * 1000)
         before = read_previous(session, layout.clock, batch_id)
         newest, recorded = (before.agg(F.max("newest_ms"), F.max("recorded_ms")).first() if before is not None else (None, None))
         watermark = None if newest is None else newest - WATERMARK_DELAY_SECONDS * 1000
         late_user, late_content = _late_for(watermark)
-        seen = Observation()
-        kept = df.observe(seen, F.max(F.unix_millis("event_time")).alias("newest_ms")).withColumn("late_user", late_user).withColumn("late_content", late_content).filter(
-            F.col("entity_id").isNotNull() | F.col("late_user") | F.col("late_content")).persist()
+        seen, is_feature = Observation(), F.col("entity_id").isNotNull()
+        kept = (df.withColumn("late_user", late_user).withColumn("late_content", late_content)
+                .observe(seen, F.max(F.unix_millis("event_time")).alias("newest_ms"),
+                         (F.count_if("late_user") + F.count_if("late_content")).alias("late_events"),
+                         F.max(epoch_millis_of_iso(F.col("computed_at"))).alias("last_window_ms"),
+                         *[F.count_if(F.col("feature_name") == name).alias(name) for name in WINDOW_FEATURES])
+                .filter(is_feature | F.col("late_user") | F.col("late_content")).persist())
+        due = watermark is not None and (recorded is None or now - recorded > WATERMARK_METRIC_PERIOD_MS)
         try:
-            write_batch(log_rows(kept.filter(F.col("entity_id").isNotNull()), batch_id), layout.features, batch_id)
-            newest_here, now = seen.get["newest_ms"], int(time.time() * 1000)
-            due = watermark is not None and (recorded is None or now - recorded > WATERMARK_METRIC_PERIOD_MS)
+            write_batch(log_rows(kept.filter(is_feature), batch_id, now), layout.features, batch_id)
             metrics = _metrics(kept, watermark if due else None, now)
             write_batch(metrics.withColumn("seq", F.lit(batch_id).cast("bigint")), layout.metrics, batch_id)
         finally:
             kept.unpersist()
-        clock = (max((x for x in (newest, newest_here) if x is not None), default=None), now if due else recorded, watermark)
-        write_batch(session.createDataFrame([clock], "newest_ms bigint, recorded_ms bigint, watermark_ms bigint"), layout.clock, batch_id)
+        got = seen.get
+        row = (max((x for x in (newest, got["newest_ms"]) if x is not None), default=None), now if due else recorded, watermark,
+               watermark if due else None, got["late_events"], got["last_window_ms"], now / 1000, *[got[name] for name in WINDOW_FEATURES])
+        write_batch(session.createDataFrame([row], CLOCK), layout.clock, batch_id)
         for target, table, schema in ((sink, layout.features, FEATURE_LOG), (metric_sink, layout.metrics, METRIC_ROWS)):
             if target is not None:  # the rows as written, not a second evaluation with other times
                 target(session.read.schema(schema).parquet(f"{table}/batch_id={batch_id}"))
@@ -167,6 +180,26 @@ def metric_log(spark: SparkSession, layout: Layout) -> DataFrame | None:
     return None if m is None else m.drop("batch_id")
 
 
+def serving_state(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """The state of ``serving.metric_state`` from what was observed while the logs were written: one row a batch, no log is read."""
+    clock = read_table(spark, layout.clock)
+    if clock is None:
+        return None
+    zero = F.lit(0).cast("bigint")
+    return clock.agg(F.coalesce(F.sum("late_events"), zero).alias("late_events_dropped"),
+                     F.coalesce(F.max_by("sampled_ms", F.when(F.col("sampled_ms").isNotNull(), F.col("batch_id"))), zero).alias("current_watermark"),
+                     F.coalesce(F.max("last_window_ms"), zero).alias("last_sim_time"))
+
+
+def observed_freshness(spark: SparkSession, layout: Layout, now_seconds: Column) -> DataFrame | None:
+    """``serving.freshness`` from the same rows: when a batch with records of the name was written last."""
+    clock = read_table(spark, layout.clock)
+    if clock is None:
+        return None
+    newest = clock.agg(*[F.max(F.when(F.col(n) > 0, F.col("written_at"))).alias(n) for n in (CLICK_RATE, ENGAGEMENT_RATE)])
+    return freshness_of(newest, now_seconds)
+
+
 def feature_log_stream(spark: SparkSession, layout: Layout) -> DataFrame:
     """Window and affinity records as one stream."""
     return table_stream(spark, layout.features, FEATURE_LOG).unionByName(table_stream(spark, layout.affinity, FEATURE_LOG))

@@ -50,7 +50,7 @@ class Layout:
 
     @property
     def clock(self) -> str:
-        """Newest event time and last watermark record by batch of the window query: one row each."""
+        """What was observed while each batch of the window query was written: one row a batch."""
         return f"{self.root}/clock"
 
 
@@ -100,10 +100,7 @@ def table_stream(spark: SparkSession, table: str, schema: T.StructType | str, fi
     return reader.parquet(table)
 
 
-def log_rows(df: DataFrame, batch_id: int) -> DataFrame:
-    """Feature records as rows of the log."""
-    return df.select(
-        *FEATURE_COLUMNS,
-        (F.unix_micros(F.current_timestamp()) / F.lit(1_000_000.0)).alias("received_at"),
-        F.lit(batch_id).cast("bigint").alias("seq"),
-    )
+def log_rows(df: DataFrame, batch_id: int, now_ms: int | None = None) -> DataFrame:
+    """Feature records as rows of the log, received now or at the given time."""
+    now = F.unix_micros(F.current_timestamp()) / F.lit(1_000_000.0) if now_ms is None else F.lit(now_ms / 1000)
+    return df.select(*FEATURE_COLUMNS, now.alias("received_at"), F.lit(batch_id).cast("bigint").alias("seq"))

@@ -473,3 +473,18 @@ def test_divergence_of_streams_as_windows_close(spark, tmp_path):
         got, kept = run()
     assert got == {("b", at(1)): (0.5, 0.25, 0.25), ("c", at(1)): (1.0, None, None), ("d", at(1)): (None, 2.0, None)}
     assert kept <= 6  # of 20 rows: those of the last windows
+
+
+def test_serving_state_without_reading_a_log(spark, tmp_path, lateness_files):
+    """What was observed while the logs were written is what the logs say."""
+    from eventide.operators import serving
+
+    layout = q.Layout(str(tmp_path / "out"))
+    assert q.serving_state(spark, layout) is None and q.observed_freshness(spark, layout, F.lit(0.0)) is None
+    _windows(spark, lateness_files, layout)
+    log, now = q.feature_log(spark, layout), F.lit(time.time())
+    want = serving.metric_state(q.metric_log(spark, layout), log).first().asDict()
+    got = q.serving_state(spark, layout)
+    assert got.first().asDict() == {k: want[k] for k in got.columns} and want["late_events_dropped"] == 4
+    assert q.observed_freshness(spark, layout, now).collect() == serving.freshness(log, now).collect()
+    assert not any("/features/" in f or "/metrics/" in f for f in got.inputFiles())
