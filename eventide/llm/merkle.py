@@ -201,7 +201,7 @@ def _grown(nodes: DataFrame, level: int) -> DataFrame:
 
 def manifest(docs: DataFrame, key: str = "doc_id", tree: str = "source", fields: tuple[str, ...] = FIELDS,
              carry: dict[str, Column] | None = None) -> DataFrame:
-    """Per row: key, ``leaf``, ``subroot``, ``root`` (bytes) and ``path``, besides the columns ``carry``.
+    """Per row: key, ``leaf``, ``subroot``, ``root`` (bytes) and ``path``, besides the columns ``carry`` (of other names).
 
     ``path`` holds the siblings from the leaf to the root, per level the digests
     to the left and to the right, joined. Rows of a tree stand by key (nulls
@@ -214,16 +214,16 @@ def manifest(docs: DataFrame, key: str = "doc_id", tree: str = "source", fields:
     name = own[tree.lower()].cast("string")
     carry = carry or {}
     rows = docs.select(
-        own[key.lower()].alias("_key"), F.coalesce(F.concat(F.lit("="), name), F.lit("")).alias("tree"),
+        own[key.lower()].alias("k"), F.coalesce(F.concat(F.lit("="), name), F.lit("")).alias("tree"),
         leaf_digest(*[own[f.lower()] for f in fields]).alias("digest"),
         *[c.alias(f"_{alias}") for alias, c in carry.items()])
-    trees = plant_forest(rows, ["_key", "digest"])
+    trees = plant_forest(rows, ["k", "digest"])
     subroots = trees.roots().select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest")
     crown = plant_forest(subroots, ["name"])
     root = crown.roots().select("tree", F.col("digest").alias("root"), F.array().cast(f"array<{STEP}>").alias("path"))
     above = saved(crown.paths(root).select(F.col("name").alias("tree"), F.col("digest").alias("subroot"), "root", "path"), "above")
     return trees.paths(above).select(
-        F.col("_key").alias(key), F.col("digest").alias("leaf"), "subroot", "root", "path",
+        F.col("k").alias(key), F.col("digest").alias("leaf"), "subroot", "root", "path",
         *[F.col(f"_{alias}").alias(alias) for alias in carry])
 
 

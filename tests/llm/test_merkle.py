@@ -110,9 +110,9 @@ def test_nodes_are_nested_intervals(spark):
 
 def test_general_interface(spark):
     docs = spark.createDataFrame([("b", "x", 1), ("a", "x", 2), ("c", None, 3)], "name string, part string, v int")
-    out = merkle.manifest(docs, key="name", tree="part", fields=("name", "v"), carry={"v2": F.col("v") * 2})
+    out = merkle.manifest(docs, key="name", tree="part", fields=("name", "v"), carry={"v2": F.col("v") * 2, "key": F.col("v"), "n": F.col("v"), "tree": F.col("part")})
     got = {r.name: r for r in out.withColumn("again", merkle.folded(F.col("leaf"), F.col("path"))).collect()}
-    assert got["a"].leaf.hex() == leaf(("a", 2)) and got["c"].v2 == 6
+    assert got["a"].leaf.hex() == leaf(("a", 2)) and got["c"].v2 == 6 and got["c"].key == got["c"].n == 3 and got["a"].tree == "x"
     sub = sha(leaf(("a", 2)) + leaf(("b", 1)))
     assert got["b"].subroot.hex() == sub and got["c"].subroot.hex() == leaf(("c", 3))
     assert all(r.root.hex() == sha(leaf(("c", 3)) + sub) == r.again.hex() for r in got.values())
