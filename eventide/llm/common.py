@@ -42,11 +42,10 @@ def made() -> int:
     return len(_made)
 
 
-def discard(spark: SparkSession, since: int, keep: DataFrame) -> None:
-    """Delete the working tables made since then, but not the one that ``keep`` reads."""
-    kept = [p for p in _made[since:] if any(f"/{p.rpartition('/')[2]}/" in f for f in keep.inputFiles()[:1])]
-    later, _made[since:] = [p for p in _made[since:] if p not in kept], kept
-    for folder in later:
+def discard(spark: SparkSession, since: int) -> None:
+    """Delete the working tables made since then, but the last one."""
+    gone, _made[since:] = _made[since:-1], _made[since:][-1:]
+    for folder in gone:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -19,6 +19,16 @@ def test_saved_dropped_and_cleared(spark):
     common.clear_scratch(spark)
 
 
+def test_discard_keeps_the_last_table(spark):
+    first = common.made()
+    common.discard(spark, first)
+    kept = [common.saved(spark.range(n), "t") for n in (3, 2, 0)][-1]
+    folders = [f.removeprefix("file:") for f in common._made[first:]]
+    common.discard(spark, first)
+    assert [os.path.isdir(f) for f in folders] == [False, False, True] and common.made() == first + 1 and kept.count() == 0
+    common.clear_scratch(spark)
+
+
 def test_free_names(spark):
     df = spark.createDataFrame([(1, 2)], "A int, a_ int")
     assert common.free_name(df, "a", "a", "b") == ["a__", "a___", "b"]
