@@ -57,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, first = table(spark, sf_dir, "documents"), made()
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name)
-        discard(spark, first, docs)
+        discard(spark, first)
     return docs
