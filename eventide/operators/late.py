@@ -321,8 +321,9 @@ def compare_feature_sets_stream(left: DataFrame, right: DataFrame, delay: str =
 
     Both sides are watermarked by their window's end, which is part of the key,
     so a row waits in the state until it is matched or the watermark (the newest
-    window end less ``delay``) is past it; rows that the other side never has
-    come out then. A window's rows may arrive ``delay`` apart.
+    window end less ``delay``, of the side that is behind) is past it; rows that the
+    other side never has come out then. Start it with Spark's default for several
+    watermarks (``min``), so that neither side is late for the other.
     """
     def side(features: DataFrame, name: str, mark: str) -> DataFrame:
         end = F.to_timestamp("computed_at", ISO_SECONDS)

@@ -46,7 +46,7 @@ from eventide.operators.late import CONTENT_BRANCH, USER_BRANCH, floor_div
 from eventide.operators.serving import feature_update, freshness_of
 from eventide.schemas import FEATURE_COLUMNS, FEATURE_LOG, METRIC_RECORD
 from eventide.streaming.sinks import newest_batches, read_previous, read_table, write_batch
-from eventide.streaming.tables import Layout, checkpoint_of, log_rows, prepare_streaming, started, table_stream
+from eventide.streaming.tables import Layout, checkpoint_of, log_rows, prepare_streaming, started_with, table_stream
 
 __all__ = ["Layout", "change_feed_stream", "feature_log", "feature_log_stream", "metric_log", "metric_state_stream", "metrics_feed_stream",
            "observed_freshness", "prepare_streaming", "recent_log", "serving_state", "start_window_features"]
@@ -131,7 +131,8 @@ def start_window_features(events: DataFrame, layout: Layout, checkpoint: str | N
 
     writer = (_with_events(events).writeStream.outputMode("append").foreachBatch(write).queryName(name)
               .option("checkpointLocation", checkpoint_of(spark, name, checkpoint, layout)))
-    return started(writer, trigger)
+    # the watermark is that of all events, as at the source, also for the branches that skip rows without a key
+    return started_with(spark, "spark.sql.streaming.multipleWatermarkPolicy", "max", writer, trigger)
 
 
 def _metrics(kept: DataFrame, watermark_ms: int | None, now_ms: int) -> DataFrame:

@@ -60,8 +60,6 @@ def prepare_streaming(spark: SparkSession) -> None:
     # rows must be tested against the watermark of the batch they arrive in
     key = "spark.sql.streaming.statefulOperator.allowMultiple"
     spark.conf.set(key, SESSION_DEFAULTS[key])
-    # the watermark is that of all events, as at the source, also for branches that skip rows without a key
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
     # lifetime counts and open windows live off-heap in RocksDB; each
     # checkpoint uploads a changelog instead of a full snapshot. A provider
     # chosen by the cluster is kept (it is fixed per checkpoint anyway).
@@ -76,6 +74,16 @@ def started(writer, trigger: dict | None) -> StreamingQuery:
     return writer.trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL})).start()
 
 
+def started_with(spark: SparkSession, setting: str, value: str, writer, trigger: dict | None) -> StreamingQuery:
+    """Start a query with a setting of its own: a query keeps the settings that it was started with."""
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, value)
+    try:
+        return started(writer, trigger)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def checkpoint_of(spark: SparkSession, name: str, location: str | None, layout: Layout) -> str:
     """Explicit location, else ``<spark.checkpoint.dir>/streams/<job key>/<query>``
     where the job key is derived from the output root: a restarted job
