@@ -225,6 +225,27 @@ def test_a_batch_costs_what_it_changes(spark, tmp_path):
     assert spark.read.parquet(f"{layout.affinity}/batch_id={totals.recentProgress[-1].batchId}").count() <= 1
 
 
+def test_state_holds_many_users_in_a_value(spark, tmp_path):
+    """Users of one content come in three batches; their counts move with its category and lie in few state rows."""
+    ev, meta = tmp_path / "events", tmp_path / "meta"
+    layout = q.Layout(str(tmp_path / "out"))
+    users = ["ü\"\\ 1"] + [f"u{i}" for i in range(5000)]
+    _meta(meta, "m-0.json", [("c1", "News", i) for i in range(50)] + [("c2", "Tech", 1)])
+    kept = []
+    for i, some in enumerate((users[:600], users, users[:1])):
+        _write_lines(ev, f"e-{i}.json", [_ev(u, "c1", "view", "10:00:00") for u in some])
+        _ingest(spark, ev, layout)
+        moves = _drain(start_moves(event_table(spark, layout, watermark=False), metadata_stream_files(spark, str(meta)), layout,
+                                   checkpoint=layout.root + "-ck-moves", trigger=NOW, shares=1))
+        kept += [p.stateOperators[0].numRowsTotal for p in moves.recentProgress if p.numInputRows]
+        if i == 1:
+            _meta(meta, "m-1.json", [("c1", "Sport", 90), ("c1", "Old", 80)])
+    assert kept[0] < kept[1] <= 2 * len(users) / 500 and kept[2] == kept[1]
+    totals = spark.read.parquet(layout.moves).groupBy("user_id", "category").agg(F.sum("n").alias("n")).filter("n != 0")
+    assert rows(totals, "user_id", "category", "n") == sorted(
+        (u, "Sport", 1 + (i < 600) + (i < 1)) for i, u in enumerate(users))
+
+
 def test_metadata_partitions_and_old_offsets(spark, tmp_path):
     """Offsets order a content's rows within its partition; another partition's may be far ahead."""
     ev, meta = tmp_path / "events", tmp_path / "meta"
