@@ -46,6 +46,7 @@ from eventide.config import (
 )
 from eventide.functions.events import engaged, is_type, safe_rate
 from eventide.functions.timefmt import iso_micros, iso_seconds
+from eventide.operators.feature_join import join_features
 from eventide.session import materialise
 
 MICROS = 1_000_000
@@ -323,16 +324,16 @@ def compare_feature_sets_stream(left: DataFrame, right: DataFrame, delay: str =
     so a row waits in the state until it is matched or the watermark (the newest
     window end less ``delay``, of the side that is behind) is past it; rows that the
     other side never has come out then. Start it with Spark's default for several
-    watermarks (``min``), so that neither side is late for the other.
+    watermarks (``min``), so that neither side is late for the other. The state is
+    that of :mod:`eventide.operators.feature_join`.
     """
-    def side(features: DataFrame, name: str, mark: str) -> DataFrame:
-        end = F.to_timestamp("computed_at", ISO_SECONDS)
-        return features.select(F.col("entity_id").alias(f"{mark}_id"), F.col("feature_name").alias(f"{mark}_name"),
-                               end.alias(f"{mark}_end"), F.col("feature_value").alias(name)).withWatermark(f"{mark}_end", delay)
+    def side(features: DataFrame) -> DataFrame:
+        return features.select(F.col("entity_id").alias("id"), F.col("feature_name").alias("name"),
+                               F.to_timestamp("computed_at", ISO_SECONDS).alias("end"),
+                               F.col("feature_value").alias("value")).withWatermark("end", delay)
 
-    same = (F.col("l_id") == F.col("r_id")) & (F.col("l_name") == F.col("r_name")) & (F.col("l_end") == F.col("r_end"))
-    joined = side(left, left_name, "l").join(side(right, right_name, "r"), same, "full_outer")
-    lv, rv = F.col(left_name), F.col(right_name)
+    joined = join_features(side(left), side(right))
+    lv, rv = F.col("l"), F.col("r")
     return joined.filter(~lv.eqNullSafe(rv)).select(
-        F.coalesce("l_id", "r_id").alias("entity_id"), F.coalesce("l_name", "r_name").alias("feature_name"),
-        iso_seconds(F.coalesce("l_end", "r_end")).alias("computed_at"), lv, rv, F.abs(lv - rv).alias("abs_diff"))
+        F.col("id").alias("entity_id"), F.col("name").alias("feature_name"), iso_seconds("end").alias("computed_at"),
+        lv.alias(left_name), rv.alias(right_name), F.abs(lv - rv).alias("abs_diff"))

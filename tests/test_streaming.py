@@ -500,6 +500,39 @@ def test_divergence_of_streams_as_windows_close(spark, tmp_path):
     assert kept <= 6  # of 20 rows: those of the last windows
 
 
+def test_divergence_state_is_packed_and_rows_meet_over_batches(spark, tmp_path):
+    """The state has an entry for an hour and share, not for each row; rows of a window that come in several batches,
+    twice or without a name meet all those of the other side."""
+    from eventide.operators.feature_join import SHARES
+    from eventide.operators.late import compare_feature_sets_stream
+    from eventide.schemas import FEATURE_RECORD
+    from eventide.streaming.tables import table_stream
+
+    left, right, out = (str(tmp_path / x) for x in ("left", "right", "out"))
+    q.prepare_streaming(spark)
+    at = f"{DAY}T01:00:00Z"
+    many = [(f"u{i}", "click_rate", 0.5, at) for i in range(100)]
+
+    def run(**sides):
+        for table, records in sides.items():
+            spark.createDataFrame(records, FEATURE_RECORD).coalesce(1).write.mode("append").parquet(str(tmp_path / table))
+        joined = compare_feature_sets_stream(table_stream(spark, left, FEATURE_RECORD), table_stream(spark, right, FEATURE_RECORD))
+        query = _drain(joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
+                       .trigger(availableNow=True).start())
+        got = sorted(((r.entity_id, r.feature_name, r.batch_value, r.stream_value) for r in spark.read.parquet(out).collect()), key=str)
+        return got, query.recentProgress[-1].stateOperators[0].numRowsTotal
+
+    none, nan = (None, "a", 1.0, at), ("n", "a", float("nan"), at)
+    got, kept = run(left=[*many, none, nan, ("x", "a", 1.0, at)], right=many[:50] + [(None, "a", 2.0, at), nan, ("x", "a", 1.0, at)])
+    assert got == [(None, "a", 1.0, 2.0)] and kept <= SHARES  # 203 rows
+    got, _ = run(left=[("x", "a", 3.0, at)], right=[*many[50:], ("x", "a", 4.0, at), ("y", "a", None, at), ("z", "a", 0.0, at)])
+    met = [("x", "a", 1.0, 4.0), ("x", "a", 3.0, 1.0), ("x", "a", 3.0, 4.0), (None, "a", 1.0, 2.0)]
+    assert got == sorted(met, key=str)
+    later = [("u", "click_rate", 0.5, f"{DAY}T02:00:00Z")]  # the watermark is at the window's end: it is past
+    got, kept = run(left=later, right=later)
+    assert got == sorted([*met, ("z", "a", None, 0.0)], key=str) and kept == 1
+
+
 def test_serving_state_without_reading_a_log(spark, tmp_path, lateness_files):
     """What was observed while the logs were written is what the logs say."""
     from eventide.operators import serving
